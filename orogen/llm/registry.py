@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orogen.llm import decontamination, repeats
+from orogen.llm.decontamination import op4_benchmark_decontamination
+from orogen.llm.repeats import op3_repeated_passages
 from orogen.llm.simhash import op5_simhash_near_dedup
 
-_QUERIES = (op5_simhash_near_dedup,)
+_QUERIES = (op3_repeated_passages, op4_benchmark_decontamination, op5_simhash_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,4 +19,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others learn a model, follow links or need a tokenizer, and are held against brute force in the tests."""
+    return {"op3_repeated_passages": repeats.ORACLE_SQL, "op4_benchmark_decontamination": decontamination.ORACLE_SQL}
