@@ -6,7 +6,7 @@
 2. Confirm and compile. A block of documents meets the phrases that recur and occur in it; their
    words are compiled into Aho-Corasick automata, sharded so that each stays small.
 3. Locate. All documents of the block stream through its automata, which give every occurrence of
-   every phrase. Windows whose picked phrase was located are keyed by 128 bits of their word sequence.
+   every phrase. Windows whose picked phrase was located are keyed by 96 bits of their word sequence.
 4. Decide. The earliest place of a key is found over all blocks from one row per key and block; the
    words of all later windows go.
 
@@ -42,6 +42,7 @@ BLOCK_BYTES = 8 << 20
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 _TOP = np.uint64(2**64 - 1)
+_LOW = 2**32 - 1
 
 
 def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -140,20 +141,18 @@ def _keyed(docs: pa.Table, recurring: pa.Table, window: int, phrase: int) -> pa.
     new[1:] = (np.diff(keys[0][order]) != 0) | (np.diff(keys[1][order]) != 0)
     first, later = order[new], np.sort(places[order[~new]])
     row_of = lambda at: np.searchsorted(found.starts + found.counts, at, side="right")
-    rows = row_of(places[first])
     late_rows, late_at, late_n = _runs(row_of(later), later)
-    both = np.concatenate([rows, late_rows])
-    block = docs["block"][0].as_py()
-    none = pa.nulls(len(late_rows), pa.int64())
+    rows = np.concatenate([row_of(places[first]), late_rows])
+    at = np.concatenate([places[first], late_at]) - found.starts[rows]
+    # Few and packed columns, as these rows are the most that is shuffled: 96 bits of key, the place and the run.
+    second = np.concatenate([keys[1][first] >> np.uint64(32), np.zeros(len(late_at), np.uint64)]).astype(np.int64)
     return pa.table(
         {
-            "block": pa.array(np.full(len(both), block, dtype=np.int64)),
-            "h1": pa.concat_arrays([pa.array(keys[0][first].view(np.int64)), none]),
-            "h2": pa.concat_arrays([pa.array(keys[1][first].view(np.int64)), none]),
-            "id": docs["id"].combine_chunks().take(pa.array(both)),
-            "row": pa.array(both.astype(np.int32)),
-            "at": pa.array((np.concatenate([places[first], late_at]) - found.starts[both]).astype(np.int32)),
-            "n": pa.array(np.concatenate([np.ones(len(first)), late_n]).astype(np.int32)),
+            "h1": np.concatenate([keys[0][first].view(np.int64), np.random.default_rng(0).integers(2**62, size=len(late_at))]),
+            "h2_at": (second << 32) | at,
+            "id": docs["id"].combine_chunks().take(pa.array(rows)),
+            "block_row": (docs["block"][0].as_py() << 32) | rows,
+            "run": np.concatenate([np.zeros(len(first), np.int32), late_n.astype(np.int32)]),
         }
     )
 
@@ -219,12 +218,21 @@ def remove_repeats(
         return _cleaned(_by_id(docs), late, window)
 
     places = spread.groupBy("block").cogroup(recurring.groupBy("block")).applyInArrow(
-        keyed, f"block long, h1 long, h2 long, id {kind}, row int, at int, n int"
+        keyed, f"h1 long, h2_at long, id {kind}, block_row long, run int"
+    )
+    unpacked = places.repartition("h1").select(
+        "h1",
+        F.shiftrightunsigned("h2_at", 32).alias("h2"),
+        F.col("h2_at").bitwiseAND(F.lit(_LOW)).cast("int").alias("at"),
+        "id",
+        "block_row",
+        "run",
+    )
+    earliest = Window.partitionBy("h1", "h2").orderBy(F.col("id").isNull(), "id", "block_row", "at")
+    ranked = unpacked.withColumn("rank", F.when(F.col("run") == 0, F.row_number().over(earliest)))
+    later = ranked.where("run > 0 or rank > 1").select(
+        F.shiftright("block_row", 32).alias("block"), F.col("block_row").bitwiseAND(F.lit(_LOW)).cast("int").alias("row"), "at", F.greatest("run", F.lit(1)).alias("n")
     )
-    run = F.col("h2").isNull()  # dealt out by place, as no key holds them together
-    earliest = Window.partitionBy("h1", "h2").orderBy(F.col("id").isNull(), "id", "block", "row", "at")
-    ranked = places.withColumn("h1", F.coalesce("h1", F.xxhash64("block", "row", "at"))).withColumn("rank", F.row_number().over(earliest))
-    later = ranked.where(run | (F.col("rank") > 1)).select("block", "row", "at", "n")
     out = spread.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(
         cleaned, f"id {kind}, n_words long, n_removed long, kept string"
     )
