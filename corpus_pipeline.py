@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, near-dedup, decontamination, personal data, token ids.
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the
-docs of the next one.
+docs of the next one. The first three drop rows, the fourth rewrites `text` (and `n_chars` with it), the last one
+returns the ids of each document's pieces. All but the last return the columns of `documents`.
 """
 
 from __future__ import annotations
@@ -9,18 +10,48 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orogen.llm import decontamination, pieces, private, simhash, toxicity
 from orogen.llm.common import ensure_checkpoint_dir, table
-from orogen.llm.simhash import drop_near_duplicates
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_duplicates(docs)
+def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not flag; it is fitted on the labelled rows among `docs`."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-STAGES = [("SimHash near-dedup", dedup)]
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of least id, of each group of linked fingerprints."""
+    return simhash.drop_near_duplicates(docs)
 
-#: The first and last stages are learned or need a tokenizer, which SQL cannot express; the tests hold a brute-force version.
+
+def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind in brackets."""
+    redacted = private.redact(docs, private.fit(docs))
+    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_pieces, ids)."""
+    encoded = pieces.encode(docs.select("doc_id", "text"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
+
+
+STAGES = [
+    ("toxicity", clean_of_toxicity),
+    ("SimHash near-dedup", without_near_copies),
+    ("benchmark decontamination", without_test_items),
+    ("personal data", without_personal_data),
+    ("SentencePiece encoding", as_pieces),
+]
+
+#: Stages that learn a model or use a tokenizer are beyond SQL; the tests hold a brute-force version against run().
 ORACLE_SQL = None
 
 

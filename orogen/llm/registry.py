@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orogen.llm import decontamination, repeats
 from orogen.llm.decontamination import op4_benchmark_decontamination
 from orogen.llm.embeddings import op9_embedding_near_dedup
+from orogen.llm.interpolation import op7_deleted_interpolation
 from orogen.llm.packing import op10_packed_token_ids
 from orogen.llm.pieces import op6_sentencepiece_round_trip
 from orogen.llm.private import op8_personal_data
@@ -17,7 +18,18 @@ from orogen.llm.repeats import op3_repeated_passages
 from orogen.llm.simhash import op5_simhash_near_dedup
 from orogen.llm.toxicity import op2_toxicity_ordinal
 
-_QUERIES = (op1_quality_classifier, op2_toxicity_ordinal, op3_repeated_passages, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_sentencepiece_round_trip, op8_personal_data, op9_embedding_near_dedup, op10_packed_token_ids)
+_QUERIES = (
+    op1_quality_classifier,
+    op2_toxicity_ordinal,
+    op3_repeated_passages,
+    op4_benchmark_decontamination,
+    op5_simhash_near_dedup,
+    op6_sentencepiece_round_trip,
+    op7_deleted_interpolation,
+    op8_personal_data,
+    op9_embedding_near_dedup,
+    op10_packed_token_ids,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
