@@ -9,9 +9,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def point_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
     """Little-endian WKB of points; null if a coordinate is."""
     kind = np.dtype([("order", "u1"), ("type", "<u4"), ("x", "<f8"), ("y", "<f8")])
@@ -22,7 +23,7 @@ def point_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
     return made.where(~(np.isnan(rows["x"]) | np.isnan(rows["y"])), None)
 
 
-@F.pandas_udf("struct<x double, y double>")
+@F.pandas_udf(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 def wkb_point(wkb: pd.Series) -> pd.DataFrame:
     """Coordinates of a WKB point, or the mean of the vertices of the first ring of a polygon; null for anything else."""
 
@@ -66,7 +67,7 @@ def rectangle_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Co
     return F.array(corner(xmin, ymin), corner(xmax, ymin), corner(xmax, ymax), corner(xmin, ymax), corner(xmin, ymin))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def inside_polygon(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Even-odd rule over all rings (closed or not): holes and separate parts need no marks."""
     for xs, ys, rings in parts:

@@ -250,11 +250,11 @@ def numbered(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] =
     if partition_by:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)))
     parted = df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
-    parted = parted.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
+    parted = parted.withColumn("__row", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
     sizes = parted.groupBy("__p").agg(F.count("*").alias("k"))
     before = Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    starts = sizes.select("__p", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("s"))
-    return parted.join(F.broadcast(starts), "__p").withColumn(name, F.col("__n") + F.col("s")).drop("__p", "__n", "s")
+    starts = sizes.select("__p", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("__start"))
+    return parted.join(F.broadcast(starts), "__p").withColumn(name, F.col("__row") + F.col("__start")).drop("__p", "__row", "__start")
 
 
 def every_nth(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
