@@ -73,10 +73,12 @@ class Windows:
 
     def picked(self) -> np.ndarray:
         """Whether each phrase is the least one of some window."""
+        if not self.whole.any():
+            return np.zeros(len(self.grams), dtype=bool)
         reach = self.window - self.phrase
         pad = np.zeros(reach, dtype=np.uint64)
         least = np.concatenate([pad, np.where(self.whole, self.least, 0), pad])
-        return _sliding(least, reach + 1, np.maximum) == self.grams if len(self.grams) else np.zeros(0, bool)
+        return _sliding(least, reach + 1, np.maximum) == self.grams
 
     def located(self, recurring: np.ndarray) -> np.ndarray:
         """Whether each window's picked phrase is one that the automata locate; `recurring` holds the phrases' hashes."""
