@@ -33,7 +33,7 @@ MAX_ROWS = 3000
 LEXICON = 512
 #: Lengths of the beginnings of words that are terms.
 STEMS = (4, 5, 6, 7)
-MIN_Z = 4.0
+MIN_Z = 3.0
 #: And at least this log-odds: terms that are merely more usual in one language say nothing.
 MIN_ODDS = 3.0
 GRADES = 4
