@@ -52,7 +52,7 @@ def test_stages_on_awkward_rows(spark, data, number):
     got = stage(spark, docs, data)
     if number < 4:
         assert got.columns == docs.columns
-        assert {1, 3, 5} <= {r["doc_id"] for r in got.collect()} | {2} - {2}
+        assert {1, 3, 5} <= {r["doc_id"] for r in got.collect()}
     else:
         assert got.count() == len(rows)
     assert stage(spark, docs.where("false"), data).count() == 0
