@@ -1 +1 @@
-"""Package."""
+"""Streams of point tables."""
