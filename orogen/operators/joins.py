@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orogen.functions.geometry import inside_polygon
+from orogen.sources.storage import shared_folder
 
 
 # --- grids --------------------------------------------------------------------------------------------------------
@@ -83,21 +84,23 @@ def _bucketed(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame:
 def nearest_class(cells: DataFrame, points: DataFrame, radius: float, rounds: int = 40) -> DataFrame:
     """(grid_id, class, dist_to_point, n_points) of the nearest point with a class (ties: the smallest class).
 
-    Squares grow: cells that found a point within the radius are settled, the others look twice as far. The number of rounds
-    that are planned follows from the extents, so all is one lazy plan; `rounds` bounds it.
+    Squares grow: cells that found a point within the radius are settled, the others look twice as far, until none is
+    left or the radius spans everything. Each round is checkpointed, so that no round repeats those before it.
     """
+    shared_folder(cells.sparkSession)
     held = points.where(F.col("class").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
     box = held.select(F.col("x").alias("center_x"), F.col("y").alias("center_y")).union(cells.select("center_x", "center_y"))
     ends = box.agg(F.min("center_x"), F.max("center_x"), F.min("center_y"), F.max("center_y")).first()
     reach = math.hypot(ends[1] - ends[0], ends[3] - ends[2]) if ends[0] is not None else 0.0
-    left, found = cells, None
+    left, found = cells.select("grid_id", "center_x", "center_y"), None
     for _ in range(rounds):
         got = _bucketed(left, held, radius).groupBy("grid_id").agg(F.min(F.struct("__d2", "__class")).alias("m"))
-        got = got.select("grid_id", F.col("m.__class").alias("class"), F.sqrt("m.__d2").alias("dist_to_point"), F.lit(1).cast("long").alias("n_points"))
+        got = got.select("grid_id", F.col("m.__class").alias("class"), F.sqrt("m.__d2").alias("dist_to_point"), F.lit(1).cast("long").alias("n_points")).checkpoint()
         found = got if found is None else found.union(got)
-        if radius >= reach:
+        left = left.join(got.select("grid_id"), "grid_id", "left_anti").checkpoint()
+        if radius >= reach or left.isEmpty():
             break
-        left, radius = left.join(got.select("grid_id"), "grid_id", "left_anti"), 2 * radius
+        radius = 2 * radius
     return cells.select("grid_id").join(found, "grid_id", "left")
 
 

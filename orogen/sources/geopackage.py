@@ -42,6 +42,10 @@ def point_blob(x: float, y: float, epsg: int) -> bytes:
 
 
 def layers(spark: SparkSession, path: str) -> DataFrame:
+    return layers_from(_files(spark, path))
+
+
+def layers_from(files: DataFrame) -> DataFrame:
     """(path, layer, srs_id, geometry_column, columns, n_rows) of each layer of each file."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,7 +61,7 @@ def layers(spark: SparkSession, path: str) -> DataFrame:
             if rows:
                 yield pd.DataFrame(rows, columns=["path", "layer", "srs_id", "geometry_column", "columns", "n_rows"])
 
-    return _files(spark, path).mapInPandas(run, "path string, layer string, srs_id int, geometry_column string, columns array<string>, n_rows long")
+    return files.mapInPandas(run, "path string, layer string, srs_id int, geometry_column string, columns array<string>, n_rows long")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -65,14 +69,18 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str, layer: str | None = None, limit: int | None = None, centroid: bool = False) -> DataFrame:
+    return read_from(_files(spark, path), layer, limit, centroid)
+
+
+def read_from(files: DataFrame, layer: str | None = None, limit: int | None = None, centroid: bool = False) -> DataFrame:
     """One layer (the first, if none is named) of one or more files: numbers as doubles, other columns as text, `geometry` as WKB.
 
     With `centroid`, x and y of points (or the mean of a polygon's corners) come instead of the geometry.
     """
-    known = layers(spark, path)
+    known = layers_from(files)
     first = (known.where(F.col("layer") == layer) if layer else known.orderBy("layer")).first()
     if first is None:
-        raise ValueError(f"no layer {layer or ''} in {path}")
+        raise ValueError(f"no layer {layer or ''}")
     name, geometry = first["layer"], first["geometry_column"]
     kinds = [c.rsplit(":", 1) for c in first["columns"]]
     fields = [(c, "geometry" if k == "geometry" else k) for c, k in kinds]
@@ -95,7 +103,7 @@ def read(spark: SparkSession, path: str, layer: str | None = None, limit: int |
                             out[field.name] = [None if v is None else str(v) for v in out[field.name]]
                     yield out
 
-    df = _files(spark, path).mapInPandas(run, schema)
+    df = files.mapInPandas(run, schema)
     numeric = {f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in schema if isinstance(f.dataType, T.DoubleType)}
     df = df.withColumns(numeric) if numeric else df
     if centroid and geometry:

@@ -98,7 +98,17 @@ def encode(z: np.ndarray, px: float = 1.0, x0: float = 0.0, y0: float = 0.0, nod
 
 def read_cells(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(raster_id, band, r, c, x, y, z) of all files; no-data and non-finite values are null. Files come with their own geometry."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{tif,tiff,TIF,TIFF}").option("recursiveFileLookup", recursive).load(path)
+    return cells_from(tiff_files(spark, path, recursive))
+
+
+def tiff_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(path, content) of the TIFF files in a folder."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.{tif,tiff,TIF,TIFF}").option("recursiveFileLookup", recursive)
+    return reader.load(path).select("path", "content")
+
+
+def cells_from(files: DataFrame) -> DataFrame:
+    """The cells of TIFF files in a table (path, content)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -129,7 +139,6 @@ def read_cells(spark: SparkSession, path: str, recursive: bool = False) -> DataF
 
 def geometry(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(raster_id, rows, cols, bands, px, py, x0, y0, nodata) of each file."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{tif,tiff,TIF,TIFF}").option("recursiveFileLookup", recursive).load(path)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -140,7 +149,7 @@ def geometry(spark: SparkSession, path: str, recursive: bool = False) -> DataFra
             if rows:
                 yield pd.DataFrame(rows)
 
-    return files.select("path", "content").mapInPandas(run, "raster_id string, rows int, cols int, bands int, px double, py double, x0 double, y0 double, nodata double")
+    return tiff_files(spark, path, recursive).mapInPandas(run, "raster_id string, rows int, cols int, bands int, px double, py double, x0 double, y0 double, nodata double")
 
 
 def wide(cells: DataFrame) -> DataFrame:
