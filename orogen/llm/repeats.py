@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from orogen.llm.common import hash_words, rolling, slices, table, word_ids
 
 WINDOW = 20
-PHRASE = 8
+PHRASE = 6
 #: Phrases in one automaton: some 25 symbols of under 100 bytes each.
 SHARD = 40_000
 #: Text in one block of documents, on average.
