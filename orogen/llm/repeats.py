@@ -146,22 +146,24 @@ def _keyed(docs: pa.Table, recurring: pa.Table, window: int, phrase: int) -> pa.
     late_rows, late_at, late_n = _runs(row_of(later), later)
     rows = np.concatenate([row_of(places[first]), late_rows])
     at = np.concatenate([places[first], late_at]) - found.starts[rows]
-    # Few and packed columns, as these rows are the most that is shuffled: 96 bits of key, the place and the run.
-    second = np.concatenate([keys[1][first] >> np.uint64(32), np.zeros(len(late_at), np.uint64)]).astype(np.int64)
+    # Few and packed columns, as these rows are the most that is shuffled: 96 bits of key, the place; a run has its length
+    # in place of the key and a negative (complemented) block and row.
+    second = np.concatenate([(keys[1][first] >> np.uint64(32)).astype(np.int64), late_n])
+    place = (docs["block"][0].as_py() << 32) | rows
     return pa.table(
         {
             "h1": np.concatenate([keys[0][first].view(np.int64), np.random.default_rng(0).integers(2**62, size=len(late_at))]),
             "h2_at": (second << 32) | at,
             "id": docs["id"].combine_chunks().take(pa.array(rows)),
-            "block_row": (docs["block"][0].as_py() << 32) | rows,
-            "run": np.concatenate([np.zeros(len(first), np.int32), late_n.astype(np.int32)]),
+            "block_row": np.where(np.arange(len(rows)) < len(first), place, ~place),
         }
     )
 
 
 def _cleaned(docs: pa.Table, later: pa.Table, window: int) -> pa.Table:
-    """The digest row of each document of a block, given its later windows as (row, at, n)."""
-    rows, at, n = (later[c].to_numpy().astype(np.int64) for c in ("row", "at", "n"))
+    """The digest row of each document of a block, given lists of its later windows (row, at, n)."""
+    flat = later["late"].combine_chunks().flatten()
+    rows, at, n = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("row", "at", "n"))
     order = np.argsort(rows, kind="stable")
     rows, at, n = rows[order], at[order], n[order]
     total, removed, kept = [], [], []
@@ -219,22 +221,23 @@ def remove_repeats(
     def cleaned(docs: pa.Table, late: pa.Table) -> pa.Table:
         return _cleaned(_by_id(docs), late, window)
 
-    places = spread.groupBy("block").cogroup(recurring.groupBy("block")).applyInArrow(
-        keyed, f"h1 long, h2_at long, id {kind}, block_row long, run int"
-    )
+    places = spread.groupBy("block").cogroup(recurring.groupBy("block")).applyInArrow(keyed, f"h1 long, h2_at long, id {kind}, block_row long")
+    run = F.col("block_row") < 0
     unpacked = places.repartition("h1").select(
         "h1",
         F.shiftrightunsigned("h2_at", 32).alias("h2"),
         F.col("h2_at").bitwiseAND(F.lit(_LOW)).cast("int").alias("at"),
         "id",
-        "block_row",
-        "run",
+        run.alias("run"),
+        F.when(run, F.bitwise_not("block_row")).otherwise(F.col("block_row")).alias("block_row"),
     )
-    earliest = Window.partitionBy("h1", "h2").orderBy(F.col("id").isNull(), "id", "block_row", "at")
-    ranked = unpacked.withColumn("rank", F.when(F.col("run") == 0, F.row_number().over(earliest)))
-    later = ranked.where("run > 0 or rank > 1").select(
-        F.shiftright("block_row", 32).alias("block"), F.col("block_row").bitwiseAND(F.lit(_LOW)).cast("int").alias("row"), "at", F.greatest("run", F.lit(1)).alias("n")
+    earliest = Window.partitionBy("h1", "h2", "run").orderBy(F.col("id").isNull(), "id", "block_row", "at")
+    late = unpacked.withColumn("rank", F.row_number().over(earliest)).where("run or rank > 1")
+    window_at = F.struct(
+        F.col("block_row").bitwiseAND(F.lit(_LOW)).cast("int").alias("row"), "at", F.when(F.col("run"), F.col("h2")).otherwise(F.lit(1)).cast("int").alias("n")
     )
+    # lists, as they shuffle smaller than rows; a block's list is bounded as its text is
+    later = late.groupBy(F.shiftright("block_row", 32).alias("block")).agg(F.collect_list(window_at).alias("late"))
     out = spread.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(
         cleaned, f"id {kind}, n_words long, n_removed long, kept string"
     )
