@@ -9,7 +9,7 @@ on at most `max_rows` labelled documents of each class (the least hashes of thei
 
 The labels say only toxic or not; `grade_labels` makes grades of them: 0 for clean documents, and
 for toxic ones 1 to 3 by terciles of how many lexicon words they hold. The result is the expected
-severity, the sum of P(grade > k), and the flag P(grade > 0) >= 0.5.
+severity, the sum of P(grade > k), and the flag P(grade > 0) >= FLAG.
 
 Words are runs of non-blank bytes, lower-cased (A-Z) and trimmed of ASCII punctuation. Null, empty and
 blank texts have no features and get the clean end of the scale; repeated rows keep one result each.
@@ -38,6 +38,8 @@ MIN_Z = 3.0
 MIN_ODDS = 3.0
 GRADES = 4
 RIDGE = 1e-4
+#: Documents are flagged from this P(grade > 0) on: clean ones that hold no term lie below 0.01.
+FLAG = 0.25
 STEPS = 1500
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -170,7 +172,7 @@ def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
             for piece in slices(batch, 1):
                 over = model.exceeds(piece.column(1))
                 each = -np.diff(np.concatenate([np.ones((len(over), 1)), over, np.zeros((len(over), 1))], 1), axis=1)
-                columns = [over[:, 0], over.sum(1), each.argmax(1).astype(np.int32), over[:, 0] >= 0.5]
+                columns = [over[:, 0], over.sum(1), each.argmax(1).astype(np.int32), over[:, 0] >= FLAG]
                 yield pa.RecordBatch.from_arrays([piece.column(0), *map(pa.array, columns)], [id_col, "p_toxic", "severity", "grade", "toxic"])
 
     kind = rows.schema[0].dataType.simpleString()
@@ -184,7 +186,7 @@ def drop_toxic(docs: DataFrame, model: Ordinal, text_col: str = "text") -> DataF
     def kept(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             for piece in slices(batch, place):
-                yield piece.filter(pa.array(model.exceeds(piece.column(place))[:, 0] < 0.5))
+                yield piece.filter(pa.array(model.exceeds(piece.column(place))[:, 0] < FLAG))
 
     return docs.mapInArrow(kept, docs.schema)
 
