@@ -331,10 +331,21 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return resample.grow(cells, cells, dem_rows(spark, d), WIDTH, 2, 2, method="nearest").select("r", "c", "z")
 
 
-@query("R10_grow_cubic")
+_CUBIC = {-1: "0.5 * t * (t * (2 - t) - 1)", 0: "0.5 * (t * t * (3 * t - 5) + 2)", 1: "0.5 * t * ((4 - 3 * t) * t + 1)", 2: "0.5 * t * t * (t - 1)"}
+_WEIGHT = lambda i, t: "CASE " + i + " " + " ".join(f"WHEN {k} THEN {x.replace('t', t)}" for k, x in _CUBIC.items()) + " END"
+
+
+@query(
+    "R10_grow_cubic",
+    f"""WITH {SQL['demn']}, e AS (SELECT max(r) + 1 AS rows FROM dem), y AS (SELECT r, c, (r + 0.5::DOUBLE) / 2 - 0.5 AS y, (c + 0.5::DOUBLE) / 2 - 0.5 AS x, rows FROM dem, e),
+n AS (SELECT y.r, y.c, least(greatest(floor(y) + i, 0), rows - 1)::BIGINT AS kr, least(greatest(floor(x) + j, 0), {WIDTH - 1})::BIGINT AS kc, ({_WEIGHT('i', '(y-floor(y))')}) * ({_WEIGHT('j', '(x-floor(x))')}) AS w
+  FROM y, (VALUES (-1), (0), (1), (2)) a(i), (VALUES (-1), (0), (1), (2)) b(j)), s AS (
+  SELECT n.r, n.c, sum(k.z * w) AS v, sum(CASE WHEN k.z IS NOT NULL THEN w END) AS w FROM n LEFT JOIN dem k ON k.r = kr AND k.c = kc GROUP BY n.r, n.c)
+SELECT r, c, {_rounded_sql({'z': 'CASE WHEN abs(w) > 1e-9 THEN v / w END'}, 4)} FROM s""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
     cells = dem(spark, d, gaps=True)
-    return rounded(resample.grow(cells, cells, dem_rows(spark, d), WIDTH, 2, 2, method="cubic"), ["z"])
+    return rounded(resample.grow(cells, cells, dem_rows(spark, d), WIDTH, 2, 2, method="cubic"), ["z"], 4)
 
 
 @query("R04_R05_coarse_metrics")

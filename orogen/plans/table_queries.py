@@ -274,9 +274,15 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return stats.quantiles_by_class(features(spark, d), "label", FEATURES).withColumns({c: near(c) for c in ("p05", "p50", "p95")})
 
 
-@query("A19_zero_crossing")
+@query(
+    "A19_zero_crossing",
+    f"""WITH x AS (SELECT value AS x, value - 20 AS e FROM events), q AS (SELECT list_sort(list_distinct(quantile_cont(x, [{', '.join(str(i / 40) for i in range(41))}]))) AS edges, count(*) AS n FROM x),
+b AS (SELECT x, e, least(len(list_filter(edges, lambda k: k <= x)), len(edges) - 1) AS bin FROM x, q), m AS (SELECT bin, avg(x) AS mx, avg(e) AS me FROM b GROUP BY bin HAVING count(*) >= 10),
+s AS (SELECT mx, me, lead(mx) OVER (ORDER BY mx) AS nx, lead(me) OVER (ORDER BY mx) AS ne FROM m) SELECT {near_sql('arg_min(mx - me * (nx - mx) / (ne - me), mx)', 4)} AS threshold, '' AS note FROM s WHERE me * ne < 0""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return stats.zero_crossing(table(spark, d, "events").withColumn("effect", F.col("value") - 20), "value", "effect")
+    got = stats.zero_crossing(table(spark, d, "events").withColumn("effect", F.col("value") - 20), "value", "effect")
+    return got.withColumn("threshold", near("threshold", 4))
 
 
 @query("A20_dissolve", f"WITH {RECTS} SELECT region, sum(gid)::BIGINT AS n_points, count(*) AS n_cells, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM rects GROUP BY region")
@@ -436,7 +442,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return stats.sample_n(table(spark, d, "customer"), 50, "c_custkey").select("c_custkey")
 
 
-@query("O10_stratified_sample")
+@query("O10_stratified_sample", f"WITH {SQL['pts']} SELECT class, least(count(*), 5) AS n FROM pts WHERE class IS NOT NULL GROUP BY class")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return stats.per_class(points(spark, d).where("class is not null"), "class", 5, "pid").groupBy("class").agg(F.count("*").alias("n"))
 
