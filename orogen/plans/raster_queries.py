@@ -42,19 +42,23 @@ def _rounded_sql(columns: dict[str, str], digits: int = 5) -> str:
 # --- k x k windows ------------------------------------------------------------------------------------------------
 
 
-def _focal_sql(k: int, source: str = "demn") -> str:
-    """Common table expressions that end in v(r, c, z, n, s1, s2, hi, lo)."""
+def _focal_of(source: str, k: int, name: str = "v") -> str:
+    """`name`(r, c, z, n, s1, s2, hi, lo) of a table of cells."""
     d = k // 2
     frame = f"RANGE BETWEEN {d} PRECEDING AND {d} FOLLOWING"
-    return f"""{SQL[source]}, h AS (
+    return f"""{name}_h AS (
   SELECT r, c, z, count(z) OVER w AS n, sum(z) OVER w AS s1, sum(z * z) OVER w AS s2, max(z) OVER w AS hi, min(z) OVER w AS lo
-  FROM dem WINDOW w AS (PARTITION BY r ORDER BY c {frame})
-), v AS (
+  FROM {source} WINDOW w AS (PARTITION BY r ORDER BY c {frame})
+), {name} AS (
   SELECT r, c, z, sum(n) OVER w AS n, sum(s1) OVER w AS s1, sum(s2) OVER w AS s2, max(hi) OVER w AS hi, min(lo) OVER w AS lo
-  FROM h WINDOW w AS (PARTITION BY c ORDER BY r {frame})
+  FROM {name}_h WINDOW w AS (PARTITION BY c ORDER BY r {frame})
 )"""
 
 
+def _focal_sql(k: int, source: str = "demn") -> str:
+    return f"{SQL[source]}, {_focal_of('dem', k)}"
+
+
 _WINDOW = {
     "relief": "CASE WHEN z IS NOT NULL THEN hi - lo END",
     "stddev": "CASE WHEN z IS NOT NULL THEN sqrt(greatest(s2 / n - (s1 / n) * (s1 / n), 0)) END",
@@ -162,13 +166,13 @@ for _convention, _angle in _ASPECTS.items():
     query(f"W17_W18_W22_W27_aspect_{_convention}", f"WITH {_around_sql(1, 'dem')}, {_HORN} SELECT r, c, {_rounded_sql({'aspect': _mod_sql(_angle)}, 4)} FROM h")(_aspect)
 
 
-def _gradient_sql(source: str = "dem", name: str = "g") -> str:
+def _gradient_sql(source: str = "dem", name: str = "g", px: float = PX) -> str:
     """`name`(r, c, z, p, q, rr, ss, tt) of a table by repeated central differences, one-sided at the edges."""
 
     def diff(value: str, axis: str) -> str:
         fixed, moving = ("r", "c") if axis == "r" else ("c", "r")
         w = f"OVER (PARTITION BY {fixed} ORDER BY {moving} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)"
-        return f"(last_value({value}) {w} - first_value({value}) {w}) / ((last_value({moving}) {w} - first_value({moving}) {w}) * {PX})"
+        return f"(last_value({value}) {w} - first_value({value}) {w}) / ((last_value({moving}) {w} - first_value({moving}) {w}) * {px})"
 
     return f"""{name}1 AS (SELECT *, {diff('z', 'r')} AS p, {diff('z', 'c')} AS q FROM {source}),
 {name} AS (SELECT *, {diff('p', 'r')} AS rr, {diff('p', 'c')} AS ss, {diff('q', 'c')} AS tt FROM {name}1)"""
@@ -348,15 +352,43 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rounded(resample.grow(cells, cells, dem_rows(spark, d), WIDTH, 2, 2, method="cubic"), ["z"], 4)
 
 
-@query("R04_R05_coarse_metrics")
+_SIX = {"slope": "degrees(atan(sqrt(p * p + q * q)))", "aspect": _mod_sql("degrees(atan2(q, p))"), "laplacian": "rr + tt", "curvature": _H, "relief": _WINDOW["relief"], "stddev": _WINDOW["stddev"]}
+#: Geometry of blocks of four: remainders of both grids are even.
+_BLOCKS = f"e AS (SELECT (rows - rows // 4 * 4) / 2.0 AS ro, rows // 4 AS nr, {WIDTH // 4} AS nc FROM (SELECT max(r) + 1 AS rows FROM dem))"
+
+
+@query(
+    "R04_R05_coarse_metrics",
+    f"""WITH {_focal_sql(5, 'dem')}, {_BLOCKS}, f AS (SELECT r, c, z, {_WINDOW['relief']} AS relief, {_WINDOW['stddev']} AS stddev FROM v),
+b AS (SELECT floor((r - ro) / 4)::BIGINT AS r, floor(c / 4)::BIGINT AS c, avg(z) AS z, avg(relief) AS relief, avg(stddev) AS stddev FROM f, e WHERE floor((r - ro) / 4) BETWEEN 0 AND nr - 1 GROUP BY 1, 2),
+{_gradient_sql('b', 'g', 4 * PX)} SELECT r, c, {_rounded_sql({n: x for n, x in _SIX.items() if n in ('slope', 'laplacian', 'curvature')} | {'relief': 'relief', 'stddev': 'stddev'})} FROM g, e WHERE r BETWEEN 1 AND nr - 2 AND c BETWEEN 1 AND nc - 2""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
     return rounded(features.coarse_metrics(dem(spark, d), dem_rows(spark, d), WIDTH, 4, 5, PX, crop_px=4), ["slope", "laplacian", "curvature", "relief", "stddev"])
 
 
-@query("R07_W51_M28_scale_variants")
+def _six_of(source: str, name: str) -> str:
+    """`name`(r, c, slope ... stddev) of a table of cells."""
+    return f"""{_focal_of(source, 5, name + '_v')}, {_gradient_sql(source, name + '_g')},
+{name} AS (SELECT v.r, v.c, {', '.join(f'{x} AS {n}' for n, x in _SIX.items())} FROM {name}_v v JOIN (SELECT r, c, p, q, rr, ss, tt FROM {name}_g) g ON g.r = v.r AND g.c = v.c)"""
+
+
+_VARIANTS = [f"{m}_{v}" for v in ("rsu", "sm", "res") for m in features.METRICS if m != "aspect"]
+
+
+@query(
+    "R07_W51_M28_scale_variants",
+    f"""WITH {SQL['dem']}, {_BLOCKS}, b AS (SELECT floor((r - ro) / 4)::BIGINT AS r, floor(c / 4)::BIGINT AS c, avg(z) AS z FROM dem, e WHERE floor((r - ro) / 4) BETWEEN 0 AND nr - 1 GROUP BY 1, 2),
+y AS (SELECT r, c, (r + 0.5 - ro)::DOUBLE / 4 - 0.5 AS y, (c + 0.5)::DOUBLE / 4 - 0.5 AS x, nr, nc FROM dem, e),
+n AS (SELECT y.r, y.c, least(greatest(floor(y) + i, 0), nr - 1)::BIGINT AS kr, least(greatest(floor(x) + j, 0), nc - 1)::BIGINT AS kc,
+  (CASE WHEN i = 0 THEN 1 - (y - floor(y)) ELSE y - floor(y) END) * (CASE WHEN j = 0 THEN 1 - (x - floor(x)) ELSE x - floor(x) END) AS w FROM y, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)),
+up AS (SELECT n.r, n.c, sum(b.z * w) / sum(w) AS z FROM n JOIN b ON b.r = kr AND b.c = kc GROUP BY n.r, n.c),
+{_focal_of('dem', 5, 'box')}, sm0 AS (SELECT r, c, s1 / n AS z FROM box), {_six_of('dem', 'own')}, {_six_of('up', 'rsu')}, {_six_of('sm0', 'sm')}
+SELECT own.r, own.c, {_rounded_sql({f'{m}_{v}': f'{v}.{m}' if v != 'res' else f'own.{m} - rsu.{m}' for v in ('rsu', 'sm', 'res') for m in features.METRICS if m != 'aspect'}, 3)}
+FROM own JOIN rsu ON rsu.r = own.r AND rsu.c = own.c JOIN sm ON sm.r = own.r AND sm.c = own.c""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
-    got = features.variants(dem(spark, d), dem_rows(spark, d), WIDTH, 4, 5, PX)
-    return rounded(got, [c for c in got.columns if c not in ("r", "c")], 4)
+    return rounded(features.variants(dem(spark, d), dem_rows(spark, d), WIDTH, 4, 5, PX), _VARIANTS, 3)
 
 
 @query(
