@@ -50,8 +50,8 @@ def medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """With a column `__weight`: n / (classes * n of the class)."""
     sizes = df.groupBy(label).agg(F.count("*").alias("__k"))
-    totals = sizes.agg(F.sum("__k").alias("__n"), F.count("*").alias("__c"))
-    weights = sizes.join(F.broadcast(totals)).select(F.col(label), (F.col("__n") / (F.col("__c") * F.col("__k"))).alias("__weight"))
+    rows, classes = sizes.agg(F.sum("__k")).scalar(), sizes.agg(F.count("*")).scalar()
+    weights = sizes.select(F.col(label), (rows / (classes * F.col("__k"))).alias("__weight"))
     return df.join(weights, label)
 
 

@@ -74,9 +74,8 @@ def summary(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """(value, count, ratio_percent) with null as a value; by count if `top` is given."""
     counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("count"))
-    # the total is one row, made from the counts: no window over all of them
-    total = df.agg(F.count("*").alias("__n"))
-    out = counts.join(F.broadcast(total)).select("value", "count", (F.lit(100.0) * F.col("count") / F.col("__n")).alias("ratio_percent"))
+    total = df.agg(F.count("*")).scalar()  # a scalar subquery, not a window over everything
+    out = counts.select("value", "count", (F.lit(100.0) * F.col("count") / total).alias("ratio_percent"))
     return out.orderBy(F.desc("count"), F.asc_nulls_last("value")).limit(top) if top is not None else out
 
 
@@ -218,14 +217,15 @@ def diagnostics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 def zero_crossing(df: DataFrame, x: str, effect: str, bins: int = 40, least: int = 200, per_bin: int = 10) -> DataFrame:
     """(threshold, note): where the mean effect over quantile bins of x first changes its sign, interpolated."""
     rows = df.select(real(F.col(x)).alias("x"), real(F.col(effect)).alias("e")).where("x is not null and e is not null")
-    edges = rows.agg(F.count("*").alias("n"), F.array_distinct(F.percentile("x", F.array(*[F.lit(i / bins) for i in range(bins + 1)]))).alias("edges"))
-    placed = rows.join(F.broadcast(edges)).withColumn("bin", F.least(F.size(F.filter("edges", lambda e: e <= F.col("x"))), F.size("edges") - 1))
+    ends = rows.agg(F.array_distinct(F.percentile("x", F.array(*[F.lit(i / bins) for i in range(bins + 1)])))).scalar()
+    placed = rows.withColumn("edges", ends).withColumn("bin", F.least(F.size(F.filter("edges", lambda e: e <= F.col("x"))), F.size("edges") - 1))
     means = placed.groupBy("bin").agg(F.avg("x").alias("mx"), F.avg("e").alias("me"), F.count("*").alias("k")).where(F.col("k") >= per_bin)
     line = Window.partitionBy(F.lit(0)).orderBy("mx")  # at most `bins` rows
     step = means.select("mx", "me", F.lead("mx").over(line).alias("nx"), F.lead("me").over(line).alias("ne"))
     cross = step.where(F.col("me") * F.col("ne") < 0).select("mx", (F.col("mx") - F.col("me") * (F.col("nx") - F.col("mx")) / (F.col("ne") - F.col("me"))).alias("at"))
-    found = cross.agg(F.min_by("at", "mx").alias("at"))
-    used = means.agg(F.count("*").alias("used"))
+    out = rows.agg(F.count("*").alias("n")).select(
+        "n", ends.alias("edges"), cross.agg(F.min_by("at", "mx")).scalar().alias("at"), means.agg(F.count("*")).scalar().alias("used")
+    )
     note = (
         F.when(F.col("n") < least, "too_few_samples")
         .when(F.size("edges") < 3, "low_variance")
@@ -233,8 +233,7 @@ def zero_crossing(df: DataFrame, x: str, effect: str, bins: int = 40, least: int
         .when(F.col("at").isNull(), "no_crossing")
         .otherwise("")
     )
-    out = edges.join(F.broadcast(found)).join(F.broadcast(used)).withColumn("note", note)
-    return out.select(F.when(F.col("note") == "", F.col("at")).alias("threshold"), "note")
+    return out.withColumn("note", note).select(F.when(F.col("note") == "", F.col("at")).alias("threshold"), "note")
 
 
 # --- order, samples, sets -----------------------------------------------------------------------------------------
@@ -284,9 +283,9 @@ def per_class(df: DataFrame, label: str, n: int | Column, key: str, seed: int =
 def undersampled(df: DataFrame, label: str, key: str, target: int | None = None, seed: int = 42) -> DataFrame:
     """Every class down to the smallest one's size, or to `target` if that is less."""
     sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("k"))
-    least = sizes.agg(F.min("k").alias("__least"))
-    most = F.col("__least") if target is None else F.least(F.col("__least"), F.lit(target))
-    return per_class(df.where(F.col(label).isNotNull()).join(F.broadcast(least)), label, most, key, seed).drop("__least")
+    least = sizes.agg(F.min("k")).scalar()
+    most = least if target is None else F.least(least, F.lit(target))
+    return per_class(df.where(F.col(label).isNotNull()).withColumn("__most", most), label, F.col("__most"), key, seed).drop("__most")
 
 
 def undersampling_log(before: DataFrame, after: DataFrame, label: str) -> DataFrame:

@@ -32,9 +32,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 def split_parts(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """With a 1-based id in order and the number of its part: n contiguous parts of equal size, the last one maybe shorter."""
-    total = df.agg(F.count("*").alias("__k"))
-    chunk = F.ceil(F.col("__k") / F.lit(n))
-    return numbered(df, order).join(F.broadcast(total)).withColumn("part", F.ceil(F.col("id") / chunk).cast("long")).drop("__k")
+    chunk = F.ceil(df.agg(F.count("*")).scalar() / F.lit(n))
+    return numbered(df, order).withColumn("part", F.ceil(F.col("id") / chunk).cast("long"))
 
 
 def write_csv_split(df: DataFrame, path: str, n: int, order: Sequence[str]) -> None:
