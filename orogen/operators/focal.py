@@ -127,10 +127,13 @@ def smooth_gauss(cells: DataFrame, sigma: float, keys: Sequence[str] = ()) -> Da
 
 
 def neighbour(value: Column, line: WindowSpec, step: int) -> Column:
-    """The value `step` cells on along a line; beyond its end, the end cell's."""
+    """The value `step` cells on along a line; beyond its end, the end cell's (W10). Constant work however far it looks."""
     if step == 0:
         return value
-    return F.first(value).over(line.rowsBetween(step, 0)) if step < 0 else F.last(value).over(line.rowsBetween(0, step))
+    # in a struct, a missing value differs from a missing cell
+    found = (F.lag if step < 0 else F.lead)(F.struct(value.alias("v")), abs(step)).over(line)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.when(found.isNull(), (F.first if step < 0 else F.last)(value).over(whole)).otherwise(found["v"])
 
 
 def neighbours(cells: DataFrame, d: int = 1, keys: Sequence[str] = ()) -> DataFrame:
