@@ -45,18 +45,73 @@ def _two_pass(cells: DataFrame, first: dict[str, Column], second: dict[str, Colu
 # --- k x k aggregates ---------------------------------------------------------------------------------------------
 
 
+#: Windows wider than this are put together by doubling instead of one frame per cell.
+WIDE = 33
+
+
 def box_sums(cells: DataFrame, widths: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
     """For each width k: n, s1, s2 (sum of squares), hi and lo of the window's valid cells, named n_k and so on."""
-    first, second = {}, {}
-    for k in widths:
-        row, col = (lines(a, keys).rangeBetween(-(k // 2), k // 2) for a in "rc")
-        z = F.col("z")
-        parts = {"n": F.count(z), "s1": F.sum(z), "s2": F.sum(z * z), "hi": F.max(z), "lo": F.min(z)}
-        for name, agg in parts.items():
-            first[f"{name}_{k}"] = agg.over(row)
-            again = {"hi": F.max, "lo": F.min}.get(name, F.sum)
-            second[f"{name}_{k}"] = again(f"{name}_{k}").over(col)
-    return _two_pass(cells, first, second, keys)
+    z = F.col("z")
+    start = {"n": z.isNotNull().cast("long"), "s1": F.coalesce(z, F.lit(0.0)), "s2": F.coalesce(z * z, F.lit(0.0)), "hi": z, "lo": z}
+    out = cells.select(*keys, "r", "c", "z", *[x.alias(f"{n}_{k}") for k in widths for n, x in start.items()])
+    for axis in "rc":
+        line = lines(axis, keys)
+        short = {f"{n}_{k}": _AGGREGATE[n](f"{n}_{k}").over(line.rangeBetween(-(k // 2), k // 2)) for k in widths if k <= WIDE for n in start}
+        out = out.select(*[short.get(c, F.col(c)).alias(c) for c in out.columns])
+        for k in widths:
+            if k > WIDE:
+                out = _doubled(out, {f"{n}_{k}": _COMBINE[n] for n in start}, line, k // 2)
+    return out
+
+
+_AGGREGATE = {"n": F.sum, "s1": F.sum, "s2": F.sum, "hi": F.max, "lo": F.min}
+_COMBINE = {n: "sum" for n in ("n", "s1", "s2")} | {"hi": "max", "lo": "min"}
+
+
+def _combined(how: str, parts: Sequence[Column]) -> Column:
+    """Sum, maximum or minimum of what is there; parts beyond the end of a line are null."""
+    if how == "sum":
+        out = parts[0]
+        for part in parts[1:]:
+            out = out + F.coalesce(part, F.lit(0))
+        return out
+    if len(parts) == 1:
+        return parts[0]
+    return F.greatest(*parts) if how == "max" else F.least(*parts)
+
+
+def _doubled(df: DataFrame, columns: dict[str, str], line: WindowSpec, d: int) -> DataFrame:
+    """Each column combined over the cells from d before to d after, in about log2(d) steps of one shift each.
+
+    Blocks of 1, 2, 4 ... cells onwards from a cell, and the same backwards up to it, add up to d + 1 cells from the cell
+    on and d cells before it. All steps share the line's order, so they add neither shuffles nor sorts.
+    """
+    base = df.columns
+
+    def shifted(name: str, steps: int) -> Column:
+        return F.col(name) if not steps else (F.lead if steps > 0 else F.lag)(name, abs(steps)).over(line)
+
+    size, made = 1, df.withColumns({f"__{way}1_{c}": F.col(c) for c in columns for way in "fb"})
+    while 2 * size <= d + 1:
+        new = {}
+        for c, how in columns.items():
+            for way, sign in (("f", 1), ("b", -1)):
+                old = f"__{way}{size}_{c}"
+                new[f"__{way}{2 * size}_{c}"] = _combined(how, [F.col(old), shifted(old, sign * size)])
+        made, size = made.withColumns(new), 2 * size
+    out = {}
+    for c, how in columns.items():
+        parts = []
+        for way, sign, width, at in (("f", 1, d + 1, 0), ("b", -1, d, -1)):
+            block = size
+            while width:
+                if block <= width:
+                    parts.append(shifted(f"__{way}{block}_{c}", at))
+                    at, width = at + sign * block, width - block
+                else:
+                    block //= 2
+        out[c] = _combined(how, parts)
+    return made.select(*[out.get(c, F.col(c)).alias(c) for c in base])
 
 
 def where_valid(x: Column) -> Column:

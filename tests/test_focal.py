@@ -50,6 +50,21 @@ def test_window_features(spark, holed, k):
             assert np.isclose(got["tri_rms"][r, c] ** 2, got["stddev"][r, c] ** 2 + got["tpi"][r, c] ** 2, atol=1e-6)
 
 
+@pytest.mark.parametrize("k", [5, 7, 11, 23])
+def test_wide_windows_by_doubling(spark, holed, k, monkeypatch):
+    short = focal.box_sums(frame(spark, holed), [k]).cache()
+    monkeypatch.setattr(focal, "WIDE", 1)
+    wide = focal.box_sums(frame(spark, holed), [k])
+    assert plan_shuffles(wide) == 2
+    wide = wide.cache()
+    for n in ("n", "s1", "s2", "hi", "lo"):
+        assert np.allclose(grid(short, f"{n}_{k}", holed.shape), grid(wide, f"{n}_{k}", holed.shape), equal_nan=True)
+
+
+def plan_shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
 def test_neighbours_repeat_the_edge(spark, holed):
     df = focal.neighbours(frame(spark, holed), 2).cache()
     padded = np.pad(holed, 2, mode="edge")
