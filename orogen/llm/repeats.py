@@ -133,6 +133,26 @@ def _runs(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     return rows[new], at[new], np.diff(np.append(new, len(at)))
 
 
+def _places(docs: pa.Table) -> np.ndarray:
+    """Per row of a sorted block: its number among the rows of its id, nearly always 0, which shuffles for free; without an id, block and row."""
+    row = np.arange(docs.num_rows)
+    known = docs.num_rows - docs["id"].null_count  # nulls are last
+    ids = docs["id"].slice(0, known).combine_chunks().to_numpy(zero_copy_only=False)
+    new = np.concatenate([[True], ids[1:] != ids[:-1]])[:known]
+    first = np.maximum.accumulate(np.where(new, row[:known], 0)) if known else row[:0]
+    return np.concatenate([row[:known] - first, (docs["block"][0].as_py() << 32) | row[known:]])
+
+
+def _rows_of(docs: pa.Table, later: pa.Table) -> np.ndarray:
+    """The rows of a sorted block that ids and places name."""
+    place = later["place"].to_numpy()
+    known = pc.is_valid(later["id"]).to_numpy()
+    ids = docs["id"].slice(0, docs.num_rows - docs["id"].null_count).combine_chunks().to_numpy(zero_copy_only=False)
+    rows = place & _LOW
+    rows[known] += np.searchsorted(ids, later["id"].filter(pa.array(known)).combine_chunks().to_numpy(zero_copy_only=False))
+    return rows
+
+
 def _keyed(docs: pa.Table, recurring: pa.Table, window: int, phrase: int) -> pa.Table:
     """First places of the block's located windows (keyed), and the runs of its later places (no key)."""
     found = Windows(_texts(docs), window, phrase)
@@ -153,15 +173,15 @@ def _keyed(docs: pa.Table, recurring: pa.Table, window: int, phrase: int) -> pa.
             "h1": np.concatenate([keys[0][first].view(np.int64), np.random.default_rng(0).integers(2**62, size=len(late_at))]),
             "h2_at": (second << 32) | at,
             "id": docs["id"].combine_chunks().take(pa.array(rows)),
-            "block_row": (docs["block"][0].as_py() << 32) | rows,
+            "place": _places(docs)[rows],
             "run": np.concatenate([np.zeros(len(first), np.int32), late_n.astype(np.int32)]),
         }
     )
 
 
 def _cleaned(docs: pa.Table, later: pa.Table, window: int) -> pa.Table:
-    """The digest row of each document of a block, given its later windows as (row, at, n)."""
-    rows, at, n = (later[c].to_numpy().astype(np.int64) for c in ("row", "at", "n"))
+    """The digest row of each document of a block, given its later windows as (id, place, at, n)."""
+    rows, at, n = _rows_of(docs, later), *(later[c].to_numpy().astype(np.int64) for c in ("at", "n"))
     order = np.argsort(rows, kind="stable")
     rows, at, n = rows[order], at[order], n[order]
     total, removed, kept = [], [], []
@@ -220,21 +240,20 @@ def remove_repeats(
         return _cleaned(_by_id(docs), late, window)
 
     places = spread.groupBy("block").cogroup(recurring.groupBy("block")).applyInArrow(
-        keyed, f"h1 long, h2_at long, id {kind}, block_row long, run int"
+        keyed, f"h1 long, h2_at long, id {kind}, place long, run int"
     )
     unpacked = places.repartition("h1").select(
         "h1",
         F.shiftrightunsigned("h2_at", 32).alias("h2"),
         F.col("h2_at").bitwiseAND(F.lit(_LOW)).cast("int").alias("at"),
         "id",
-        "block_row",
+        "place",
         "run",
     )
-    earliest = Window.partitionBy("h1", "h2").orderBy(F.col("id").isNull(), "id", "block_row", "at")
+    earliest = Window.partitionBy("h1", "h2").orderBy(F.col("id").isNull(), "id", "place", "at")
     ranked = unpacked.withColumn("rank", F.when(F.col("run") == 0, F.row_number().over(earliest)))
-    later = ranked.where("run > 0 or rank > 1").select(
-        F.shiftright("block_row", 32).alias("block"), F.col("block_row").bitwiseAND(F.lit(_LOW)).cast("int").alias("row"), "at", F.greatest("run", F.lit(1)).alias("n")
-    )
+    block = F.when(F.col("id").isNull(), F.shiftright("place", 32)).otherwise(F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    later = ranked.where("run > 0 or rank > 1").select(block.alias("block"), "id", "place", "at", F.greatest("run", F.lit(1)).alias("n"))
     out = spread.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(
         cleaned, f"id {kind}, n_words long, n_removed long, kept string"
     )
