@@ -3,11 +3,13 @@
 Fixed patterns with checks (email, ip, card by Luhn, phone) give the base spans; all of them stay. Looser
 generators propose further spans that may overlap: e-mail with a spelt-out or bracketed sign, numbers with
 other separators, phone numbers without a plus. Boosted trees judge each candidate by its
-format and its context; they are trained on a bounded sample of the corpus's candidates, where a
-candidate that a base span covers is an example and any other a counterexample, without being told
-the mark that the base patterns insist on (plus sign, at sign, kind of separator). A threshold per kind
-is calibrated on held-out candidates for a precision of `PRECISION`. Candidates over it that
-overlap no base span and no better candidate are added.
+format and its context. Their truth is not what the base patterns cover: examples are base spans, as they are and rewritten
+into the loose spellings where they stand; counterexamples are the same with a wrong check digit, range or length, and
+candidates of the corpus that fail such a check (`plausible`). Candidates that pass and are no base span have no label and are
+left out. The trees are fitted on a bounded sample of documents and a fixed made-up one (`made`), so that every kind is known
+at any input size. A threshold per kind is calibrated for a precision of `PRECISION` on histograms of the scores over all other
+documents; a kind with less than `LEAST` examples there takes `DEFAULT`. Candidates over it that overlap no base span
+and no better candidate are added.
 
 Offsets count code points; ends are exclusive. Null and empty texts have no spans; repeated rows keep one result each.
 """
@@ -29,9 +31,13 @@ from orogen.llm.common import slices, table
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose candidates the trees are fitted on, about.
 SAMPLE = 20_000
+#: Examples that are fitted of one document, at most.
+EACH = 16
 PRECISION = 0.99
-#: Held-out candidates of a kind below which nothing is added for it.
+#: Held-out examples of a kind from which on its threshold is calibrated; with less it is `DEFAULT`.
 LEAST = 30
+DEFAULT = 0.9
+BINS = 1000
 
 # A number's match starts at the start of a run of digits: one that fails there fails later in the run too.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -42,11 +48,14 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 
 _LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]{1,63})+", re.IGNORECASE),
+    "email": re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}(?:(?:\.| \. | ?(?:\(dot\)|\[dot\]|\{dot\}) ?)[A-Za-z0-9-]{1,63})+", re.IGNORECASE),
     "ip": re.compile(r"(?<![0-9A-Za-z])[0-9]{1,3}(?:[.,:-][0-9]{1,3}){3,7}(?![0-9A-Za-z])"),
     "card": re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ ._-]{0,2}[0-9]){11,22}(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+|00)?\(?[0-9][ ()./0-9-]{6,24}[0-9](?![0-9A-Za-z])"),
 }
+_MARKS = re.compile(r"[^A-Za-z0-9]+")
+#: The letters that a span ends with.
+_LAST = re.compile(r"[A-Za-z]*\Z")
 _SIGN = re.compile(r"@|\(at\)|\[at\]|\{at\}", re.IGNORECASE)
 
 
@@ -101,8 +110,9 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
 
 
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
-    """Format and context of a candidate; the marks that the base patterns insist on are left out."""
+    """Format and context of a candidate."""
     span = text[start:end]
+    marks = _MARKS.findall(span)
     groups = [len(g) for g in _DIGITS.findall(span)] or [0]
     numbers = [int(g) for g in _DIGITS.findall(span) if len(g) < 6] or [0]
     digits = "".join(_DIGITS.findall(span))
@@ -116,7 +126,7 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         groups[-1],
         max(groups),
         max(numbers),
-        float(12 <= len(digits) <= 19 and _luhn(digits)),
+        float(kind == "card" and 12 <= len(digits) <= 19 and _luhn(digits)),
         sum(map(str.isalpha, span)),
         span.count(" "),
         span.count("(") - span.count(")"),
@@ -127,9 +137,94 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         _kind_of_char(text, end),
         len(before[-1]) if before else 0,
         float(any(map(str.isdigit, before[-1]))) if before else 0.0,
+        len(set(marks)),
+        span.count(","),
+        span.count("."),
+        min(groups[1:], default=0),
+        float(kind == "phone" and span.startswith(("+", "00"))),
+        float(kind == "ip" and max(numbers) <= 255),
+        len(_LAST.search(span)[0]),
     ]
 
 
+def plausible(span: str, kind: str) -> bool:
+    """Whether a span stands the check of its kind, whatever its spelling."""
+    groups = _DIGITS.findall(span)
+    digits = "".join(groups)
+    if kind == "email":
+        return len(_LAST.search(span)[0]) >= 2
+    if kind == "ip":
+        same = len(set(_MARKS.findall(span))) == 1
+        listed = "," in span and ({len(g) for g in groups} == {1} or {len(g) for g in groups[1:]} == {3})
+        return len(groups) == 4 and same and not listed and max(map(int, groups)) <= 255
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and _luhn(digits)
+    # A bare run of digits may be any number.
+    return (span[0] == "+" or len(groups) > 1) and 10 <= len(digits.removeprefix("00")) <= 15 and span.count("(") == span.count(")")
+
+
+def respelt(span: str, kind: str) -> list[str]:
+    """A base span as it is and in loose spellings."""
+    digits = "".join(_DIGITS.findall(span))
+    if kind == "email":
+        name, _, host = span.partition("@")
+        forms = [f"{name}{at}{dot.join(host.split('.'))}" for at, dot in ((" (at) ", " (dot) "), ("(at)", "(dot)"), (" [at] ", " [dot] "), ("[at]", "."), (" {at} ", " {dot} "), (" (AT) ", "."), ("@", "[dot]"), (" @ ", "."))]
+    elif kind == "ip":
+        forms = [sep.join(str(int(p)) for p in span.split(".")) for sep in ",:-"]
+    elif kind == "card":
+        forms = [sep.join(digits[i : i + 4] for i in range(0, len(digits), 4)) for sep in (".", "_", " - ", "  ", " ", "-")]
+    else:
+        home = [digits, *([digits[1:]] if len(digits) > 10 else []), *([digits[2:]] if len(digits) > 11 else [])]
+        cut = [(d[:-7], d[-7:-4], d[-4:]) for d in home]
+        forms = [span[1:], f"00{span[1:]}", *[f for a, b, c in cut for f in (f"({a}) {b}-{c}", f"{a} {b} {c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a}/{b}{c}", f"+{a}/{b}-{c}")]]
+    return [span, *forms]
+
+
+def spoilt(spelt: str, kind: str, at: int) -> list[str]:
+    """Counterexamples like `spelt`: the spelling is kept, the check fails; `at` varies where."""
+    places = [m.start() for m in re.finditer("[0-9]", spelt)]
+    if kind == "email":
+        return [re.sub(r"[A-Za-z-][A-Za-z0-9-]*\Z", str(10 + at % 90), spelt), re.sub(r"[A-Za-z0-9-]+\Z", "a", spelt)]
+    if kind == "card":
+        k = places[at % len(places)]
+        return [spelt[:k] + str((int(spelt[k]) + 1 + at % 9) % 10) + spelt[k + 1 :]]
+    if kind == "ip":
+        parts, sep = _DIGITS.findall(spelt), _MARKS.findall(spelt)[0]
+        wrong = [str(256 + (at * 37 + int(parts[0])) % 744) if k == at % 4 else p for k, p in enumerate(parts)]
+        return [sep.join(wrong), sep.join([*parts, parts[at % 4]]), f"{parts[0]}:{parts[1]}-{parts[2]}:{parts[3]}", ",".join([parts[0], *[p.zfill(3) for p in parts[1:]]]), ",".join(p[-1] for p in parts)]
+    digits = "".join(_DIGITS.findall(spelt))
+    return [spelt[: places[6 + at % 3] + 1], f"{spelt}-{digits[:6]}", digits[: 8 + at % 8], f"{digits[:7]}.{digits[7:9]}"]
+
+
+def examples(text: str) -> Iterator[tuple[list[float], bool]]:
+    """(features, truth) of the examples and counterexamples that a text gives."""
+    base = base_spans(text)
+    for s, e, kind in base:
+        before, after = text[max(0, s - 60) : s], text[e : e + 60]
+        for n, spelt in enumerate(respelt(text[s:e], kind)):
+            for form, good in [(spelt, True), *((f, False) for f in (spoilt(spelt, kind, s + n) if n % 3 == s % 3 else ()))]:
+                if plausible(form, kind) == good and (m := _LOOSE[kind].match(before + form + after, len(before))) and m.end() == len(before) + len(form):
+                    yield features(before + form + after, *m.span(), kind), good
+    for s, e, kind in candidates(text):
+        if not plausible(text[s:e], kind) and not any(k == kind and s < f and t < e for t, f, k in base):
+            yield features(text, s, e, kind), False
+
+
+def made(n: int = 300) -> list[str]:
+    """Texts with base spans of each kind, always the same."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9)))
+    number = lambda k: "".join(map(str, rng.integers(0, 10, k)))
+    texts = []
+    for i in range(n):
+        stem = f"{rng.integers(3, 7)}{number((12, 13, 14, 14, 14, 17)[i % 6])}"
+        card = next(f"{stem}{c}" for c in range(10) if _luhn(f"{stem}{c}"))
+        tails = (f"{word()}.{word()}@{word()}.{('com', 'org', 'net', 'de', 'info')[i % 5]}", f"{word()}{i}@{word()}.{word()}.{('com', 'uk')[i % 2]}", ".".join(map(str, rng.integers(0, 256, 4))), card, f"+{1 + i % 98} {number(3)} {number(3)}{' -'[i % 2]}{number(4)}", f"+{1 + i % 9}{number(9 + i % 5)}")
+        tails = (*tails, *[".".join(map(str, rng.integers(0, 256, 4) // (1, 1, k, k))) for k in (1, 1, 5, 25)], f"10.{rng.integers(0, 9)}.{rng.integers(0, 99)}.{rng.integers(0, 99)}")
+        texts += [f"{word()} {word()}{('', ':', ',', ' is')[i % 4]} {tail}{(' ', '. ', ', ', chr(10))[i // 4 % 4]}{word()} {word()}" for tail in tails]
+    return texts
+
+
 @dataclass
 class Finder:
     """The trees and the threshold of each kind (over 1: nothing is added)."""
@@ -155,36 +250,55 @@ class Finder:
         return sorted(both, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Finder:
-    every = max(1, -(-docs.count() // sample))
-    chosen = docs.where(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0).select(F.col(text_col).alias("text"))
+def _threshold(right: np.ndarray, wrong: np.ndarray) -> float:
+    """From the histograms of a kind's scores: the least bin from which on the precision is reached, over 1 if none has it."""
+    if right.sum() < LEAST:
+        return DEFAULT
+    good, bad = right[::-1].cumsum(), wrong[::-1].cumsum()
+    fine = np.flatnonzero((good > 0) & (good >= PRECISION * (good + bad)))
+    return max(0.5, (BINS - 1 - int(fine[-1])) / BINS) if len(fine) else 2.0
 
-    def examples(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Finder:
+    count = docs.count()
+    if not count:
+        return Finder(Boosted(), dict.fromkeys(KINDS, 2.0))
+    # At most `sample` documents, and at most 7 of 10, are fitted on; the others are for the thresholds.
+    among, taken = (10, 7) if 0.7 * count <= sample else (-(-count // sample), 1)
+    fitted = F.pmod(F.xxhash64(id_col, text_col), F.lit(among)) < taken
+    text = F.col(text_col).alias("text")
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            for piece in slices(batch, 0):
+                got = []
+                for t in piece.column(0).to_pylist():
+                    own = [(np.array(x).tobytes(), y) for x, y in examples(t or "")]
+                    got += own if len(own) <= EACH else [own[k] for k in np.random.default_rng(len(t)).choice(len(own), EACH, replace=False)]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.bool_())], ["x", "y"])
+
+    got = docs.where(fitted).select(text).mapInArrow(rows, "x binary, y boolean").toPandas().sort_values(["x", "y"])
+    always = [e for t in made() for e in examples(t)]
+    x = np.array([np.frombuffer(b, np.float64) for b in got["x"]] + [e[0] for e in always], dtype=np.float64)
+    trees = Boosted(rounds=100).fit(x, np.array([*got["y"], *(e[1] for e in always)], dtype=float))
+
+    def histograms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(KINDS), BINS, 2), dtype=np.int64)
         for batch in parts:
-            rows, good = [], []
-            for text in batch.column(0).to_pylist():
-                base = base_spans(text or "")
-                for s, e, kind in candidates(text or ""):
-                    rows.append(np.array(features(text, s, e, kind)).tobytes())
-                    good.append(any(k == kind and s <= a and b <= e and b - a >= 0.8 * (e - s) for a, b, k in base))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(good, pa.bool_())], ["x", "y"])
-
-    got = chosen.mapInArrow(examples, "x binary, y boolean").toPandas().sort_values(["x", "y"])
-    never = dict.fromkeys(KINDS, 2.0)
-    if got["y"].nunique() < 2:
-        return Finder(Boosted(), never)
-    x, y = np.stack([np.frombuffer(b, np.float64) for b in got["x"]]), got["y"].to_numpy(dtype=float)
-    held = np.random.default_rng(1).random(len(y)) < 0.3
-    trees = Boosted().fit(x[~held], y[~held])
-    p = trees.predict(x[held])
-    thresholds = {}
-    for n, kind in enumerate(KINDS):
-        own, truth = p[x[held, 0] == n], y[held][x[held, 0] == n]
-        order = np.argsort(-own, kind="stable")
-        right = np.cumsum(truth[order])
-        fine = np.flatnonzero((right >= PRECISION * np.arange(1, len(order) + 1)) & (right >= LEAST))
-        thresholds[kind] = max(0.5, float(own[order][fine[-1]])) if len(fine) else never[kind]
-    return Finder(trees, thresholds)
+            for piece in slices(batch, 0):
+                for t in piece.column(0).to_pylist():
+                    if own := list(examples(t or "")):
+                        x = np.array([e[0] for e in own], dtype=np.float64)
+                        at = np.minimum((trees.predict(x) * BINS).astype(np.int64), BINS - 1)
+                        np.add.at(sums, (x[:, 0].astype(np.int64), at, [int(e[1]) for e in own]), 1)
+        places = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([*[pa.array(p.astype(np.int32)) for p in places], pa.array(sums[places])], ["kind", "bin", "good", "n"])
+
+    scored = docs.where(~fitted).select(text).mapInArrow(histograms, "kind int, bin int, good int, n long")
+    sums = np.zeros((len(KINDS), BINS, 2), dtype=np.int64)
+    for kind, at, good, n in scored.groupBy("kind", "bin", "good").agg(F.sum("n")).collect():
+        sums[kind, at, good] = n
+    return Finder(trees, {k: _threshold(sums[i, :, 1], sums[i, :, 0]) for i, k in enumerate(KINDS)})
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("base", pa.bool_())]))

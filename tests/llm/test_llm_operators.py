@@ -387,6 +387,36 @@ def test_personal_data(spark, no_docs):
     assert private.fit(no_docs).thresholds["email"] > 1 and private.find(no_docs, finder).count() == 0
 
 
+LOOSE = [
+    ("joe{} (at) site (dot) org", "email"),
+    ("ann{}[at]mail.example.com", "email"),
+    ("192-168-{}-7", "ip"),
+    ("4111.1111.1111.1111", "card"),
+    ("(52{}) 555-1055", "phone"),
+    ("1 (52{}) 555-1055", "phone"),
+]
+
+
+def test_loose_spellings_are_added_at_any_size(spark):
+    """Also where they are most of their kind: few documents, and as many as base spans."""
+    bad = ["4111.1111.1111.1112", "392-168-12-7", "1234567890123456", "2024-01-15", "1,2,3,4", "lunch @ noon. Then"]
+    rows = [(i, f"please note {form.format(i % 10)} and go on") for i, (form, _) in enumerate(LOOSE * 3)]
+    rows += [(100 + i, f"please note {b} and go on") for i, b in enumerate(bad)]
+    for more in ([], [(1000 + r["doc_id"], r["text"]) for r in private_docs(spark).where("text <> ''").collect()]):
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+        got = {r["doc_id"]: r["spans"] for r in private.find(docs, private.fit(docs)).collect()}
+        for i, (form, kind) in enumerate(LOOSE * 3):
+            assert [(s["kind"], s["start"], s["stop"], s["base"]) for s in got[i]] == [(kind, 12, 12 + len(form.format(i % 10)), False)], form
+        assert not any(got[100 + i] for i in range(len(bad)))
+
+
+def test_threshold_of_histograms():
+    right, wrong = np.zeros(private.BINS, dtype=int), np.zeros(private.BINS, dtype=int)
+    assert private._threshold(right, wrong) == private.DEFAULT
+    right[900], wrong[700] = 1000, 11
+    assert private._threshold(right, wrong) == 0.701 and private._threshold(wrong * 9, right) > 1
+
+
 def test_added_spans_do_not_overlap():
     trees = boosting.Boosted(start=5.0)
     finder = private.Finder(trees, dict.fromkeys(private.KINDS, 0.5))
