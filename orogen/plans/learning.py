@@ -43,8 +43,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query("M04_boosted_trees")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    df = features(spark, d).where("label < 3")
-    return ml.predict(ml.fit(df, _run(backend="gbt", trees=3, depth=3)), df, FEATURES).select("vec_id", "pred_label", "proba_max")
+    df = features(spark, d)
+    return ml.predict(ml.fit(df, _run(backend="gbt", trees=3, depth=6)), df, FEATURES).select("vec_id", "pred_label", "proba_max")
 
 
 @query(

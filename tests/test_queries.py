@@ -35,6 +35,13 @@ def test_runs(spark, data, name):
     assert catalog.queries()[name](spark, data).columns
 
 
+def test_boosted_trees_take_all_rows_and_classes(spark, data):
+    got = catalog.queries()["M04_boosted_trees"](spark, data).toPandas()
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").select("vec_id", "label").toPandas()
+    assert sorted(got["vec_id"]) == sorted(rows["vec_id"]) and got["proba_max"].notna().all()
+    assert set(got["pred_label"]) == {str(x) for x in rows["label"].dropna().astype(int)} - {"9"}
+
+
 def test_entry(spark):
     import __spark_entry__
 
