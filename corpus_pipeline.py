@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the
 docs of the next one. The first three drop rows, the fourth rewrites `text` (and `n_chars` with it), the last one
-returns the ids of each document's pieces. All but the last return the columns of `documents`.
+returns the ids of each document's pieces and whether they decode to its text. All but the last return the columns of `documents`.
 """
 
 from __future__ import annotations
@@ -38,9 +38,11 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_pieces, ids)."""
-    encoded = pieces.encode(docs.select("doc_id", "text"))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
+    """(doc_id, n_pieces, ids, round_trip: whether the decoded ids are the text)."""
+    vocabulary = pieces.read_vocabulary()
+    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), vocabulary=vocabulary), vocabulary=vocabulary)
+    same = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", same)
 
 
 STAGES = [

@@ -63,3 +63,8 @@ def test_clean_rows_stay(spark, data):
     clean = spark.createDataFrame([(i, f"plain words number {i} about topic {i * 7919} without anything odd {i * 104729}", "en", "s", 10) for i in range(30)], COLUMNS)
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, clean, data).count() == 30
+
+
+def test_pieces_are_decoded(spark, data):
+    docs = spark.createDataFrame([(1, "plain  words, wörter\n▁ und 漢字", "en", "s", 10), (2, None, "en", "s", 0), (3, "", "en", "s", 0)], COLUMNS)
+    assert [r["round_trip"] for r in corpus_pipeline.as_pieces(spark, docs, data).collect()] == [True] * 3
