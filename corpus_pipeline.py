@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orogen.llm import decontamination, pieces, private, simhash, toxicity
-from orogen.llm.common import ensure_checkpoint_dir, table
+from orogen.llm.common import cut, ensure_checkpoint_dir, table
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With a number of its own for each row (`__row`), as ids may be missing or repeated; written once, so that the numbers hold."""
+    return cut(docs.withColumn("__row", F.monotonically_increasing_id()))
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,13 +27,17 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of least id, of each group of linked fingerprints."""
-    return simhash.drop_near_duplicates(docs)
+    """One row, the first by id, of each group of linked fingerprints; rows without an id come last."""
+    rows = _keyed(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.col("__row").alias("row"))
+    named = simhash.near_duplicates(rows.select("text", key.alias("__key")), "__key")
+    copies = named.where("__key.row <> component_id.row").select(F.col("__key.row").alias("__row"))
+    return rows.join(copies, "__row", "left_anti").select(docs.columns)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of the benchmark."""
-    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Rows whose own text contains no item of the benchmark."""
+    return decontamination.drop_contaminated(_keyed(docs), table(spark, sf_dir, "benchmark"), "__row").drop("__row")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,17 @@ def test_clean_rows_stay(spark, data):
 def test_pieces_are_decoded(spark, data):
     docs = spark.createDataFrame([(1, "plain  words, wörter\n▁ und 漢字", "en", "s", 10), (2, None, "en", "s", 0), (3, "", "en", "s", 0)], COLUMNS)
     assert [r["round_trip"] for r in corpus_pipeline.as_pieces(spark, docs, data).collect()] == [True] * 3
+
+
+def test_rows_are_judged_by_themselves(spark, data):
+    """Rows without an id, and rows that share one, are dropped or stay for their own text."""
+    item = max((r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()), key=len)
+    plain = [f"plain words number {i} about topic {i * 7919} without anything odd {i * 104729}" for i in range(4)]
+    rows = [(None, f"see {item}"), (1, f"see {item}"), (1, plain[0]), (None, plain[1]), (2, plain[2])]
+    docs = spark.createDataFrame([(d, t, "en", "s", 10) for d, t in rows], COLUMNS)
+    got = corpus_pipeline.without_test_items(spark, docs, data)
+    assert sorted(r["text"] for r in got.collect()) == sorted(plain[:3])
+    rows = [(None, plain[0]), (None, plain[0]), (3, plain[1]), (3, plain[1]), (2, plain[1]), (3, plain[2]), (None, plain[2]), (None, plain[3])]
+    docs = spark.createDataFrame([(d, t, "en", "s", 10) for d, t in rows], COLUMNS)
+    got = corpus_pipeline.without_near_copies(spark, docs, data)
+    assert {(r["doc_id"], r["text"]) for r in got.collect()} == {(None, plain[0]), (2, plain[1]), (3, plain[2]), (None, plain[3])} and got.count() == 4
