@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orogen.sources.storage import kept
+
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 
 
@@ -245,15 +247,19 @@ def hashed(key: Column, seed: int) -> Column:
 
 
 def numbered(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), name: str = "id") -> DataFrame:
-    """1-based running number. Without partition columns it is exact and distributed: rows per range are counted first."""
+    """1-based running number. Without partition columns it is exact and distributed: sorted by ranges, written once, and
+    each range starts after the rows of those before it. (Two readings of one exchange by ranges could differ, hence the writing.)
+    """
     if partition_by:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)))
-    parted = df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
-    parted = parted.withColumn("__row", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
-    sizes = parted.groupBy("__p").agg(F.count("*").alias("k"))
+    # the id counts the rows of each partition from the partition's number shifted by 33 bits
+    parted = kept(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    sizes = parted.groupBy(F.shiftright("__at", 33).alias("__p")).agg(F.count("*").alias("k"))
     before = Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     starts = sizes.select("__p", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("__start"))
-    return parted.join(F.broadcast(starts), "__p").withColumn(name, F.col("__row") + F.col("__start")).drop("__p", "__row", "__start")
+    row = F.col("__at").bitwiseAND(F.lit(2**33 - 1)) + 1
+    parted = parted.withColumn("__p", F.shiftright("__at", 33))
+    return parted.join(F.broadcast(starts), "__p").withColumn(name, row + F.col("__start")).drop("__p", "__at", "__start")
 
 
 def every_nth(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

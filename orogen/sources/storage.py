@@ -4,12 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is configured (tests)."""
+    """The cluster's checkpoint folder; a temporary one only in local mode, where driver and tasks are one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orogen-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="orogen-"))
     return sc.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """`df`, written once to the shared folder: what is read twice is then the same rows both times."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -1,6 +1,7 @@
 """Helpers and table operators on small rows: nulls, ties, bad values."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orogen.functions import names, scales
@@ -78,6 +79,23 @@ def test_samples_and_numbers(spark):
     assert {r["count"] for r in ml.with_folds(df.where("g = 's'"), "g", "id", 5).groupBy("fold").count().collect()} == {2}
 
 
+def test_numbers_of_many_wide_rows(spark):
+    """Rows that are wide enough for the exchange to be coalesced otherwise than a pruned one."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        k = F.xxhash64("id")
+        df = spark.range(1_000_000).select(k.alias("k"), F.repeat(F.hex(k), 8).alias("wide"))
+        got = stats.numbered(df, ["k"], name="n")
+        row = got.agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n"), F.sum(F.length("wide"))).first()
+        assert row[:4] == (1_000_000, 1_000_000, 1, 1_000_000)
+        last = Window.partitionBy(F.floor(F.col("n") / 1000)).orderBy("n")
+        assert got.withColumn("p", F.lag("k").over(last)).where("p >= k").count() == 0
+        assert stats.every_nth(df, 10, ["k"]).count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_nearest_beyond_the_first_radius(spark):
     cells = joins.fishnet(spark, (0.0, 0.0, 4.0, 2.0), 2.0)
     pts = spark.createDataFrame([(40.0, 1.0, "far"), (1.0, 1.0, None)], "x double, y double, class string")
