@@ -25,10 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; a temporary one only where none is configured (tests)."""
+    """Use the cluster's shared folder; a temporary one only in local mode (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orogen-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="orogen-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

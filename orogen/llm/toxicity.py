@@ -4,12 +4,12 @@ P(grade > k) = sigmoid(w . x - cut_k): one weight vector for all grades and orde
 entry for each term of a learned lexicon, 1 + ln(count) where the term occurs in the document, so
 long documents are not diluted. Terms are words and, with a star, the beginnings of longer words: inflected
 words share their stem. The lexicon holds the terms whose log-odds of occurring in toxic rather than
-clean documents lie `MIN_Z` standard errors and `MIN_ODDS` from zero; near copies count once there. Weights and cuts are fitted by numpy gradient descent
+clean documents lie `MIN_Z` standard errors and `MIN_ODDS` from zero (or `SURE_Z` and `SURE_ODDS`); near copies count once there. Weights and cuts are fitted by numpy gradient descent
 on at most `max_rows` labelled documents of each class (the least hashes of their ids).
 
-The labels say only toxic or not; `grade_labels` makes grades of them: 0 for clean documents, and
-for toxic ones 1 to 3 by terciles of how many lexicon words they hold. The result is the expected
-severity, the sum of P(grade > k), and the flag P(grade > 0) >= FLAG.
+The labels say only toxic or not; `grade_labels` makes grades of them: 0 for clean documents, and for toxic ones
+1 to 3 by terciles of the log-odds that a two-grade model gives them which was fitted on the other half of the
+sample. The result is the expected severity, the sum of P(grade > k), and the flag P(grade > 0) >= FLAG.
 
 Words are runs of non-blank bytes, lower-cased (A-Z) and trimmed of ASCII punctuation. Null, empty and
 blank texts have no features and get the clean end of the scale; repeated rows keep one result each.
@@ -36,6 +36,8 @@ STEMS = (4, 5, 6, 7)
 MIN_Z = 3.0
 #: And at least this log-odds: terms that are merely more usual in one language say nothing.
 MIN_ODDS = 3.0
+#: Terms that clean documents hold too, now and then, must be surer: their counts tell.
+SURE_Z, SURE_ODDS = 6.0, 1.5
 GRADES = 4
 RIDGE = 1e-4
 #: Documents are flagged from this P(grade > 0) on: clean ones that hold no term lie below 0.01.
@@ -106,10 +108,20 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, ridge: float = RI
     return theta[:size], theta[size] + np.concatenate([[0.0], np.cumsum(np.exp(theta[size + 1 :]))])
 
 
-def grade_labels(toxic: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """0 for clean rows; 1 to 3 for toxic ones by terciles of the lexicon words they hold."""
-    terciles = np.quantile(held[toxic > 0], [1 / 3, 2 / 3]) if (toxic > 0).any() else [0, 0]
-    return np.where(toxic > 0, 1 + (held > terciles[0]) + (held > terciles[1]), 0).astype(np.int64)
+def grade_labels(toxic: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    """0 for clean rows; 1 to 3 for toxic ones by terciles of their margins."""
+    terciles = np.quantile(margin[toxic > 0], [1 / 3, 2 / 3]) if (toxic > 0).any() else [0, 0]
+    return np.where(toxic > 0, 1 + (margin > terciles[0]) + (margin > terciles[1]), 0).astype(np.int64)
+
+
+def crossed_margins(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Log-odds of each row under a two-grade model of the other half of the rows."""
+    half, margin = np.arange(len(x)) % 2, np.zeros(len(x))
+    for own in (0, 1):
+        if (half == own).any() and (half != own).any():
+            w, cuts = fit_ordinal(x[half != own], toxic[half != own], 2)
+            margin[half == own] = x[half == own] @ w - cuts[0]
+    return margin
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Ordinal:
@@ -120,9 +132,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
     triples = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda i: F.xxhash64(F.slice("words", i + 1, 3)))
     copies = F.coalesce(F.array_min(triples), F.lit(0))  # near copies mostly share it
-    sample = texts.join(chosen, "id").select("text", "y", words.alias("words")).withColumn("copies", copies)
-    sample = cut(sample.select("text", "y", "copies", F.array_distinct(F.transform("words", lambda w: F.btrim(w, F.lit(PUNCTUATION)))).alias("words")))
-    single = sample.dropDuplicates(["copies", "y"])
+    # one text for each id, and for the lexicon one document of each group of near copies: the least ones, so that every run has the same
+    sample = texts.join(chosen, "id").groupBy("id", "y").agg(F.min("text").alias("text")).withColumn("words", words).withColumn("copies", copies)
+    sample = cut(sample.select("id", "text", "y", "copies", F.array_distinct(F.transform("words", lambda w: F.btrim(w, F.lit(PUNCTUATION)))).alias("words")))
+    single = sample.groupBy("copies", "y").agg(F.min_by("words", "id").alias("words"))
     sizes = single.agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).first()
     toxic, clean = float(sizes["toxic"] or 0), float(sizes["n"] - (sizes["toxic"] or 0))
     nothing = Ordinal([], np.zeros(0), np.array([5.0 + k for k in range(GRADES - 1)]))
@@ -139,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
         .withColumn("odds", odds)
         .withColumn("z", F.col("odds") / F.sqrt(1 / t + 1 / c))
-        .where((F.abs("z") >= MIN_Z) & (F.abs("odds") >= MIN_ODDS))
+        .where(((F.abs("z") >= MIN_Z) & (F.abs("odds") >= MIN_ODDS)) | ((F.abs("z") >= SURE_Z) & (F.abs("odds") >= SURE_ODDS)))
         .orderBy(F.abs("z").desc(), "word")
         .limit(LEXICON)
     )
@@ -154,12 +167,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 text, word, n = lexicon_counts(piece.column(0), known_terms)
                 x = np.zeros((piece.num_rows, len(lexicon)), dtype=np.float32)
                 x[text, word] = 1 + np.log(n)
-                held = np.bincount(text, n, minlength=piece.num_rows)
-                yield pa.RecordBatch.from_arrays([piece.column(1), pa.array(held), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "held", "x"])
+                yield pa.RecordBatch.from_arrays([piece.column(1), piece.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "y", "x"])
 
-    rows = sample.select("text", "y").mapInArrow(featured, "y int, held double, x binary").toPandas().sort_values(["y", "held", "x"])
-    x = np.stack([np.frombuffer(r, np.float32) for r in rows["x"]]).astype(np.float64)
-    weights, cuts = fit_ordinal(x, grade_labels(rows["y"].to_numpy(), rows["held"].to_numpy()), GRADES)
+    kind = sample.schema["id"].dataType.simpleString()
+    rows = sample.select("text", "id", "y").mapInArrow(featured, f"id {kind}, y int, x binary").toPandas().sort_values(["y", "id"])
+    x, y = np.stack([np.frombuffer(r, np.float32) for r in rows["x"]]).astype(np.float64), rows["y"].to_numpy()
+    weights, cuts = fit_ordinal(x, grade_labels(y, crossed_margins(x, y)), GRADES)
     return Ordinal(lexicon, weights, cuts)
 
 

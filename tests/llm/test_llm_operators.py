@@ -145,6 +145,25 @@ def test_ordinal_gradient_and_order():
     assert toxicity.grade_labels(np.array([0, 1, 1, 1]), np.array([9, 1, 2, 3])).tolist() == [0, 1, 2, 3]
 
 
+def test_toxicity_over_any_partitions(spark):
+    """One model, whatever the partitions (some hold no term, some no row), and scores as a plain loop gives them."""
+    docs, labels = labelled(spark, "wretchling")
+    docs = docs.union(docs.where("doc_id < 3"))  # repeated rows
+    models = [toxicity.fit(docs.repartition(n), labels) for n in (1, 16, 200)]
+    assert all(m.lexicon == models[0].lexicon and np.allclose(m.weights, models[0].weights) and np.allclose(m.cuts, models[0].cuts) for m in models)
+    model = models[0]
+
+    def slow(text):
+        words = [w.decode().strip(toxicity.PUNCTUATION) for w in (text or "").encode().lower().split()]
+        terms = collections.Counter([*words, *(w[:n] + "*" for n in toxicity.STEMS for w in words if len(w) > n)])
+        total = sum(w * (1 + math.log(terms[t])) for t, w in zip(model.lexicon, model.weights) if terms[t])
+        return [1 / (1 + math.exp(cut - total)) for cut in model.cuts]
+
+    for r in toxicity.score(docs.repartition(7), model).join(docs.distinct().select("doc_id", "text"), "doc_id").collect():
+        over = slow(r["text"])
+        assert r["p_toxic"] == pytest.approx(over[0]) and r["severity"] == pytest.approx(sum(over)) and r["toxic"] == (over[0] >= toxicity.FLAG)
+
+
 def test_toxicity_without_labels(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score(docs, toxicity.fit(docs, none)).where("toxic").count() == 0
