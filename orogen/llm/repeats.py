@@ -1,14 +1,14 @@
 """Substring dedup by repeated-phrase automata.
 
-1. Seeds. Every window of `window` words picks one of its `phrase`-word phrases by the least hash, so
-   equal windows pick equal phrases wherever they stand; a phrase that is picked in two places
-   recurs. Only picked phrases are counted (one position in seven), once for each block of documents.
-2. Confirm and compile. A block of documents meets the phrases that recur and occur in it; their
-   words are compiled into Aho-Corasick automata, sharded so that each stays small.
-3. Locate. All documents of the block stream through its automata, which give every occurrence of
-   every phrase. Windows whose picked phrase was located are keyed by 96 bits of their word sequence.
-4. Decide. The earliest place of a key is found over all blocks from one row per key and block; the
-   words of all later windows go.
+1. Seeds. Documents form blocks. In a block, every window of `window` words picks one of its `phrase`-word phrases by the
+   least hash, so equal windows pick equal phrases wherever they stand; each picked phrase is noted with one place in the block.
+2. Confirm. A phrase that was picked in two places recurs; its place goes back to each block that noted it.
+3. Compile. A block reads the words at the confirmed places and compiles them into Aho-Corasick automata, sharded so that each
+   stays small.
+4. Locate. All documents of the block stream through its automata, which give every occurrence of every phrase. These hits are
+   all that the later steps see: windows without a hit are left alone, the others are named by the least phrase that was hit in
+   them and by a hash of their words (128 bits together).
+5. Decide. Of the windows of one name the earliest stays; the words of all later ones go.
 
 A document meets only the automata of its own block: the work grows with the corpus, not with
 documents times phrases. The words are tokens `[^\\x20\\x09-\\x0D]+`, unchanged.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import ahocorasick
 import numpy as np
@@ -38,7 +38,9 @@ PHRASE = 6
 SHARD = 40_000
 #: Text in one block of documents, on average.
 BLOCK_BYTES = 8 << 20
-#: Odd multipliers of the two rolling hashes.
+#: Windows in one stretch, at most: later ones are marked by the bits of a long.
+STRETCH = 60
+#: Odd multipliers of the rolling hashes of phrases and of windows.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 _TOP = np.uint64(2**64 - 1)
@@ -57,47 +59,46 @@ def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return values
 
 
-class Windows:
-    """Hashes of the windows of some texts: one flat array over all words, texts side by side."""
+class Block:
+    """The words of some texts side by side, as one array of ids."""
 
     def __init__(self, texts: pa.Array, window: int, phrase: int):
         self.window, self.phrase = window, phrase
         self.ids, self.words, self.counts = word_ids(texts)
         self.starts = np.cumsum(self.counts) - self.counts
         self.hashes = hash_words(self.words)[self.ids] if len(self.ids) else np.zeros(0, np.uint64)
-        self.grams = rolling(self.hashes, phrase, BASES[0])
         n = max(len(self.ids) - window + 1, 0)
         ends = np.repeat(self.starts + self.counts, self.counts)[:n]
         self.whole = np.arange(n) + window <= ends  # windows that stay inside one text
-        self.least = _sliding(self.grams, window - phrase + 1, np.minimum)
 
-    def picked(self) -> np.ndarray:
-        """Whether each phrase is the least one of some window."""
+    def seeds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, first place, whether there are more places) of the phrases that windows pick."""
+        none = np.zeros(0, np.int64)
         if not self.whole.any():
-            return np.zeros(len(self.grams), dtype=bool)
+            return none.view(np.uint64), none, none.astype(bool)
+        grams = rolling(self.hashes, self.phrase, BASES[0])
         reach = self.window - self.phrase
         pad = np.zeros(reach, dtype=np.uint64)
-        least = np.concatenate([pad, np.where(self.whole, self.least, 0), pad])
-        return _sliding(least, reach + 1, np.maximum) == self.grams
-
-    def located(self, recurring: np.ndarray) -> np.ndarray:
-        """Whether each window's picked phrase is one that the automata locate; `recurring` holds the phrases' hashes."""
-        mark = np.zeros(len(self.grams), dtype=bool)
-        named = np.isin(self.grams, recurring) & self.picked()
-        _, first = np.unique(self.grams[named], return_index=True)
-        places = np.flatnonzero(named)[first]
-        for at in range(0, len(places), SHARD):
-            mark |= self._stream(places[at : at + SHARD])
-        if not mark.any():
-            return np.zeros(len(self.whole), dtype=bool)
-        found = _sliding(np.where(mark, self.grams, _TOP), self.window - self.phrase + 1, np.minimum)
-        return self.whole & (found == self.least)
-
-    def _stream(self, places: np.ndarray) -> np.ndarray:
-        """Compile the phrases at these places and mark each place where one of them stands.
+        least = np.concatenate([pad, np.where(self.whole, _sliding(grams, reach + 1, np.minimum), 0), pad])
+        picked = np.flatnonzero(_sliding(least, reach + 1, np.maximum) == grams)
+        hashes, first, times = np.unique(grams[picked], return_index=True, return_counts=True)
+        return hashes, picked[first], times > 1
+
+    def hits(self, places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """For each place the hash of the phrase that the automata find there (the greatest number: none). The phrases are read at `places`."""
+        found = np.full(max(len(self.ids) - self.phrase + 1, 0), _TOP)
+        order = np.argsort(places, kind="stable")  # neighbours share words, so shards keep few of them
+        for at in range(0, len(order), SHARD):
+            own = order[at : at + SHARD]
+            end, which = self._stream(places[own])
+            found[end - self.phrase + 1] = hashes[own][which]
+        return found
+
+    def _stream(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Compile the phrases at these places; (last word, number of the phrase) of each occurrence in all texts.
 
         A word of a phrase is spelt with three symbols (base 94), all other words with one symbol that
-        no phrase has: a node then has few children and a phrase 24 symbols, whatever the words' lengths.
+        no phrase has: a node then has few children and a phrase 18 symbols, whatever the words' lengths.
         """
         spelt = self.ids[places[:, None] + np.arange(self.phrase)]
         code = np.zeros(len(self.words), dtype=np.int64)
@@ -105,18 +106,19 @@ class Windows:
         code[used] = np.arange(1, len(used) + 1)
         symbols = np.stack([code // 94**2, code // 94 % 94, code % 94], 1).astype(np.uint8) + 33
         symbols[code == 0] = 32
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for key in symbols[spelt].reshape(len(places), -1):
-            automaton.add_word(key.tobytes().decode("latin-1"))
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        for number, key in enumerate(symbols[spelt].reshape(len(places), -1)):
+            automaton.add_word(key.tobytes().decode("latin-1"), number)
         automaton.make_automaton()
-        mark = np.zeros(len(self.grams), dtype=bool)
+        ends, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for start, count in zip(self.starts.tolist(), self.counts.tolist(), strict=True):
             if count >= self.window:
                 stream = symbols[self.ids[start : start + count]].tobytes().decode("latin-1")
-                ends = np.fromiter((end for end, _ in automaton.iter(stream)), dtype=np.int64)
-                ends = ends[ends % 3 == 2] // 3  # on a word's last symbol
-                mark[start + ends - self.phrase + 1] = True
-        return mark
+                got = np.fromiter(chain.from_iterable(automaton.iter(stream)), dtype=np.int64).reshape(-1, 2)
+                got = got[got[:, 0] % 3 == 2]  # on a word's last symbol
+                ends.append(start + got[:, 0] // 3)
+                numbers.append(got[:, 1])
+        return np.concatenate(ends), np.concatenate(numbers)
 
 
 def _by_id(docs: pa.Table) -> pa.Table:
@@ -127,12 +129,6 @@ def _texts(docs: pa.Table) -> pa.Array:
     return pc.fill_null(docs["text"].combine_chunks(), "")
 
 
-def _runs(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, first, length) of runs of adjacent places."""
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(rows) != 0)])) if len(at) else np.zeros(0, np.int64)
-    return rows[new], at[new], np.diff(np.append(new, len(at)))
-
-
 def _places(docs: pa.Table) -> np.ndarray:
     """Per row of a sorted block: its number among the rows of its id, nearly always 0, which shuffles for free; without an id, block and row."""
     row = np.arange(docs.num_rows)
@@ -153,35 +149,56 @@ def _rows_of(docs: pa.Table, later: pa.Table) -> np.ndarray:
     return rows
 
 
-def _keyed(docs: pa.Table, recurring: pa.Table, window: int, phrase: int) -> pa.Table:
-    """First places of the block's located windows (keyed), and the runs of its later places (no key)."""
-    found = Windows(_texts(docs), window, phrase)
-    places = np.flatnonzero(found.located(recurring["h"].to_numpy().view(np.uint64)))
-    keys = [rolling(found.hashes, window, base)[places] if len(places) else np.zeros(0, np.uint64) for base in BASES]
-    order = np.lexsort((places, keys[1], keys[0]))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (np.diff(keys[0][order]) != 0) | (np.diff(keys[1][order]) != 0)
-    first, later = order[new], np.sort(places[order[~new]])
-    row_of = lambda at: np.searchsorted(found.starts + found.counts, at, side="right")
-    late_rows, late_at, late_n = _runs(row_of(later), later)
-    rows = np.concatenate([row_of(places[first]), late_rows])
-    at = np.concatenate([places[first], late_at]) - found.starts[rows]
-    # Few and packed columns, as these rows are the most that is shuffled: 96 bits of key, the place and the run.
-    second = np.concatenate([keys[1][first] >> np.uint64(32), np.zeros(len(late_at), np.uint64)]).astype(np.int64)
+def _seeded(docs: pa.Table, window: int, phrase: int) -> pa.Table:
+    """(h, block and place, more): the phrases that the windows of a sorted block pick."""
+    hashes, place, more = Block(_texts(docs), window, phrase).seeds()
+    block = np.full(len(place), docs["block"][0].as_py() if len(place) else 0, dtype=np.int64)
+    return pa.table({"h": hashes.view(np.int64), "at": (block << 32) | place, "more": more})
+
+
+def _located(docs: pa.Table, confirmed: pa.Table, window: int, phrase: int) -> pa.Table:
+    """Stretches of windows with the same least hit: (h, the windows' hashes), or without them but with `run` if all of them
+    stand earlier in the same block too."""
+    own = Block(_texts(docs), window, phrase)
+    hits = own.hits(confirmed["at"].to_numpy() & _LOW, confirmed["h"].to_numpy().view(np.uint64))
+    named = _sliding(hits, window - phrase + 1, np.minimum)
+    places = np.flatnonzero(own.whole & (named < _TOP))
+    h = named[places]
+    key = rolling(own.hashes, window, BASES[1])[places] if len(places) else h
+    order = np.lexsort((places, key, h))
+    later = np.zeros(len(order), dtype=bool)
+    later[order[1:]] = (np.diff(h[order]) == 0) & (np.diff(key[order]) == 0)
+    row = np.searchsorted(own.starts + own.counts, places, side="right")
+    parts = np.flatnonzero(np.concatenate([[True], (np.diff(places) != 1) | (np.diff(row) != 0) | (np.diff(h) != 0)])) if len(places) else places
+    offset = np.arange(len(places)) - np.repeat(parts, np.diff(np.append(parts, len(places))))
+    parts = np.flatnonzero(offset % STRETCH == 0)
+    size = np.diff(np.append(parts, len(places)))
+    known = np.logical_and.reduceat(later, parts) if len(parts) else later  # nothing that the block has not had before
+    rows, at = row[parts], places[parts] - own.starts[row[parts]]
+    sent = np.repeat(~known, size)
+    lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.where(known, 0, size))]).astype(np.int32), key[sent].view(np.int64))
+    spread = np.random.default_rng(0).integers(2**62, size=len(parts))  # these need no partner, only a partition
     return pa.table(
         {
-            "h1": np.concatenate([keys[0][first].view(np.int64), np.random.default_rng(0).integers(2**62, size=len(late_at))]),
-            "h2_at": (second << 32) | at,
+            "h": np.where(known, spread, h[parts].view(np.int64)),
             "id": docs["id"].combine_chunks().take(pa.array(rows)),
             "place": _places(docs)[rows],
-            "run": np.concatenate([np.zeros(len(first), np.int32), late_n.astype(np.int32)]),
+            "at": at.astype(np.int32),
+            "keys": lists,
+            "run": np.where(known, size, 0).astype(np.int32),
         }
     )
 
 
 def _cleaned(docs: pa.Table, later: pa.Table, window: int) -> pa.Table:
-    """The digest row of each document of a block, given its later windows as (id, place, at, n)."""
-    rows, at, n = _rows_of(docs, later), *(later[c].to_numpy().astype(np.int64) for c in ("at", "n"))
+    """The digest row of each document of a block, given its later windows: bits from a place on, or runs."""
+    rows, at, run = _rows_of(docs, later), later["at"].to_numpy().astype(np.int64), later["run"].to_numpy().astype(np.int64)
+    bits = np.unpackbits(later["late"].to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    stretch, k = np.nonzero(bits)
+    whole = run > 0
+    rows = np.concatenate([rows[stretch], rows[whole]])
+    at = np.concatenate([at[stretch] + k, at[whole]])
+    n = np.concatenate([np.ones(len(k), np.int64), run[whole]])
     order = np.argsort(rows, kind="stable")
     rows, at, n = rows[order], at[order], n[order]
     total, removed, kept = [], [], []
@@ -214,46 +231,37 @@ def remove_repeats(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     dealt = F.pmod(F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id")), F.lit(blocks))
-    texts = texts.withColumn("block", dealt)
+    spread = texts.withColumn("block", dealt).repartition("block")  # one exchange: the plan reads it three times
     kind = texts.schema["id"].dataType.simpleString()
 
-    def seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            for piece in slices(batch, 0):
-                found = Windows(piece.column(0), window, phrase)
-                picked = np.flatnonzero(found.picked())
-                block = np.repeat(piece.column(1).to_numpy(), found.counts)[picked]
-                rows = np.stack([found.grams[picked].view(np.int64), block], 1)
-                rows, times = np.unique(rows, axis=0, return_counts=True) if len(rows) else (rows, rows[:, 0])
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1].astype(np.int32)), pa.array(times.astype(np.int32))], ["h", "block", "n"])
-
-    counted = texts.select("text", "block").mapInArrow(seeds, "h long, block int, n int")
-    in_block = counted.groupBy("h", "block").agg(F.sum("n").alias("n"))  # so that no phrase has more rows than blocks
-    times = F.sum("n").over(Window.partitionBy("h"))
-    recurring = in_block.withColumn("n", times).where("n > 1").select("h", F.col("block").cast("long").alias("block"))
-    spread = texts.repartition("block")  # one exchange: the plan reads it twice
-
-    def keyed(docs: pa.Table, phrases: pa.Table) -> pa.Table:
-        return _keyed(_by_id(docs), phrases, window, phrase)
+    def seeded(docs: pa.Table) -> pa.Table:
+        return _seeded(_by_id(docs), window, phrase)
+
+    def located(docs: pa.Table, confirmed: pa.Table) -> pa.Table:
+        return _located(_by_id(docs), confirmed, window, phrase)
 
     def cleaned(docs: pa.Table, late: pa.Table) -> pa.Table:
         return _cleaned(_by_id(docs), late, window)
 
-    places = spread.groupBy("block").cogroup(recurring.groupBy("block")).applyInArrow(
-        keyed, f"h1 long, h2_at long, id {kind}, place long, run int"
+    seeds = spread.groupBy("block").applyInArrow(seeded, "h long, at long, more boolean").repartition("h")
+    noted = F.count("*").over(Window.partitionBy("h"))  # no phrase has more rows than blocks
+    confirmed = seeds.withColumn("n", noted).where("more or n > 1").select("h", "at", F.shiftright("at", 32).alias("block"))
+    stretches = spread.groupBy("block").cogroup(confirmed.groupBy("block")).applyInArrow(
+        located, f"h long, id {kind}, place long, at int, keys array<long>, run int"
     )
-    unpacked = places.repartition("h1").select(
-        "h1",
-        F.shiftrightunsigned("h2_at", 32).alias("h2"),
-        F.col("h2_at").bitwiseAND(F.lit(_LOW)).cast("int").alias("at"),
-        "id",
-        "place",
-        "run",
-    )
-    earliest = Window.partitionBy("h1", "h2").orderBy(F.col("id").isNull(), "id", "place", "at")
-    ranked = unpacked.withColumn("rank", F.when(F.col("run") == 0, F.row_number().over(earliest)))
+    stretches = stretches.repartition("h")
+    each = stretches.select("h", "id", "place", "at", "run", F.posexplode_outer("keys").alias("k", "key"))
+    order = [F.col("id").isNull(), "id", "place", F.col("at") + F.col("k")]
+    rank = F.row_number().over(Window.partitionBy("h", "key").orderBy(*order))
+    late = F.coalesce(F.bit_or(F.when(F.col("rank") > 1, F.expr("shiftleft(1L, k)"))), F.lit(0).cast("long"))
     block = F.when(F.col("id").isNull(), F.shiftright("place", 32)).otherwise(F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    later = ranked.where("run > 0 or rank > 1").select(block.alias("block"), "id", "place", "at", F.greatest("run", F.lit(1)).alias("n"))
+    later = (
+        each.withColumn("rank", rank)
+        .groupBy("h", "id", "place", "at", "run")
+        .agg(late.alias("late"))
+        .where("late <> 0 or run > 0")
+        .select(block.alias("block"), "id", "place", "at", "late", "run")
+    )
     out = spread.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(
         cleaned, f"id {kind}, n_words long, n_removed long, kept string"
     )

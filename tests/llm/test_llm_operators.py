@@ -200,10 +200,36 @@ def test_repeats_by_brute_force(docs, rows, no_docs, monkeypatch):
     assert repeats.remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_come_from_the_automata(docs, monkeypatch):
+    """What the automata do not find is not removed; what they find is where the phrase stands."""
+    texts = pa.array(["a b c d e f g h " * 6, "x y " + "a b c d e f g h " * 3, PASSAGE, ""])
+    block = repeats.Block(texts, 20, 6)
+    hashes, places, _ = block.seeds()
+    monkeypatch.setattr(repeats, "SHARD", 2)
+    found = block.hits(places, hashes)
+    words = [w for t in texts.to_pylist() for w in t.split()]
+    ends = np.repeat(block.starts + block.counts, block.counts)
+    for at in range(len(found)):
+        same = [h for h, p in zip(hashes, places) if words[p : p + 6] == words[at : at + 6]] if at + 6 <= ends[at] and block.counts[np.searchsorted(block.starts + block.counts, at, "right")] >= 20 else []
+        assert found[at] == (same[0] if same else 2**64 - 1)
+    monkeypatch.setattr(repeats.Block, "_stream", lambda self, places: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    local = docs.sparkSession.createDataFrame([(1, PASSAGE), (2, PASSAGE)], "doc_id long, text string")
+    blind = repeats.Block(pa.array([PASSAGE, PASSAGE]), 20, 6)
+    assert (blind.hits(places, hashes) == 2**64 - 1).all() and repeats._located(_table(local), _nothing(), 20, 6).num_rows == 0
+
+
+def _table(df):
+    return pa.Table.from_pylist([{"id": r["doc_id"], "text": r["text"], "block": 0} for r in df.collect()])
+
+
+def _nothing():
+    return pa.table({"h": pa.array([], pa.int64()), "at": pa.array([], pa.int64()), "block": pa.array([], pa.int64())})
+
+
 def test_repeats_inside_one_text(spark):
-    text = " ".join(["a b c d e"] * 30)
+    text = " ".join(["a b c d e"] * 30) + prose(30) + " z" * 300
     got = repeats.remove_repeats(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
-    assert (got["n_words"], got["n_removed"]) == (150, kept_by_brute_force([(1, text, "")])[0][2])
+    assert (got["n_words"], got["n_removed"]) == (len(text.split()), kept_by_brute_force([(1, text, "")])[0][2])
 
 
 # --- 4: benchmark -------------------------------------------------------------------------------------------------
