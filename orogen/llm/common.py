@@ -95,25 +95,32 @@ def rolling(hashes: np.ndarray, length: int, base: int) -> np.ndarray:
     return out
 
 
+def _with_least(edges: DataFrame, parts: int) -> DataFrame:
+    """Edges (a, b) with the least b of their a as m. A node's edges are dealt into `parts`, so that no hub falls to one task."""
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)))
+    some = dealt.groupBy("a", "part").agg(F.min("b").alias("m"))
+    least = some.groupBy("a").agg(F.min("m").alias("m"), F.collect_list("part").alias("parts"))
+    return dealt.join(least.select("a", F.explode("parts").alias("part"), "m"), ["a", "part"]).drop("part")
+
+
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, root) for each node of the undirected `edges` (a, b); root is the smallest node reachable.
 
     Alternates the large-star and small-star steps until the edges stay the same; each round is
-    two map-side combined minima and two joins, and is checkpointed to cut its lineage.
+    checkpointed to cut its lineage. Minima are combined before they are shuffled, and hubs are dealt into parts.
     """
     stars = cut(edges.select("a", "b").where("a <> b").distinct())
     stamp = None
     for _ in range(rounds):
+        parts = 16 if stamp is None else min(max(16, stamp["n"] // 100_000), 4096)
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _with_least(both, parts).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         large = large.where("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a")
+        small = _with_least(down, parts)
         stars = cut(
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(least.select("a", F.col("m").alias("b")))
+            .union(small.select("a", F.col("m").alias("b")))
             .where("a <> b")
             .distinct()
         )

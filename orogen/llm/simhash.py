@@ -1,13 +1,15 @@
 """SimHash near-dedup by a byte-position inverted index with count filtering.
 
-Two 64-bit fingerprints that differ in at most `max_bits` bits share at least 8 - max_bits of their
-eight positional bytes. The index posts every fingerprint under each choice of that many positions
-together with the bytes there, so pairs that share a posting are exactly those whose tally of shared
-positional bytes reaches the guaranteed minimum; the rest of the bits is then verified.
+The index has a posting list for each position and byte: the distinct fingerprints with that byte there. Two 64-bit
+fingerprints that differ in at most `max_bits` bits share at least 8 - `max_bits` of their eight positional bytes. In a list,
+the shared positional bytes of each pair are tallied; pairs that reach the guaranteed minimum are retained, and
+their bits are verified.
 
-A posting list holds distinct fingerprints that agree on 40 of 64 bits, so it has at most 2**24
-members, and inside it only a spanning forest of the links is emitted (`max_bits` = 3). No list of
-pairs is made: large groups of near copies give as many edges as members.
+The first shared position of a linked pair is one of the first `max_bits` + 1, so the lists of those suffice. A list with more
+than `LIST` members is split by a second position and byte after the first, and so on, up to the guaranteed minimum of positions;
+the counts of the lists say which. A list that is still long then agrees on 40 of 64 bits (`max_bits` = 3), so it has at most 2**24
+members; its links are found by flipping the bits in which members differ, not by pairs. Each batch of lists gives the edges of
+a spanning forest only, so a large group of near copies gives as many edges as members.
 
 Null, empty and blank texts have fingerprint zero and link like any other; repeated rows keep one
 result each; a null id takes part but never names a component (all ids null: null).
@@ -29,8 +31,12 @@ from orogen.llm.common import components, cut, table
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 3
-#: Lists up to this long are compared directly, longer ones by probing the bit flips of each member.
-DIRECT = 3000
+#: Longer lists are split by one more position.
+LIST = 256
+#: Pairs that are tallied at a time.
+PAIRS = 1 << 19
+#: Keys of long lists that may be broadcast, after they were counted; more are joined by a shuffle.
+BROADCAST_KEYS = 200_000
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int64)
 _PLACE = np.arange(8, dtype=np.int64) * 256
@@ -67,68 +73,88 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(batches, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
-def _posting(fp: Column, choice: tuple[int, ...], number: int) -> Column:
-    """The chosen bytes of a fingerprint and the number of the choice as one long."""
-    key = F.lit(number).cast("long")
-    for place in choice:
-        key = F.shiftleft(key, 8).bitwiseOR(F.shiftrightunsigned(fp, 8 * place).bitwiseAND(F.lit(255)))
-    return key
-
-
-def _forest(members: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.uint64]]:
-    """Per connected part of a sorted posting list: (the members but the first, the first)."""
-    rest = members
-    while len(rest) > 1:
-        root, front, rest, reached = rest[0], rest[:1], rest[1:], []
-        while len(front) and len(rest):
-            if len(rest) <= DIRECT:
-                near = np.zeros(len(rest), dtype=bool)
-                for at in range(0, len(front), 512):
-                    near |= (np.bitwise_count(front[at : at + 512, None] ^ rest) <= max_bits).any(0)
-            else:
-                near = _probed(front, rest, members, max_bits)
-            front, rest = rest[near], rest[~near]
-            reached.append(front)
-        if found := [x for x in reached if len(x)]:
-            yield np.concatenate(found), root
-
-
-def _probed(front: np.ndarray, rest: np.ndarray, members: np.ndarray, max_bits: int) -> np.ndarray:
-    """Which of the sorted `rest` is within `max_bits` flips of `front`; flips only bits in which members differ."""
-    varies = np.bitwise_or.reduce(members ^ members[0])
-    bits = [np.uint64(1 << b) for b in range(64) if int(varies) >> b & 1]
-    near = np.zeros(len(rest), dtype=bool)
-    for n in range(1, max_bits + 1):
-        for flips in combinations(bits, n):
-            flipped = front ^ np.bitwise_or.reduce(flips)
-            at = np.searchsorted(rest, flipped)
-            at[at == len(rest)] = 0
-            near[at[rest[at] == flipped]] = True
-    return near
+def _posted(members: DataFrame, depth: int, max_bits: int) -> DataFrame:
+    """(key, last, fp): each member under each next position and its byte there; `depth` positions make up the key."""
+    places = F.sequence(F.col("last") + 1, F.lit(depth - 1 + max_bits))
 
+    def posting(place: Column) -> Column:
+        byte = F.call_function("shiftrightunsigned", F.col("fp"), F.lit(56) - place * 8).bitwiseAND(F.lit(255))
+        key = F.shiftleft("key", 11).bitwiseOR(F.shiftleft(place.cast("long"), 8)).bitwiseOR(byte)
+        return F.struct(key.alias("key"), place.alias("last"))
+
+    return members.select(F.explode(F.transform(places, posting)).alias("p"), "fp").select("p.key", "p.last", "fp")
+
+
+def tallied(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of the eight positional bytes each pair of fingerprints shares."""
+    same = (a ^ b).view(np.uint8).reshape(-1, 8) == 0
+    return same.sum(1)
+
+
+def _close(fp: np.ndarray, i: np.ndarray, j: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which pairs reach the minimum tally and are verified."""
+    kept = np.flatnonzero(tallied(fp[i], fp[j]) >= 8 - max_bits)
+    return kept[np.bitwise_count(fp[i[kept]] ^ fp[j[kept]]) <= max_bits]
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): edges between distinct fingerprints (column `fp`) that connect what `max_bits` connects."""
-    choices = list(combinations(range(8), 8 - max_bits))
-    keys = F.array(*[_posting(F.col("fp"), c, n) for n, c in enumerate(choices)])
-    postings = fps.select("fp").distinct().select(F.explode(keys).alias("k"), "fp")
-    dealt = postings.repartition("k").sortWithinPartitions("k")
+
+def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Merge the trees of `root` that hold the ends of the links; roots are the least members, and every member points at its root."""
+    while True:
+        x, y = root[i], root[j]
+        apart = x != y
+        if not apart.any():
+            return
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+def _flipped(members: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The links (places) of sorted distinct members, by flips of the bits in which some of them differ."""
+    varies = int(np.bitwise_or.reduce(members ^ members[0]))
+    bits = [np.uint64(1 << b) for b in range(64) if varies >> b & 1]
+    for n in range(1, max_bits + 1):
+        for flips in combinations(bits, n):
+            other = members ^ np.bitwise_or.reduce(flips)
+            at = np.minimum(np.searchsorted(members, other), len(members) - 1)
+            i = np.flatnonzero(members[at] == other)
+            yield i, at[i]
+
+
+def _forest(key: np.ndarray, fp: np.ndarray, max_bits: int, longest: int) -> np.ndarray:
+    """(member, its root) for what links in whole posting lists, sorted by key and fingerprint; those over `longest` by flips."""
+    root = np.arange(len(fp))
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else root
+    sizes = np.diff(np.append(starts, len(key)))
+    for s, n in zip(starts[sizes > longest].tolist(), sizes[sizes > longest].tolist(), strict=True):
+        for i, j in _flipped(fp[s : s + n], max_bits):
+            _join(root, s + i, s + j)
+    ends = np.repeat(starts + sizes, sizes)
+    partners = np.where(np.repeat(sizes, sizes) > longest, 0, ends - 1 - np.arange(len(fp)))
+    through = np.cumsum(partners)
+    for a in range(0, int(through[-1]) if len(through) else 0, PAIRS):
+        first, last = np.searchsorted(through, [a, a + PAIRS], side="right")
+        rows = np.arange(first, last)
+        i = np.repeat(rows, partners[rows])
+        before = through[rows] - partners[rows]
+        j = i + 1 + np.arange(len(i)) + before[:1].sum() - np.repeat(before, partners[rows])
+        near = _close(fp, i, j, max_bits)
+        _join(root, i[near], j[near])
+    linked = np.flatnonzero(root != np.arange(len(fp)))
+    return np.stack([fp[linked], fp[root[linked]]], 1)
+
+
+def _compared(posted: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b): the forests of posting lists."""
+    longest = LIST
 
     def within(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_k, held_fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
-        def joined(k: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-            size = np.diff(np.append(at, len(k)))
-            pair = at[size == 2]
-            a, b = fp[pair], fp[pair + 1]
-            close = np.bitwise_count(a ^ b) <= max_bits
-            lefts, rights = [a[close]], [b[close]]
-            for s, n in zip(at[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                for others, root in _forest(np.sort(fp[s : s + n]), max_bits):
-                    lefts.append(others)
-                    rights.append(np.full(len(others), root, dtype=np.uint64))
-            found = np.unique(np.stack([np.concatenate(lefts), np.concatenate(rights)], 1), axis=0)
+        def edges(k: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            order = np.lexsort((fp, k))
+            found = np.unique(_forest(k[order], fp[order], max_bits, longest), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(found[:, i].view(np.int64)) for i in (0, 1)], ["a", "b"])
 
         for batch in parts:
@@ -136,10 +162,29 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             fp = np.concatenate([held_fp, batch.column(1).to_numpy().view(np.uint64)])
             whole = np.searchsorted(k, k[-1]) if len(k) else 0  # the last list may go on in the next batch
             held_k, held_fp = k[whole:], fp[whole:]
-            yield joined(k[:whole], fp[:whole])
-        yield joined(held_k, held_fp)
+            yield edges(k[:whole], fp[:whole])
+        yield edges(held_k, held_fp)
 
-    return dealt.mapInArrow(within, "a long, b long")
+    return posted.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(within, "a long, b long")
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): edges between distinct fingerprints (column `fp`) that connect what `max_bits` connects."""
+    members = fps.select("fp").distinct().select(F.lit(0).cast("long").alias("key"), F.lit(-1).alias("last"), "fp")
+    found = None
+    for depth in range(1, 9 - max_bits):
+        posted, long = _posted(members, depth, max_bits), None
+        if depth < 8 - max_bits:
+            keys = cut(posted.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LIST).select("key"))
+            if count := keys.count():
+                long = F.broadcast(keys) if count <= BROADCAST_KEYS else keys
+        short = posted if long is None else posted.join(long, "key", "left_anti")
+        part = _compared(short, max_bits)
+        found = part if found is None else found.union(part)
+        if long is None:
+            return found
+        members = posted.join(long, "key", "left_semi")
+    return found
 
 
 def near_duplicates(

@@ -293,23 +293,55 @@ def test_simhash_by_brute_force(docs, rows, no_docs):
     assert {r["doc_id"] for r in left.collect()} == {None, *(c for _, _, c in want if c is not None)}
 
 
-def test_links_connect_what_is_close(spark, monkeypatch):
+def fingerprint_cloud():
     rng = random.Random(3)
     base = [rng.getrandbits(64) for _ in range(20)]
     fps = list({b ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 2))) & (2**64 - 1) for b in base for _ in range(12)})
-    signed = [f - 2**64 if f >> 63 else f for f in fps]
+    return fps, [f - 2**64 if f >> 63 else f for f in fps]
+
+
+def joined(n, edges):
+    root = list(range(n))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return [find(i) for i in range(n)]
+
+
+def test_links_connect_what_is_close(spark, monkeypatch):
+    fps, signed = fingerprint_cloud()
     df = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
     want = slow_components(fps, lambda a, b: (a ^ b).bit_count() <= 3)
-    for direct in (3000, 1):  # compared directly, and by flipping bits
-        monkeypatch.setattr(simhash, "DIRECT", direct)
-        index = {f: k for k, f in enumerate(signed)}
-        got = list(range(len(fps)))
+    index = {f: k for k, f in enumerate(signed)}
+    for length, pairs, broadcast in ((256, 1 << 19, 10**6), (6, 50, 10**6), (1, 7, 0)):  # one position, several, and bit flips
+        monkeypatch.setattr(simhash, "LIST", length)
+        monkeypatch.setattr(simhash, "PAIRS", pairs)
+        monkeypatch.setattr(simhash, "BROADCAST_KEYS", broadcast)
         edges = [(index[r["a"]], index[r["b"]]) for r in simhash.links(df).collect()]
-        find = lambda i: i if got[i] == i else find(got[i])
-        for a, b in edges:
-            x, y = sorted((find(a), find(b)))
-            got[y] = x
-        assert [find(i) for i in range(len(fps))] == want
+        assert joined(len(fps), edges) == want
+
+
+def test_index_by_position_and_byte(spark, monkeypatch):
+    """Postings and tallies against plain loops; without the postings, or with a tally of nothing, there are no links."""
+    fps, signed = fingerprint_cloud()
+    df = spark.createDataFrame([(0, -1, f) for f in signed], "key long, last int, fp long")
+    got = {(r["key"], r["fp"]) for r in simhash._posted(df, 1, 3).collect()}
+    assert got == {(p << 8 | f >> (56 - 8 * p) & 255, g) for f, g in zip(fps, signed) for p in range(4)}
+    a, b = (np.array(x, dtype=np.uint64) for x in (fps[:-1], fps[1:]))
+    assert simhash.tallied(a, b).tolist() == [sum(x == y for x, y in zip(f.to_bytes(8), g.to_bytes(8))) for f, g in zip(fps, fps[1:])]
+    assert simhash.links(df).count() > 0
+    post = simhash._posted
+    monkeypatch.setattr(simhash, "_posted", lambda *of: post(*of).where("false"))
+    assert simhash.links(df).count() == 0
+    monkeypatch.setattr(simhash, "_posted", post)
+    key, fp = np.zeros(len(fps), np.int64), np.sort(np.array(fps, dtype=np.uint64))
+    at = {int(f): k for k, f in enumerate(fp)}
+    whole = slow_components(fp.tolist(), lambda a, b: (a ^ b).bit_count() <= 3)
+    for longest in (300, 100):  # by tallies, and by flips
+        assert joined(len(fp), [(at[int(a)], at[int(b)]) for a, b in simhash._forest(key, fp, 3, longest)]) == whole
+    monkeypatch.setattr(simhash, "tallied", lambda a, b: np.zeros(len(a), np.int64))
+    assert len(simhash._forest(key, fp, 3, 300)) == 0
 
 
 # --- 6: pieces ----------------------------------------------------------------------------------------------------
