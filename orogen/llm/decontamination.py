@@ -1,11 +1,13 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, all in DataFrame functions.
 
 A document contains an item when it holds at least `threshold` of the item's distinct five-word
-shingles (words lower-cased). Items are partitioned by their size q, their number of distinct
-shingles; in a partition a match shares at least ceil(threshold * q) of them, so it shares one of
-the item's q - ceil(threshold * q) + 1 least-hashed shingles: that bottom-k MinHash sketch misses
-nothing, however long the document is. The shingles of the documents probe the sketches, and each
-candidate pair is verified by counting the shared shingles as strings.
+shingles (words lower-cased). Items are partitioned by size: class c has those of 2**c to 2**(c+1) - 1 distinct shingles. The
+MinHash signature of an item is its least-hashed shingles, as many as its class prescribes: the shingles that a match of the
+largest item of the class may lack, and `HITS` more. A document's own sketch is all its shingles with hashes up to the largest one of
+any signature. The share of a signature that the sketch holds estimates the containment; a pair is a candidate if it reaches the
+least share that the threshold allows for the item's size in its class. As a match lacks at most q - needed shingles of the item,
+it lacks at most so many of the signature, so nothing is missed, however long the document is. Each candidate is
+verified by counting the shared shingles as strings.
 
 Null, empty and short texts (under five words) neither match nor are searched for. Rows that repeat
 an id count as one document with the best of their rows; rows without an id give no pairs.
@@ -20,6 +22,8 @@ from orogen.llm.common import cut, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
+#: Shingles of a signature beyond those that a match may lack: how many a candidate shares at least.
+HITS = 2
 #: Rows of a side that may be broadcast, after they were counted; above it the join shuffles.
 BROADCAST_ROWS = 200_000
 
@@ -50,6 +54,27 @@ def _sized(df: DataFrame) -> tuple[DataFrame, bool]:
     return (F.broadcast(made) if small else made), small
 
 
+def _needed(q: Column, threshold: float) -> Column:
+    """Shingles that a match of an item with q of them shares at least."""
+    return F.ceil(F.lit(threshold) * q - F.lit(1e-9))
+
+
+def signatures(tests: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(row, h, class, size, least): the MinHash signatures of items (row, q, shingles), their lengths, and the shared hashes that make a candidate."""
+    largest = F.pow(F.lit(2.0), F.col("class") + 1) - 1
+    length = largest - _needed(largest, threshold) + HITS
+    words_of = F.split("shingle", " ")
+    hashed = (
+        tests.withColumn("class", F.floor(F.log2("q")).cast("int"))
+        .withColumn("size", F.least(F.col("q"), length).cast("int"))
+        .withColumn("least", (F.col("size") - (F.col("q") - _needed(F.col("q"), threshold))).cast("int"))
+        .select("row", "class", "size", "least", F.explode("shingles").alias("shingle"))
+        .select("row", "class", "size", "least", F.xxhash64(*[words_of[k] for k in range(SHINGLE)]).alias("h"))
+    )
+    rank = F.row_number().over(Window.partitionBy("row").orderBy("h"))
+    return hashed.withColumn("rank", rank).where("rank <= size").select("row", "h", "class", "size", "least")
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -61,29 +86,22 @@ def contained_items(
 ) -> DataFrame:
     """(id_col, item_id, n_shingles, n_shared, containment) of each pair at or over the threshold."""
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("d"), F.col(text_col).alias("text"))
-    needed = F.ceil(F.lit(threshold) * F.col("q") - F.lit(1e-9))
     tests = (
         items.where(F.col(item_id).isNotNull())
         .select(F.col(item_id).alias("item"), _words(item_text).alias("words"))
         .select("item", _shingles().alias("shingles"))
         .withColumn("q", F.size("shingles"))
         .where("q > 0")
-        .withColumn("needed", needed)
+        .withColumn("needed", _needed(F.col("q"), threshold))
         .select(F.monotonically_increasing_id().alias("row"), "*")
     )
     tests = cut(tests)
-    by_hash = Window.partitionBy("row").orderBy("h")
-    words_of = F.split("shingle", " ")
-    sketches = (
-        tests.select("row", "q", "needed", F.explode("shingles").alias("shingle"))
-        .select("row", "q", "needed", F.xxhash64(*[words_of[k] for k in range(SHINGLE)]).alias("h"))
-        .withColumn("rank", F.row_number().over(by_hash))
-        .where("rank <= q - needed + 1")
-        .select("h", "row")
-    )
-    sketches, _ = _sized(sketches)
-    probes = texts.select("d", _words("text").alias("words")).select("d", F.explode(_shingle_hashes()).alias("h"))
-    candidates, _ = _sized(probes.join(sketches, "h").select("d", "row").distinct())
+    signed, _ = _sized(signatures(tests, threshold))
+    ceiling = signed.agg(F.max("h")).first()[0]
+    sketch = F.filter(_shingle_hashes(), lambda h: h <= F.lit(ceiling))
+    sketches = texts.select("d", _words("text").alias("words")).select("d", F.explode(sketch).alias("h"))
+    met = sketches.join(signed, "h").groupBy("d", "row", "h").agg(F.first("least").alias("least"))
+    candidates, _ = _sized(met.groupBy("d", "row").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("d", "row"))
     shared = F.size(F.array_intersect(F.col("held"), F.col("shingles")))
     return (
         texts.join(candidates, "d")

@@ -253,6 +253,26 @@ def test_contained_items(spark, docs, rows, no_docs):
     assert decontamination.contained_items(docs, items.where("false")).count() == 0
 
 
+def test_signatures_by_size_class(spark, monkeypatch):
+    """Lengths and thresholds by class against plain arithmetic; with emptied signatures nothing is found."""
+    rows = [(q, q, [f"a b c d {i * 31 + q}" for i in range(q)]) for q in (1, 2, 3, 5, 8, 13, 31, 100)]
+    tests = spark.createDataFrame(rows, "row long, q int, shingles array<string>")
+    for threshold in (0.8, 0.5):
+        got = collections.defaultdict(list)
+        for r in decontamination.signatures(tests, threshold).collect():
+            got[r["row"]].append((r["class"], r["size"], r["least"]))
+        for q, _, _ in rows:
+            largest = 2 ** (int(math.log2(q)) + 1) - 1
+            size = min(q, largest - math.ceil(threshold * largest - 1e-9) + decontamination.HITS)
+            assert got[q] == [(int(math.log2(q)), size, size - (q - math.ceil(threshold * q - 1e-9)))] * size and got[q][0][2] >= 1
+    docs = spark.createDataFrame([(1, PASSAGE)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    assert decontamination.contained_items(docs, items).count() == 1
+    kept = decontamination.signatures
+    monkeypatch.setattr(decontamination, "signatures", lambda *of: kept(*of).where("false"))
+    assert decontamination.contained_items(docs, items).count() == 0
+
+
 # --- 5: near copies -----------------------------------------------------------------------------------------------
 
 
