@@ -3,13 +3,14 @@
 Texts are encoded by byte-level BPE, an end id closes each document, and documents longer than a row are split
 into pieces without loss. The pieces of a task's documents are packed, at most `SHARD_TOKENS` at
 a time: longest first, each into the row whose free capacity is the smallest that holds it, which a
-segment tree over capacities finds in logarithmic time. Nothing is shuffled, and the waste is a part
-of the last rows of each shard. A packed row has its ids as little-endian binary, padded to the row's length,
+segment tree over capacities finds in logarithmic time. Nothing is shuffled. Two rows that are at most half full would have been
+one, so a shard wastes little more than half a row beside what its pieces cannot fill; a source of very many tiny splits
+should be coalesced first. A packed row has its ids as little-endian binary, padded to the row's length,
 the cumulative segment lengths, and positions that restart with each segment.
 
 BPE never joins a character to blanks after it, so texts are encoded in runs of blanks with the
 word after them, each distinct run once. Null and empty texts have one token, the end id; repeated rows and
-rows without an id are packed like any other. The vocabulary's file is a parameter, read on the driver.
+rows without an id are packed like any other: each row of the input has a number of its own, by which its pieces are put together. The vocabulary's file is a parameter, read on the driver.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
 LENGTH = 2048
 SHARD_TOKENS = 4_000_000
-REMEMBERED = 300_000
+#: Bytes of runs and their ids that a task remembers before it starts afresh.
+REMEMBERED = 48 << 20
 SLICE = 2 << 20
 
 #: How the public vocabulary cuts texts into words.
@@ -51,16 +53,17 @@ class Tokens:
 
     def __init__(self, ranks: dict[bytes, int], kind: np.dtype):
         self.own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.kind, self.known = kind, {}
+        self.kind, self.known, self.held = kind, {}, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows = [_RUNS.findall(t) for t in texts]
         new = set().union(*rows).difference(self.known)
-        if self.known and len(self.known) + len(new) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
-            new = set().union(*rows)
+            self.held, new = 0, set().union(*rows)
         of, kind = self.own.encode_ordinary, self.kind
         self.known.update((run, np.array(of(run), dtype=kind).tobytes()) for run in new)
+        self.held += sum(180 + len(run) + len(self.known[run]) for run in new)  # with what Python adds to each
         return [b"".join(map(self.known.__getitem__, row)) for row in rows]
 
 
@@ -117,37 +120,38 @@ def best_fit_decreasing(lengths: np.ndarray, most: int) -> list[list[int]]:
     return rows
 
 
-def _packed(pieces: list[tuple[object, int, bytes]], shard: int, length: int, kind: np.dtype, end: int) -> Iterator[list[object]]:
-    sizes = np.array([len(p[2]) // kind.itemsize for p in pieces], dtype=np.int64)
+def _packed(pieces: list[tuple[object, int, int, bytes]], shard: int, length: int, kind: np.dtype, end: int) -> Iterator[list[object]]:
+    sizes = np.array([len(p[3]) // kind.itemsize for p in pieces], dtype=np.int64)
     count = np.arange(length, dtype=np.uint16 if length < 1 << 16 else np.int32)
     for row, items in enumerate(best_fit_decreasing(sizes, length)):
-        ids = b"".join([pieces[i][2] for i in items])
+        ids = b"".join([pieces[i][3] for i in items])
         ends = np.cumsum(sizes[items])
         fill = np.full(length - int(ends[-1]), end, dtype=kind).tobytes()
         places = np.concatenate([*(count[: sizes[i]] for i in items), np.zeros(len(fill) // kind.itemsize, count.dtype)])
-        yield [shard, row, int(ends[-1]), [pieces[i][0] for i in items], [pieces[i][1] for i in items], [0, *ends.tolist()], ids + fill, places.tobytes()]
+        yield [shard, row, int(ends[-1]), [pieces[i][0] for i in items], [pieces[i][1] for i in items], [pieces[i][2] for i in items], [0, *ends.tolist()], ids + fill, places.tobytes()]
 
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, ranks: dict[bytes, int] | None = None, end: int = END
 ) -> DataFrame:
-    """(shard, row, n_tokens, doc_ids, pieces, cu_seqlens, ids, positions): one row for each packed row.
+    """(shard, row, n_tokens, doc_ids, doc_rows, pieces, cu_seqlens, ids, positions): one row for each packed row.
 
-    `pieces` numbers the pieces of split documents. Ids take two bytes each if the vocabulary allows, else four; so do positions.
+    `doc_rows` numbers the rows of `docs`, `pieces` the pieces of split documents. Ids take two bytes each if the vocabulary allows, else four; so do positions.
     """
     ranks = ranks or read_ranks()
     kind = np.dtype("<u2" if max(end, len(ranks)) < 1 << 16 else "<i4")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_kind = rows.schema["id"].dataType
-    names = ["shard", "row", "n_tokens", "doc_ids", "pieces", "cu_seqlens", "ids", "positions"]
-    small = [pa.int64(), pa.int32(), pa.int32(), None, pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    names = ["shard", "row", "n_tokens", "doc_ids", "doc_rows", "pieces", "cu_seqlens", "ids", "positions"]
+    small = [pa.int64(), pa.int32(), pa.int32(), None, pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(shared.value, kind)
         close, width = np.array([end], kind).tobytes(), length * kind.itemsize
-        waiting: list[tuple[object, int, bytes]] = []
-        held, shard, id_type = 0, TaskContext.get().partitionId() << 24, None
+        waiting: list[tuple[object, int, int, bytes]] = []
+        part = TaskContext.get().partitionId()
+        held, shard, number, id_type = 0, part << 24, part << 33, None
 
         def flushed() -> Iterator[pa.RecordBatch]:
             made = list(_packed(waiting, shard, length, kind, end))
@@ -160,7 +164,8 @@ def pack(
                 id_type = piece.schema.field(0).type
                 for doc, ids in zip(piece.column(0).to_pylist(), tokens.encode([t or "" for t in piece.column(1).to_pylist()]), strict=True):
                     ids += close
-                    waiting += [(doc, n, ids[at : at + width]) for n, at in enumerate(range(0, len(ids), width))]
+                    waiting += [(doc, number, n, ids[at : at + width]) for n, at in enumerate(range(0, len(ids), width))]
+                    number += 1
                     held += len(ids) // kind.itemsize
                 if held >= SHARD_TOKENS:
                     yield from flushed()
@@ -170,20 +175,22 @@ def pack(
 
     return rows.mapInArrow(
         batches,
-        f"shard long, row int, n_tokens int, doc_ids array<{id_kind.simpleString()}>, pieces array<int>, cu_seqlens array<int>, ids binary, positions binary",
+        f"shard long, row int, n_tokens int, doc_ids array<{id_kind.simpleString()}>, doc_rows array<long>, pieces array<int>, cu_seqlens array<int>, ids binary, positions binary",
     )
 
 
 def unpack(packed: DataFrame, bytes_per_id: int = 2) -> DataFrame:
-    """(doc_id, ids: binary): the documents' ids again, pieces in order and end ids kept."""
-    at = F.posexplode(F.arrays_zip("doc_ids", "pieces")).alias("k", "of")
+    """(doc_id, ids: binary) for each row that was packed: its ids again, pieces in order and end ids kept."""
+    at = F.posexplode(F.arrays_zip("doc_ids", "doc_rows", "pieces")).alias("k", "of")
     parts = packed.select("ids", "cu_seqlens", at).select(
         F.col("of.doc_ids").alias("doc_id"),
+        F.col("of.doc_rows").alias("doc_row"),
         F.col("of.pieces").alias("piece"),
         F.expr(f"substring(ids, cu_seqlens[k] * {bytes_per_id} + 1, (cu_seqlens[k + 1] - cu_seqlens[k]) * {bytes_per_id})").alias("part"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("piece", "part")))
-    return parts.groupBy("doc_id").agg(F.aggregate(ordered, F.lit(b""), lambda all_, x: F.concat(all_, x["part"])).alias("ids"))
+    whole = F.aggregate(ordered, F.lit(b""), lambda all_, x: F.concat(all_, x["part"])).alias("ids")
+    return parts.groupBy("doc_row").agg(F.first("doc_id").alias("doc_id"), whole).select("doc_id", "ids")
 
 
 def op10_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,8 @@ MARK = "▁"
 #: Stands for a mark in the text itself; no valid text holds it.
 _OWN_MARK = "\ud800"
 UNKNOWN = 10.0
-#: Words a task remembers before it starts afresh.
-REMEMBERED = 300_000
+#: Bytes of words and their ids that a task remembers before it starts afresh.
+REMEMBERED = 48 << 20
 SLICE = 2 << 20
 
 
@@ -77,6 +77,7 @@ class Encoder:
                 node = node.setdefault(c, {})
             node[""] = (number, score)
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def learn(self, words: set[str]) -> None:
         """Viterbi over the sorted words; what stands on the stack for the shared prefix is reused."""
@@ -124,10 +125,11 @@ class Encoder:
         split = self.vocabulary.words.findall
         rows = [split(MARK + t.replace(MARK, _OWN_MARK).replace(" ", MARK)) if t else [] for t in texts]
         new = set().union(*rows).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED and self.known:
+        if self.held > REMEMBERED:
             self.known.clear()
-            new = set().union(*rows)
+            self.held, new = 0, set().union(*rows)
         self.learn(new)
+        self.held += sum(180 + len(word) + len(self.known[word]) for word in new)  # with what Python adds to each
         return [b"".join(map(self.known.__getitem__, row)) for row in rows]
 
 

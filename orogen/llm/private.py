@@ -6,10 +6,9 @@ other separators, phone numbers without a plus. Boosted trees judge each candida
 format and its context. Their truth is not what the base patterns cover: examples are base spans, as they are and rewritten
 into the loose spellings where they stand; counterexamples are the same with a wrong check digit, range or length, and
 candidates of the corpus that fail such a check (`plausible`). Candidates that pass and are no base span have no label and are
-left out. The trees are fitted on a bounded sample of documents and a fixed made-up one (`made`), so that every kind is known
+left out. The trees are fitted on a bounded sample of documents and on made-up texts (`made`), so that every kind is known
 at any input size. A threshold per kind is calibrated for a precision of `PRECISION` on histograms of the scores over all other
-documents; a kind with less than `LEAST` examples there takes `DEFAULT`. Candidates over it that overlap no base span
-and no better candidate are added.
+documents and the made-up texts that were not fitted. Candidates over it that overlap no base span and no better candidate are added.
 
 Offsets count code points; ends are exclusive. Null and empty texts have no spans; repeated rows keep one result each.
 """
@@ -17,7 +16,8 @@ Offsets count code points; ends are exclusive. Null and empty texts have no span
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,9 +34,6 @@ SAMPLE = 20_000
 #: Examples that are fitted of one document, at most.
 EACH = 16
 PRECISION = 0.99
-#: Held-out examples of a kind from which on its threshold is calibrated; with less it is `DEFAULT`.
-LEAST = 30
-DEFAULT = 0.9
 BINS = 1000
 
 # A number's match starts at the start of a run of digits: one that fails there fails later in the run too.
@@ -93,6 +90,29 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+class Cover:
+    """The stretches that spans cover, in order and apart from each other."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.add(s, e)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_right(self.ends, start)
+        return at < len(self.ends) and self.starts[at] < end
+
+    def add(self, start: int, end: int) -> None:
+        """A span that meets none of the others."""
+        at = bisect_right(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
 def _kind_of_char(text: str, at: int) -> int:
     if not 0 <= at < len(text):
         return 0
@@ -205,14 +225,15 @@ def examples(text: str) -> Iterator[tuple[list[float], bool]]:
             for form, good in [(spelt, True), *((f, False) for f in (spoilt(spelt, kind, s + n) if n % 3 == s % 3 else ()))]:
                 if plausible(form, kind) == good and (m := _LOOSE[kind].match(before + form + after, len(before))) and m.end() == len(before) + len(form):
                     yield features(before + form + after, *m.span(), kind), good
+    covers = {kind: Cover((s, e) for s, e, k in base if k == kind) for kind in KINDS}
     for s, e, kind in candidates(text):
-        if not plausible(text[s:e], kind) and not any(k == kind and s < f and t < e for t, f, k in base):
+        if not plausible(text[s:e], kind) and not covers[kind].meets(s, e):
             yield features(text, s, e, kind), False
 
 
-def made(n: int = 300) -> list[str]:
+def made(n: int = 300, seed: int = 8) -> list[str]:
     """Texts with base spans of each kind, always the same."""
-    rng = np.random.default_rng(8)
+    rng = np.random.default_rng(seed)
     word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9)))
     number = lambda k: "".join(map(str, rng.integers(0, 10, k)))
     texts = []
@@ -233,14 +254,16 @@ class Finder:
     thresholds: dict[str, float]
 
     def added(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-        free = [c for c in candidates(text) if not any(c[0] < e and s < c[1] for s, e, _ in base)]
+        cover, taken = Cover((s, e) for s, e, _ in base), Cover()
+        free = [c for c in candidates(text) if not cover.meets(*c[:2])]
         if not free:
             return []
         p = self.trees.predict(np.array([features(text, *c) for c in free], dtype=np.float64))
         kept: list[tuple[int, int, str]] = []
         for k in np.argsort(-p, kind="stable"):
             s, e, kind = free[k]
-            if p[k] >= self.thresholds[kind] and not any(s < f and t < e for t, f, _ in kept):
+            if p[k] >= self.thresholds[kind] and not taken.meets(s, e):
+                taken.add(s, e)
                 kept.append(free[k])
         return kept
 
@@ -252,8 +275,6 @@ class Finder:
 
 def _threshold(right: np.ndarray, wrong: np.ndarray) -> float:
     """From the histograms of a kind's scores: the least bin from which on the precision is reached, over 1 if none has it."""
-    if right.sum() < LEAST:
-        return DEFAULT
     good, bad = right[::-1].cumsum(), wrong[::-1].cumsum()
     fine = np.flatnonzero((good > 0) & (good >= PRECISION * (good + bad)))
     return max(0.5, (BINS - 1 - int(fine[-1])) / BINS) if len(fine) else 2.0
@@ -278,9 +299,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.bool_())], ["x", "y"])
 
     got = docs.where(fitted).select(text).mapInArrow(rows, "x binary, y boolean").toPandas().sort_values(["x", "y"])
-    always = [e for t in made() for e in examples(t)]
-    x = np.array([np.frombuffer(b, np.float64) for b in got["x"]] + [e[0] for e in always], dtype=np.float64)
-    trees = Boosted(rounds=100).fit(x, np.array([*got["y"], *(e[1] for e in always)], dtype=float))
+    always = [[e for t in texts for e in examples(t)] for texts in (made(), made(100, 9))]  # to fit, and for the thresholds
+    x = np.array([np.frombuffer(b, np.float64) for b in got["x"]] + [e[0] for e in always[0]], dtype=np.float64)
+    trees = Boosted(rounds=100).fit(x, np.array([*got["y"], *(e[1] for e in always[0])], dtype=float))
+
+    def counted(own: list[tuple[list[float], bool]], sums: np.ndarray) -> None:
+        x = np.array([e[0] for e in own], dtype=np.float64)
+        at = np.minimum((trees.predict(x) * BINS).astype(np.int64), BINS - 1)
+        np.add.at(sums, (x[:, 0].astype(np.int64), at, [int(e[1]) for e in own]), 1)
 
     def histograms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(KINDS), BINS, 2), dtype=np.int64)
@@ -288,9 +314,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
             for piece in slices(batch, 0):
                 for t in piece.column(0).to_pylist():
                     if own := list(examples(t or "")):
-                        x = np.array([e[0] for e in own], dtype=np.float64)
-                        at = np.minimum((trees.predict(x) * BINS).astype(np.int64), BINS - 1)
-                        np.add.at(sums, (x[:, 0].astype(np.int64), at, [int(e[1]) for e in own]), 1)
+                        counted(own, sums)
         places = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([*[pa.array(p.astype(np.int32)) for p in places], pa.array(sums[places])], ["kind", "bin", "good", "n"])
 
@@ -298,6 +322,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     sums = np.zeros((len(KINDS), BINS, 2), dtype=np.int64)
     for kind, at, good, n in scored.groupBy("kind", "bin", "good").agg(F.sum("n")).collect():
         sums[kind, at, good] = n
+    counted(always[1], sums)
     return Finder(trees, {k: _threshold(sums[i, :, 1], sums[i, :, 0]) for i, k in enumerate(KINDS)})
 
 

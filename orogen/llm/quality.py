@@ -1,6 +1,6 @@
 """Quality classifier: supervised subword embeddings.
 
-A word's vector is the mean of learned vectors of the word and of its 3 to 5 byte n-grams, hashed
+A word's vector is the mean of learned vectors of the word and of its n-grams of 3 to 5 characters, hashed
 into buckets; a document's vector is the mean over its words, and a softmax over two classes gives
 P(label 1). Two marks count as words: one wherever a word repeats the one before it, and one for the end
 of each text, so that an empty text has a score too. The vectors and the softmax are trained by numpy
@@ -44,9 +44,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of all words one after another, how many each word has): the word itself and its n-grams."""
-    raw = words.cast(pa.binary()).to_pylist()
+    raw = words.to_pylist()
     size = np.fromiter((len(w) + 2 for w in raw), dtype=np.int64, count=len(raw))
-    text = np.frombuffer(b"".join([b"<" + w + b">" for w in raw]), dtype=np.uint8).astype(np.uint64)
+    text = np.frombuffer("".join([f"<{w}>" for w in raw]).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     ends = np.repeat(np.cumsum(size), size)
     owners, buckets = [np.arange(len(raw))], [_mix(hash_words(words))]
     owner = np.repeat(np.arange(len(raw)), size)

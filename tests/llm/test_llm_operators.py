@@ -106,7 +106,7 @@ def test_quality_on_held_out_rows(spark):
 def test_quality_features_by_brute_force():
     words = pa.array(["ab", "", "straße"])
     buckets, sizes = quality.subwords(words)
-    assert sizes.tolist() == [1 + 2 + 1, 1, 1 + 7 + 6 + 5]  # bytes with both ends: 4, 2 and 9
+    assert sizes.tolist() == [1 + 2 + 1, 1, 1 + 6 + 5 + 4]  # characters with both ends: 4, 2 and 8
     model = quality.Quality(np.random.default_rng(0).normal(size=quality.BUCKETS).astype(np.float32), 0.1)
     texts = ["ab cd cd", "", "x" * 5000]
     one = [model.scores(pa.array([t]))[0] for t in texts]
@@ -509,11 +509,29 @@ def test_loose_spellings_are_added_at_any_size(spark):
 
 def test_threshold_of_histograms():
     right, wrong = np.zeros(private.BINS, dtype=int), np.zeros(private.BINS, dtype=int)
-    assert private._threshold(right, wrong) == private.DEFAULT
+    assert private._threshold(right, wrong) > 1
     right[900], wrong[700] = 1000, 11
     assert private._threshold(right, wrong) == 0.701 and private._threshold(wrong * 9, right) > 1
 
 
+def test_cover():
+    rng = random.Random(1)
+    for _ in range(300):
+        spans = [(s, s + rng.randint(1, 9)) for s in (rng.randint(0, 60) for _ in range(rng.randint(0, 8)))]
+        cover = private.Cover(spans)
+        for s in range(70):
+            e = s + rng.randint(1, 6)
+            assert cover.meets(s, e) == any(s < b and a < e for a, b in spans)
+
+
+def test_many_spans_of_one_text():
+    """Work in proportion to the text: 20,000 addresses and as many loose ones."""
+    text = " ".join(f"u{i}@mail.example.com or ann{i} (at) site (dot) org" for i in range(20_000))
+    spans = private.Finder(boosting.Boosted(start=5.0), dict.fromkeys(private.KINDS, 0.5)).spans(text)
+    assert sum(s[3] for s in spans) == 20_000 and sum(not s[3] and s[2] == "email" for s in spans) == 20_000
+    assert len(list(private.examples(text[:50_000]))) > 0
+
+
 def test_added_spans_do_not_overlap():
     trees = boosting.Boosted(start=5.0)
     finder = private.Finder(trees, dict.fromkeys(private.KINDS, 0.5))
@@ -557,12 +575,19 @@ def test_vectors_by_brute_force(spark, monkeypatch):
     for chunk in (512, 6):
         monkeypatch.setattr(embeddings, "CHUNK", chunk)
         got = {r["vec_id"]: r for r in embeddings.near_duplicate_vectors(df).collect()}
-        assert len(got) == len(x) + 7
+        assert len(got) == len(x) + 8 and embeddings.near_duplicate_vectors(df).count() == len(rows) + len(odd)
+        # the row without an id is a copy of the first: it has links, and the others count it
+        assert got[None]["component_id"] == 0 and not got[None]["kept"] and got[None]["n_links"] == got[0]["n_links"] >= 2
+        twins = {k for k in range(len(x)) if near[0, k]}
+        for k in twins:
+            got[k] = dict(got[k].asDict(), n_links=got[k]["n_links"] - 1)
         found = sum(got[i]["n_links"] for i in range(len(x)))
         assert all(got[i]["n_links"] <= near[i].sum() - 1 for i in range(len(x))) and found >= 0.95 * (near.sum() - len(x))
         assert np.mean([got[i]["component_id"] == roots[i] for i in range(len(x))]) > 0.97
         assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(900, 907))
     assert embeddings.near_duplicate_vectors(df.where("false")).count() == 0
+    alone = {r["n_links"] for r in embeddings.near_duplicate_vectors(df.where("vec_id is null").union(df.where("vec_id is null"))).collect() if r["component_id"] is None and not r["kept"]}
+    assert alone == {1}
 
 
 def test_recall_at_the_threshold():
@@ -572,11 +597,13 @@ def test_recall_at_the_threshold():
     b = rng.normal(size=a.shape)
     b -= (a * b).sum(1)[:, None] * a
     b /= np.linalg.norm(b, axis=1)[:, None]
-    ca, cb = embeddings.cells(a), embeddings.cells(0.95 * a + (1 - 0.95**2) ** 0.5 * b)
-    met = np.zeros(len(a), bool)
-    for t in range(ca.shape[1]):
-        met |= (ca[:, t, :, None] == cb[:, t, None, :]).any((1, 2))
-    assert met.mean() > 0.95
+    b = 0.95 * a + (1 - 0.95**2) ** 0.5 * b
+    for tables, blocks in ((embeddings.TABLES, embeddings.BLOCKS), (2 * embeddings.TABLES, embeddings.BLOCKS + 1)):  # the latter beyond MANY
+        ca, cb = embeddings.cells(a, tables, blocks), embeddings.cells(b, tables, blocks)
+        met = np.zeros(len(a), bool)
+        for t in range(ca.shape[1]):
+            met |= (ca[:, t, :, None] == cb[:, t, None, :]).any((1, 2))
+        assert met.mean() > 0.95
 
 
 # --- 10: packing --------------------------------------------------------------------------------------------------
@@ -590,11 +617,11 @@ def test_packing_round_trip(docs, rows, no_docs):
         places = np.frombuffer(bytes(r["positions"]), "<u2")
         assert [places[a] for a in r["cu_seqlens"][:-1]] == [0] * len(r["doc_ids"])
         assert all((np.diff(places[a:b].astype(int)) == 1).all() for a, b in zip(r["cu_seqlens"], r["cu_seqlens"][1:]))
-    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u2").tolist() for r in packing.unpack(packed).collect()}
-    single = collections.Counter(r[0] for r in rows)
-    for d, t, _ in rows:
-        if d is not None and single[d] == 1:
-            assert got[d] == own.encode_ordinary(t or "") + [packing.END]
+    got = collections.Counter((r["doc_id"], bytes(r["ids"])) for r in packing.unpack(packed).collect())
+    assert got == collections.Counter((d, np.array([*own.encode_ordinary(t or ""), packing.END], "<u2").tobytes()) for d, t, _ in rows)
+    twice = docs.sparkSession.createDataFrame([(1, prose(900)), (1, prose(901)), (None, prose(900)), (None, None)], "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], bytes(r["ids"])) for r in packing.unpack(packing.pack(twice, length=64)).collect())
+    assert got == collections.Counter((r["doc_id"], np.array([*own.encode_ordinary(r["text"] or ""), packing.END], "<u2").tobytes()) for r in twice.collect())
     assert packing.pack(no_docs).count() == 0
 
 
