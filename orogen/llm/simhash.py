@@ -5,11 +5,13 @@ fingerprints that differ in at most `max_bits` bits share at least 8 - `max_bits
 the shared positional bytes of each pair are tallied; pairs that reach the guaranteed minimum are retained, and
 their bits are verified.
 
-The first shared position of a linked pair is one of the first `max_bits` + 1, so the lists of those suffice. A list with more
-than `LIST` members is split by a second position and byte after the first, and so on, up to the guaranteed minimum of positions;
-the counts of the lists say which. A list that is still long then agrees on 40 of 64 bits (`max_bits` = 3), so it has at most 2**24
-members; its links are found by flipping the bits in which members differ, not by pairs. Each batch of lists gives the edges of
-a spanning forest only, so a large group of near copies gives as many edges as members.
+The first shared position of a linked pair is one of the first `max_bits` + 1, the second one of the first `max_bits` + 2, and
+so on. Fingerprints are posted under each choice of their first `DEPTH` shared positions with the bytes there, which splits
+every list of the index alike. Lists beyond `LIST` members are split by further positions inside their task, and
+lists beyond `LONG` by Spark before, up to the guaranteed minimum of positions. A list that is still long then agrees on 40
+of 64 bits (`max_bits` = 3), so it has at most 2**24 members; its links are found by flipping the bits in which members
+differ, not by pairs. Each batch of lists gives the edges of a spanning forest only, so a large group of near copies gives as
+many edges as members.
 
 Null, empty and blank texts have fingerprint zero and link like any other; repeated rows keep one
 result each; a null id takes part but never names a component (all ids null: null).
@@ -31,8 +33,12 @@ from orogen.llm.common import components, cut, table
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 3
-#: Longer lists are split by one more position.
-LIST = 256
+#: Positions in the key of a posting, one at least.
+DEPTH = 3
+#: Longer lists are split by one more position inside their task.
+LIST = 2048
+#: Longer lists are split by one more position before they get a task.
+LONG = 1 << 20
 #: Pairs that are tallied at a time.
 PAIRS = 1 << 19
 #: Keys of long lists that may be broadcast, after they were counted; more are joined by a shuffle.
@@ -122,30 +128,54 @@ def _flipped(members: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, n
             yield i, at[i]
 
 
-def _forest(key: np.ndarray, fp: np.ndarray, max_bits: int, longest: int) -> np.ndarray:
-    """(member, its root) for what links in whole posting lists, sorted by key and fingerprint; those over `longest` by flips."""
-    root = np.arange(len(fp))
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else root
-    sizes = np.diff(np.append(starts, len(key)))
-    for s, n in zip(starts[sizes > longest].tolist(), sizes[sizes > longest].tolist(), strict=True):
-        for i, j in _flipped(fp[s : s + n], max_bits):
-            _join(root, s + i, s + j)
-    ends = np.repeat(starts + sizes, sizes)
-    partners = np.where(np.repeat(sizes, sizes) > longest, 0, ends - 1 - np.arange(len(fp)))
+def _last(key: int) -> int:
+    """The last position of a posting's key; -1 for the empty key."""
+    return key >> 8 & 7 if key >= 0 else -1
+
+
+def _pairs(members: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs inside lists that lie one after another in `members`, some `PAIRS` at a time."""
+    partners = np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(len(members))
     through = np.cumsum(partners)
     for a in range(0, int(through[-1]) if len(through) else 0, PAIRS):
-        first, last = np.searchsorted(through, [a, a + PAIRS], side="right")
-        rows = np.arange(first, last)
-        i = np.repeat(rows, partners[rows])
+        rows = np.arange(*np.searchsorted(through, [a, a + PAIRS], side="right"))
         before = through[rows] - partners[rows]
+        i = np.repeat(rows, partners[rows])
         j = i + 1 + np.arange(len(i)) + before[:1].sum() - np.repeat(before, partners[rows])
-        near = _close(fp, i, j, max_bits)
-        _join(root, i[near], j[near])
+        yield members[i], members[j]
+
+
+def _forest(key: np.ndarray, fp: np.ndarray, depth: int, max_bits: int, longest: int) -> np.ndarray:
+    """(member, its root) for what links in whole posting lists of `depth` positions, sorted by key and fingerprint."""
+    root = np.arange(len(fp))
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else root
+    sizes = np.diff(np.append(starts, len(key)))
+    short = np.repeat(sizes <= longest, sizes)
+    small = [(np.flatnonzero(short), sizes[sizes <= longest])]
+    split = [(root[s : s + n].copy(), _last(int(key[s])), depth) for s, n in zip(starts[sizes > longest].tolist(), sizes[sizes > longest].tolist(), strict=True)]
+    while split:
+        members, last, depth = split.pop()
+        if depth == 8 - max_bits:
+            for i, j in _flipped(fp[members], max_bits):
+                _join(root, members[i], members[j])
+            continue
+        for place in range(last + 1, depth + max_bits + 1):
+            byte = fp[members].view(np.uint8).reshape(-1, 8)[:, 7 - place]  # little-endian
+            order = np.argsort(byte, kind="stable")
+            counts = np.bincount(byte, minlength=256)
+            parts = np.split(members[order], np.cumsum(counts)[:-1])
+            split += [(part, place, depth + 1) for part in parts if len(part) > longest]
+            fine = [part for part in parts if 1 < len(part) <= longest]
+            small.append((np.concatenate([root[:0], *fine]), np.array([len(part) for part in fine], dtype=np.int64)))
+    for members, lengths in small:
+        for i, j in _pairs(members, lengths):
+            near = _close(fp, i, j, max_bits)
+            _join(root, i[near], j[near])
     linked = np.flatnonzero(root != np.arange(len(fp)))
     return np.stack([fp[linked], fp[root[linked]]], 1)
 
 
-def _compared(posted: DataFrame, max_bits: int) -> DataFrame:
+def _compared(posted: DataFrame, depth: int, max_bits: int) -> DataFrame:
     """(a, b): the forests of posting lists."""
     longest = LIST
 
@@ -154,7 +184,7 @@ def _compared(posted: DataFrame, max_bits: int) -> DataFrame:
 
         def edges(k: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             order = np.lexsort((fp, k))
-            found = np.unique(_forest(k[order], fp[order], max_bits, longest), axis=0)
+            found = np.unique(_forest(k[order], fp[order], depth, max_bits, longest), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(found[:, i].view(np.int64)) for i in (0, 1)], ["a", "b"])
 
         for batch in parts:
@@ -170,21 +200,24 @@ def _compared(posted: DataFrame, max_bits: int) -> DataFrame:
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): edges between distinct fingerprints (column `fp`) that connect what `max_bits` connects."""
-    members = fps.select("fp").distinct().select(F.lit(0).cast("long").alias("key"), F.lit(-1).alias("last"), "fp")
+    fps = fps.select("fp").distinct()
+    total, most = fps.count(), 8 - max_bits
+    posted = fps.select(F.lit(0).cast("long").alias("key"), F.lit(-1).alias("last"), "fp")
+    for depth in range(1, min(DEPTH, most) + 1):
+        posted = _posted(posted, depth, max_bits)
     found = None
-    for depth in range(1, 9 - max_bits):
-        posted, long = _posted(members, depth, max_bits), None
-        if depth < 8 - max_bits:
-            keys = cut(posted.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LIST).select("key"))
+    while True:
+        long = None
+        if depth < most and total > LONG:  # else no list can be that long
+            keys = cut(posted.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("key"))
             if count := keys.count():
                 long = F.broadcast(keys) if count <= BROADCAST_KEYS else keys
-        short = posted if long is None else posted.join(long, "key", "left_anti")
-        part = _compared(short, max_bits)
+        part = _compared(posted if long is None else posted.join(long, "key", "left_anti"), depth, max_bits)
         found = part if found is None else found.union(part)
         if long is None:
             return found
-        members = posted.join(long, "key", "left_semi")
-    return found
+        depth += 1
+        posted = _posted(posted.join(long, "key", "left_semi"), depth, max_bits)
 
 
 def near_duplicates(

@@ -334,10 +334,11 @@ def test_links_connect_what_is_close(spark, monkeypatch):
     df = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
     want = slow_components(fps, lambda a, b: (a ^ b).bit_count() <= 3)
     index = {f: k for k, f in enumerate(signed)}
-    for length, pairs, broadcast in ((256, 1 << 19, 10**6), (6, 50, 10**6), (1, 7, 0)):  # one position, several, and bit flips
-        monkeypatch.setattr(simhash, "LIST", length)
-        monkeypatch.setattr(simhash, "PAIRS", pairs)
+    for depth, long, broadcast, length in ((3, 10**6, 10**6, 2048), (1, 6, 10**6, 2048), (1, 1, 0, 1), (5, 1, 0, 2)):
+        monkeypatch.setattr(simhash, "DEPTH", depth)
+        monkeypatch.setattr(simhash, "LONG", long)
         monkeypatch.setattr(simhash, "BROADCAST_KEYS", broadcast)
+        monkeypatch.setattr(simhash, "LIST", length)
         edges = [(index[r["a"]], index[r["b"]]) for r in simhash.links(df).collect()]
         assert joined(len(fps), edges) == want
 
@@ -358,10 +359,12 @@ def test_index_by_position_and_byte(spark, monkeypatch):
     key, fp = np.zeros(len(fps), np.int64), np.sort(np.array(fps, dtype=np.uint64))
     at = {int(f): k for k, f in enumerate(fp)}
     whole = slow_components(fp.tolist(), lambda a, b: (a ^ b).bit_count() <= 3)
-    for longest in (300, 100):  # by tallies, and by flips
-        assert joined(len(fp), [(at[int(a)], at[int(b)]) for a, b in simhash._forest(key, fp, 3, longest)]) == whole
+    for longest, depth, pairs in ((300, 0, 1 << 19), (300, 0, 50), (100, 0, 7), (2, 0, 50), (1, 0, 50), (1, 5, 50)):  # by tallies, after splits, and by flips
+        monkeypatch.setattr(simhash, "PAIRS", pairs)
+        first = np.full(len(fp), -1) if depth == 0 else key  # one list of all
+        assert joined(len(fp), [(at[int(a)], at[int(b)]) for a, b in simhash._forest(first, fp, depth, 3, longest)]) == whole
     monkeypatch.setattr(simhash, "tallied", lambda a, b: np.zeros(len(a), np.int64))
-    assert len(simhash._forest(key, fp, 3, 300)) == 0
+    assert len(simhash._forest(key, fp, 5, 3, 300)) == 0
 
 
 # --- 6: pieces ----------------------------------------------------------------------------------------------------
