@@ -1,19 +1,21 @@
-"""Language-model scoring by deleted interpolation of bigrams, words and a uniform floor.
+"""Language-model scoring by deleted interpolation of n-grams, words and a uniform floor.
 
-    P(w | u) = a2 c(u, w) / c(u) + a1 c(w) / N + a0 / (V + 1)
+    P1(w) = l1 c(w) / N + (1 - l1) / (V + 1)
+    Pn(w | h) = ln c(h, w) / c(h) + (1 - ln) Pn-1(w | h without its first word)
 
-The weights a depend on the bucket of c(u), a power of two. They are learned by expectation-maximisation on
-held-out counts: the counts of `DELETED_FOLD`'s documents against estimates from the other training
-documents. Scores then use the counts of all training documents.
+up to `order`. The weight ln depends on the bucket of c(h), a power of two; it is 0 for a context that never occurred. Weights are
+learned by expectation-maximisation on held-out counts: the counts of `DELETED_FOLD`'s documents against estimates from the
+other training documents, which are rounded to `STEPS` steps a decade there. Scores then use the counts of all training documents.
 
-Counting and looking up never move single tokens. Documents form blocks (an input split, parts of it if it is
-large). A block sends its distinct words and bigrams, as sorted 64-bit hashes, to shards by hash range; a
-shard adds up the counts and answers each block in the block's own order, so an answer holds no keys. A block's
-documents then meet its answers and are scored. The counts grow with the corpus and stay spread over the shards.
+Counting and looking up never move single tokens. Documents form blocks by hashes. A block sends its distinct n-grams of an order,
+as sorted hashes, to shards by hash range; a shard adds up the counts and answers each block in the block's own order, so an answer
+holds no keys. Orders follow one another: an n-gram that holds an (n-1)-gram which occurs once in all documents occurs once
+itself, so it is not asked for. A block's documents then meet its answers and are scored. The counts grow with the corpus and stay
+spread over the shards; all of it is one lazy plan that shuffles the texts once.
 
 Tokens: runs of non-blank bytes with A-Z lower-cased, then one end for each text. Null, empty and blank texts have the end
-alone. Repeated rows count and score each; rows without an id are training rows. Hashes of 64 bits stand
-for words; no training row at all gives the uniform floor.
+alone. Repeated rows count and score each; rows without an id are training rows. Hashes stand for words (64 bits) and
+longer n-grams (56 bits); no training row at all gives the uniform floor.
 """
 
 from __future__ import annotations
@@ -26,43 +28,53 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogen.llm.common import cut, hash_words, table, word_ids
+from orogen.llm.common import hash_words, table, word_ids
 from orogen.llm.quality import fold
 
+ORDER = 3
 FOLDS = 10
 #: Scored only.
 HELD_OUT_FOLD = 0
 #: Training documents whose counts are held out when the weights are learned.
 DELETED_FOLD = 1
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKETS = 24
 ROUNDS = 60
-#: Steps per decade to which the probabilities are rounded in the table of held-out counts.
-STEPS = 20
+#: Steps per decade to which the estimates are rounded in the table of held-out counts.
+STEPS = 8
 
 _START, _END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Tokens:
-    """The tokens of some texts side by side: hashes, the hash before each, and the text each is of."""
+    """The tokens of some texts side by side: their hashes, the text each is of, and the n-grams that end at them."""
 
     def __init__(self, texts: pa.Array):
         ids, words, counts = word_ids(pc.fill_null(texts, ""), lower=True)
         hashes = hash_words(words)[ids] if len(ids) else np.zeros(0, np.uint64)
         self.sizes = counts + 1
         ends = np.cumsum(self.sizes) - 1
+        self.firsts = ends + 1 - self.sizes
         is_end = np.zeros(int(self.sizes.sum()), dtype=bool)
         is_end[ends] = True
         self.word = np.empty(len(is_end), dtype=np.uint64)
         self.word[is_end], self.word[~is_end] = _END, hashes
-        self.before = np.concatenate([[_START], self.word[:-1]]) if len(self.word) else self.word
-        self.before[ends[:-1] + 1] = _START
-        pair = (self.before * _ODD) ^ self.word
-        pair = (pair ^ (pair >> np.uint64(32))) * _ODD
-        self.pair = pair ^ (pair >> np.uint64(29))
         self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
+    def before(self, values: np.ndarray, at_start: object) -> np.ndarray:
+        """The value of the token before each one; `at_start` for the first of a text."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.firsts] = at_start
+        return out
+
+    def longer(self, keys: np.ndarray) -> np.ndarray:
+        """Keys of the n-grams that end at each token, from those of one word less."""
+        key = (self.before(keys, _START) * _ODD) ^ self.word
+        key = (key ^ (key >> np.uint64(32))) * _ODD
+        return (key ^ (key >> np.uint64(29))) >> np.uint64(8)
+
 
 def _squeezed(values: np.ndarray) -> bytes:
     """Non-negative whole numbers as compressed planes of bytes: the high planes of small ones are nearly free."""
@@ -75,178 +87,223 @@ def _stretched(blob: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def _sent(texts: pa.Array, trained: np.ndarray, shards: int) -> Iterator[tuple[int, int, int, bytes, bytes]]:
-    """(kind, shard, keys, keys as squeezed differences, training counts) of a block; kind 0: words, 1: bigrams."""
-    tokens = Tokens(texts)
-    weight = trained[tokens.text].astype(np.float64)
-    width = np.uint64((2**64 - 1) // shards)
-    for kind, of in enumerate((tokens.word, tokens.pair)):
-        keys, back = np.unique(of, return_inverse=True)
-        counts = np.bincount(back, weight, minlength=len(keys)).astype(np.uint64)
+class Lookup:
+    """What a block knows of its tokens' n-grams, order by order: c, and whether the n-gram occurs once in all documents."""
+
+    def __init__(self, texts: pa.Array, fold_of: np.ndarray, order: int, answers: list[dict], column: str = "total"):
+        self.tokens = Tokens(texts)
+        self.trained = (fold_of != HELD_OUT_FOLD)[self.tokens.text]
+        self.deleted = (fold_of == DELETED_FOLD)[self.tokens.text]
+        self.keys, self.counts = self.tokens.word, []
+        self.lone = np.zeros(len(self.keys), dtype=bool)
+        for n in range(1, order + 1):
+            if n > 1:
+                self._longer()
+            own = sorted((r for r in answers if r["n"] == n), key=lambda r: r["shard"])
+            asked, back = np.unique(self.keys[~self.known], return_inverse=True) if n > 1 else np.unique(self.keys, return_inverse=True)
+            if sum(r["size"] for r in own) != len(asked):
+                raise RuntimeError(f"a block got {sum(r['size'] for r in own)} answers to {len(asked)} questions")
+            total, kept = (np.concatenate([np.zeros(0, np.uint64), *[_stretched(r[c], r["size"]) for r in own]]) if c == "total" or column == c else None for c in ("total", "kept"))
+            # an n-gram that is not asked for is this token's own: it counts if the document does
+            count = (self.trained if column == "total" else self.trained & ~self.deleted).astype(np.float64)
+            lone = np.ones(len(self.keys), dtype=bool)
+            asking = slice(None) if n == 1 else ~self.known
+            count[asking] = (total >> np.uint64(1) if column == "total" else kept)[back]
+            lone[asking] = (total & np.uint64(1)).astype(bool)[back]
+            self.lone = lone
+            self.counts.append(count)
+        # a text starts as often as one ends
+        at_end = np.flatnonzero(self.tokens.word == _END)[:1]
+        starts = float(self.counts[0][at_end].sum()) if order else 0.0
+        self.contexts = [self.tokens.before(c, starts) for c in self.counts[:-1]]
+
+    def _longer(self) -> None:
+        self.known = self.lone | self.tokens.before(self.lone, False)
+        self.keys = self.tokens.longer(self.keys)
+
+    def questions(self, n: int, shards: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+        """(shard, size, keys as squeezed differences, training counts, counts) of the n-grams to ask for."""
+        if n > 1:
+            self._longer()
+        open_ = ~self.known if n > 1 else np.ones(len(self.keys), dtype=bool)
+        keys, back = np.unique(self.keys[open_], return_inverse=True)
+        trained = np.bincount(back, self.trained[open_], minlength=len(keys)).astype(np.uint64)
+        every = np.bincount(back, minlength=len(keys)).astype(np.uint64)
+        width = np.uint64((2 ** (64 if n == 1 else 56) - 1) // shards)
         place = np.minimum(keys // width, np.uint64(shards - 1)).astype(np.int64)
         cuts = np.searchsorted(place, np.arange(shards + 1))
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[shard], cuts[shard + 1])
             steps = np.diff(keys[own], prepend=np.uint64(0))
-            yield kind, shard, len(steps), _squeezed(steps), _squeezed(counts[own])
+            yield shard, len(steps), _squeezed(steps), _squeezed(trained[own]), _squeezed(every[own])
 
 
 def _answers(rows: list[dict]) -> Iterator[dict]:
-    """Totals of a shard's keys for each block; then, without a block, the shard's tokens and distinct words."""
-    for kind in (0, 1):
-        own = [r for r in rows if r["kind"] == kind]
-        if not own:
-            continue
-        keys = [np.cumsum(_stretched(r["keys"], r["n"]), dtype=np.uint64) for r in own]
-        counts = np.concatenate([_stretched(r["counts"], r["n"]) for r in own]).astype(np.float64)
-        deleted = np.repeat([r["deleted"] for r in own], [r["n"] for r in own])
-        all_keys, back = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(back, counts, minlength=len(all_keys)).astype(np.uint64)
-        kept = np.bincount(back, counts * ~deleted, minlength=len(all_keys)).astype(np.uint64)
-        ends = np.cumsum([r["n"] for r in own])
-        for r, end in zip(own, ends.tolist(), strict=True):
-            at = back[end - r["n"] : end]
-            yield {"block": r["block"], "kind": kind, "shard": r["shard"], "n": r["n"], "total": _squeezed(total[at]), "kept": _squeezed(kept[at]) if r["deleted"] else None, "tokens": None, "kept_tokens": None, "words": None}
-        if kind == 0:
-            yield {"block": None, "kind": 0, "shard": own[0]["shard"], "n": 0, "total": None, "kept": None, "tokens": int(total.sum()), "kept_tokens": int(kept.sum()), "words": int((total > 0).sum())}
-
-
-def _looked_up(tokens: Tokens, answers: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """c(w), c(u) and c(u, w) at each token."""
-    rows = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["shard"]))
-    counts = [np.concatenate([np.zeros(0), *[_stretched(r[column], r["n"]).astype(np.float64) for r in rows if r["kind"] == kind]]) for kind in (0, 1)]
-    words, back = np.unique(tokens.word, return_inverse=True)
-    pairs = np.unique(tokens.pair, return_inverse=True)[1]
-    # a text starts as often as one ends
-    starts = counts[0][np.searchsorted(words, _END)]
-    context = np.where(tokens.before == _START, starts, counts[0][np.minimum(np.searchsorted(words, tokens.before), len(words) - 1)])
-    return counts[0][back], context, counts[1][pairs]
+    """Totals of a shard's keys of one order for each block; then, without a block, the shard's tokens and distinct words."""
+    keys = np.concatenate([np.cumsum(_stretched(r["keys"], r["size"]), dtype=np.uint64) for r in rows])
+    trained, every = (np.concatenate([_stretched(r[c], r["size"]) for r in rows]).astype(np.float64) for c in ("trained", "every"))
+    deleted = np.repeat([r["deleted"] for r in rows], [r["size"] for r in rows])
+    distinct, back = np.unique(keys, return_inverse=True)
+    total, kept, seen = (np.bincount(back, c, minlength=len(distinct)).astype(np.uint64) for c in (trained, trained * ~deleted, every))
+    coded = 2 * total + (seen == 1)
+    n, shard = rows[0]["n"], rows[0]["shard"]
+    end = 0
+    for r in rows:
+        at = back[end : end + r["size"]]
+        end += r["size"]
+        yield {"block": r["block"], "n": n, "shard": shard, "size": r["size"], "total": _squeezed(coded[at]), "kept": _squeezed(kept[at]) if r["deleted"] else None}
+    yield {"block": None, "n": n, "shard": shard, "size": 0, "tokens": int(total.sum()), "kept_tokens": int(kept.sum()), "words": int((total > 0).sum())}
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(context + 1)).astype(np.int64), BUCKETS - 1)
 
 
-def learn_weights(table_: np.ndarray, floor: float) -> np.ndarray:
-    """(buckets, 3) weights a2, a1, a0 by expectation-maximisation.
+def _interpolated(buckets: list[np.ndarray], estimates: list[np.ndarray], weights: np.ndarray, floor: float) -> list[np.ndarray]:
+    """The probabilities of each order, the floor first; estimates by order, buckets from the second order on."""
+    p = [np.full(len(estimates[0]), floor)]
+    for n, ml in enumerate(estimates):
+        w = weights[n][buckets[n - 1]] if n else weights[0, 0]
+        p.append(w * ml + (1 - w) * p[-1])
+    return p
+
+
+def learn_weights(cells: np.ndarray, order: int, floor: float) -> np.ndarray:
+    """(order, buckets) weights by expectation-maximisation; the first row has one weight, in its first place.
 
-    `table_` has held-out counts: bucket, rounded log10 of the bigram's and of the word's estimate (null estimates: -1), and tokens.
+    `cells` has held-out counts: buckets of the contexts of orders 2 and up, rounded -log10 of the estimates of all orders (-1: zero), and tokens.
     """
-    weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
-    weights[0] = [0.0, 0.9, 0.1]  # an unseen context has no bigrams
-    if not len(table_):
+    weights = np.full((order, BUCKETS), 0.5)
+    weights[0] = 0.9
+    weights[1:, 0] = 0.0  # an unseen context has no estimate
+    if not len(cells):
         return weights
-    bucket, n = table_[:, 0].astype(np.int64), table_[:, 3]
-    p = np.stack([np.where(q < 0, 0.0, 10.0 ** (-q / STEPS)) for q in table_[:, 1:3].T] + [np.full(len(n), floor)], 1)
+    buckets = list(cells[:, : order - 1].T.astype(np.int64))
+    estimates = [np.where(q < 0, 0.0, 10.0 ** (-q / STEPS)) for q in cells[:, order - 1 : -1].T]
     for _ in range(ROUNDS):
-        each = weights[bucket] * p
-        each *= (n / each.sum(1))[:, None]
-        # a small pull to the whole corpus's weights keeps rare buckets steady
-        sums = np.stack([np.bincount(bucket, c, minlength=BUCKETS) for c in each.T], 1)
-        shared = sums.sum(0) / sums.sum()
-        weights = (sums + 10 * shared) / (sums.sum(1, keepdims=True) + 10)
-        weights[0] = [0.0, *(weights[0, 1:] / weights[0, 1:].sum())]
+        p = _interpolated(buckets, estimates, weights, floor)
+        left = cells[:, -1]  # tokens that are not yet drawn from a higher order
+        for n in range(order - 1, -1, -1):
+            w = weights[n][buckets[n - 1]] if n else weights[0, 0]
+            drawn = left * w * estimates[n] / p[n + 1]
+            if n:
+                # a small pull to the whole corpus's weight keeps rare buckets steady
+                some, all_ = (np.bincount(buckets[n - 1], x, minlength=BUCKETS) for x in (drawn, left))
+                shared = some[1:].sum() / max(all_[1:].sum(), 1e-9)
+                weights[n, 1:] = (some[1:] + 10 * shared) / (all_[1:] + 10)
+            else:
+                weights[0] = drawn.sum() / max(left.sum(), 1e-9)
+            left = left - drawn
     return weights
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _estimates(known: Lookup, n_tokens: int) -> list[np.ndarray]:
+    return [known.counts[0] / max(n_tokens, 1), *[c / np.maximum(h, 1) for c, h in zip(known.counts[1:], known.contexts, strict=True)]]
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of `docs`."""
-    part = F.coalesce(fold(id_col, FOLDS), F.lit(-1))
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-        part.alias("fold"),
-        F.input_file_name().alias("file"),
-        F.input_file_block_start().alias("start"),
-    ).withColumn("deleted", F.col("fold") == DELETED_FOLD)
-    sizes = rows.groupBy("file", "start", "deleted").agg(F.sum(F.octet_length("text")).alias("n"))
-    found = sizes.agg(F.max(F.when(~F.col("deleted"), F.col("n"))), F.max(F.when(F.col("deleted"), F.col("n"))), F.sum("n"), F.min("file")).first()
-    pieces = [max(1, -(-(n or 0) // block_bytes)) for n in found[:2]]
-    shards = max(1, -(-(found[2] or 0) // block_bytes))
-    on_files = bool(found[3])
-    piece = F.pmod(F.xxhash64(F.lit(1), "id", F.when(F.col("id").isNull(), F.col("text"))), F.when(F.col("deleted"), pieces[1]).otherwise(pieces[0]))
-    blocks = rows.withColumn("block", F.xxhash64("file", "start", "deleted", piece)).select("block", "id", "text", "fold", "deleted")
-    # a split is read by one task, so its blocks are whole there; other sources are dealt out first
-    counted = (blocks if on_files else blocks.repartition("block")).sortWithinPartitions("block")
-
-    def sent(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            own = pa.Table.from_batches(held).combine_chunks()
-            made = list(_sent(own["text"].combine_chunks(), own["fold"].to_numpy() != HELD_OUT_FOLD, shards))
-            kind, shard, n, keys, counts = zip(*made, strict=True)
-            block, deleted = own["block"][0].as_py(), own["deleted"][0].as_py()
-            columns = [pa.array(shard, pa.int32()), pa.array([block] * len(n)), pa.array([deleted] * len(n)), pa.array(kind, pa.int32()), pa.array(n, pa.int32()), pa.array(keys), pa.array(counts)]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "block", "deleted", "kind", "n", "keys", "counts"])
-
-        for batch in parts:
-            block = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if held and b > a and held[0].column(0)[0].as_py() != block[a]:
-                    yield from flushed()
-                    held = []
-                if b > a:
-                    held.append(batch.slice(a, b - a))
-        if held:
-            yield from flushed()
+    part = F.coalesce(fold(id_col, FOLDS), F.lit(-1)).cast("int")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), part.alias("fold"))
+    deleted = F.col("fold") == DELETED_FOLD
+    size = lambda cond: F.coalesce(F.sum(F.when(cond, F.octet_length("text"))), F.lit(0))
+    held, others = (max(1, -(-n // block_bytes)) for n in rows.agg(size(deleted), size(~deleted)).first())
+    shards = held + others
+    own = F.pmod(F.xxhash64("id", "text"), F.when(deleted, held).otherwise(others))
+    blocks = rows.withColumn("block", F.when(deleted, own).otherwise(own + held)).repartition("block")  # one exchange, read by each order
+
+    def asked(n: int):
+        def ask(own: pa.Table, mine: pa.Table) -> pa.Table:
+            known = Lookup(own["text"].combine_chunks(), own["fold"].to_numpy(), n - 1, mine.to_pylist())
+            made = list(known.questions(n, shards))
+            columns = list(zip(*made, strict=True)) or [[]] * 5
+            block, is_deleted = own["block"][0].as_py(), own["fold"][0].as_py() == DELETED_FOLD
+            values = [[block] * len(made), [is_deleted] * len(made), [n] * len(made), *columns]
+            return pa.table([pa.array(v, t.type) for v, t in zip(values, _QUESTION, strict=True)], schema=_QUESTION)
+
+        def ask_words(own: pa.Table) -> pa.Table:
+            return ask(own, _ANSWER.empty_table())
+
+        return ask if n > 1 else ask_words
 
     def answered(rows: pa.Table) -> pa.Table:
         return pa.Table.from_pylist(list(_answers(rows.to_pylist())), schema=_ANSWER)
 
-    questions = counted.mapInArrow(sent, "shard int, block long, deleted boolean, kind int, n int, keys binary, counts binary")
-    answers = cut(questions.groupBy("shard").applyInArrow(answered, "block long, kind int, shard int, n int, total binary, kept binary, tokens long, kept_tokens long, words long"))
-    sums = answers.where("block is null").agg(F.sum("tokens"), F.sum("kept_tokens"), F.sum("words")).first()
-    n_train, n_kept, n_words = (int(s or 0) for s in sums)
-    floor = 1 / (n_words + 1)
+    answers = None
+    for n in range(1, order + 1):
+        grouped = blocks.groupBy("block")
+        if answers is None:
+            questions = grouped.applyInArrow(asked(n), _QUESTIONS)
+        else:
+            questions = grouped.cogroup(answers.where("block is not null").groupBy("block")).applyInArrow(asked(n), _QUESTIONS)
+        new = questions.groupBy("shard").applyInArrow(answered, _ANSWERS)
+        answers = new if answers is None else answers.union(new)
+        if n == 1:
+            whole = new.where("block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kept_tokens", "words")])
+    totals = F.struct("tokens", "kept_tokens", "words")
     mine = answers.where("block is not null")
 
     def held_counts(own: pa.Table, mine: pa.Table) -> pa.Table:
-        tokens = Tokens(own["text"].combine_chunks())
-        word, context, pair = _looked_up(tokens, mine, "kept")
-        with np.errstate(divide="ignore", invalid="ignore"):
-            logs = [np.where(c > 0, np.rint(-STEPS * np.log10(c / d)), -1) for c, d in ((pair, context), (word, float(max(n_kept, 1))))]
-        cells, n = np.unique(np.stack([_bucket(context), *logs], 1), axis=0, return_counts=True)
-        return pa.table({"bucket": cells[:, 0].astype(np.int32), "pair": cells[:, 1].astype(np.int32), "word": cells[:, 2].astype(np.int32), "n": n.astype(np.int64)})
-
-    deleted = blocks.where("deleted").select("block", "text")
-    held = deleted.groupBy("block").cogroup(mine.where("kept is not null").groupBy("block")).applyInArrow(held_counts, "bucket int, pair int, word int, n long")
-    cells = held.groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n")).collect()
-    weights = learn_weights(np.array([tuple(r) for r in cells], dtype=np.float64).reshape(-1, 4), floor)
+        known = Lookup(own["text"].combine_chunks(), own["fold"].to_numpy(), order, mine.to_pylist(), "kept")
+        estimates = _estimates(known, mine["totals"][0].as_py()["kept_tokens"])
+        with np.errstate(divide="ignore"):
+            logs = [np.where(p > 0, np.rint(-STEPS * np.log10(p)), -1) for p in estimates]
+        cells, times = np.unique(np.stack([*map(_bucket, known.contexts), *logs], 1), axis=0, return_counts=True)
+        return pa.table({"cell": pa.array(cells.astype(np.int32).tolist(), pa.list_(pa.int32())), "n": times.astype(np.int64)})
+
+    def learned(cells: pa.Table) -> pa.Table:
+        table_ = np.array([[*c, n] for c, n in zip(cells["cell"].to_pylist(), cells["n"].to_pylist(), strict=True)], dtype=np.float64)
+        table_ = table_[np.lexsort(table_.T)]
+        weights = learn_weights(table_, order, 1 / (cells["totals"][0].as_py()["words"] + 1))
+        return pa.table({"weights": pa.array([weights.ravel().tolist()], pa.list_(pa.float64()))})
+
+    all_totals = whole.select(totals.alias("totals"))
+    known = mine.withColumn("totals", all_totals.scalar())
+    held_rows = blocks.where(deleted).groupBy("block").cogroup(known.where("kept is not null").groupBy("block")).applyInArrow(held_counts, "cell array<int>, n long")
+    cells = held_rows.groupBy("cell").agg(F.sum("n").alias("n")).withColumn("totals", all_totals.scalar())
+    weights = cells.groupBy(F.lit(0).alias("all")).applyInArrow(learned, "weights array<double>")
+    known = known.withColumn("weights", weights.scalar())
 
     def scored(own: pa.Table, mine: pa.Table) -> pa.Table:
-        tokens = Tokens(own["text"].combine_chunks())
-        word, context, pair = _looked_up(tokens, mine, "total")
+        totals, learnt = mine["totals"][0].as_py(), mine["weights"][0].as_py()
+        n_train, n_words = totals["tokens"], totals["words"]
+        weights = learn_weights(np.zeros((0, 0)), order, 0.0) if learnt is None else np.array(learnt).reshape(order, BUCKETS)
+        if not n_train:
+            weights = np.zeros((order, BUCKETS))  # the floor alone
+        fold_of = own["fold"].to_numpy()
+        known = Lookup(own["text"].combine_chunks(), fold_of, order, mine.drop_columns(["totals", "weights"]).to_pylist())
+        word, tokens = known.counts[0], known.tokens
         base = np.log10((word + 0.1) / (n_train + 0.1 * (n_words + 1)))
-        w = weights[_bucket(context)]
-        p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(n_train, 1) + w[:, 2] * floor
-        adds = lambda x: np.bincount(tokens.text, x, minlength=len(tokens.sizes))
+        p = _interpolated([_bucket(c) for c in known.contexts], _estimates(known, n_train), weights, 1 / (n_words + 1))[-1]
+        adds = lambda x: np.bincount(tokens.text, x, minlength=len(tokens.sizes)).astype(np.float64)
         return pa.table(
             {
                 "id": own["id"],
-                "held_out": own["fold"].to_numpy() == HELD_OUT_FOLD,
+                "held_out": fold_of == HELD_OUT_FOLD,
                 "n_tokens": tokens.sizes.astype(np.int64),
                 "n_known": adds(word > 0).astype(np.int64),
+                "train_tokens": np.full(len(fold_of), n_train, dtype=np.int64),
                 "base_score": adds(base),
                 "score": adds(np.log10(p)),
             }
         )
 
     kind = rows.schema["id"].dataType.simpleString()
-    out = (
-        blocks.select("block", "id", "text", "fold")
-        .groupBy("block")
-        .cogroup(mine.groupBy("block"))
-        .applyInArrow(scored, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    out = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        scored, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.withColumnRenamed("id", id_col)
 
 
+_QUESTION = pa.schema(
+    [("block", pa.int64()), ("deleted", pa.bool_()), ("n", pa.int32()), ("shard", pa.int32()), ("size", pa.int32())] + [(c, pa.binary()) for c in ("keys", "trained", "every")]
+)
+_QUESTIONS = "block long, deleted boolean, n int, shard int, size int, keys binary, trained binary, every binary"
 _ANSWER = pa.schema(
-    [("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("total", pa.binary()), ("kept", pa.binary())]
+    [("block", pa.int64()), ("n", pa.int32()), ("shard", pa.int32()), ("size", pa.int32()), ("total", pa.binary()), ("kept", pa.binary())]
     + [(c, pa.int64()) for c in ("tokens", "kept_tokens", "words")]
 )
+_ANSWERS = "block long, n int, shard int, size int, total binary, kept binary, tokens long, kept_tokens long, words long"
 
 
 def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -403,33 +403,94 @@ def test_pieces(docs, rows, no_docs, monkeypatch):
 # --- 7: language model --------------------------------------------------------------------------------------------
 
 
-def test_language_model(docs, rows, no_docs):
-    tokens = [(d, t, (t or "").encode().lower().split() + [None]) for d, t, _ in rows]
+def slow_language_model(rows, order):
+    """(doc_id, tokens) -> (held out, n_known, train tokens, base score, score), with plain counts and loops."""
     fold = lambda d: -1 if d is None else zlib.crc32(str(d).encode()) % 10
-    words, pairs, starts = collections.Counter(), collections.Counter(), 0
-    for d, _, ts in tokens:
-        if fold(d) != 0:
-            words.update(ts)
-            pairs.update(zip(["<s>", *ts], ts))
-            starts += 1
-    n, v = sum(words.values()), len(words)
-    for size in (1 << 20, 2000):
-        got = {(r["doc_id"], r["n_tokens"]): r for r in interpolation.score_texts(docs, block_bytes=size).collect()}
-        for d, _, ts in tokens:
-            r = got[d, len(ts)]
-            base = sum(math.log10((words[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)
-            assert r["base_score"] == pytest.approx(base) and r["train_tokens"] == n
-            assert r["n_known"] == sum(words[w] > 0 for w in ts) and r["held_out"] == (fold(d) == 0)
-            assert r["score"] < 0
+    tokens = [(d, (t or "").encode().lower().split() + [None]) for d, t, _ in rows]
+    grams = lambda ts, n: [tuple((["<s>"] * (n - 1) + ts)[i : i + n]) for i in range(len(ts))]
+
+    def model(of):
+        counts = [collections.Counter(g for d, ts in tokens if of(d) for g in grams(ts, n)) for n in range(1, order + 1)]
+        starts = sum(of(d) for d, _ in tokens)
+        return counts, starts, sum(counts[0].values())
+
+    def estimates(known, ts):
+        counts, starts, total = known
+        for i in range(len(ts)):
+            each, buckets = [], []
+            for n in range(1, order + 1):
+                g = grams(ts, n)[i]
+                h = total if n == 1 else starts if set(g[:-1]) == {"<s>"} else counts[n - 2][g[:-1]] if "<s>" not in g[:-1] else sum(c for k, c in counts[n - 1].items() if k[:-1] == g[:-1])
+                each.append(counts[n - 1][g] / max(h, 1))
+                buckets += [min(math.ceil(math.log2(h + 1)), interpolation.BUCKETS - 1)] if n > 1 else []
+            yield buckets, each
+
+    whole, kept = model(lambda d: fold(d) != 0), model(lambda d: fold(d) not in (0, 1))
+    n, v = whole[2], len(whole[0][0])
+    cells = collections.Counter()
+    for d, ts in tokens:
+        if fold(d) == 1:
+            for buckets, each in estimates(kept, ts):
+                cells[(*buckets, *(round(-interpolation.STEPS * math.log10(p)) if p else -1 for p in each))] += 1
+    table = np.array([[*c, k] for c, k in cells.items()], dtype=float).reshape(-1, 2 * order)
+    weights = interpolation.learn_weights(table, order, 1 / (v + 1))
+    out = collections.defaultdict(list)
+    for d, ts in tokens:
+        base, score = 0.0, 0.0
+        for i, (buckets, each) in enumerate(estimates(whole, ts)):
+            p = 1 / (v + 1)
+            for k, ml in enumerate(each):
+                w = weights[0, 0] if k == 0 else weights[k, buckets[k - 1]]
+                p = w * ml + (1 - w) * p
+            score += math.log10(p)
+            base += math.log10((whole[0][0][(ts[i],)] + 0.1) / (n + 0.1 * (v + 1)))
+        out[d, len(ts)].append((fold(d) == 0, sum(whole[0][0][(w,)] > 0 for w in ts), n, base, score))
+    return out
+
+
+@pytest.mark.parametrize(("order", "size"), [(3, 1 << 20), (3, 2000), (1, 2000), (2, 4000), (4, 4000)])
+def test_language_model(docs, rows, order, size):
+    rows = [r if len(r[1] or "") < 10_000 else (r[0], r[1][:900], r[2]) for r in rows]
+    docs = docs.sparkSession.createDataFrame(rows, docs.schema)
+    want = slow_language_model(rows, order)
+    seen = collections.Counter()
+    for r in interpolation.score_texts(docs, order=order, block_bytes=size).collect():
+        near = [w for w in want[r["doc_id"], r["n_tokens"]] if r["base_score"] == pytest.approx(w[3])]
+        assert near and (r["held_out"], r["n_known"], r["train_tokens"]) == near[0][:3] and r["score"] == pytest.approx(near[0][4], rel=1e-6)
+        seen[r["doc_id"], r["n_tokens"]] += 1
+    assert seen == {k: len(v) for k, v in want.items()}
+
+
+def test_language_model_from_any_source(spark, data, no_docs):
+    """The same scores from a table, from two readings of it side by side, from other partitions and from memory."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    even = F.col("doc_id") % 2 == 0
+    sources = [docs, docs.where(even).union(docs.where(~even)), docs.repartition(7), docs.cache()]
+    want = None
+    for source in sources:
+        got = {r["doc_id"]: (r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in interpolation.score_texts(source, block_bytes=100_000).collect()}
+        assert want is None or got == want
+        want = got
+    docs.unpersist()
     assert interpolation.score_texts(no_docs).count() == 0
+    held = no_docs.sparkSession.createDataFrame([(i, "a b c") for i in range(60) if zlib.crc32(str(i).encode()) % 10 == 0], "doc_id long, text string")
+    for r in interpolation.score_texts(held).collect():  # nothing to learn from
+        assert r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] == pytest.approx(0.0)
 
 
 def test_weights_by_expectation_maximisation():
-    weights = interpolation.learn_weights(np.array([[3, 10, 40, 90], [3, -1, 30, 10], [0, -1, 20, 5]], dtype=float), 1e-6)
-    assert np.allclose(weights.sum(1), 1) and weights[0, 0] == 0 and weights[3, 0] > 0.7 and (weights >= 0).all()
-    p = np.array([10**-0.5, 10**-2.0, 1e-6]), np.array([0, 10**-1.5, 1e-6])
-    gain = lambda w: 90 * math.log(w @ p[0]) + 10 * math.log(w @ p[1])
-    assert gain(weights[3]) > gain(np.array([0.5, 0.4, 0.1]))
+    cells = np.array([[3, 5, 16, 90], [3, -1, 12, 10], [0, -1, 8, 5]], dtype=float)  # bucket, bigram, word, tokens
+    cells = cells[:, [0, 2, 1, 3]]
+    weights = interpolation.learn_weights(cells, 2, 1e-6)
+    assert weights[1, 0] == 0 and weights[1, 3] > 0.7 and (weights >= 0).all() and (weights <= 1).all()
+
+    def gain(w, l1):
+        p = [10 ** (-q / interpolation.STEPS) for q in (5, 16, 12)]
+        lower = [l1 * x + (1 - l1) * 1e-6 for x in p[1:]]
+        return 90 * math.log(w * p[0] + (1 - w) * lower[0]) + 10 * math.log((1 - w) * lower[1])
+
+    best = gain(weights[1, 3], weights[0, 0])
+    assert all(gain(w, weights[0, 0]) < best + 1 for w in (0.2, 0.5, 0.7, 0.95, 0.99))
 
 
 def test_squeezed():
