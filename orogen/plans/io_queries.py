@@ -32,7 +32,7 @@ def _place(spark: SparkSession, ext: str) -> str:
 _POINTS = f"WITH {SQL['pts']} SELECT pid::DOUBLE AS pid, x, y, class, v FROM pts"
 
 
-@query("S01_S02_S34_K01_K02_K03_K05_K06_geotiff_round_trip", f"WITH {SQL['demn']} SELECT r, c, round(z, 2) + 0.0 AS z FROM dem")
+@query("S01_S02_K01_K02_K03_K06_geotiff_round_trip", f"WITH {SQL['demn']} SELECT r, c, round(z, 2) + 0.0 AS z FROM dem")
 def _(spark: SparkSession, d: str) -> DataFrame:
     files = rasters.as_tiffs(sinks.tiles_of(dem(spark, d, gaps=True), 64), 64, 2.0, 0.0, 0.0, sinks.NODATA)
     cells = rasters.cells_from(files.select(F.concat_ws("_", F.lit("t"), "tile_r", "tile_c").alias("path"), "content"))
@@ -40,6 +40,25 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return cells.select(F.floor(-F.col("y") / 2.0).alias("r"), F.floor(F.col("x") / 2.0).alias("c"), (F.round("z", 2) + 0.0).alias("z"))
 
 
+def _tiffs(spark: SparkSession, d: str, **options: object) -> DataFrame:
+    files = rasters.as_tiffs(sinks.tiles_of(dem(spark, d, gaps=True), 64), 64, 2.0, 0.0, 0.0, sinks.NODATA, epsg=6673, **options)
+    return files.select(F.concat_ws("_", F.lit("t"), "tile_r", "tile_c").alias("path"), "content")
+
+
+@query("K05_lzw_tiles", f"WITH {SQL['demn']} SELECT r, c, round(z, 2) + 0.0 AS z FROM dem")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    cells = rasters.cells_from(_tiffs(spark, d, codec=rasters.LZW, block=16))
+    return cells.select(F.floor(-F.col("y") / 2.0).alias("r"), F.floor(F.col("x") / 2.0).alias("c"), (F.round("z", 2) + 0.0).alias("z"))
+
+
+@query(
+    "S34_crs_and_resolution",
+    f"WITH {SQL['dem']} SELECT 't_' || (r // 64) || '_' || (c // 64) AS raster_id, max(r % 64) + 1 AS n_rows, max(c % 64) + 1 AS n_cols, 2.0::DOUBLE AS px, -2.0::DOUBLE AS py, 6673 AS epsg FROM dem GROUP BY r // 64, c // 64",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return rasters.geometry_of(_tiffs(spark, d)).select("raster_id", F.col("rows").alias("n_rows"), F.col("cols").alias("n_cols"), "px", "py", "epsg")
+
+
 @query("S03_S20_S21_S23_D4_bands_side_by_side", f"WITH {SQL['dem']} SELECT r, c, z AS a_b1, z * 2 AS b_b1 FROM dem")
 def _(spark: SparkSession, d: str) -> DataFrame:
     cells = dem(spark, d).withColumn("band", F.lit(1))
@@ -68,7 +87,16 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_table(spark, path).select(F.col("pid").cast("double").alias("pid"), "x", "y", "class", "v")
 
 
-@query("S07_S09_S14_K08_K10_K21_geoparquet_round_trip", f"WITH {SQL['pts']} SELECT pid, x, y, class, v FROM pts WHERE x BETWEEN 3 AND 17 AND y BETWEEN 2 AND 9")
+@query("S14_geoparquet_footer", "SELECT 'EPSG' AS authority, 6673 AS code, 'geometry' AS primary_column")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    path = _place(spark, "parquet")
+    sinks.write_geoparquet(points(spark, d), path, 6673)
+    geo = readers.geo_footer(spark, path)
+    crs = geo["columns"][geo["primary_column"]]["crs"]["id"]
+    return spark.createDataFrame([(crs["authority"], crs["code"], geo["primary_column"])], "authority string, code int, primary_column string")
+
+
+@query("S07_S09_K08_K10_K21_geoparquet_round_trip", f"WITH {SQL['pts']} SELECT pid, x, y, class, v FROM pts WHERE x BETWEEN 3 AND 17 AND y BETWEEN 2 AND 9")
 def _(spark: SparkSession, d: str) -> DataFrame:
     path = _place(spark, "parquet")
     sinks.write_geoparquet(points(spark, d), path, 6673)

@@ -9,6 +9,7 @@ from functools import reduce
 from operator import or_
 
 import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,12 +128,28 @@ def read_table(
 def inspect(spark: SparkSession, path: str, fmt: str | None = None) -> dict[str, object]:
     """Columns, kinds and row count; a Parquet count reads footers only."""
     df = read_table(spark, path, fmt, geometry=True)
-    return {"columns": df.columns, "types": dict(df.dtypes), "rows": df.count(), "geo": is_geoparquet(df)}
+    geo = (fmt or format_of(path)) == "parquet" and is_geoparquet(spark, path)
+    return {"columns": df.columns, "types": dict(df.dtypes), "rows": df.count(), "geo": geo}
 
 
-def is_geoparquet(df: DataFrame) -> bool:
-    """Whether a column carries the mark of `write_geoparquet`."""
-    return any("geo" in f.metadata for f in df.schema)
+def geo_footer(spark: SparkSession, path: str) -> dict | None:
+    """The footer entry `geo` of the first file of a Parquet table, read in a task by Spark's reader (any store); none if it has none."""
+    files = spark.read.parquet(path).inputFiles()
+    if not files:
+        return None
+
+    def footer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            marks = [(pq.read_schema(io.BytesIO(c)).metadata or {}).get(b"geo") for c in pdf["content"]]
+            yield pd.DataFrame({"geo": [m.decode() if m else None for m in marks]})
+
+    got = spark.read.format("binaryFile").load(min(files)).select("content").mapInPandas(footer, "geo string").first()
+    return json.loads(got["geo"]) if got and got["geo"] else None
+
+
+def is_geoparquet(spark: SparkSession, path: str) -> bool:
+    """Whether the footer marks GeoParquet, whoever wrote it."""
+    return geo_footer(spark, path) is not None
 
 
 def boxes(spark: SparkSession, path: str) -> DataFrame:

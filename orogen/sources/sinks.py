@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orogen.functions.geometry import point_wkb
 from orogen.functions.names import safe_filename
@@ -105,10 +110,32 @@ def geo_metadata(epsg: int) -> str:
 
 
 def write_geoparquet(df: DataFrame, path: str, epsg: int, x: str = "x", y: str = "y") -> None:
-    """Points as Parquet with WKB; the CRS is in a sidecar and in the column's metadata, as writers run on executors."""
+    """Points as Parquet with WKB, one file for each partition; each has the mark in its footer, which Spark's own writer cannot set.
+
+    Tasks write by Arrow's file systems (a path without a scheme is local or mounted): under a hidden name first, so that
+    a task that is run again replaces its file.
+    """
     out = with_point_geometry(df, x, y)
-    meta = out.schema["geometry"].metadata | {"geo": geo_metadata(epsg)}
-    out.withMetadata("geometry", meta).write.mode("overwrite").parquet(path)
+    schema = to_arrow_schema(out.schema).with_metadata({"geo": geo_metadata(epsg)})
+    local = path.removeprefix("file:") if path.startswith("file:") else path if ":" not in path.split("/")[0] else None
+    uri = path if local is None else Path(f"/{local.lstrip('/')}" if path.startswith("file:") else local).absolute().as_uri()
+    system, root = fs.FileSystem.from_uri(uri)
+    system.create_dir(root)
+    system.delete_dir_contents(root)
+
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(uri)
+        task = TaskContext.get()
+        hidden, rows = f"{root}/_{task.partitionId()}-{task.taskAttemptId()}", 0
+        with system.open_output_stream(hidden) as sink, pq.ParquetWriter(sink, schema, compression="snappy") as writer:
+            for batch in parts:
+                writer.write_table(pa.Table.from_batches([batch]).cast(schema))
+                rows += batch.num_rows
+        system.move(hidden, f"{root}/part-{task.partitionId():05d}.parquet")
+        yield pa.RecordBatch.from_arrays([pa.array([rows])], ["n"])
+
+    if out.mapInArrow(write, "n long").agg(F.count("*")).first()[0] == 0:  # no partition at all: the schema is kept
+        pq.write_table(schema.empty_table(), f"{root}/part-00000.parquet", filesystem=system)
 
 
 def json_default(value: object) -> object:

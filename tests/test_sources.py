@@ -1,9 +1,11 @@
 """Files written and read again: TIFF, GeoPackage, tiles, CSV encodings, boxes, JSON."""
 
+import json
 import sqlite3
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,12 +28,51 @@ def test_tiff_predictors():
     z = np.arange(20, dtype=np.float32).reshape(4, 5) * 1.5
     planes = z.astype(">f4").view(np.uint8).reshape(4, 5, 4).transpose(0, 2, 1).reshape(4, 20)
     raw = np.diff(planes, axis=1, prepend=np.uint8(0)).astype(np.uint8).tobytes()
-    plain = rasters.encode(z)
-    old, new = zlib.compress(z.tobytes()), zlib.compress(raw)
-    _, tags = rasters._tags(plain)
-    assert plain[8 : 8 + len(old)] == old and tags[rasters.STRIP_BYTES] == (len(old),)
-    got = rasters._unpredicted(np.frombuffer(raw, "<f4").reshape(4, 5, 1), 3, np.dtype("<f4"), zlib.decompress(new), (4, 5, 1))
-    assert np.array_equal(got[..., 0], z)
+    _, own = rasters.decode(rasters.encode(z))
+    own.predictor = 3
+    assert np.array_equal(own.numbers(0, zlib.compress(raw))[..., 0], z)
+    own.predictor, own.kind = 2, "<i4"
+    steps = np.diff(np.arange(20, dtype=np.int32).reshape(4, 5) ** 2, axis=1, prepend=0).astype("<i4")
+    assert np.array_equal(own.numbers(0, zlib.compress(steps.tobytes()))[..., 0], np.arange(20).reshape(4, 5) ** 2)
+
+
+def test_lzw():
+    rng = np.random.default_rng(1)
+    for data in (b"", b"a", b"ab" * 5000, bytes(rng.integers(0, 256, 30_000, dtype=np.uint8)), bytes(rng.integers(0, 3, 60_000, dtype=np.uint8))):
+        assert rasters.unpacked_lzw(rasters.packed_lzw(data)) == data
+    # codes by hand: clear, 7, 258 (7 7), 8, end in nine bits each
+    codes = "".join(f"{c:09b}" for c in (256, 7, 258, 8, 257))
+    raw = int(codes.ljust(48, "0"), 2).to_bytes(6)
+    assert rasters.unpacked_lzw(raw) == bytes([7, 7, 7, 8]) == rasters.unpacked_lzw(rasters.packed_lzw(bytes([7, 7, 7, 8])))
+
+
+@pytest.mark.parametrize("codec", [rasters.NONE, rasters.LZW, rasters.DEFLATE])
+def test_tiff_variants(spark, codec):
+    z = np.random.default_rng(2).normal(size=(50, 37)).astype(np.float32)
+    z[3, 4] = -9999
+    made = [(f"t{tile}{big}", rasters.encode(z, 2.0, 10.0, 20.0, -9999, codec, tile, 6673, big)) for tile in (None, 16) for big in (False, True)]
+    for _, raw in made:
+        data, own = rasters.decode(raw)
+        assert np.array_equal(data[..., 0], z) and (own.epsg, own.nodata, own.x0, own.y0) == (6673, -9999.0, 10.0, 20.0)
+    files = spark.createDataFrame([(n, bytearray(raw)) for n, raw in made], "path string, content binary")
+    got = rasters.cells_from(files).toPandas()
+    assert len(got) == 4 * z.size and rasters.blocks_of(files).where("raster_id like 't16%'").count() == 2 * 4 * 3
+    for _, part in got.groupby("raster_id"):
+        back = np.full(z.shape, np.nan)
+        back[part["r"], part["c"]] = part["z"].astype(float)
+        assert np.isnan(back[3, 4]) and np.allclose(np.where(np.isnan(back), -9999, back), z)
+    assert {r["epsg"] for r in rasters.geometry_of(files).collect()} == {6673}
+    rasters.check_aligned(rasters.geometry_of(files))
+    other = spark.createDataFrame([("u", bytearray(rasters.encode(z, 2.0, 10.0, 20.0, epsg=6674)))], "path string, content binary")
+    with pytest.raises(ValueError, match="differ"):
+        rasters.check_aligned(rasters.geometry_of(files.union(other)))
+
+
+def test_separate_bands():
+    own, _ = rasters.layout(rasters.encode(np.zeros((20, 20)), tile=16))
+    own.bands, own.separate, own.codec = 3, True, rasters.NONE
+    assert [own.place(k) for k in (0, 3, 4, 11)] == [(0, 0, 16, 0), (16, 16, 16, 0), (0, 0, 16, 1), (16, 16, 16, 2)]
+    assert own.numbers(11, np.arange(256, dtype="<f4").tobytes()).shape == (4, 4, 1)
 
 
 def test_geopackage_round_trip(spark, tmp_path):
@@ -52,7 +93,7 @@ def test_tiles_round_trip(spark):
     assert sorted(back.collect(), key=str) == sorted(cells.select("r", "c", "z").collect(), key=str)
     made = rasters.as_tiffs(sinks.tiles_of(cells, 4), 4, 1.0, 0.0, 0.0, -9999.0).where("tile_r = 0 and tile_c = 1").first()
     data, geo = rasters.decode(bytes(made["content"]))
-    assert data.shape == (4, 2, 1) and geo["x0"] == 4.0
+    assert data.shape == (4, 2, 1) and geo.x0 == 4.0
 
 
 def test_csv_encodings_and_boxes(spark, tmp_path):
@@ -71,7 +112,13 @@ def test_tables_and_json(spark, tmp_path):
         assert readers.read_table(spark, str(tmp_path / f"t.{fmt}"), bbox=(2, 2, 5, 5)).count() == 4
     assert readers.inspect(spark, str(tmp_path / "t.parquet"))["rows"] == 10
     sinks.write_geoparquet(df, str(tmp_path / "g.parquet"), 6673)
-    assert readers.is_geoparquet(readers.read_table(spark, str(tmp_path / "g.parquet"), geometry=True))
+    assert readers.is_geoparquet(spark, str(tmp_path / "g.parquet")) and not readers.is_geoparquet(spark, str(tmp_path / "t.parquet"))
+    assert readers.geo_footer(spark, str(tmp_path / "g.parquet"))["columns"]["geometry"]["crs"]["id"]["code"] == 6673
+    assert readers.read_table(spark, str(tmp_path / "g.parquet"), geometry=True).count() == 10
+    footer = pq.read_schema(next((tmp_path / "g.parquet").glob("*.parquet"))).metadata
+    assert json.loads(footer[b"geo"])["primary_column"] == "geometry"
+    sinks.write_geoparquet(df.where("false"), str(tmp_path / "g.parquet"), 6673)
+    assert readers.read_table(spark, str(tmp_path / "g.parquet")).count() == 0
     sinks.write_csv_split(df.select("x"), str(tmp_path / "parts"), 3, ["x"])
     assert [r["count"] for r in spark.read.csv(str(tmp_path / "parts"), header=True).groupBy("part").count().orderBy("part").collect()] == [4, 4, 2]
     sinks.write_per_class(spark.createDataFrame([("a/b", 1), (None, 2)], "label string, v int"), str(tmp_path / "classes"))
