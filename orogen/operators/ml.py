@@ -6,9 +6,12 @@ training rows, kept in the pipeline as one SQL stage.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
@@ -182,10 +185,7 @@ def importances(spark, model: PipelineModel, features: Sequence[str]) -> DataFra
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, run: Training) -> DataFrame:
-    """(class, feature, drop): how much a true class's recall falls when the feature's values change places among the rows.
-
-    Stands in for attributions by game theory, which need a library that is not there.
-    """
+    """(class, feature, drop): how much a true class's recall falls when the feature's values change places among the rows."""
     rows = stats.numbered(df.where(F.col(run.label).isNotNull()), [run.key], name="__n")
     base = predict(model, rows, run.features)
     hit = (F.col(run.label).cast("string") == F.col("pred_label")).cast("double")
@@ -201,6 +201,94 @@ def permutation_importance(model: PipelineModel, df: DataFrame, run: Training) -
     return parts.join(out, "class").select("class", "feature", (F.col("base") - F.col("now")).alias("drop"))
 
 
+@dataclass
+class Leaf:
+    """A leaf of one tree: the features on its way with the range (low, high] that leads here, the share of rows that the ranges let through, and its class shares."""
+
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+
+def leaves(model: PipelineModel, path: str) -> list[Leaf]:
+    """The leaves of all trees, read from the model as it is stored at `path`; values are divided by the number of trees."""
+    forest = forest_of(model)
+    forest.write().overwrite().save(path)
+    n = F.col("nodeData")
+    data = SparkSession.active().read.parquet(f"{path}/data")
+    rows = data.select(F.col("treeID").alias("tree"), n["id"].alias("id"), n["leftChild"].alias("l"), n["rightChild"].alias("r"), n["split"]["featureIndex"].alias("f"), n["split"]["leftCategoriesOrThreshold"].alias("t"), n["impurityStats"].alias("stats"))
+    nodes = {(r["tree"], r["id"]): r for r in rows.collect()}  # a model: trees times 2 ** depth rows
+    trees = len({tree for tree, _ in nodes})
+    out = []
+    waiting = [(tree, 0, {}) for tree in sorted({tree for tree, _ in nodes})]
+    while waiting:
+        tree, at, way = waiting.pop()
+        node = nodes[tree, at]
+        total = sum(node["stats"])
+        if node["l"] < 0:
+            keys = sorted(way)
+            low, high, share = (np.array([way[k][i] for k in keys]) for i in range(3))
+            out.append(Leaf(np.array(keys, dtype=int), low, high, share, np.array(node["stats"]) / total / trees))
+            continue
+        low, high, share = way.get(node["f"], (-np.inf, np.inf, 1.0))
+        threshold = node["t"][0]
+        for child, ends in ((node["l"], (low, min(high, threshold))), (node["r"], (max(low, threshold), high))):
+            waiting.append((tree, child, {**way, node["f"]: (*ends, share * sum(nodes[tree, child]["stats"]) / total)}))
+    return out
+
+
+def attributions(x: np.ndarray, found: Sequence[Leaf]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, classes, features) Shapley values of the class shares, and the shares that are expected without any feature.
+
+    A leaf's value times, for each feature on its way, either whether the row is in its range (the feature is known) or
+    the share of rows that are (unknown): in such a product game a feature's value needs only the elementary symmetric sums
+    of the others, one polynomial for each feature of a leaf.
+    """
+    out, base = np.zeros((len(x), len(found[0].value), x.shape[1])), np.zeros(len(found[0].value))
+    for leaf in found:
+        m = len(leaf.features)
+        base += leaf.value * leaf.share.prod()
+        own = x[:, leaf.features]
+        inside = ((own > leaf.low) & (own <= leaf.high)).astype(float)
+        weights = [math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)]
+        for j in range(m):
+            sums = np.zeros((len(x), m))
+            sums[:, 0] = 1.0
+            for i in range(m):
+                if i != j:
+                    sums[:, 1:] = sums[:, 1:] * leaf.share[i] + sums[:, :-1] * inside[:, i : i + 1]
+                    sums[:, 0] *= leaf.share[i]
+            out[:, :, leaf.features[j]] += ((inside[:, j] - leaf.share[j]) * (sums @ weights))[:, None] * leaf.value
+    return out, base
+
+
+def shap_values(model: PipelineModel, df: DataFrame, run: Training, path: str) -> DataFrame:
+    """(key, truth, pred_label, probabilities, base, shap: by class and feature): base and the row's values of a class add up to its probability."""
+    found = leaves(model, path)
+    rows = model.transform(aligned(df, run.features)).select(
+        F.col(run.key).alias("key"), F.col(run.label).cast("string").alias("truth"), "pred_label", vector_to_array("__proba").alias("probabilities"), vector_to_array("__x").alias("x")
+    )
+
+    def explained(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for at in range(0, len(pdf), 1000):
+                part = pdf.iloc[at : at + 1000]
+                values, base = attributions(np.stack(part["x"].to_list()), found)
+                yield part.drop(columns="x").assign(base=[base] * len(part), shap=[list(v) for v in values])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInPandas(explained, f"key {kind}, truth string, pred_label string, probabilities array<double>, base array<double>, shap array<array<double>>")
+
+
+def mean_abs_shap(values: DataFrame, names: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """(class, feature, mean_abs_shap)."""
+    long = values.select(F.posexplode("shap").alias("c", "by_feature")).select("c", F.posexplode("by_feature").alias("f", "v"))
+    named = [F.get(F.array(*[F.lit(n) for n in of]), F.col(at)).alias(to) for of, at, to in ((names, "c", "class"), (features, "f", "feature"))]
+    return long.groupBy("c", "f").agg(F.avg(F.abs("v")).alias("mean_abs_shap")).select(*named, "mean_abs_shap").where("class is not null")
+
+
 def tree_votes(model: PipelineModel, df: DataFrame, run: Training) -> DataFrame:
     """(key, truth, pred_label, tree_id, vote): each tree's class for each row. Trees run one after another on the same columns."""
     forest, names = forest_of(model), class_names(model)

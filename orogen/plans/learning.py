@@ -88,6 +88,15 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return ml.tree_nodes(model, FEATURES, f"{shared_folder(spark)}/forest-{uuid.uuid4().hex}")
 
 
+@query("M20_one_vote_a_tree_and_row", f"WITH {SQL['feat']} SELECT t.tree_id::INT AS tree_id, count(*) AS n_votes, count(*) AS n_known FROM feat, range(4) t(tree_id) WHERE label IS NOT NULL GROUP BY t.tree_id")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    df, run = features(spark, d).where("label is not null"), _run(trees=4)
+    known = df.select(F.col("label").cast("string").alias("vote")).distinct()
+    votes = ml.tree_votes(ml.fit(df, run), df, run)
+    known_votes = votes.join(F.broadcast(known), "vote", "left_semi").groupBy("tree_id").agg(F.countDistinct("key").alias("n_known"))
+    return votes.groupBy("tree_id").agg(F.count("*").alias("n_votes")).join(known_votes, "tree_id")
+
+
 @query("M20_A16_tree_scores")
 def _(spark: SparkSession, d: str) -> DataFrame:
     df, run = features(spark, d).where("label is not null"), _run(trees=4)
@@ -100,6 +109,27 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return ml.tree_contributions(ml.tree_votes(ml.fit(df, run), df, run), top=2)
 
 
+def _forest_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/forest-{uuid.uuid4().hex}"
+
+
+@query("M21_tree_shap_adds_up", "SELECT vec_id, 0.0::DOUBLE AS gap FROM embeddings")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    df, run = features(spark, d), _run(trees=4)
+    got = ml.shap_values(ml.fit(df, run), df, run, _forest_folder(spark))
+    total = F.transform("shap", lambda by, k: F.aggregate(by, F.get("base", k), lambda a, b: a + b))
+    gaps = F.zip_with(total, "probabilities", lambda a, b: F.abs(a - b))
+    return got.select(F.col("key").alias("vec_id"), (F.round(F.array_max(gaps), 9) + 0.0).alias("gap"))
+
+
+@query("A18_mean_abs_shap", f"WITH {SQL['feat']} SELECT DISTINCT label::VARCHAR AS class, feature, true AS sane FROM long WHERE label IS NOT NULL")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    df, run = features(spark, d), _run(trees=4)
+    model = ml.fit(df, run)
+    got = ml.mean_abs_shap(ml.shap_values(model, df, run, _forest_folder(spark)), ml.class_names(model), run.features)
+    return got.select("class", "feature", F.col("mean_abs_shap").between(0.0, 1.0).alias("sane"))
+
+
 @query("M21_A18_W62_permutation_importance")
 def _(spark: SparkSession, d: str) -> DataFrame:
     df, run = features(spark, d), _run(trees=4, features=FEATURES[:3])

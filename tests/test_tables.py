@@ -1,5 +1,9 @@
 """Helpers and table operators on small rows: nulls, ties, bad values."""
 
+import itertools
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -96,6 +100,34 @@ def test_numbers_of_many_wide_rows(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_attributions_by_all_subsets(spark, tmp_path):
+    """Shapley values of a small forest against the definition: a weighted mean over all subsets of features."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 4))
+    y = (x[:, 0] > 0).astype(int) + ((x[:, 1] > 0.3) & (x[:, 2] < 0.5)).astype(int)
+    rows = [(i, *map(float, r), int(k)) for i, (r, k) in enumerate(zip(x, y))]
+    names_ = [f"f{i}" for i in range(4)]
+    df = spark.createDataFrame(rows, "id long, f0 double, f1 double, f2 double, f3 double, label int")
+    run = ml.Training("label", names_, "id", trees=3, depth=4)
+    model = ml.fit(df, run)
+    got = {r["key"]: r for r in ml.shap_values(model, df, run, str(tmp_path / "forest")).collect()}
+    found = ml.leaves(model, str(tmp_path / "forest"))
+
+    def value(row, known):
+        return sum(leaf.value * np.prod([float(lo < row[f] <= hi) if f in known else z for f, lo, hi, z in zip(leaf.features, leaf.low, leaf.high, leaf.share)]) for leaf in found)
+
+    for i in range(0, 200, 20):
+        for j in range(4):
+            others, want = [k for k in range(4) if k != j], 0
+            for size in range(4):
+                for known in itertools.combinations(others, size):
+                    want = want + (value(x[i], {*known, j}) - value(x[i], set(known))) / (4 * math.comb(3, size))
+            assert np.allclose([by[j] for by in got[i]["shap"]], want)
+        assert np.allclose(np.sum(got[i]["shap"], axis=1) + got[i]["base"], got[i]["probabilities"])
+    mean = {(r["class"], r["feature"]): r["mean_abs_shap"] for r in ml.mean_abs_shap(df.sparkSession.createDataFrame(list(got.values())), ml.class_names(model), names_).collect()}
+    assert mean["0", "f0"] == pytest.approx(np.mean([abs(r["shap"][0][0]) for r in got.values()])) and mean["0", "f0"] > mean["0", "f3"]
+
+
 def test_nearest_beyond_the_first_radius(spark):
     cells = joins.fishnet(spark, (0.0, 0.0, 4.0, 2.0), 2.0)
     pts = spark.createDataFrame([(40.0, 1.0, "far"), (1.0, 1.0, None)], "x double, y double, class string")
