@@ -159,7 +159,7 @@ def smooth_box(cells: DataFrame, k: int, keys: Sequence[str] = ()) -> DataFrame:
 def smooth_gauss(cells: DataFrame, sigma: float, keys: Sequence[str] = ()) -> DataFrame:
     """z replaced by the Gaussian mean of the valid cells within four sigma; cells beyond the edge repeat the edge cell.
 
-    Each pass adds up weighted neighbours as one expression over lag-like frames.
+    Each pass adds up weighted neighbours as one expression over lag-like frames, as many as eight sigma.
     """
     reach = int(4 * sigma + 0.5)
     weights = {i: 2.718281828459045 ** (-0.5 * (i / sigma) ** 2) for i in range(-reach, reach + 1)}
@@ -292,32 +292,85 @@ def _shown(found: DataFrame, keys: Sequence[str], convention: str) -> DataFrame:
 # --- least-squares quadratics -------------------------------------------------------------------------------------
 
 
+def _moved(m: Sequence[Column], at: int) -> list[Column]:
+    """Sums of z, i z and i² z of a block, when its first offset becomes `at` instead of 0."""
+    out = [m[0]]
+    if len(m) > 1:
+        out.append(m[1] + F.lit(float(at)) * m[0])
+    if len(m) > 2:
+        out.append(m[2] + F.lit(2.0 * at) * m[1] + F.lit(float(at * at)) * m[0])
+    return out
+
+
+def _moments(df: DataFrame, values: dict[str, int], axis: str, d: int, keys: Sequence[str]) -> DataFrame:
+    """For each column, up to its power e: sums over the cells from d before to d after of the value times the offset to the power e.
+
+    Blocks of 1, 2, 4 ... cells onwards from a cell, and backwards from it, carry their moments; two blocks make the next one. Beyond
+    a line's end a block holds its end cell alone. All steps share the line's order, so they add neither shuffles nor sorts.
+    """
+    line = lines(axis, keys)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kept = df.columns
+    made = df.withColumns({f"__{way}_{v}": how(v).over(whole) for v in values for way, how in (("f", F.last), ("b", F.first))})
+
+    def block(v: str, way: str, size: int, steps: int) -> list[Column]:
+        """The moments of the block that starts so many steps from here."""
+        name, power = f"__{way}{size}_{v}", values[v]
+        own = [F.col(name)[f"m{e}"] for e in range(power + 1)]
+        if not steps:
+            return own
+        there = (F.lead if way == "f" else F.lag)(name, steps).over(line)
+        end = F.col(f"__{way}_{v}")
+        flat = [end * F.lit(float(sum(i**e for i in range(size)))) for e in range(power + 1)]
+        return [F.when(there.isNull(), x).otherwise(there[f"m{e}"]) for e, x in enumerate(flat)]
+
+    def struct(moments: Sequence[Column]) -> Column:
+        return F.struct(*[m.alias(f"m{e}") for e, m in enumerate(moments)])
+
+    def total(x: Sequence[Column], y: Sequence[Column]) -> list[Column]:
+        return [a + b for a, b in zip(x, y, strict=True)]
+
+    size = 1
+    made = made.withColumns({f"__{way}1_{v}": struct([F.col(v), *[F.col(v) * 0.0] * power]) for v, power in values.items() for way in "fb"})
+    while 2 * size <= d + 1:
+        new = {f"__{way}{2 * size}_{v}": struct(total(block(v, way, size, 0), _moved(block(v, way, size, size), size))) for v in values for way in "fb"}
+        made, size = made.withColumns(new), 2 * size
+    out = {}
+    for v, power in values.items():
+        sums = None
+        for way, cells, at in (("f", d + 1, 0), ("b", d, 1)):
+            width = size
+            while cells:
+                if width <= cells:
+                    part = _moved(block(v, way, width, at), at)
+                    if way == "b":  # offsets count backwards there
+                        part = [-m if e == 1 else m for e, m in enumerate(part)]
+                    sums = part if sums is None else total(sums, part)
+                    at, cells = at + width, cells - width
+                else:
+                    width //= 2
+        out |= {f"{v}{e}": sums[e] for e in range(power + 1)}
+    return made.select(*kept, *[m.alias(n) for n, m in out.items()])
+
+
 def quadratic(cells: DataFrame, px: float, k: int, keys: Sequence[str] = (), zero_fill: bool = False) -> DataFrame:
     """p, q, rr, ss, tt of the least-squares quadratic over k x k cells (north positive).
 
-    The moments are window sums weighted by the offset from the centre: one expression of k terms in each
-    pass, with small offsets, so nothing large cancels. A window with a missing cell gives null, unless
+    The moments are window sums weighted by powers of the offset from the centre, put together by doubling: the work
+    for a cell grows with log2(k), and offsets stay small, so nothing large cancels. A window with a missing cell gives null, unless
     `zero_fill` counts missing cells as 0. Cells beyond the edge repeat the edge cell.
     """
     d, con = k // 2, evans_constants(k)
     z = F.coalesce("z", F.lit(0.0)) if zero_fill else F.col("z")
-
-    def weighted(value: Column, axis: str, power: int) -> Column:
-        out = None
-        for i in range(-d, d + 1):
-            if i or not power:
-                part = neighbour(value, lines(axis, keys), i) * F.lit(float(i**power))
-                out = part if out is None else out + part
-        return out
-
-    first = {f"x{e}": weighted(z, "r", e) for e in range(3)}
-    second = {f"m{e}{f}": weighted(F.col(f"x{e}"), "c", f) for e, f in ((0, 0), (1, 0), (2, 0), (0, 1), (0, 2), (1, 1))}
-    m = _two_pass(cells, first, second, keys)
+    kept = [*keys, "r", "c", "z"]
+    along = _moments(cells.select(*kept, z.alias("x")), {"x": 2}, "r", d, keys).select(*kept, "x0", "x1", "x2")
+    down = _moments(along, {"x0": 2, "x1": 1, "x2": 0}, "c", d, keys)
+    m = down.select(*kept, *[F.col(f"x{e}{f}").alias(f"m{e}{f}") for e, f in ((0, 0), (1, 0), (2, 0), (0, 1), (0, 2), (1, 1))])
     s2, h = float(con["s2"]), float(px)
     one = float(k * con["s2"]) * h
     curve = 2.0 / (con["second"] * h * h)
     # gaps may count as 0 in a window, but a cell without data has no result
-    m = m.withColumns({n: where_valid(F.col(n)) for n in second})
+    m = m.withColumns({n: where_valid(F.col(n)) for n in ("m00", "m10", "m20", "m01", "m02", "m11")})
     return m.select(
         *keys,
         "r",
