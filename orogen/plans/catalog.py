@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orogen.plans import io_queries, learning, raster_queries, table_queries
+from orogen.plans import detail_queries, io_queries, learning, raster_queries, table_queries
 from orogen.plans.features import scale_features
 from orogen.plans.inputs import dem
 
@@ -20,7 +20,7 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
-    return raster_queries.QUERIES | table_queries.QUERIES | io_queries.QUERIES | learning.QUERIES
+    return raster_queries.QUERIES | table_queries.QUERIES | io_queries.QUERIES | learning.QUERIES | detail_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WIDTH = 100
+#: Components of a vector of the test tables; each is a feature.
+COMPONENTS = 64
+FEATURES = [f"f{i}" for i in range(COMPONENTS)]
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -42,9 +45,9 @@ def rectangles(spark: SparkSession, d: str, side: int = 10) -> DataFrame:
     )
 
 
-def features(spark: SparkSession, d: str, n: int = 6) -> DataFrame:
+def features(spark: SparkSession, d: str) -> DataFrame:
     got = table(spark, d, "embeddings")
-    return got.select("vec_id", F.when(F.col("label") != 9, F.col("label")).cast("long").alias("label"), *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(n)])
+    return got.select("vec_id", F.when(F.col("label") != 9, F.col("label")).cast("long").alias("label"), *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(COMPONENTS)])
 
 
 def codes(spark: SparkSession, d: str) -> DataFrame:
@@ -74,8 +77,8 @@ SQL = {
     "pts": "pts AS (SELECT c_custkey AS pid, c_custkey % 50 + 0.25::DOUBLE AS x, c_custkey // 50 + 0.25::DOUBLE AS y, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS class, c_acctbal AS v FROM customer)",
     "rects": "rects AS (SELECT n_nationkey::BIGINT AS gid, (n_nationkey % 5 * 10)::DOUBLE AS xmin, (n_nationkey // 5 * 10)::DOUBLE AS ymin, (n_nationkey % 5 * 10 + {side})::DOUBLE AS xmax, (n_nationkey // 5 * 10 + {side})::DOUBLE AS ymax, CASE WHEN n_nationkey % 4 <> 0 THEN n_name END AS attr, n_regionkey::BIGINT AS region FROM nation)",
     "feat": "feat AS (SELECT vec_id, CASE WHEN label <> 9 THEN label END::BIGINT AS label, "
-    + ", ".join(f"embedding[{i + 1}]::DOUBLE AS f{i}" for i in range(6))
-    + " FROM embeddings), long AS (UNPIVOT feat ON f0, f1, f2, f3, f4, f5 INTO NAME feature VALUE x)",
+    + ", ".join(f"embedding[{i + 1}]::DOUBLE AS f{i}" for i in range(COMPONENTS))
+    + f" FROM embeddings), long AS (UNPIVOT feat ON {', '.join(FEATURES)} INTO NAME feature VALUE x)",
     "codes": "codes AS (SELECT DISTINCT p_size::BIGINT AS five, (p_size * 100 + 1)::BIGINT AS seven FROM part WHERE p_size % 5 <> 0)",
     "judged": "judged AS (SELECT doc_id, (quality * 2 + toxic)::BIGINT AS truth, CASE WHEN n_chars > 3000 THEN 2 WHEN n_chars > 1000 THEN 3 ELSE 0 END::BIGINT AS pred, (n_chars % 100 / 100.0)::DOUBLE AS proba_max FROM documents JOIN labels USING (doc_id))",
     "mixed": "mixed AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE json_extract_string(props, '$.k') END AS t, value, event_type FROM events)",

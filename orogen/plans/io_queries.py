@@ -53,7 +53,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "S34_crs_and_resolution",
-    f"WITH {SQL['dem']} SELECT 't_' || (r // 64) || '_' || (c // 64) AS raster_id, max(r % 64) + 1 AS n_rows, max(c % 64) + 1 AS n_cols, 2.0::DOUBLE AS px, -2.0::DOUBLE AS py, 6673 AS epsg FROM dem GROUP BY r // 64, c // 64",
+    f"WITH {SQL['dem']} SELECT 't_' || (r // 64) || '_' || (c // 64) AS raster_id, (max(r % 64) + 1)::INT AS n_rows, (max(c % 64) + 1)::INT AS n_cols, 2.0::DOUBLE AS px, -2.0::DOUBLE AS py, 6673 AS epsg FROM dem GROUP BY r // 64, c // 64",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     return rasters.geometry_of(_tiffs(spark, d)).select("raster_id", F.col("rows").alias("n_rows"), F.col("cols").alias("n_cols"), "px", "py", "epsg")

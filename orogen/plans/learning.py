@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orogen.operators import ml, stats
-from orogen.plans.inputs import SQL, features
+from orogen.plans.inputs import FEATURES, SQL, features
 from orogen.sources.storage import shared_folder
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-FEATURES = [f"f{i}" for i in range(6)]
 
 
 def query(name: str, sql: str | None = None) -> Callable:

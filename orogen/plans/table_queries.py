@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from orogen.functions import geometry, names
 from orogen.operators import joins, stats, tables
 from orogen.plans.features import training_points
-from orogen.plans.inputs import SQL, codes, dem, features, judged, mixed, points, rectangles, table
+from orogen.plans.inputs import COMPONENTS, FEATURES, SQL, codes, dem, features, judged, mixed, points, rectangles, table
 from orogen.sources.sinks import split_parts
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-FEATURES = [f"f{i}" for i in range(6)]
 #: Values on exact halves would round by their last bit; moved by this, both sides round them alike.
 SHIFT = 3e-9
 RECTS = SQL["rects"].format(side=10)
-OVERLAP = SQL["rects"].format(side=12)
+#: Wide enough for all rectangles to have a common part.
+OVERLAP = SQL["rects"].format(side=60)
 
 
 def query(name: str, sql: str | None = None) -> Callable:
@@ -395,9 +395,9 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return joins.fishnet(spark, (0.0, 0.0, 10.0, 8.0), 3.0)
 
 
-@query("J22_common_extent", f"WITH {OVERLAP} SELECT max(xmin) AS xmin, max(ymin) AS ymin, min(xmax) AS xmax, min(ymax) AS ymax FROM rects WHERE gid IN (0, 1, 5, 6)")
+@query("J22_common_extent", f"WITH {OVERLAP} SELECT max(xmin) AS xmin, max(ymin) AS ymin, min(xmax) AS xmax, min(ymax) AS ymax FROM rects")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return joins.common_extent(rectangles(spark, d, 12).where("gid IN (0, 1, 5, 6)"))
+    return joins.common_extent(rectangles(spark, d, 60))
 
 
 @query("J23_clamped_boxes", f"WITH {RECTS}, k AS (SELECT gid, greatest(xmin, 5) AS xmin, greatest(ymin, 5) AS ymin, least(xmax, 33) AS xmax, least(ymax, 21) AS ymax FROM rects) SELECT * FROM k WHERE xmin < xmax AND ymin < ymax")
@@ -459,18 +459,18 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return stats.numbered(df, ["k", "c_custkey"], ["class"], "rank").where("rank <= 3").select("class", "c_custkey", F.col("rank").cast("long").alias("rank"))
 
 
-@query("W63_top_classes", """WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c FROM embeddings), l AS (UNPIVOT p ON a, b, c INTO NAME label VALUE p),
-k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, label) AS i FROM l) SELECT vec_id, max(label) FILTER (i = 1) AS top1, max(label) FILTER (i = 2) AS top2 FROM k GROUP BY vec_id""")
+@query("W63_top_classes", """WITH l AS (SELECT vec_id, unnest(embedding)::DOUBLE AS p, generate_subscripts(embedding, 1) AS nth FROM embeddings),
+k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, nth) AS i FROM l) SELECT vec_id, 'c' || max(nth) FILTER (i = 1) AS top1, 'c' || max(nth) FILTER (i = 2) AS top2 FROM k GROUP BY vec_id""")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    p = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
-    top = table(spark, d, "embeddings").select("vec_id", stats.top_classes(["a", "b", "c"], p, 2).alias("t"))
+    p = F.transform("embedding", lambda x: x.cast("double"))
+    top = table(spark, d, "embeddings").select("vec_id", stats.top_classes([f"c{i + 1}" for i in range(COMPONENTS)], p, 2).alias("t"))
     return top.select("vec_id", F.col("t")[0]["label"].alias("top1"), F.col("t")[1]["label"].alias("top2"))
 
 
-@query("U01_U02_U05_U06_O14_union_by_name", f"WITH {RECTS} SELECT gid, region::DOUBLE AS region, NULL::VARCHAR AS attr FROM rects WHERE gid < 5 UNION ALL SELECT gid, NULL, attr FROM rects WHERE gid > 20")
+@query("U01_U02_U05_U06_O14_union_by_name", f"WITH {RECTS} SELECT gid, region::DOUBLE AS region, NULL::VARCHAR AS attr FROM rects UNION ALL SELECT gid, NULL, attr FROM rects")
 def _(spark: SparkSession, d: str) -> DataFrame:
     r = rectangles(spark, d)
-    return stats.union_all([r.where("gid < 5").select("gid", "region"), r.where("gid > 20").select("gid", "attr")]).withColumn("region", F.col("region").cast("double"))
+    return stats.union_all([r.select("gid", "region"), r.select("gid", "attr")]).withColumn("region", F.col("region").cast("double"))
 
 
 @query("K14_split_parts", "SELECT n AS id, ceil(n / ceil((SELECT count(*) FROM customer) / 4.0))::BIGINT AS part, c_custkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS n FROM customer)")
