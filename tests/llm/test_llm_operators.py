@@ -395,6 +395,8 @@ def test_pieces(docs, rows, no_docs, monkeypatch):
     got = pieces.decode(pieces.encode(docs)).collect()
     assert all(r["decoded"] == (r["text"] or "") for r in got) and len(got) == len(rows)
     assert all((len(r["ids"]) == 0) == (not r["text"]) for r in got)
+    checked = pieces.encode(docs, check="id").collect()  # replaces a column of that name
+    assert all(r["id"] is True for r in checked) and sorted(map(str, (r["ids"] for r in checked))) == sorted(map(str, (r["ids"] for r in got)))
     odd = [" a▁b", "▁", "\n\n x ", "\x00", "é" * 3000]
     assert [vocabulary.decode(np.frombuffer(x, np.int32).tolist()) for x in encoder.encode(odd)] == odd
     assert pieces.encode(no_docs).count() == 0
