@@ -2,8 +2,7 @@
 
 A word's vector is the mean of learned vectors of the word and of its n-grams of 3 to 5 characters, hashed
 into buckets; a document's vector is the mean over its words, and a softmax over two classes gives
-P(label 1). Two marks count as words: one wherever a word repeats the one before it, and one for the end
-of each text, so that an empty text has a score too. The vectors and the softmax are trained by numpy
+P(label 1). The end of each text counts as a word, so that an empty text has a score too. The vectors and the softmax are trained by numpy
 stochastic gradient descent on at most `max_rows` labelled rows of each class (the least hashes of
 their ids); the prior of the classes is that of all labelled rows.
 
@@ -33,7 +32,7 @@ RATE = 0.4
 MAX_ROWS = 800
 CUT = 0.7
 
-_MARKS = pa.array(["\x00same", "\x00end"])
+_MARKS = pa.array(["\x00end"])
 _BASE = 0x100000001B3
 
 
@@ -60,24 +59,15 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets)[order], np.bincount(owner, minlength=len(raw))
 
 
-def _bags(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
-    """(word ids, distinct words, words of each text, repeats of each text)."""
-    ids, words, counts = word_ids(texts)
-    text = np.repeat(np.arange(len(counts)), counts)
-    same = (ids[1:] == ids[:-1]) & (text[1:] == text[:-1]) if len(ids) else np.zeros(0, bool)
-    return ids, words, counts, np.bincount(text[1:][same], minlength=len(counts))
-
-
 def _document_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per text: its buckets and their shares of the document's vector."""
-    ids, words, counts, repeats = _bags(texts)
+    ids, words, counts = word_ids(texts)
     buckets, sizes = subwords(pa.concat_arrays([words.cast(pa.string()), _MARKS]))
     starts = np.cumsum(sizes) - sizes
     ends = np.cumsum(counts)
-    for k, (end, count) in enumerate(zip(ends.tolist(), counts.tolist(), strict=True)):
+    for end, count in zip(ends.tolist(), counts.tolist(), strict=True):
         word, n = np.unique(ids[end - count : end], return_counts=True)
-        word = np.concatenate([word, [len(words), len(words) + 1]]).astype(np.int64)
-        n = np.concatenate([n, [repeats[k], 1]])
+        word, n = np.append(word, len(words)).astype(np.int64), np.append(n, 1)
         span = np.repeat(starts[word] - np.cumsum(sizes[word]) + sizes[word], sizes[word]) + np.arange(sizes[word].sum())
         share = np.repeat(n / sizes[word] / n.sum(), sizes[word])
         bucket, back = np.unique(buckets[span], return_inverse=True)
@@ -92,13 +82,13 @@ class Quality:
     bias: float
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        ids, words, counts, repeats = _bags(texts)
+        ids, words, counts = word_ids(texts)
         buckets, sizes = subwords(pa.concat_arrays([words.cast(pa.string()), _MARKS]))
         owner = np.repeat(np.arange(len(sizes)), sizes)
         each = np.bincount(owner, self.weights[buckets], minlength=len(sizes)) / sizes
         text = np.repeat(np.arange(len(counts)), counts)
-        total = np.bincount(text, each[ids], minlength=len(counts)) + repeats * each[-2] + each[-1]
-        return 1 / (1 + np.exp(-np.clip(self.bias + total / (counts + repeats + 1), -30, 30)))
+        total = np.bincount(text, each[ids], minlength=len(counts)) + each[-1]
+        return 1 / (1 + np.exp(-np.clip(self.bias + total / (counts + 1), -30, 30)))
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 1) -> np.ndarray:

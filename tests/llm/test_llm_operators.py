@@ -116,6 +116,37 @@ def test_quality_features_by_brute_force():
     assert np.allclose(1 / (1 + np.exp(-np.array(logit))), one, atol=1e-5)
 
 
+def test_quality_query_by_brute_force(spark, data):
+    """The whole query: folds by crc32, scores of the fitted model by a plain loop over characters, the cut."""
+    from orogen.llm import registry
+
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels.where(quality.fold("doc_id", 4) != 2))
+    again = quality.fit(docs.repartition(9), labels.where(quality.fold("doc_id", 4) != 2))
+    assert np.allclose(model.weights, again.weights) and model.bias == pytest.approx(again.bias)
+    bucket_of = {}
+
+    def slow_word(word):
+        if word not in bucket_of:
+            marked = f"<{word}>"
+            grams = [xxhash.xxh64_intdigest(word.encode())]
+            for n in quality.GRAMS:
+                for i in range(len(marked) - n + 1):
+                    h = sum((ord(c) + 1) * pow(quality._BASE, n - 1 - k, 2**64) for k, c in enumerate(marked[i : i + n]))
+                    grams.append((h + n) % 2**64)
+            bucket_of[word] = np.mean([model.weights[quality._mix(np.array([g], np.uint64))[0]] for g in grams])
+        return bucket_of[word]
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = registry.queries()["op1_quality_classifier"](spark, data).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and r["predicted"] == (r["score"] >= 0.7)
+    for r in sorted(rows, key=lambda r: len(texts[r["doc_id"]] or ""))[:60]:
+        words = [w.decode() for w in (texts[r["doc_id"]] or "").encode().split()] + ["\x00end"]
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(model.bias + np.mean([slow_word(w) for w in words])))), abs=1e-5)
+
+
 def test_quality_without_labels(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit(docs, none)
