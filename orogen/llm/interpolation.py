@@ -122,29 +122,29 @@ class Lookup:
         self.keys = self.tokens.longer(self.keys)
 
     def questions(self, n: int, shards: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
-        """(shard, size, keys as squeezed differences, training counts, counts) of the n-grams to ask for."""
+        """(shard, size, keys as squeezed differences, training counts, other counts) of the n-grams to ask for."""
         if n > 1:
             self._longer()
         open_ = ~self.known if n > 1 else np.ones(len(self.keys), dtype=bool)
         keys, back = np.unique(self.keys[open_], return_inverse=True)
         trained = np.bincount(back, self.trained[open_], minlength=len(keys)).astype(np.uint64)
-        every = np.bincount(back, minlength=len(keys)).astype(np.uint64)
+        others = np.bincount(back, minlength=len(keys)).astype(np.uint64) - trained
         width = np.uint64((2 ** (64 if n == 1 else 56) - 1) // shards)
         place = np.minimum(keys // width, np.uint64(shards - 1)).astype(np.int64)
         cuts = np.searchsorted(place, np.arange(shards + 1))
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[shard], cuts[shard + 1])
             steps = np.diff(keys[own], prepend=np.uint64(0))
-            yield shard, len(steps), _squeezed(steps), _squeezed(trained[own]), _squeezed(every[own])
+            yield shard, len(steps), _squeezed(steps), _squeezed(trained[own]), _squeezed(others[own])
 
 
 def _answers(rows: list[dict]) -> Iterator[dict]:
     """Totals of a shard's keys of one order for each block; then, without a block, the shard's tokens and distinct words."""
     keys = np.concatenate([np.cumsum(_stretched(r["keys"], r["size"]), dtype=np.uint64) for r in rows])
-    trained, every = (np.concatenate([_stretched(r[c], r["size"]) for r in rows]).astype(np.float64) for c in ("trained", "every"))
+    trained, others = (np.concatenate([_stretched(r[c], r["size"]) for r in rows]).astype(np.float64) for c in ("trained", "others"))
     deleted = np.repeat([r["deleted"] for r in rows], [r["size"] for r in rows])
     distinct, back = np.unique(keys, return_inverse=True)
-    total, kept, seen = (np.bincount(back, c, minlength=len(distinct)).astype(np.uint64) for c in (trained, trained * ~deleted, every))
+    total, kept, seen = (np.bincount(back, c, minlength=len(distinct)).astype(np.uint64) for c in (trained, trained * ~deleted, trained + others))
     coded = 2 * total + (seen == 1)
     n, shard = rows[0]["n"], rows[0]["shard"]
     end = 0
@@ -296,9 +296,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 _QUESTION = pa.schema(
-    [("block", pa.int64()), ("deleted", pa.bool_()), ("n", pa.int32()), ("shard", pa.int32()), ("size", pa.int32())] + [(c, pa.binary()) for c in ("keys", "trained", "every")]
+    [("block", pa.int64()), ("deleted", pa.bool_()), ("n", pa.int32()), ("shard", pa.int32()), ("size", pa.int32())] + [(c, pa.binary()) for c in ("keys", "trained", "others")]
 )
-_QUESTIONS = "block long, deleted boolean, n int, shard int, size int, keys binary, trained binary, every binary"
+_QUESTIONS = "block long, deleted boolean, n int, shard int, size int, keys binary, trained binary, others binary"
 _ANSWER = pa.schema(
     [("block", pa.int64()), ("n", pa.int32()), ("shard", pa.int32()), ("size", pa.int32()), ("total", pa.binary()), ("kept", pa.binary())]
     + [(c, pa.int64()) for c in ("tokens", "kept_tokens", "words")]

@@ -444,16 +444,20 @@ def slow_language_model(rows, order):
 
     def model(of):
         counts = [collections.Counter(g for d, ts in tokens if of(d) for g in grams(ts, n)) for n in range(1, order + 1)]
-        starts = sum(of(d) for d, _ in tokens)
-        return counts, starts, sum(counts[0].values())
+        after = [collections.Counter() for _ in counts]  # how often each context goes on
+        for c, n in zip(counts, after):
+            for g, k in c.items():
+                n[g[:-1]] += k
+        return counts, after, sum(counts[0].values())
 
     def estimates(known, ts):
-        counts, starts, total = known
+        counts, after, total = known
+        own = [grams(ts, n) for n in range(1, order + 1)]
         for i in range(len(ts)):
             each, buckets = [], []
             for n in range(1, order + 1):
-                g = grams(ts, n)[i]
-                h = total if n == 1 else starts if set(g[:-1]) == {"<s>"} else counts[n - 2][g[:-1]] if "<s>" not in g[:-1] else sum(c for k, c in counts[n - 1].items() if k[:-1] == g[:-1])
+                g = own[n - 1][i]
+                h = total if n == 1 else after[n - 1][g[:-1]]
                 each.append(counts[n - 1][g] / max(h, 1))
                 buckets += [min(math.ceil(math.log2(h + 1)), interpolation.BUCKETS - 1)] if n > 1 else []
             yield buckets, each
@@ -763,3 +767,69 @@ def test_digests(spark, data):
     got = registry.queries()["op6_sentencepiece_round_trip"](spark, data)
     assert got.where("not round_trip").count() == 0 and got.count() == len(texts)
     assert registry.queries()["op2_toxicity_ordinal"](spark, data).agg(F.max("severity")).first()[0] > 0.5
+
+
+def test_near_copies_query_by_brute_force(spark, data):
+    from orogen.llm import registry
+
+    rows = sorted((r["doc_id"], slow_fingerprint(r["text"])) for r in spark.read.parquet(f"{data}/documents.parquet").collect())
+    roots = slow_components([f for _, f in rows], lambda a, b: (a ^ b).bit_count() <= 3)
+    want = {(d, f"{f:016x}", rows[k][0]) for (d, f), k in zip(rows, roots)}
+    got = registry.queries()["op5_simhash_near_dedup"](spark, data).select("doc_id", "fingerprint", "component_id").collect()
+    assert set(map(tuple, got)) == want and len(got) == len(rows)
+
+
+def test_vectors_query_by_brute_force(spark, data):
+    from orogen.llm import registry
+
+    table = spark.read.parquet(f"{data}/embeddings.parquet").toPandas().sort_values("vec_id")
+    x = np.stack(table["embedding"]).astype(float)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.95
+    ids = table["vec_id"].tolist()
+    roots = slow_components(list(range(len(ids))), lambda a, b: near[a, b])
+    got = {r["vec_id"]: r for r in registry.queries()["op9_embedding_near_dedup"](spark, data).collect()}
+    assert sorted(got) == ids
+    links = near.sum(1) - 1
+    assert all(got[i]["n_links"] <= n for i, n in zip(ids, links)) and sum(got[i]["n_links"] for i in ids) >= 0.9 * links.sum()
+    assert np.mean([got[i]["component_id"] == ids[r] for i, r in zip(ids, roots)]) > 0.95
+    assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got.values())
+
+
+def test_packing_query_by_round_trip(spark, data):
+    from orogen.llm import registry
+
+    own = tiktoken.Encoding("own", pat_str=packing.PATTERN, mergeable_ranks=packing.read_ranks(), special_tokens={})
+    packed = registry.queries()["op10_packed_token_ids"](spark, data)
+    got = {r["doc_id"]: bytes(r["ids"]) for r in packing.unpack(packed).collect()}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    assert got == {d: np.array([*own.encode_ordinary(t or ""), packing.END], "<u2").tobytes() for d, t in texts.items()}
+
+
+def test_language_model_query_by_brute_force(spark, data):
+    from orogen.llm import registry
+
+    rows = [(r["doc_id"], r["text"], "") for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    want = slow_language_model(rows, interpolation.ORDER)
+    got = registry.queries()["op7_deleted_interpolation"](spark, data).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        held, known, train, base, score = want[r["doc_id"], r["n_tokens"]][0]
+        assert (r["held_out"], r["n_known"], r["train_tokens"]) == (held, known, train)
+        assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(score, rel=1e-6)
+
+
+def test_toxicity_query_by_brute_force(spark, data):
+    from orogen.llm import registry
+
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = registry.queries()["op2_toxicity_ordinal"](spark, data).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        words = [w.decode().strip(toxicity.PUNCTUATION) for w in (texts[r["doc_id"]] or "").encode().lower().split()]
+        terms = collections.Counter([*words, *(w[:n] + "*" for n in toxicity.STEMS for w in words if len(w) > n)])
+        total = sum(w * (1 + math.log(terms[t])) for t, w in zip(model.lexicon, model.weights) if terms[t])
+        over = [1 / (1 + math.exp(cut - total)) for cut in model.cuts]
+        assert r["severity"] == pytest.approx(sum(over)) and r["toxic"] == (over[0] >= toxicity.FLAG)
