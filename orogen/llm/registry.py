@@ -10,6 +10,7 @@ from orogen.llm import decontamination, repeats
 from orogen.llm.decontamination import op4_benchmark_decontamination
 from orogen.llm.embeddings import op9_embedding_near_dedup
 from orogen.llm.interpolation import op7_deleted_interpolation
+from orogen.llm.merges import op12_bpe_round_trip
 from orogen.llm.packing import op10_packed_token_ids
 from orogen.llm.pieces import op6_sentencepiece_round_trip
 from orogen.llm.private import op8_personal_data
@@ -17,6 +18,7 @@ from orogen.llm.quality import op1_quality_classifier
 from orogen.llm.repeats import op3_repeated_passages
 from orogen.llm.simhash import op5_simhash_near_dedup
 from orogen.llm.toxicity import op2_toxicity_ordinal
+from orogen.llm.whitening import op13_embedding_whitening
 
 _QUERIES = (
     op1_quality_classifier,
@@ -29,6 +31,8 @@ _QUERIES = (
     op8_personal_data,
     op9_embedding_near_dedup,
     op10_packed_token_ids,
+    op12_bpe_round_trip,
+    op13_embedding_whitening,
 )
 
 
