@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orogen.llm import decontamination, repeats
+from orogen.llm.alignment import op11_cross_tokenizer_alignment
 from orogen.llm.decontamination import op4_benchmark_decontamination
 from orogen.llm.embeddings import op9_embedding_near_dedup
 from orogen.llm.interpolation import op7_deleted_interpolation
@@ -31,6 +32,7 @@ _QUERIES = (
     op8_personal_data,
     op9_embedding_near_dedup,
     op10_packed_token_ids,
+    op11_cross_tokenizer_alignment,
     op12_bpe_round_trip,
     op13_embedding_whitening,
 )
