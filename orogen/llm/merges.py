@@ -32,11 +32,12 @@ from orogen.llm.common import slices, table
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 #: Bytes of words, runs and their ids that a task remembers in each of two generations.
-REMEMBERED = 72 << 20
+REMEMBERED = 160 << 20
 SLICE = 2 << 20
 _RUNS = re.compile(r"[^ \t\n\r\f\v]+")
-#: The library's word pattern where there are printable ASCII characters alone, in lower case.
-_PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The library's word pattern where there are printable ASCII characters and blanks alone, in lower case.
+_PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 \t\n\r\f\v]+")
+_ODD = re.compile(r"[^\x20-\x7e\t\n\r\f\v]")
 #: The normaliser and the word pattern that `_PLAIN` stands for.
 _FRONT = json.dumps(
     [
@@ -63,16 +64,21 @@ class Pairs:
             left, right = least[2 * node], least[2 * node + 1]
             least[node] = left if left < right else right
 
-    def set(self, place: int, rank: int) -> None:
-        least, node = self.least, self.leaves + place
-        least[node] = rank
-        while node > 1:
-            node >>= 1
-            left, right = least[2 * node], least[2 * node + 1]
-            best = left if left < right else right
-            if least[node] == best:
-                return
-            least[node] = best
+    def set(self, low: int, ranks: tuple[int, int, int], middle: int, high: int) -> None:
+        """New ranks at three places in order (some may be the same place); the ways up that they share are gone once."""
+        least, leaves = self.least, self.leaves
+        a, b, c = leaves + low, leaves + middle, leaves + high
+        least[a], least[b], least[c] = ranks
+        while a > 1:
+            a, b, c = a >> 1, b >> 1, c >> 1
+            left, right = least[2 * a], least[2 * a + 1]
+            least[a] = left if left < right else right
+            if b != a:
+                left, right = least[2 * b], least[2 * b + 1]
+                least[b] = left if left < right else right
+            if c != b:
+                left, right = least[2 * c], least[2 * c + 1]
+                least[c] = left if left < right else right
 
 
 class Merges:
@@ -88,7 +94,9 @@ class Merges:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.spelt = {i: s for s, i in (self.ids | self.special).items()}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in pairs]
+        self.ranks = {(a, b): rank for rank, (a, b, _) in enumerate(pairs)}
+        self.made = [c for _, _, c in pairs]
         # the library's own front end, without its merges
         own = tokenizers.Tokenizer.from_str(source)
         self.normal, self.words = own.normalizer, own.pre_tokenizer
@@ -107,30 +115,28 @@ class Merges:
         n = len(symbols)
         if n < 2:
             return symbols
-        merges, none = self.merges, len(self.merges) * n
+        made, rank_of, lowest = self.made, self.ranks.get, len(self.ranks)
+        none = lowest * n
         # rank * n + place: the order of the numbers is by rank, then from the left
-        tree = Pairs([m[0] * n + i if (m := merges.get(pair)) else none for i, pair in enumerate(zip(symbols, symbols[1:], strict=False))], none)
-        least, put = tree.least, tree.set
+        tree = Pairs([rank_of(pair, lowest) * n + i for i, pair in enumerate(zip(symbols, symbols[1:], strict=False))], none)
+        least = tree.least
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while (root := least[1]) < none:
-            at = root % n
-            gone = after[at]
-            symbols[at] = merges[symbols[at], symbols[gone]][1]
+            rank, at = divmod(root, n)
+            gone, left = after[at], before[at]
+            symbols[at] = own = made[rank]
             symbols[gone] = -1
-            following = after[gone]
-            after[at] = following
-            if gone < n - 1:
-                put(gone, none)
+            following = after[at] = after[gone]
+            mine = none
             if following < n:
                 before[following] = at
-                m = merges.get((symbols[at], symbols[following]))
-                put(at, m[0] * n + at if m else none)
+                mine = rank_of((own, symbols[following]), lowest) * n + at
+            # the pair of the symbol that is gone ends; the last symbol has none anyway
+            last = gone if gone < n - 1 else at
+            if left < 0:
+                tree.set(at, (mine, mine, none if last != at else mine), at, last)
             else:
-                put(at, none)
-            left = before[at]
-            if left >= 0:
-                m = merges.get((symbols[left], symbols[at]))
-                put(left, m[0] * n + left if m else none)
+                tree.set(left, (rank_of((symbols[left], own), lowest) * n + left, mine, none if last != at else mine), at, last)
         return [s for s in symbols if s >= 0]
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -138,51 +144,60 @@ class Merges:
 
 
 class Encoder:
-    """Encodes whole texts; remembers the words and runs it has met, and of those before them the ones it has met again."""
+    """Encodes whole texts; remembers the words and runs it has met, and of those before them the ones it has met again.
+
+    A word or run is remembered as (ids as bytes, its tokens joined by spaces). Texts of printable ASCII characters are cut into words
+    at once, others into runs first; runs with other characters are cut by the library's own front end.
+    """
 
     def __init__(self, merges: Merges):
         self.merges = merges
         self.special = {s: (struct.pack("<I", i), s) for s, i in merges.special.items()}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.runs: dict[str, tuple[bytes, str]] = dict(self.special)
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.runs: dict[str, tuple[bytes, str]] = {}
         self.old_words, self.old_runs, self.held = {}, {}, 0
 
-    def _split(self, run: str) -> Iterable[str]:
-        merges = self.merges
-        if merges.plain and run.isascii() and run.isprintable():
-            return _PLAIN.findall(run.lower())
-        return [word for word, _ in merges.words.pre_tokenize_str(merges.normal.normalize_str(run))]
-
-    def _learn(self, run: str) -> None:
-        made = self.old_runs.get(run)
-        if made is None:
-            merges, words, ids = self.merges, self.words, []
-            for word in self._split(run):
-                known = words.get(word)
-                if known is None:
-                    known = words[word] = self.old_words.get(word) or tuple(merges.word(word))
-                    self.held += 220 + len(word) + 8 * len(known)  # with what Python adds
-                ids += known
-            made = struct.pack(f"<{len(ids)}I", *ids), merges.decode(ids)
-        self.runs[run] = made
-        self.held += 300 + len(run) + len(made[0]) + len(made[1])
-
-    def _cut(self, text: str) -> list[str]:
-        if self.merges.cuts is None or "<" not in text and not any(map(text.__contains__, self.special)):
-            return _RUNS.findall(text)
-        special = self.special
-        return [r for part in self.merges.cuts.split(text) for r in ([part] if part in special else _RUNS.findall(part))]
+    def _learn(self, words: Iterable[str]) -> None:
+        for word in words:
+            made = self.old_words.get(word)
+            if made is None:
+                ids = self.merges.word(word)
+                made = struct.pack(f"<{len(ids)}I", *ids), self.merges.decode(ids)
+            self.words[word] = made
+            self.held += 260 + len(word) + len(made[0]) + len(made[1])  # with what Python adds
+
+    def _learn_runs(self, runs: Iterable[str]) -> None:
+        merges, words = self.merges, self.words
+        for run in runs:
+            made = self.old_runs.get(run)
+            if made is None:
+                if merges.plain and not _ODD.search(run):
+                    cut = _PLAIN.findall(run.lower())
+                else:
+                    cut = [word for word, _ in merges.words.pre_tokenize_str(merges.normal.normalize_str(run))]
+                self._learn([w for w in dict.fromkeys(cut) if w not in words])
+                made = words[cut[0]] if len(cut) == 1 else (b"".join([words[w][0] for w in cut]), " ".join([words[w][1] for w in cut]))
+            self.runs[run] = made
+            self.held += 300 + len(run) + len(made[0]) + len(made[1])
+
+    def _part(self, text: str) -> list[tuple[bytes, str]]:
+        """What a text without special tokens is made of."""
+        if self.merges.plain and not _ODD.search(text):
+            cut, known, learn = _PLAIN.findall(text.lower()), self.words, self._learn
+        else:
+            cut, known, learn = _RUNS.findall(text), self.runs, self._learn_runs
+        learn(set(cut).difference(known))
+        return [known[c] for c in cut]
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """(ids as little-endian 32-bit integers, the decoded text)."""
         if self.held > REMEMBERED:
             self.old_words, self.old_runs = self.words, self.runs
-            self.words, self.runs, self.held = {}, dict(self.special), 0
-        cut = self._cut(text)
-        for run in set(cut).difference(self.runs):
-            self._learn(run)
-        runs = [self.runs[r] for r in cut]
-        return b"".join([r[0] for r in runs]), " ".join([r[1] for r in runs if r[0]])
+            self.words, self.runs, self.held = {}, {}, 0
+        cuts, special = self.merges.cuts, self.special
+        parts = cuts.split(text) if cuts and any(map(text.__contains__, special)) else [text]
+        found = [f for part in parts for f in ([special[part]] if part in special else self._part(part))]
+        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[0]])
 
 
 def read_merges(path: str = VOCABULARY) -> str:
