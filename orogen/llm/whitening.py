@@ -1,19 +1,21 @@
 """Embedding whitening by upper-triangle column aggregates.
 
 A component c of a vector becomes the integer x = floor(1024 * c) + 100000. Sums of every dimension give the mean; then one
-aggregation sums the centred products of every pair of dimensions (the upper triangle, d * (d + 1) / 2 generated SQL sums), each
-task's rows first, then 256 groups of tasks, then those by place. The sums are put together as the covariance on the driver (d * d numbers,
-whatever the rows), LAPACK decomposes it, and rows are projected by generated SQL again. No Python touches a row.
+aggregation sums the centred products of every pair of dimensions. The pairs are laid out as the square blocks of the upper triangle,
+`SIDE` dimensions by `SIDE`: a row meets each block once, and there is a generated SQL sum for each place in a block, so the plan
+has as many sums whatever the length of the vectors, and they stay compiled. Each task's rows are added first, then `GROUPS` groups of
+tasks, then those. The sums are put together as the covariance on the driver (d * d numbers, whatever the rows), LAPACK decomposes it,
+and rows are projected by generated SQL again. No Python touches a row.
 
 x is an integer and is centred on the rounded mean c before anything is multiplied, so x - c is exact and only the remainder of
-the mean, below one half, is rounded. How far the whitened values are from unit covariance is measured by a second aggregation, over them.
+the mean, below one half, is rounded. How far the whitened values are from unit covariance is measured by another aggregation, over them.
 
 Nulls: rows without a vector, or with a null or non-finite component, are dropped; so are rows whose components are 2**52 or more, as
 x must be a long. Vectors of another length than the most frequent one (ties: the longer) are dropped too, and empty vectors.
 Repeated rows and ids count and are returned as often as they come; a null id stays null. Directions without variance (an
 eigenvalue of at most 1e-12 of the largest) have no whitened value and no row; so an empty table, one row or equal rows give none.
 Equal eigenvalues have no order of their own: LAPACK's is taken. `deviation` is null where it is beyond a long. Further columns,
-whatever their names, are not read. Plans grow with the square of the length: over `WIDEST` components raise ValueError.
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ from orogen.llm.common import table
 
 COMPONENTS = 8
 SCALE, OFFSET = 1024, 100_000
-#: Tasks' partial sums are added in so many groups, and the groups' sums then by place, so no task adds up what all tasks have.
-GROUPS = 256
-WIDEST = 256
+#: Dimensions on a side of a block of pairs.
+SIDE = 8
+#: Tasks' partial sums are added in so many groups, and the groups' sums then, so no task adds up what all tasks have.
+GROUPS = 64
 #: Components of this size or more have no x that is a long.
 LARGEST = 2.0**52
 #: Eigenvalues up to this share of the largest one are rounding.
@@ -78,11 +81,11 @@ def _plus(a: str, b: str) -> str:
     return f"({a} + {b})"
 
 
-def _totals(rows: DataFrame, sums: Sequence[str], kind: str) -> list:
-    """The sums over all rows, in order: one aggregation by groups of tasks, then the groups' sums by place."""
-    of = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("of")).agg(F.expr(f"array({', '.join(sums)})").alias("sums"))
-    found = of.select(F.posexplode("sums").alias("place", "some")).groupBy("place").agg(F.sum(F.col("some").cast(kind)).alias("all")).collect()
-    return [r["all"] for r in sorted(found)]
+def _totals(rows: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> list:
+    """Rows of (keys, sums) over all rows, in order of the keys: tasks, then groups of them, then all."""
+    names = [f"s{k}" for k in range(len(sums))]
+    of = rows.groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("of")).agg(*[F.expr(s).alias(n) for s, n in zip(sums, names, strict=True)])
+    return sorted(of.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names]).collect())
 
 
 def _length(rows: DataFrame) -> tuple[int, int, int] | None:
@@ -94,10 +97,26 @@ def _length(rows: DataFrame) -> tuple[int, int, int] | None:
 
 
 def _centred(rows: DataFrame, model: Whitening) -> DataFrame:
-    """With y0, y1, ...: x less the mean, in double precision."""
+    """With y: each x less its mean, in double precision."""
     rest = [float(Fraction(s, model.n) - c) for s, c in zip(model.sums, model.centre, strict=True)]
-    y = [F.expr(f"cast({_x(i)} - {c}L as double) - ({r!r}D)").alias(f"y{i}") for i, (c, r) in enumerate(zip(model.centre, rest, strict=True))]
-    return rows.select("*", *y)
+    y = [f"cast({_x(i)} - {c}L as double) - ({r!r}D)" for i, (c, r) in enumerate(zip(model.centre, rest, strict=True))]
+    return rows.withColumn("y", F.expr(f"array({', '.join(y)})"))
+
+
+def _covariance(rows: DataFrame, model: Whitening) -> np.ndarray:
+    """Means of the products of y's entries: the blocks (i, j) of the upper triangle, i <= j, each with SIDE * SIDE sums."""
+    d = len(model.sums)
+    blocks = -(-d // SIDE)
+    upper = f"flatten(transform(sequence(0, {blocks - 1}), i -> transform(sequence(i, {blocks - 1}), j -> struct(i, j))))"
+    # beyond the last dimension a value is null, and so is its product, which no sum counts
+    met = _centred(rows, model).select("y", F.explode(F.expr(upper)).alias("at")).select(
+        "at.i", "at.j", *[F.expr(f"get(y, at.{side} * {SIDE} + {k})").alias(f"{side}{k}") for side in "ij" for k in range(SIDE)]
+    )
+    out = np.zeros((blocks * SIDE, blocks * SIDE))
+    for i, j, *sums in _totals(met, ["i", "j"], [f"sum(i{p} * j{q})" for p in range(SIDE) for q in range(SIDE)]):
+        out[i * SIDE : (i + 1) * SIDE, j * SIDE : (j + 1) * SIDE] = np.array([s or 0.0 for s in sums]).reshape(SIDE, SIDE) / model.n
+    upper_half = np.triu(out[:d, :d])
+    return upper_half + np.triu(upper_half, 1).T
 
 
 def fit(vectors: DataFrame, vector_col: str = "embedding") -> Whitening | None:
@@ -107,17 +126,12 @@ def fit(vectors: DataFrame, vector_col: str = "embedding") -> Whitening | None:
     if found is None:
         return None
     d, n, most = found
-    if d > WIDEST:
-        raise ValueError(f"vectors of {d} components; at most {WIDEST} are whitened, as the plan has a sum for every pair of them")
     rows = rows.where(F.size("v") == d)
     kind = "bigint" if n * most < 2**62 else "decimal(38,0)"
-    sums = _totals(rows, [f"sum(cast({_x(i)} as {kind}))" for i in range(d)], "decimal(38,0)")
-    model = Whitening(n, [int(s) for s in sums], np.zeros(0), np.zeros((d, 0)), np.zeros(0))
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    products = _totals(_centred(rows, model).drop("v"), [f"sum(y{i} * y{j})" for i, j in pairs], "double")
-    covariance = np.zeros((d, d))
-    for (i, j), product in zip(pairs, products, strict=True):
-        covariance[i, j] = covariance[j, i] = product / n
+    x = rows.select(F.posexplode(F.transform("v", lambda c: F.floor(c * SCALE) + OFFSET)).alias("place", "x"))
+    sums = [int(s) for _, s in _totals(x, ["place"], [f"sum(cast(x as {kind}))"])]
+    model = Whitening(n, sums, np.zeros(0), np.zeros((d, 0)), np.zeros(0))
+    covariance = _covariance(rows, model)
     values, axes = np.linalg.eigh(covariance)
     values, axes = values[::-1], axes[:, ::-1]
     some = values > LEAST * max(values[0], 0.0)
@@ -132,7 +146,7 @@ def _projected(rows: DataFrame, model: Whitening, k: int, keep: Sequence[str]) -
     w = []
     for j in range(k):
         axis = model.vectors[:, j] / np.sqrt(model.values[j])
-        w.append(F.expr(_added([f"(y{i} * ({float(a)!r}D))" for i, a in enumerate(axis)], _plus)).alias(f"w{j}"))
+        w.append(F.expr(_added([f"(y[{i}] * ({float(a)!r}D))" for i, a in enumerate(axis)], _plus)).alias(f"w{j}"))
     return _centred(rows, model).select(*keep, *w)
 
 

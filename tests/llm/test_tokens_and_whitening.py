@@ -278,8 +278,12 @@ def test_whitening_beyond_a_long(spark):
     rows = [(i, [float(i) * 2**40, 1.0]) for i in range(8)]
     got = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert {r["deviation"] for r in got} == {None} and abs(got[0]["identity_error"]) < 1e-4
-    with pytest.raises(ValueError):
-        whitening.fit(spark.createDataFrame([(1, [0.0] * 300)], "vec_id long, embedding array<double>"))
+
+
+def test_whitening_of_long_vectors(spark):
+    r = np.random.default_rng(9)
+    rows = [(i, (r.normal(size=130) * np.arange(1, 131)).tolist()) for i in range(150)]
+    check_whitening(whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), rows)
 
 
 def test_whitening_query(spark, data):
