@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orogen.operators import stats
+from orogen.operators import selection, stats
 from orogen.operators.tables import aligned
 from orogen.sources.sinks import load_json, save_json
 
@@ -46,8 +46,8 @@ class Training:
 
 def medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
     """Exact medians; 0 for a feature without values."""
-    row = df.agg(*[F.percentile(stats.real(F.col(f)), F.lit(0.5)).alias(f"m{i}") for i, f in enumerate(features)]).first()
-    return {f: float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0 for i, f in enumerate(features)}
+    found = selection.quantiles(stats.long_form(df, [], features), ["feature"], "x", [0.5]).collect()
+    return dict.fromkeys(features, 0.0) | {r["feature"]: float(r["q"][0]) for r in found}
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -106,20 +106,16 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], top: i
 # --- splits and validation ----------------------------------------------------------------------------------------
 
 
-def _place(label: str, key: str, seed: int) -> Column:
-    return F.row_number().over(Window.partitionBy(label).orderBy(stats.hashed(F.col(key), seed), key))
-
-
 def holdout(df: DataFrame, label: str, key: str, share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, test): the same share of each class, rounded down."""
-    size = F.count("*").over(Window.partitionBy(label))
-    marked = df.where(F.col(label).isNotNull()).withColumn("__test", _place(label, key, seed) <= F.floor(size * F.lit(share)))
-    return marked.where("not __test").drop("__test"), marked.where("__test").drop("__test")
+    marked = selection.placed(df.where(F.col(label).isNotNull()), label, key, seed, "__place", "__size").withColumn("__test", F.col("__place") <= F.floor(F.col("__size") * F.lit(share)))
+    return tuple(marked.where(side).select(df.columns) for side in ("not __test", "__test"))
 
 
 def with_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """With a column `fold`: each class is dealt evenly over the folds."""
-    return df.where(F.col(label).isNotNull()).withColumn("fold", ((_place(label, key, seed) - 1) % k).cast("int"))
+    placed = selection.placed(df.where(F.col(label).isNotNull()), label, key, seed, "__place", "__size")
+    return placed.withColumn("fold", ((F.col("__place") - 1) % k).cast("int")).drop("__place", "__size")
 
 
 def scores(predicted: DataFrame, label: str) -> dict[str, float]:

@@ -5,11 +5,15 @@ Wide tables are unpivoted to (label, feature, x) once, so any number of features
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orogen.operators import selection
+from orogen.operators.selection import hashed
 from orogen.sources.storage import kept
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
@@ -26,8 +30,11 @@ def long_form(df: DataFrame, keep: Sequence[str], features: Sequence[str]) -> Da
     return df.select(*keep, *[real(F.col(f)).alias(f) for f in features]).unpivot(list(keep), list(features), "feature", "x")
 
 
-def _quantiles(x: str, which: dict[str, float]) -> Column:
-    return F.percentile(x, F.array(*[F.lit(q) for q in which.values()]))
+def _with_quantiles(groups: DataFrame, rows: DataFrame, by: Sequence[str], shares: Iterable[float]) -> DataFrame:
+    """`groups` with `q`, the quantiles of x in the rows of each; null where a group has no value."""
+    found = selection.quantiles(rows, by, "x", list(shares)).withColumnsRenamed({k: f"__{k}" for k in by})
+    same = [groups[k].eqNullSafe(found[f"__{k}"]) for k in by]
+    return groups.join(found, reduce(operator.and_, same, F.lit(True)), "left").drop(*[f"__{k}" for k in by])
 
 
 def class_statistics(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
@@ -44,10 +51,10 @@ def class_statistics(df: DataFrame, label: str, features: Sequence[str]) -> Data
         F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
-        _quantiles("x", QUANTILES).alias("q"),
         F.skewness(x).alias("g"),
         F.stddev_pop(x).alias("sigma"),
     )
+    got = _with_quantiles(got, rows, [label, "feature"], QUANTILES.values())
     cube = F.col("g") * F.pow(F.col("sigma") / F.when(F.col("std") > 0, F.col("std")), F.lit(3.0))
     return got.select(
         F.col(label).alias("label"),
@@ -67,9 +74,9 @@ def class_statistics(df: DataFrame, label: str, features: Sequence[str]) -> Data
 
 def summary(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Per column: count, mean, std, min, quantiles, max of what parses as a number."""
-    got = long_form(df, [], features).groupBy(F.col("feature").alias("column")).agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), _quantiles("x", QUANTILES).alias("q")
-    )
+    rows = long_form(df, [], features).withColumnRenamed("feature", "column")
+    got = rows.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    got = _with_quantiles(got, rows, ["column"], QUANTILES.values())
     return got.select("column", "count", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(QUANTILES)], "max")
 
 
@@ -115,24 +122,38 @@ def normal_tail(z: Column) -> Column:
 def rank_tests(df: DataFrame, label: str, features: Sequence[str], pairs: DataFrame, least: int = 30) -> DataFrame:
     """Mann-Whitney tests of each feature between the two labels of each pair (a, b), labels as text.
 
-    Average ranks come from counts per distinct value: each value needs one row per label and feature, not one per
-    observation. p_value is the normal approximation with corrections for ties and continuity. Groups under `least` have only a note.
+    Ranks are made once for all pairs: each distinct value of a feature has one row with a count for each label (there are few), the counts
+    under it are running sums over ranges of values, and U of a pair is what one label's values have of the other label under them and
+    half of what they share. p_value is the normal approximation with corrections for ties and continuity. Groups under `least` have only a note.
     """
     rows = long_form(df.where(F.col(label).isNotNull()), [label], features).where("x is not null").select(F.col(label).cast("string").alias("label"), "feature", "x")
-    counts = rows.groupBy("feature", "label", "x").agg(F.count("*").alias("n"))
     pairs = pairs.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b")).distinct()
-    sides = pairs.select("a", "b", F.col("a").alias("label"), F.lit(1).alias("side")).union(pairs.select("a", "b", F.col("b").alias("label"), F.lit(2).alias("side")))
-    size = lambda s: F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0))
-    merged = counts.join(sides, "label").groupBy("feature", "a", "b", "x").agg(size(1).alias("n1"), size(2).alias("n2"))
-    below = Window.partitionBy("feature", "a", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    tied = F.col("n1") + F.col("n2")
-    ranked = merged.withColumn("rank", F.coalesce(F.sum(tied).over(below), F.lit(0)) + (tied + 1) / F.lit(2.0))
-    u = F.sum(F.col("n1") * F.col("rank")) - F.sum("n1") * (F.sum("n1") + 1) / F.lit(2.0)
-    ties = F.sum((tied * tied * tied - tied).cast("double"))
-    tests = ranked.groupBy("feature", "a", "b").agg(F.sum("n1").alias("n_group1"), F.sum("n2").alias("n_group2"), u.alias("u"), ties.alias("ties"))
-    each = rows.groupBy("feature", "label").agg(F.avg("x").alias("mean"), F.percentile("x", F.lit(0.5)).alias("median"))
-    side = lambda n, of: each.select("feature", F.col("label").alias(of), F.col("mean").alias(f"mean_group{n}"), F.col("median").alias(f"median_group{n}"))
-    tests = tests.join(side(1, "a"), ["feature", "a"], "left").join(side(2, "b"), ["feature", "b"], "left")
+    labels = sorted(r[0] for r in pairs.select(F.explode(F.array("a", "b"))).distinct().collect())
+    at = range(len(labels))
+    if not labels:
+        return _tests_of_nothing(label, rows)
+    rows = rows.where(F.col("label").isin(labels))
+    counts = rows.groupBy("feature", "x").agg(*[F.sum(F.when(F.col("label") == name, 1).otherwise(0)).alias(f"n{i}") for i, name in zip(at, labels, strict=True)])
+    ranked = selection.running(counts, ["feature"], "x", [f"n{i}" for i in at])
+    present = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").cast("double").alias("n")) for i in at]), lambda s: s["n"] > 0))
+    sums = ranked.select("*", present.alias("own")).groupBy("feature", "own.i")
+    n = F.col("own.n")
+    over = [F.sum(n * (F.col(f"below_n{j}") + F.col(f"n{j}") / 2)).alias(f"u{j}") for j in at]
+    shared = [F.sum(3 * n * F.col(f"n{j}") * (n + F.col(f"n{j}"))).alias(f"c{j}") for j in at]
+    each = rows.groupBy("feature", "label").agg(F.avg("x").alias("mean"), F.count("*").alias("size"))
+    each = _with_quantiles(each, rows, ["feature", "label"], [0.5]).select("feature", "label", "mean", "size", F.col("q")[0].alias("median"))
+    names = F.array(*[F.lit(name) for name in labels])
+    sums = sums.agg(*over, *shared, F.sum(n * n * n - n).alias("t")).withColumn("label", F.get(names, F.col("i")))
+    meets = F.explode(F.array(*[F.struct(F.lit(name).alias("b"), F.col(f"u{j}").alias("u"), F.col(f"c{j}").alias("c")) for j, name in zip(at, labels, strict=True)]))
+    met = sums.select("feature", F.col("label").alias("a"), meets.alias("m")).select("feature", "a", "m.*")
+    own = sums.select("feature", "label", "t")
+    # every pair of which a side has values
+    tests = each.join(pairs, (F.col("label") == F.col("a")) | (F.col("label") == F.col("b"))).select("feature", "a", "b").distinct()
+    tests = tests.join(met, ["feature", "a", "b"], "left")
+    for k, of in ((1, "a"), (2, "b")):
+        side = each.join(own, ["feature", "label"]).select("feature", F.col("label").alias(of), F.col("size").alias(f"n_group{k}"), F.col("mean").alias(f"mean_group{k}"), F.col("median").alias(f"median_group{k}"), F.col("t").alias(f"t{k}"))
+        tests = tests.join(side, ["feature", of], "left").withColumn(f"n_group{k}", F.coalesce(f"n_group{k}", F.lit(0)).cast("long"))
+    tests = tests.withColumn("ties", F.col("t1") + F.col("t2") + F.col("c"))
     n1, n2 = F.col("n_group1").cast("double"), F.col("n_group2").cast("double")
     total = n1 + n2
     enough = (n1 >= least) & (n2 >= least)
@@ -156,6 +177,14 @@ def rank_tests(df: DataFrame, label: str, features: Sequence[str], pairs: DataFr
     )
 
 
+def _tests_of_nothing(label: str, rows: DataFrame) -> DataFrame:
+    """The columns of `rank_tests` without a pair."""
+    of = {"label_col": F.lit(label), "feature": F.col("feature"), "group1": F.col("label"), "group2": F.col("label")}
+    of |= {f"n_group{k}": F.lit(0).cast("long") for k in (1, 2)} | {f"{c}_group{k}": F.col("x") for c in ("mean", "median") for k in (1, 2)}
+    of |= {c: F.col("x") for c in ("u_stat", "p_value", "auc", "cliffs_delta")} | {"note": F.lit("")}
+    return rows.where("false").select(*[v.alias(k) for k, v in of.items()])
+
+
 def auc_matrix(tests: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(feature, one column 'a-b' for each pair): mean AUC."""
     named = tests.withColumn("pair", F.concat_ws("-", "group1", "group2"))
@@ -206,7 +235,8 @@ def prediction_summary(df: DataFrame, predicted: str, probability: str) -> DataF
 
 def quantiles_by_class(df: DataFrame, predicted: str, features: Sequence[str]) -> DataFrame:
     which = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
-    got = long_form(df, [predicted], features).groupBy(F.col(predicted).cast("string").alias("class"), "feature").agg(_quantiles("x", which).alias("q"))
+    rows = long_form(df, [predicted], features).select(F.col(predicted).cast("string").alias("class"), "feature", "x")
+    got = _with_quantiles(rows.groupBy("class", "feature").agg(F.lit(1)), rows, ["class", "feature"], which.values())
     return got.select("class", "feature", *[F.col("q")[i].alias(n) for i, n in enumerate(which)])
 
 
@@ -219,7 +249,8 @@ def diagnostics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 def zero_crossing(df: DataFrame, x: str, effect: str, bins: int = 40, least: int = 200, per_bin: int = 10) -> DataFrame:
     """(threshold, note): where the mean effect over quantile bins of x first changes its sign, interpolated."""
     rows = df.select(real(F.col(x)).alias("x"), real(F.col(effect)).alias("e")).where("x is not null and e is not null")
-    ends = rows.agg(F.array_distinct(F.percentile("x", F.array(*[F.lit(i / bins) for i in range(bins + 1)])))).scalar()
+    edges = kept(selection.quantiles(rows, [], "x", [i / bins for i in range(bins + 1)]).select(F.array_distinct("q").alias("q")))
+    ends = edges.agg(F.first("q")).scalar()
     placed = rows.withColumn("edges", ends).withColumn("bin", F.least(F.size(F.filter("edges", lambda e: e <= F.col("x"))), F.size("edges") - 1))
     means = placed.groupBy("bin").agg(F.avg("x").alias("mx"), F.avg("e").alias("me"), F.count("*").alias("k")).where(F.col("k") >= per_bin)
     line = Window.partitionBy(F.lit(0)).orderBy("mx")  # at most `bins` rows
@@ -241,11 +272,6 @@ def zero_crossing(df: DataFrame, x: str, effect: str, bins: int = 40, least: int
 # --- order, samples, sets -----------------------------------------------------------------------------------------
 
 
-def hashed(key: Column, seed: int) -> Column:
-    """A repeatable random order."""
-    return F.xxhash64(F.lit(seed), key)
-
-
 def numbered(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), name: str = "id") -> DataFrame:
     """1-based running number. Without partition columns it is exact and distributed: sorted by ranges, written once, and
     each range starts after the rows of those before it. (Two readings of one exchange by ranges could differ, hence the writing.)
@@ -281,9 +307,8 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
 
 def per_class(df: DataFrame, label: str, n: int | Column, key: str, seed: int = 42) -> DataFrame:
-    """Up to n rows of each class."""
-    ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(label).orderBy(hashed(F.col(key), seed), key)))
-    return ranked.where(F.col("__n") <= n).drop("__n")
+    """Up to n rows of each class; n may be a scalar subquery."""
+    return selection.smallest(df, label, n, key, seed)
 
 
 def undersampled(df: DataFrame, label: str, key: str, target: int | None = None, seed: int = 42) -> DataFrame:
@@ -291,7 +316,7 @@ def undersampled(df: DataFrame, label: str, key: str, target: int | None = None,
     sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("k"))
     least = sizes.agg(F.min("k")).scalar()
     most = least if target is None else F.least(least, F.lit(target))
-    return per_class(df.where(F.col(label).isNotNull()).withColumn("__most", most), label, F.col("__most"), key, seed).drop("__most")
+    return per_class(df.where(F.col(label).isNotNull()), label, most, key, seed)
 
 
 def undersampling_log(before: DataFrame, after: DataFrame, label: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogen.functions import names, scales
+from orogen.functions import names
 from orogen.operators import ml, stats, tables
 from orogen.plans.inputs import COMPONENTS, FEATURES, SQL, features, table
 from orogen.sources import readers
@@ -32,52 +32,6 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 # --- names and numbers --------------------------------------------------------------------------------------------
 
-_UNIT = " ".join(f"WHEN b < 1024.0 ** {n + 1} THEN printf('%.1f {unit}', b / 1024.0 ** {n})" for n, unit in enumerate(("B", "KB", "MB", "GB")))
-
-
-@query("F06_F07_readable_bytes", f"WITH s AS (SELECT i, 3.0::DOUBLE ** i AS b FROM range(30) t(i)) SELECT i, CASE {_UNIT} ELSE printf('%.1f TB', b / 1024.0 ** 4) END AS shown FROM s")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(i, scales.readable_bytes(3**i)) for i in range(30)], "i long, shown string")
-
-
-@query("F08_experiment_tags", "SELECT 'ts' || t || '_rs' || s || '_n' || n || '_d' || coalesce(d, 'none') || '_wnone' AS tag FROM (VALUES ('0.2'), ('0.25')) a(t), (VALUES ('1'), ('42')) b(s), (VALUES ('100'), ('300')) c(n), (VALUES ('10'), (NULL)) e(d)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    made = [scales.experiment_tag(t, s, n, depth, None) for t in (0.2, 0.25) for s in (1, 42) for n in (100, 300) for depth in (10, None)]
-    return spark.createDataFrame([(x,) for x in made], "tag string")
-
-
-@query("K30_output_names", "SELECT i, 'a.' || i || '/t' || i || '.csv' AS name FROM range(20) t(i)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    kinds = ("gpkg", "parquet", "tsv", "x.geojson"[2:])
-    return spark.createDataFrame([(i, readers.output_name(f"a.{i}/t{i}.{kinds[i % 4]}", "csv")) for i in range(20)], "i long, name string")
-
-
-@query("S35_S36_S37_formats_by_extension", "SELECT * FROM (VALUES ('a.CSV', 'csv'), ('a.tsv', 'csv'), ('b/c.pq', 'parquet'), ('b.geoparquet', 'parquet'), ('x.gpkg', 'geopackage'), ('x.geojson', 'geojson'), ('d.TIF', 'geotiff'), ('d.orc/', 'orc')) t(path, format)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    paths = ["a.CSV", "a.tsv", "b/c.pq", "b.geoparquet", "x.gpkg", "x.geojson", "d.TIF", "d.orc/"]
-    return spark.createDataFrame([(p, readers.format_of(p)) for p in paths], "path string, format string")
-
-
-@query("M29_memory_advice", "SELECT r * c * 12 AS bytes, r * c * 12 <= 8589934592 AS geopackage, r * c * 12 <= 2147483648 AS csv FROM (SELECT 10 ** i AS r FROM range(3, 9) t(i)), (VALUES (10), (190)) k(c)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    got = [scales.memory_estimate(10**i, c) for i in range(3, 9) for c in (10, 190)]
-    return spark.createDataFrame([(float(g["bytes"]), g["geopackage"], g["csv"]) for g in got], "bytes double, geopackage boolean, csv boolean")
-
-
-@query(
-    "P22_P23_P26_P27_places_of_specs",
-    "WITH s(spec) AS (VALUES ('1-3'), ('2,5-7,6'), ('7-5'), ('4')), p AS (SELECT spec, string_split(x, '-') AS ab FROM (SELECT spec, unnest(string_split(spec, ',')) AS x FROM s)), "
-    "b AS (SELECT spec, least(ab[1]::INT, ab[-1]::INT) AS lo, greatest(ab[1]::INT, ab[-1]::INT) AS hi FROM p) SELECT DISTINCT spec, unnest(range(lo - 1, hi))::BIGINT AS place FROM b",
-)
-def _(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(s, i) for s in ("1-3", "2,5-7,6", "7-5", "4") for i in names.indices(s, 8, base=1)], "spec string, place long")
-
-
-@query("P45_P46_coordinate_columns", "SELECT * FROM (VALUES ('a,X,Y', 'X', 'Y'), ('lat,lon,z', 'lon', 'lat'), ('Easting,v,Northing', 'Easting', 'Northing'), ('xx,y', NULL, NULL), ('center_x,center_y', 'center_x', 'center_y')) t(header, x_column, y_column)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    headers = ["a,X,Y", "lat,lon,z", "Easting,v,Northing", "xx,y", "center_x,center_y"]
-    return spark.createDataFrame([(h, *(names.xy_columns(h.split(",")) or (None, None))) for h in headers], "header string, x_column string, y_column string")
-
 
 @query(
     "P57_P58_P59_kinds_of_columns",
@@ -89,12 +43,6 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, kind string")
 
 
-@query("P60_kinds_of_sql_types", "SELECT t AS sql_type, CASE WHEN t LIKE '%DATE%' OR t LIKE '%TIME%' THEN 'datetime' WHEN t SIMILAR TO '.*(INT|REAL|FLOA|DOUB|NUM|DEC).*' THEN 'numeric' WHEN t SIMILAR TO '.*(CHAR|TEXT|CLOB|STRING).*' THEN 'string' ELSE 'other' END AS kind FROM (VALUES ('BIGINT'), ('DATETIME'), ('VARCHAR(9)'), ('DECIMAL(9,2)'), ('BLOB'), ('MEDIUMINT'), ('DOUBLE'), ('TEXT')) v(t)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    kinds = ["BIGINT", "DATETIME", "VARCHAR(9)", "DECIMAL(9,2)", "BLOB", "MEDIUMINT", "DOUBLE", "TEXT"]
-    return spark.createDataFrame([(t, names.kind_of_sql(t)) for t in kinds], "sql_type string, kind string")
-
-
 @query("P36_P37_filter_by_attribute", "SELECT n_nationkey FROM nation WHERE n_regionkey IN (1, 3)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return tables.by_attribute_or_all(table(spark, d, "nation"), "n_regionkey", [1, 3]).select("n_nationkey")
@@ -210,21 +158,6 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return got.select("tree_id", F.least("tree_acc_vs_true", "tree_agree_with_rf").between(0.0, 1.0).alias("sane"))
 
 
-_CONFIG = "FROM (VALUES ('rf'), ('gbt')) a(b), (VALUES (2), (4)) c(n), (VALUES ('holdout'), ('kfold')) e(v)"
-
-
-@query("K31_config_templates", f"SELECT b || '_n' || n || '_' || v AS name, b AS backend, n AS trees, v AS validation {_CONFIG}")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    runs = ml.config_template(["rf", "gbt"], [2, 4], "label", FEATURES, "vec_id", ["holdout", "kfold"])["runs"]
-    return spark.createDataFrame([(r["name"], r["backend"], r["trees"], r["validation"]) for r in runs], "name string, backend string, trees int, validation string")
-
-
-@query("J28_M25_runs_over_global_settings", "SELECT * FROM (VALUES ('a', 5, 7), ('b', 9, 3)) t(name, depth, trees)")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    runs = ml.merged({"global": {"depth": 5, "trees": 3}, "runs": [{"name": "a", "trees": 7}, {"name": "b", "depth": 9}]})
-    return spark.createDataFrame([(r["name"], r["depth"], r["trees"]) for r in runs], "name string, depth int, trees int")
-
-
 @query("M23_M24_M30_rows_of_a_batch", "SELECT * FROM (VALUES ('rf_n2_holdout', 'rf', 2, true), ('rf_n3_holdout', 'rf', 3, true)) t(name, backend, trees, sane)")
 def _(spark: SparkSession, d: str) -> DataFrame:
     config = ml.config_template(["rf"], [2, 3], "label", FEATURES, "vec_id")

@@ -130,33 +130,3 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     path = _place(spark, "csv")
     sinks.write_per_class(table(spark, d, "customer"), path, "c_mktsegment")
     return readers.read_csv(spark, path).groupBy("class_dir").agg(F.count("*").alias("n"))
-
-
-@query("S29_S30_S31_S38_K18_K20_K27_metadata_round_trip", "SELECT 'run' AS run_id, 3 AS n_features")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    path = _place(spark, "json")
-    sinks.save_json(spark, path, {"run_id": "run", "feature_cols": ["a", "b", "c"], "runs": []})
-    got = readers.load_config(spark, path)
-    return spark.createDataFrame([(got["run_id"], len(got["feature_cols"]))], "run_id string, n_features int")
-
-
-_K = "greatest(3, round_even(i / 4.0 / 2.0, 0))::BIGINT"
-
-
-@query(
-    "F01_F02_F03_F04_D5_scale_windows",
-    f"WITH k AS (SELECT (i / 4.0)::DOUBLE AS r_m, {_K} + (1 - {_K} % 2) AS k, greatest(1, round_even(i / 4.0 / 2.0, 0))::BIGINT AS block FROM range(1, 120) t(i)) SELECT r_m, k, block, (k - 1) / 2.0 * 2.0::DOUBLE AS r_eff, round(2 / sqrt(pi()) * ((k - 1) / 2.0 * 2.0), 6) + 0.0 AS r_open FROM k",
-)
-def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = []
-    for i in range(1, 120):
-        k = scales.odd_window(i / 4, 2.0)
-        rows.append((i / 4, k, scales.block_scale(i / 4, 2.0), scales.effective_radius(k, 2.0), round(scales.openness_radius(k, 2.0), 6)))
-    return spark.createDataFrame(rows, "r_m double, k long, block long, r_eff double, r_open double")
-
-
-@query("F05_F06_F07_F08_F09_M29_K25_K26_K28_K30_names", "SELECT 'dem_slope_rin5m_k5_reff2m_rsu' AS name, '2.0 KB' AS size, 'a.csv' AS swapped, 'ts0.2_rs42_n200_dnone_wnone' AS tag, 22800000::BIGINT AS memory")
-def _(spark: SparkSession, d: str) -> DataFrame:
-    name = scales.feature_name("dem", "slope", scales.scale_tag(5, 5, 1.0), "rsu")
-    row = (name, scales.readable_bytes(2048), readers.output_name("a.gpkg", "csv"), scales.experiment_tag(0.2, 42, 200, None, None), scales.memory_estimate(10_000, 190)["bytes"])
-    return spark.createDataFrame([row], "name string, size string, swapped string, tag string, memory long")

@@ -17,8 +17,10 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 #: Values on exact halves would round by their last bit; moved by this, both sides round them alike.
 SHIFT = 3e-9
 RECTS = SQL["rects"].format(side=10)
+#: Neighbours overlap: a point lies in up to four.
+OVERLAP = SQL["rects"].format(side=12)
 #: Wide enough for all rectangles to have a common part.
-OVERLAP = SQL["rects"].format(side=60)
+COMMON = SQL["rects"].format(side=60)
 
 
 def query(name: str, sql: str | None = None) -> Callable:
@@ -385,17 +387,28 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return joins.normalised_truth(part, "t", {"10": 1, "20": 2, "30": 3}).select("p_partkey", F.col("truth_id").cast("double").alias("truth_id"))
 
 
-@query("J18_grid_centers", "SELECT i AS ix, j AS iy, 1 + 0.75 + i * 1.5 AS x, 2 + 0.75 + j * 1.5 AS y FROM range(6) a(i), range(4) b(j)".replace("1 + 0.75", "1.75").replace("2 + 0.75", "2.75").replace("1.75 + i * 1.5", "(1.75 + i * 1.5)::DOUBLE").replace("2.75 + j * 1.5", "(2.75 + j * 1.5)::DOUBLE"))
+_BOX = "box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts)"
+
+
+def _box(spark: SparkSession, d: str) -> tuple[float, float, float, float]:
+    return tuple(points(spark, d).agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first())
+
+
+@query("J18_grid_centers_over_points", f"""WITH {SQL['pts']}, {_BOX}, k AS (SELECT x0, y0, unnest(range(ceil((x1 - x0) / 1.5 - 0.5)::BIGINT)) AS ix, ceil((y1 - y0) / 1.5 - 0.5)::BIGINT AS ny FROM box),
+n AS (SELECT x0, y0, ix, unnest(range(ny)) AS iy FROM k) SELECT ix, iy, {near_sql('x0 + 0.75 + ix * 1.5')} AS x, {near_sql('y0 + 0.75 + iy * 1.5')} AS y FROM n""")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return joins.grid_centers(spark, (1.0, 2.0, 10.0, 8.0), 1.5)
+    return joins.grid_centers(spark, _box(spark, d), 1.5).select("ix", "iy", near("x").alias("x"), near("y").alias("y"))
 
 
-@query("J19_fishnet", "SELECT i AS grid_id, (i % 4) * 3.0::DOUBLE + 1.5 AS center_x, (i // 4) * 3.0::DOUBLE + 1.5 AS center_y, (i % 4) * 3.0::DOUBLE AS xmin, (i // 4) * 3.0::DOUBLE AS ymin, (i % 4) * 3.0::DOUBLE + 3 AS xmax, (i // 4) * 3.0::DOUBLE + 3 AS ymax FROM range(12) t(i)")
+@query("J19_fishnet_over_points", f"""WITH {SQL['pts']}, {_BOX}, k AS (SELECT x0, y0, greatest(1, ceil((x1 - x0) / 3))::BIGINT AS nx, greatest(1, ceil((y1 - y0) / 3))::BIGINT AS ny FROM box), n AS (SELECT *, unnest(range(nx * ny)) AS i FROM k)
+SELECT i AS grid_id, {near_sql('x0 + (i % nx) * 3 + 1.5')} AS center_x, {near_sql('y0 + (i // nx) * 3 + 1.5')} AS center_y, {near_sql('x0 + (i % nx) * 3')} AS xmin, {near_sql('y0 + (i // nx) * 3')} AS ymin, {near_sql('x0 + (i % nx) * 3 + 3')} AS xmax, {near_sql('y0 + (i // nx) * 3 + 3')} AS ymax FROM n""")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return joins.fishnet(spark, (0.0, 0.0, 10.0, 8.0), 3.0)
+    x0, y0, x1, y1 = _box(spark, d)
+    got = joins.fishnet(spark, (x0, y0, x1, y1), 3.0)
+    return got.select("grid_id", *[near(c).alias(c) for c in got.columns if c != "grid_id"])
 
 
-@query("J22_common_extent", f"WITH {OVERLAP} SELECT max(xmin) AS xmin, max(ymin) AS ymin, min(xmax) AS xmax, min(ymax) AS ymax FROM rects")
+@query("J22_common_extent", f"WITH {COMMON} SELECT max(xmin) AS xmin, max(ymin) AS ymin, min(xmax) AS xmax, min(ymax) AS ymax FROM rects")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return joins.common_extent(rectangles(spark, d, 60))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orogen.functions import names, scales
 from orogen.operators import joins, ml, stats, tables
+from orogen.sources import readers, sinks
 
 
 def test_scales():
@@ -32,6 +33,21 @@ def test_names():
     assert names.strip_quotes(" 'x' ") == "x" and names.kind_of_sql("VARCHAR(3)") == "string"
 
 
+def test_names_of_files_runs_and_kinds(spark, tmp_path):
+    assert [readers.format_of(p) for p in ("a.CSV", "b/c.pq", "x.gpkg", "x.geojson", "d.TIF", "d.orc/")] == ["csv", "parquet", "geopackage", "geojson", "geotiff", "orc"]
+    assert readers.output_name("a.1/t1.gpkg", "csv") == "a.1/t1.csv" and scales.experiment_tag(0.2, 42, 200, None, None) == "ts0.2_rs42_n200_dnone_wnone"
+    assert scales.memory_estimate(10_000, 190)["bytes"] == 22_800_000 and not scales.memory_estimate(10**8, 190)["geopackage"]
+    assert [names.kind_of_sql(t) for t in ("BIGINT", "DATETIME", "TEXT", "BLOB")] == ["numeric", "datetime", "string", "other"]
+    assert names.indices("2,5-7,6", 8, base=1) == [1, 4, 5, 6] and names.xy_columns(["center_x", "center_y"]) == ("center_x", "center_y")
+    runs = ml.config_template(["rf", "gbt"], [2, 4], "label", ["f"], "id", ["holdout", "kfold"])["runs"]
+    assert [(r["name"], r["backend"], r["trees"]) for r in runs[:2]] == [("rf_n2_holdout", "rf", 2), ("rf_n2_kfold", "rf", 2)] and len(runs) == 8
+    got = ml.merged({"global": {"depth": 5, "trees": 3}, "runs": [{"name": "a", "trees": 7}, {"name": "b", "depth": 9}]})
+    assert [(r["name"], r["depth"], r["trees"]) for r in got] == [("a", 5, 7), ("b", 9, 3)]
+    sinks.save_json(spark, f"{tmp_path}/m.json", {"run_id": "run", "feature_cols": ["a"], "runs": []})
+    assert readers.load_config(spark, f"{tmp_path}/m.json")["feature_cols"] == ["a"]
+    assert scales.odd_window(5 / 4, 2.0) == 3 and scales.readable_bytes(3**20) == "3.2 GB"
+
+
 def test_conditions_and_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "b")], "n long, s string")
     ne = tables.filtered(df, [{"col": "n", "op": "!=", "values": [1]}])
