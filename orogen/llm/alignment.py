@@ -1,10 +1,12 @@
 """Cross-tokenizer alignment: which tokens of one tokenizer stand where those of another do.
 
-A text is encoded by a byte-level BPE (A) and by a SentencePiece model (B), both over a space and the text. That is all that Python
-does: it gives the ids and the byte offsets where each token ends. From there on everything is Spark's higher-order functions:
-`array_intersect` of the two arrays of ends gives the offsets where both end, which cut the tokens into groups; how many tokens lie
-before a cut is read off its place in a sorted merge of ends and cuts; `sequence`, `transform` and `slice` make the groups, `aggregate`
-counts their links. A link is a pair of tokens whose bytes overlap: one for each stretch between neighbouring ends, of either side.
+A text is encoded by a byte-level BPE (A) and by a SentencePiece model (B), both over a space and the text. No token of either reaches
+over the end of a word that a space follows, so a text is a row of such segments. All that Python does is to tokenise: for
+each distinct segment of a text it gives the ids and the byte offsets where each token ends, and how often and where the segment
+stands. From there on everything is Spark's higher-order functions: `array_intersect` of the two arrays of ends gives the
+offsets where both end, which cut the tokens into groups; how many tokens lie before a cut is read off its place in a sorted merge of ends and
+cuts; `sequence`, `transform` and `slice` make the groups, `aggregate` counts their links. A link is a pair of tokens whose bytes
+overlap: one for each stretch between neighbouring ends, of either side.
 
 The count of an id pair is how often it is linked in the whole corpus. Links are counted with map-side combine. Pairs that make
 up one 131,072nd of all links or more are at most so many, so they are broadcast; the links of all other pairs are shuffled, and
@@ -22,7 +24,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orogen.llm.common import cut, ensure_checkpoint_dir, slices, table
-from orogen.llm.packing import _RUNS
 
 BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -40,12 +42,12 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SHARE = 1 << 17
 #: Ids of B up to which their highest counts are broadcast, one row each.
 BROADCAST_IDS = 1 << 20
-#: Bytes of runs and their tokens that a task remembers of each tokenizer in each of two generations.
-REMEMBERED = 40 << 20
+#: Bytes of segments and their tokens that a task remembers in each of two generations.
+REMEMBERED = 96 << 20
 SLICE = 1 << 20
 _MARK = "▁"
-#: Spaces with the word after them; spaces at the end stay with the last word.
-_SPACED = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
+#: Blanks with what follows up to a space after a word. Spaces alone at the end stay with the word before them.
+_SEGMENTS = re.compile(r"\s+\S*(?:[^\S ]\s*\S*)*(?: +\Z)?")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -58,8 +60,6 @@ def byte_alphabet() -> dict[str, int]:
 class ByteTokens:
     """A: a byte-level BPE of the tokenizers library; special tokens are plain text."""
 
-    runs = _RUNS
-
     def __init__(self, source: bytes):
         text = source.decode()
         self.own = tokenizers.Tokenizer.from_str(text)
@@ -81,8 +81,6 @@ class ByteTokens:
 class PieceTokens:
     """B: a SentencePiece model, which puts a space in front itself. No piece reaches from a word over the space after it."""
 
-    runs = _SPACED
-
     def __init__(self, source: bytes):
         self.own = own = sentencepiece.SentencePieceProcessor(model_proto=source)
         pieces = [own.id_to_piece(i) for i in range(own.get_piece_size())]
@@ -94,41 +92,51 @@ class PieceTokens:
         return self.own.encode([r[1:] for r in runs], num_threads=1)
 
 
-class Ends:
-    """Ids and end offsets of whole texts. Each distinct run is encoded once while it is remembered."""
+class Segments:
+    """Tokens of segments, each encoded once while it is remembered."""
 
-    def __init__(self, tokens: ByteTokens | PieceTokens):
-        self.tokens = tokens
-        self.sizes = np.array([len(s) for s in tokens.spelt], dtype=np.int32)
-        # run: ids, token sizes, and the joined bytes where they are not the run's own
-        self.young: dict[str, tuple[bytes, bytes, bytes | None]] = {}
+    def __init__(self, sides: Sequence[ByteTokens | PieceTokens]):
+        self.sides = sides
+        self.sizes = [np.array([len(s) for s in side.spelt], dtype=np.int32) for side in sides]
+        # segment: ids and end offsets of both sides as bytes, and the joined bytes of each where they are not the segment's own
+        self.young: dict[str, tuple[list[bytes], list[bytes] | None]] = {}
         self.old, self.held = {}, 0
 
-    def _learn(self, runs: set[str]) -> None:
-        again = runs & self.old.keys()
-        new = list(runs - again)
-        self.young.update((r, self.old[r]) for r in again)
-        spelt = self.tokens.spelt
-        for run, ids in zip(new, self.tokens.encode(new), strict=True):
-            ids, joined = np.array(ids, dtype=np.int32), b"".join([spelt[i] for i in ids])
-            self.young[run] = ids.tobytes(), self.sizes[ids].tobytes(), None if joined == run.encode() else joined
-        self.held += sum(330 + len(r) + 2 * len(self.young[r][0]) for r in runs)  # with what Python adds to each
-
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """(ids, byte offsets of their ends) of a space and the text; None if the tokens' bytes are not its own."""
+    def _learn(self, segments: set[str]) -> None:
+        again = segments & self.old.keys()
+        new = list(segments - again)
+        self.young.update((s, self.old[s]) for s in again)
+        made = []
+        for side, sizes in zip(self.sides, self.sizes, strict=True):
+            ids = side.encode(new)
+            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32)
+            stops = np.cumsum([0, *map(len, ids)])
+            ends = np.concatenate([[0], np.cumsum(sizes[flat], dtype=np.int64)])
+            ends = (ends[1:] - np.repeat(ends[stops[:-1]], np.diff(stops))).astype(np.int32)
+            spelt, data, cuts = side.spelt, (flat.tobytes(), ends.tobytes()), (4 * stops).tolist()
+            joined = [b"".join([spelt[i] for i in one]) for one in ids]
+            made.append([(data[0][i:j], data[1][i:j], text) for i, j, text in zip(cuts, cuts[1:], joined, strict=False)])
+        for segment, a, b in zip(new, *made, strict=True):
+            raw = segment.encode()
+            self.young[segment] = [a[0], a[1], b[0], b[1]], None if a[2] == raw == b[2] else [a[2], b[2]]
+        self.held += sum(480 + len(s) + sum(map(len, self.young[s][0])) for s in segments)  # with what Python adds to each
+
+    def of(self, text: str) -> tuple[list[list[bytes]], list[int]] | None:
+        """(the distinct segments' ids and ends, the number of each segment in order); None if a side's bytes are not the text's."""
         if self.held > REMEMBERED:
             self.old, self.young, self.held = self.young, {}, 0
         whole = " " + text
-        runs = self.tokens.runs.findall(whole)
-        if new := set(runs).difference(self.young):
+        found = _SEGMENTS.findall(whole)
+        number = {s: k for k, s in enumerate(dict.fromkeys(found))}
+        if new := number.keys() - self.young.keys():
             self._learn(new)
-        found = [self.young[r] for r in runs]
-        if any(f[2] is not None for f in found):
-            joined = b"".join([r.encode() if f[2] is None else f[2] for r, f in zip(runs, found, strict=True)])
-            if joined != whole.encode():
-                return None
-        ids, sizes = (np.frombuffer(b"".join([f[k] for f in found]), dtype=np.int32) for k in (0, 1))
-        return ids, np.cumsum(sizes, dtype=np.int64).astype(np.int32)
+        young = self.young
+        known = [young[s] for s in number]
+        if any(odd for _, odd in known):
+            for side in (0, 1):
+                if b"".join([s.encode() if young[s][1] is None else young[s][1][side] for s in found]) != whole.encode():
+                    return None
+        return [k for k, _ in known], [number[s] for s in found]
 
 
 def _read(path: str) -> bytes:
@@ -147,26 +155,36 @@ def _tokenizers(sources: tuple[bytes, bytes]) -> tuple[ByteTokens, PieceTokens]:
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str = BYTES, b: str = PIECES) -> DataFrame:
-    """(id, a_ids, a_ends, b_ids, b_ends) per row: arrays of ints, empty where there are no tokens."""
+    """(id, a_ids, a_ends, b_ids, b_ends, times, numbers) per row.
+
+    The first four hold an array of ints for each distinct segment of the text; `times` is how often it stands there, and `numbers` has the
+    0-based number of each segment in order. All are empty where there are no tokens.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((_read(a), _read(b)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    none = np.zeros(0, dtype=np.int32)
+
+    def listed(lengths: list[int], values: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(np.cumsum([0, *lengths]).astype(np.int32), values)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = (Ends(t) for t in _tokenizers(shared.value))
+        segments = Segments(_tokenizers(shared.value))
         for batch in parts:
             for piece in slices(batch, 1, SLICE):
-                made: list[list[np.ndarray]] = [[], [], [], []]
-                for text in piece.column(1).to_pylist():
-                    found = (first.of(text), second.of(text)) if text else (None, None)
-                    both = (*found[0], *found[1]) if all(f is not None for f in found) else (none,) * 4
-                    for column, values in zip(made, both, strict=True):
-                        column.append(values)
-                lists = [pa.ListArray.from_arrays(np.cumsum([0, *map(len, c)]).astype(np.int32), np.concatenate([none, *c])) for c in made]
-                yield pa.RecordBatch.from_arrays([piece.column(0), *lists], ["id", "a_ids", "a_ends", "b_ids", "b_ends"])
+                got = [(segments.of(t) if t else None) or ([], []) for t in piece.column(1).to_pylist()]
+                distinct, numbers = [len(d) for d, _ in got], [np.array(n, dtype=np.int32) for _, n in got]
+                known = [k for d, _ in got for k in d]
+                four = []
+                for side in range(4):
+                    flat = np.frombuffer(b"".join([k[side] for k in known]), dtype=np.int32)
+                    four.append(listed(distinct, listed([len(k[side]) // 4 for k in known], flat)))
+                times = np.concatenate([np.zeros(0, np.int32), *(np.bincount(n, minlength=d).astype(np.int32) for d, n in zip(distinct, numbers, strict=True))])
+                order = np.concatenate([np.zeros(0, np.int32), *numbers])
+                columns = [piece.column(0), *four, listed(distinct, times), listed([len(n) for n in numbers], order)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "a_ids", "a_ends", "b_ids", "b_ends", "times", "numbers"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"id {kind}, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>")
+    lists = ", ".join(f"{c} array<array<int>>" for c in ("a_ids", "a_ends", "b_ids", "b_ends"))
+    return rows.mapInArrow(batches, f"id {kind}, {lists}, times array<int>, numbers array<int>")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -176,7 +194,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _up_to(ends: Column, cuts: Column) -> Column:
     """How many of the rising `ends` lie at or before each of the rising `cuts`: a cut's place in the merge of both, less the cuts before it."""
-    merged = F.array_sort(F.concat(F.transform(ends, lambda e: e.cast("long") * 2), F.transform(cuts, lambda c: c.cast("long") * 2 + 1)))
+    merged = F.sort_array(F.concat(F.transform(ends, lambda e: e.cast("long") * 2), F.transform(cuts, lambda c: c.cast("long") * 2 + 1)))
     places = F.filter(F.transform(merged, lambda v, p: F.when(v % 2 == 1, p)), lambda p: p.isNotNull())
     return F.transform(places, lambda p, k: p - k)
 
@@ -199,7 +217,7 @@ def _groups(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Col
 def _links(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Column:
     """An array of linked id pairs, each a * 2**32 + b: one for every stretch between neighbouring ends of either side."""
     keyed = lambda ends, side: F.transform(ends, lambda e, i: F.shiftleft(e.cast("long") * 2 + side, 32).bitwiseOR(i.cast("long")))
-    merged = F.array_sort(F.concat(keyed(a_ends, 0), keyed(b_ends, 1)))
+    merged = F.sort_array(F.concat(keyed(a_ends, 0), keyed(b_ends, 1)))
 
     def of(both: Column) -> Column:
         def link(v: Column, p: Column) -> Column:
@@ -214,12 +232,14 @@ def _links(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Colu
 
 
 def align(tokenised: DataFrame) -> DataFrame:
-    """`tokens` with `groups` (array of (a, b) id arrays) and `links` (array of id pairs) in place of the ends; both empty without tokens."""
-    sides = [F.col(c) for c in ("a_ids", "a_ends", "b_ids", "b_ends")]
-    some = F.size("a_ids") > 0
-    groups = F.when(some, _groups(*sides)).otherwise(F.array().cast("array<struct<a:array<int>,b:array<int>>>"))
-    links = F.when(some, _links(*sides)).otherwise(F.array().cast("array<bigint>"))
-    return tokenised.select("id", "a_ids", "b_ids", groups.alias("groups"), links.alias("links"))
+    """`tokens` with, for each distinct segment, `groups` (an array of (a, b) id arrays) and `links` (an array of id pairs)."""
+    four = F.arrays_zip("a_ids", "a_ends", "b_ids", "b_ends")
+
+    def sides(s: Column) -> list[Column]:
+        return [s[c] for c in ("a_ids", "a_ends", "b_ids", "b_ends")]
+
+    groups, links = F.transform(four, lambda s: _groups(*sides(s))), F.transform(four, lambda s: _links(*sides(s)))
+    return tokenised.select("id", "a_ids", "b_ids", "times", "numbers", groups.alias("groups"), links.alias("links"))
 
 
 def spelt(groups: Column) -> Column:
@@ -229,8 +249,8 @@ def spelt(groups: Column) -> Column:
 
 
 def pair_counts(links: DataFrame, b_ids: int) -> DataFrame:
-    """(pair, n, best: 1 if no other pair of its B id has a higher n) of a column `links`; written once."""
-    counts = cut(links.select(F.explode("links").alias("pair")).groupBy("pair").agg(F.count("*").alias("n")))
+    """(pair, n, best: 1 if no other pair of its B id has a higher n) of a column `links` of (pair, times)."""
+    counts = cut(links.select(F.inline("links")).groupBy("pair").agg(F.sum("times").alias("n")))
     b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     best = counts.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
     best = F.broadcast(best) if b_ids <= BROADCAST_IDS else best
@@ -243,10 +263,16 @@ def alignment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ensure_checkpoint_dir(spark)
     place = f"{spark.sparkContext.getCheckpointDir()}/alignment-{uuid.uuid4().hex}"
     aligned = align(tokens(docs, id_col, text_col, a, b))
-    linked = F.aggregate("groups", F.lit(0).cast("long"), lambda n, g: n + F.size(g["a"]) + F.size(g["b"]) - 1)
-    sizes = [F.size(c).cast("long").alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("groups", "n_groups"))]
-    digest = F.when(F.size("groups") > 0, F.sha2(spelt(F.col("groups")), 256)).otherwise("")
-    kept = aligned.select("id", *sizes, linked.alias("n_links"), digest.alias("groups_sha256"), "links")
+    # what each distinct segment has, as often as it stands in the text
+    def total(sizes: Column) -> Column:
+        return F.aggregate(F.zip_with(sizes, "times", lambda n, k: n * k), F.lit(0).cast("long"), lambda s, n: s + n)
+
+    sizes = [total(F.transform(c, F.size)).alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("groups", "n_groups"))]
+    linked = total(F.transform("groups", lambda gs: F.aggregate(gs, F.lit(0), lambda n, g: n + F.size(g["a"]) + F.size(g["b"]) - 1)))
+    text = _let(F.transform("groups", spelt), lambda parts: F.array_join(F.transform("numbers", lambda k: F.get(parts, k)), ";"))
+    digest = F.when(F.size("numbers") > 0, F.sha2(text, 256)).otherwise("")
+    pairs = F.flatten(F.zip_with("links", "times", lambda ps, k: F.transform(ps, lambda p: F.struct(p.alias("pair"), k.alias("times")))))
+    kept = aligned.select("id", *sizes, linked.alias("n_links"), digest.alias("groups_sha256"), pairs.alias("links"))
     # each row has a number of its own, as ids may be missing or repeated; written once, so that the numbers hold
     kept.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(place)
     rows = spark.read.parquet(place)
@@ -254,9 +280,9 @@ def alignment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     counts = cut(pair_counts(rows, sentencepiece.SentencePieceProcessor(model_file=b).get_piece_size()))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = F.col("n") >= -(-total // SHARE)
-    each = rows.select("row", F.explode("links").alias("pair"))
+    each = rows.select("row", F.inline("links"))
     head, tail = F.broadcast(counts.where(frequent)), counts.where(~frequent)
-    sums = [F.sum("n").alias("n"), F.sum("best").alias("best")]
+    sums = [F.sum(F.col(c) * F.col("times")).alias(c) for c in ("n", "best")]
     near = each.join(head, "pair").groupBy("row").agg(*sums)
     far = each.join(head.select("pair"), "pair", "left_anti").join(tail, "pair").groupBy("row").agg(*sums)
     scored = near.union(far).groupBy("row").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
