@@ -4,8 +4,8 @@ A text is encoded by a byte-level BPE (A) and by a SentencePiece model (B), both
 over the end of a word that a space follows, so a text is a row of such segments. All that Python does is to tokenise: for
 each distinct segment of a text it gives the ids and the byte offsets where each token ends, and how often and where the segment
 stands. From there on everything is Spark's higher-order functions: `array_intersect` of the two arrays of ends gives the
-offsets where both end, which cut the tokens into groups; how many tokens lie before a cut is read off its place in a sorted merge of ends and
-cuts; `sequence`, `transform` and `slice` make the groups, `aggregate` counts their links. A link is a pair of tokens whose bytes
+offsets where both end, which cut the tokens into groups; how many tokens lie before a cut is its place in the array of ends (in
+long arrays, in a sorted merge of ends and cuts); `sequence`, `transform` and `slice` make the groups and their links, `aggregate` adds up what the segments of a text have. A link is a pair of tokens whose bytes
 overlap: one for each stretch between neighbouring ends, of either side.
 
 The count of an id pair is how often it is linked in the whole corpus. Links are counted with map-side combine. Pairs that make
@@ -22,6 +22,7 @@ not read, whatever their names. Tokenizers' files are parameters, read on the dr
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -42,6 +43,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SHARE = 1 << 17
 #: Ids of B up to which their highest counts are broadcast, one row each.
 BROADCAST_IDS = 1 << 20
+#: Tokens of a segment up to which a cut's place is looked for and not merged.
+FEW = 24
 #: Bytes of segments and their tokens that a task remembers in each of two generations.
 REMEMBERED = 96 << 20
 SLICE = 1 << 20
@@ -75,6 +78,7 @@ class ByteTokens:
             self.spelt[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
 
     def encode(self, runs: list[str]) -> list[list[int]]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         return [e.ids for e in self.own.encode_batch_fast(runs, add_special_tokens=False)]
 
 
@@ -102,10 +106,10 @@ class Segments:
         self.young: dict[str, tuple[list[bytes], list[bytes] | None]] = {}
         self.old, self.held = {}, 0
 
-    def _learn(self, segments: set[str]) -> None:
-        again = segments & self.old.keys()
-        new = list(segments - again)
-        self.young.update((s, self.old[s]) for s in again)
+    def _learn(self, segments: list[str]) -> None:
+        old = self.old
+        self.young.update((s, old[s]) for s in segments if s in old)
+        new = [s for s in segments if s not in old]
         made = []
         for side, sizes in zip(self.sides, self.sizes, strict=True):
             ids = side.encode(new)
@@ -128,9 +132,9 @@ class Segments:
         whole = " " + text
         found = _SEGMENTS.findall(whole)
         number = {s: k for k, s in enumerate(dict.fromkeys(found))}
-        if new := number.keys() - self.young.keys():
-            self._learn(new)
         young = self.young
+        if new := [s for s in number if s not in young]:
+            self._learn(new)
         known = [young[s] for s in number]
         if any(odd for _, odd in known):
             for side in (0, 1):
@@ -200,30 +204,36 @@ def _up_to(ends: Column, cuts: Column) -> Column:
 
 
 def _groups(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Column:
-    """An array of (a, b): the ids between neighbouring offsets where both sides end."""
-
-    def between(ids: Column, upto: Column, k: Column) -> Column:
-        start = F.when(k == 0, F.lit(0)).otherwise(F.get(upto, k - 1))
-        return F.slice(ids, start + 1, F.get(upto, k) - start)
+    """An array of (a, b, a_from, b_from): the ids between neighbouring offsets where both sides end, and how many tokens come before them."""
+    few = (F.size(a_ends) <= FEW) & (F.size(b_ends) <= FEW)
 
     def of(cuts: Column) -> Column:
-        upto = F.struct(_up_to(a_ends, cuts).alias("a"), _up_to(b_ends, cuts).alias("b"))
-        numbers = F.sequence(F.lit(0), F.size(cuts) - 1)
-        return _let(upto, lambda u: F.transform(numbers, lambda k: F.struct(between(a_ids, u["a"], k).alias("a"), between(b_ids, u["b"], k).alias("b"))))
+        # in a short array a cut's place is looked for, in a long one it is merged
+        looked = F.transform(cuts, lambda e: F.struct(F.array_position(a_ends, e).cast("int").alias("a"), F.array_position(b_ends, e).cast("int").alias("b")))
+        merged = F.zip_with(_up_to(a_ends, cuts), _up_to(b_ends, cuts), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        return _let(F.when(few, looked).otherwise(merged), lambda upto: F.transform(F.sequence(F.lit(0), F.size(cuts) - 1), lambda k: _let(F.struct(F.get(upto, k).alias("to"), F.get(upto, k - 1).alias("from")), group)))
+
+    def group(u: Column) -> Column:
+        a, b = (F.coalesce(u["from"][side], F.lit(0)) for side in "ab")
+        return F.struct(F.slice(a_ids, a + 1, u["to"]["a"] - a).alias("a"), F.slice(b_ids, b + 1, u["to"]["b"] - b).alias("b"), a.alias("a_from"), b.alias("b_from"))
 
     return _let(F.array_intersect(a_ends, b_ends), of)
 
 
-def _links(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Column:
-    """An array of linked id pairs, each a * 2**32 + b: one for every stretch between neighbouring ends of either side."""
+def _pair(a: Column, b: Column) -> Column:
+    return F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long"))
+
+
+def _met(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Column:
+    """The id pairs of tokens that meet in a group: one for every stretch between neighbouring ends of either side."""
     keyed = lambda ends, side: F.transform(ends, lambda e, i: F.shiftleft(e.cast("long") * 2 + side, 32).bitwiseOR(i.cast("long")))
     merged = F.sort_array(F.concat(keyed(a_ends, 0), keyed(b_ends, 1)))
 
     def of(both: Column) -> Column:
         def link(v: Column, p: Column) -> Column:
             own = v.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int")
-            pair = lambda i, j: F.shiftleft(F.get(a_ids, i).cast("long"), 32).bitwiseOR(F.get(b_ids, j).cast("long"))
             ends_with_a = (p > 0) & (F.shiftright(F.get(both, p - 1), 33) == F.shiftright(v, 33))
+            pair = lambda i, j: _pair(F.get(a_ids, i), F.get(b_ids, j))
             return F.when(F.shiftright(v, 32) % 2 == 0, pair(own, p - own)).when(~ends_with_a, pair(p - own, own))
 
         return F.filter(F.transform(both, link), lambda x: x.isNotNull())
@@ -231,15 +241,25 @@ def _links(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Colu
     return _let(merged, of)
 
 
+def _links(groups: Column, a_ends: Column, b_ends: Column) -> Column:
+    """An array of linked id pairs, each a * 2**32 + b. Where a side has one token in a group, it meets all of the other side."""
+
+    def of(g: Column) -> Column:
+        p, q = F.size(g["a"]), F.size(g["b"])
+        one_a = F.transform(g["b"], lambda b: _pair(F.get(g["a"], F.lit(0)), b))
+        one_b = F.transform(g["a"], lambda a: _pair(a, F.get(g["b"], F.lit(0))))
+        return F.when(p == 1, one_a).when(q == 1, one_b).otherwise(_met(g["a"], F.slice(a_ends, g["a_from"] + 1, p), g["b"], F.slice(b_ends, g["b_from"] + 1, q)))
+
+    return F.flatten(F.transform(groups, of))
+
+
 def align(tokenised: DataFrame) -> DataFrame:
     """`tokens` with, for each distinct segment, `groups` (an array of (a, b) id arrays) and `links` (an array of id pairs)."""
     four = F.arrays_zip("a_ids", "a_ends", "b_ids", "b_ends")
-
-    def sides(s: Column) -> list[Column]:
-        return [s[c] for c in ("a_ids", "a_ends", "b_ids", "b_ends")]
-
-    groups, links = F.transform(four, lambda s: _groups(*sides(s))), F.transform(four, lambda s: _links(*sides(s)))
-    return tokenised.select("id", "a_ids", "b_ids", "times", "numbers", groups.alias("groups"), links.alias("links"))
+    grouped = tokenised.withColumn("groups", F.transform(four, lambda s: _groups(s["a_ids"], s["a_ends"], s["b_ids"], s["b_ends"])))
+    both = F.arrays_zip("groups", "a_ends", "b_ends")
+    links = F.transform(both, lambda s: _links(s["groups"], s["a_ends"], s["b_ends"]))
+    return grouped.select("id", "a_ids", "b_ids", "times", "numbers", "groups", links.alias("links"))
 
 
 def spelt(groups: Column) -> Column:
@@ -268,7 +288,7 @@ def alignment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return F.aggregate(F.zip_with(sizes, "times", lambda n, k: n * k), F.lit(0).cast("long"), lambda s, n: s + n)
 
     sizes = [total(F.transform(c, F.size)).alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("groups", "n_groups"))]
-    linked = total(F.transform("groups", lambda gs: F.aggregate(gs, F.lit(0), lambda n, g: n + F.size(g["a"]) + F.size(g["b"]) - 1)))
+    linked = total(F.transform("links", F.size))
     text = _let(F.transform("groups", spelt), lambda parts: F.array_join(F.transform("numbers", lambda k: F.get(parts, k)), ";"))
     digest = F.when(F.size("numbers") > 0, F.sha2(text, 256)).otherwise("")
     pairs = F.flatten(F.zip_with("links", "times", lambda ps, k: F.transform(ps, lambda p: F.struct(p.alias("pair"), k.alias("times")))))
