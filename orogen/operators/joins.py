@@ -1,8 +1,8 @@
 """Joins of rasters, points and polygons, and lookups.
 
-Points meet cells by an equi-join on computed row and column. Distance and nearest joins bucket space into squares as
+Points meet cells by an equi-join on computed row and column. Distance joins bucket space into squares as
 wide as the search radius, so a point meets the points of nine buckets by equi-join; polygons are bucketed by
-their boxes the same way. Nothing is compared all against all.
+their boxes the same way. Nearest points are in `nearest`.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orogen.functions.geometry import inside_polygon
-from orogen.sources.storage import shared_folder
 
 
 # --- grids --------------------------------------------------------------------------------------------------------
@@ -81,29 +80,6 @@ def _bucketed(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame:
     return spread.join(held, ["__bx", "__by"]).withColumn("__d2", d2).where(F.col("__d2") <= F.lit(float(radius) ** 2))
 
 
-def nearest_class(cells: DataFrame, points: DataFrame, radius: float, rounds: int = 40) -> DataFrame:
-    """(grid_id, class, dist_to_point, n_points) of the nearest point with a class (ties: the smallest class).
-
-    Squares grow: cells that found a point within the radius are settled, the others look twice as far, until none is
-    left or the radius spans everything. Each round is checkpointed, so that no round repeats those before it.
-    """
-    shared_folder(cells.sparkSession)
-    held = points.where(F.col("class").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    box = held.select(F.col("x").alias("center_x"), F.col("y").alias("center_y")).union(cells.select("center_x", "center_y"))
-    ends = box.agg(F.min("center_x"), F.max("center_x"), F.min("center_y"), F.max("center_y")).first()
-    reach = math.hypot(ends[1] - ends[0], ends[3] - ends[2]) if ends[0] is not None else 0.0
-    left, found = cells.select("grid_id", "center_x", "center_y"), None
-    for _ in range(rounds):
-        got = _bucketed(left, held, radius).groupBy("grid_id").agg(F.min(F.struct("__d2", "__class")).alias("m"))
-        got = got.select("grid_id", F.col("m.__class").alias("class"), F.sqrt("m.__d2").alias("dist_to_point"), F.lit(1).cast("long").alias("n_points")).checkpoint()
-        found = got if found is None else found.union(got)
-        left = left.join(got.select("grid_id"), "grid_id", "left_anti").checkpoint()
-        if radius >= reach or left.isEmpty():
-            break
-        radius = 2 * radius
-    return cells.select("grid_id").join(found, "grid_id", "left")
-
-
 def majority_class(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame:
     """(grid_id, class, n_points): the class of most points within the radius (ties: the smallest); none: null and 0."""
     counts = _bucketed(cells, points.where("class is not null"), radius).groupBy("grid_id", F.col("__class").alias("class")).agg(F.count("*").alias("k"))

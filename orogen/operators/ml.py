@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -172,11 +172,18 @@ def learning_curve(df: DataFrame, run: Training, sizes: Sequence[int], share: fl
 
 
 def forest_of(model: PipelineModel):
-    return next(s for s in model.stages if hasattr(s, "featureImportances"))
+    """The forest of a pipeline; boosted pipelines have one sequence of regression trees for each class instead."""
+    found = next((s for s in model.stages if isinstance(s, RandomForestClassificationModel)), None)
+    if found is None:
+        raise ValueError("only forests ('rf') are explained tree by tree; boosted models have importances and permutation_importance")
+    return found
 
 
 def importances(spark, model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    values = forest_of(model).featureImportances.toArray().tolist()
+    """(feature, importance): Spark's own shares; for boosted models the mean over the classes' models, scaled to a sum of one."""
+    each = [m.featureImportances.toArray() for s in model.stages for m in getattr(s, "models", [s]) if hasattr(m, "featureImportances")]
+    mean = np.mean(each, axis=0)
+    values = (mean / (mean.sum() or 1.0)).tolist()
     return spark.createDataFrame(list(zip(features, values, strict=True)), "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orogen.functions import geometry, names
-from orogen.operators import joins, stats, tables
+from orogen.operators import joins, nearest, stats, tables
 from orogen.plans.features import training_points
 from orogen.plans.inputs import COMPONENTS, FEATURES, SQL, codes, dem, features, judged, mixed, points, rectangles, table
 from orogen.sources.sinks import split_parts
@@ -354,7 +354,7 @@ def _net(spark: SparkSession) -> DataFrame:
 @query("J04_J07_nearest_class", f"""WITH {SQL['pts']}, {_NET}, p AS (SELECT grid_id, class, {_DIST} AS d FROM net CROSS JOIN pts WHERE class IS NOT NULL),
 m AS (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY round(d, 9), class) AS k FROM p) SELECT grid_id, class, {near_sql('d')} AS dist_to_point, 1::BIGINT AS n_points FROM m WHERE k = 1""")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return joins.nearest_class(_net(spark), points(spark, d), 1.0).withColumn("dist_to_point", near("dist_to_point"))
+    return nearest.nearest_class(_net(spark), points(spark, d)).withColumn("dist_to_point", near("dist_to_point"))
 
 
 @query("J05_radius_majority", f"""WITH {SQL['pts']}, {_NET}, k AS (SELECT grid_id, class, count(*) AS k FROM net JOIN pts ON {_DIST} <= 3 WHERE class IS NOT NULL GROUP BY ALL),

@@ -9,7 +9,9 @@ from functools import reduce
 from operator import or_
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from orogen.operators.joins import clipped
 from orogen.operators.stats import sample_n
 from orogen.operators.tables import number
 from orogen.sources import geopackage, rasters
+from orogen.sources.storage import arrow_uri
 
 FORMATS = {
     "csv": "csv", "txt": "csv", "tsv": "csv", "parquet": "parquet", "pq": "parquet", "geoparquet": "parquet", "gpkg": "geopackage", "geopackage": "geopackage",
@@ -133,17 +136,41 @@ def inspect(spark: SparkSession, path: str, fmt: str | None = None) -> dict[str,
 
 
 def geo_footer(spark: SparkSession, path: str) -> dict | None:
-    """The footer entry `geo` of the first file of a Parquet table, read in a task by Spark's reader (any store); none if it has none."""
+    """The footer entry `geo` of the first file of a Parquet table; none if it has none.
+
+    A task reads the footer alone, by Arrow's file systems, however long the file is. Stores that only Spark's reader knows are read by it.
+    """
     files = spark.read.parquet(path).inputFiles()
     if not files:
         return None
 
+    def mark(source) -> str | None:
+        found = (pq.read_schema(source).metadata or {}).get(b"geo")
+        return found.decode() if found else None
+
     def footer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            marks = [(pq.read_schema(io.BytesIO(c)).metadata or {}).get(b"geo") for c in pdf["content"]]
-            yield pd.DataFrame({"geo": [m.decode() if m else None for m in marks]})
-
-    got = spark.read.format("binaryFile").load(min(files)).select("content").mapInPandas(footer, "geo string").first()
+            marks = []
+            for name in pdf["path"]:
+                system, place = fs.FileSystem.from_uri(name)
+                with system.open_input_file(place) as source:
+                    marks.append(mark(source))
+            yield pd.DataFrame({"geo": marks})
+
+    def whole(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pd.DataFrame({"geo": [mark(io.BytesIO(c)) for c in pdf["content"]]})
+
+    first = arrow_uri(min(files))
+    try:
+        fs.FileSystem.from_uri(first)
+        known = True
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        known = False
+    if known:
+        got = spark.createDataFrame([(first,)], "path string").mapInPandas(footer, "geo string").first()
+    else:
+        got = spark.read.format("binaryFile").load(first).select("content").mapInPandas(whole, "geo string").first()
     return json.loads(got["geo"]) if got and got["geo"] else None
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
@@ -18,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from orogen.functions.geometry import point_wkb
 from orogen.functions.names import safe_filename
 from orogen.operators.stats import numbered, sample_n
+from orogen.sources.storage import arrow_uri
 
 NODATA = -9999.0
 
@@ -109,33 +111,52 @@ def geo_metadata(epsg: int) -> str:
     return json.dumps({"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": column}})
 
 
-def write_geoparquet(df: DataFrame, path: str, epsg: int, x: str = "x", y: str = "y") -> None:
+def write_geoparquet(df: DataFrame, path: str, epsg: int, x: str = "x", y: str = "y", mode: str = "overwrite") -> None:
     """Points as Parquet with WKB, one file for each partition; each has the mark in its footer, which Spark's own writer cannot set.
 
-    Tasks write by Arrow's file systems (a path without a scheme is local or mounted): under a hidden name first, so that
-    a task that is run again replaces its file.
+    Tasks write by Arrow's file systems into a hidden folder beside `path`, each under a hidden name first, so that a task that is run
+    again replaces its file. Only when all have ended does the folder take the place of what was there: a job that fails
+    changes nothing, and a table may be written over the one it is read from. Modes: 'overwrite', or 'error' if there is something.
     """
+    if mode not in ("overwrite", "error"):
+        raise ValueError("mode must be 'overwrite' or 'error'")
     out = with_point_geometry(df, x, y)
     schema = to_arrow_schema(out.schema).with_metadata({"geo": geo_metadata(epsg)})
-    local = path.removeprefix("file:") if path.startswith("file:") else path if ":" not in path.split("/")[0] else None
-    uri = path if local is None else Path(f"/{local.lstrip('/')}" if path.startswith("file:") else local).absolute().as_uri()
+    uri = arrow_uri(path)
     system, root = fs.FileSystem.from_uri(uri)
-    system.create_dir(root)
-    system.delete_dir_contents(root)
+    root = root.rstrip("/")
+    if mode == "error" and system.get_file_info(root).type != fs.FileType.NotFound:
+        raise FileExistsError(path)
+    parent, name = root.rsplit("/", 1)
+    waiting = f"{parent}/_{name}-{uuid.uuid4().hex}"
+    system.create_dir(waiting)
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = fs.FileSystem.from_uri(uri)
+        system, _ = fs.FileSystem.from_uri(uri)
         task = TaskContext.get()
-        hidden, rows = f"{root}/_{task.partitionId()}-{task.taskAttemptId()}", 0
+        hidden, rows = f"{waiting}/_{task.partitionId()}-{task.taskAttemptId()}", 0
         with system.open_output_stream(hidden) as sink, pq.ParquetWriter(sink, schema, compression="snappy") as writer:
             for batch in parts:
                 writer.write_table(pa.Table.from_batches([batch]).cast(schema))
                 rows += batch.num_rows
-        system.move(hidden, f"{root}/part-{task.partitionId():05d}.parquet")
+        system.move(hidden, f"{waiting}/part-{task.partitionId():05d}.parquet")
         yield pa.RecordBatch.from_arrays([pa.array([rows])], ["n"])
 
-    if out.mapInArrow(write, "n long").agg(F.count("*")).first()[0] == 0:  # no partition at all: the schema is kept
-        pq.write_table(schema.empty_table(), f"{root}/part-00000.parquet", filesystem=system)
+    try:
+        if out.mapInArrow(write, "n long").agg(F.count("*")).first()[0] == 0:  # no partition at all: the schema is kept
+            pq.write_table(schema.empty_table(), f"{waiting}/part-00000.parquet", filesystem=system)
+    except BaseException:
+        system.delete_dir(waiting)
+        raise
+    found = system.get_file_info(root).type
+    if found == fs.FileType.Directory:
+        system.delete_dir(root)
+    elif found == fs.FileType.File:
+        system.delete_file(root)
+    for left in system.get_file_info(fs.FileSelector(waiting)):  # files of attempts that failed
+        if left.base_name.startswith("_"):
+            system.delete_file(left.path)
+    system.move(waiting, root)
 
 
 def json_default(value: object) -> object:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,10 @@ def kept(df: DataFrame) -> DataFrame:
     """`df`, written once to the shared folder: what is read twice is then the same rows both times."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def arrow_uri(path: str) -> str:
+    """A path or URI as Arrow's file systems take it; a path without a scheme is local or mounted."""
+    if path.startswith("file:"):
+        return f"file:///{path.removeprefix('file:').lstrip('/')}"
+    return path if ":" in path.split("/")[0] else Path(path).absolute().as_uri()

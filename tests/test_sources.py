@@ -128,3 +128,19 @@ def test_tables_and_json(spark, tmp_path):
     (tmp_path / "f.geojson").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"k":1},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
     assert readers.read_table(spark, str(tmp_path / "f.geojson"), geometry=True).first()["k"] == 1
     assert readers.list_files(spark, str(tmp_path), "*.geojson").count() == 1
+
+
+def test_geoparquet_is_written_beside_and_then_moved(spark, tmp_path):
+    """A table may be written over the one it is read from, a job that fails changes nothing, and footers are read alone."""
+    place = f"{tmp_path}/a b/points.parquet"
+    df = spark.createDataFrame([(i, float(i), 1.0) for i in range(20)], "id long, x double, y double").repartition(3)
+    sinks.write_geoparquet(df, place, 6673)
+    sinks.write_geoparquet(readers.read_table(spark, place).select("id", "x", "y").where("id < 15"), place, 6673)
+    assert readers.read_table(spark, place).count() == 15 and readers.geo_footer(spark, place)["columns"]["geometry"]["crs"]["id"]["code"] == 6673
+    with pytest.raises(FileExistsError):
+        sinks.write_geoparquet(df, place, 6673, mode="error")
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_geoparquet(df.withColumn("x", F.when(F.col("id") == 7, F.raise_error(F.lit("boom")).cast("double")).otherwise(F.col("x"))), place, 6673)
+    assert readers.read_table(spark, place).count() == 15 and [p.name for p in tmp_path.joinpath("a b").iterdir()] == ["points.parquet"]
+    spark.range(2).write.parquet(f"{tmp_path}/plain.parquet")
+    assert readers.geo_footer(spark, f"{tmp_path}/plain.parquet") is None

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orogen.functions import names, scales
-from orogen.operators import joins, ml, stats, tables
+from orogen.operators import joins, ml, nearest, stats, tables
 from orogen.sources import readers, sinks
 
 
@@ -147,7 +147,7 @@ def test_attributions_by_all_subsets(spark, tmp_path):
 def test_nearest_beyond_the_first_radius(spark):
     cells = joins.fishnet(spark, (0.0, 0.0, 4.0, 2.0), 2.0)
     pts = spark.createDataFrame([(40.0, 1.0, "far"), (1.0, 1.0, None)], "x double, y double, class string")
-    got = joins.nearest_class(cells, pts, 0.5).orderBy("grid_id").collect()
+    got = nearest.nearest_class(cells, pts).orderBy("grid_id").collect()
     assert [(r["class"], r["dist_to_point"]) for r in got] == [("far", 39.0), ("far", 37.0)]
     with pytest.raises(ValueError):
         joins.fishnet(spark, (0, 0, 100, 100), 1.0, most=10)
@@ -174,3 +174,13 @@ def test_empty_tables(spark):
     assert stats.class_statistics(none, "label", ["x"]).count() == 0
     assert stats.value_counts(none, "label").count() == 0
     assert stats.confusion(none.withColumn("p", F.col("label")), "label", "p").count() == 0
+
+
+def test_boosted_models_have_importances(spark):
+    df = spark.range(120).select("id", (F.col("id") % 3).alias("g"), (F.col("id") % 3 + F.rand(1) / 4).alias("f"), F.rand(2).alias("noise"))
+    run = ml.Training("g", ["f", "noise"], "id", backend="gbt", trees=2, depth=2)
+    model = ml.fit(df, run)
+    got = {r["feature"]: r["importance"] for r in ml.importances(spark, model, run.features).collect()}
+    assert got["f"] > got["noise"] >= 0 and sum(got.values()) == pytest.approx(1)
+    with pytest.raises(ValueError, match="forests"):
+        ml.forest_of(model)
