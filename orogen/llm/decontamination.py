@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orogen.llm.common import cut, table
+from orogen.llm.common import cut, free_name, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -118,8 +118,9 @@ def contained_items(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, that contain no item."""
-    leaked = contained_items(docs, items, id_col, text_col).select(F.col(id_col).alias("__leak")).distinct()
-    return docs.join(leaked, F.col(f"`{id_col}`") == F.col("__leak"), "left_anti")
+    leak = free_name(docs, "__leak")
+    leaked = contained_items(docs, items, id_col, text_col).select(F.col(id_col).alias(leak)).distinct()
+    return docs.join(leaked, F.col(f"`{id_col}`") == F.col(leak), "left_anti")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orogen.llm.common import components, cut, table
+from orogen.llm.common import components, cut, free_name, table
 
 SEED = 42
 SHINGLE = 3
@@ -237,9 +237,9 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, whose id names their group; rows without an id stay."""
-    named = near_duplicates(docs, id_col, text_col)
-    copies = named.where(f"`{id_col}` <> component_id").select(F.col(id_col).alias("__copy")).distinct()
-    return docs.join(copies, F.col(f"`{id_col}`") == F.col("__copy"), "left_anti")
+    named, copy = near_duplicates(docs, id_col, text_col), free_name(docs, "__copy")
+    copies = named.where(f"`{id_col}` <> component_id").select(F.col(id_col).alias(copy)).distinct()
+    return docs.join(copies, F.col(f"`{id_col}`") == F.col(copy), "left_anti")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -598,6 +598,7 @@ LOOSE = [
 def test_loose_spellings_are_added_at_any_size(spark):
     """Also where they are most of their kind: few documents, and as many as base spans."""
     bad = ["4111.1111.1111.1112", "392-168-12-7", "1234567890123456", "2024-01-15", "1,2,3,4", "lunch @ noon. Then"]
+    bad += ["coordinates 48.8566 / 2.3522", "time 08:15:22:101", "scores 10-12-14-16", "order 4521 9987 1203"]
     rows = [(i, f"please note {form.format(i % 10)} and go on") for i, (form, _) in enumerate(LOOSE * 3)]
     rows += [(100 + i, f"please note {b} and go on") for i, b in enumerate(bad)]
     for more in ([], [(1000 + r["doc_id"], r["text"]) for r in private_docs(spark).where("text <> ''").collect()]):
@@ -625,6 +626,21 @@ def test_cover():
             assert cover.meets(s, e) == any(s < b and a < e for a, b in spans)
 
 
+def test_nothing_is_added_that_fails_its_check():
+    """Whatever the trees say: all candidates of odd texts, by brute force over the generators."""
+    finder = private.Finder(boosting.Boosted(start=5.0), dict.fromkeys(private.KINDS, 0.5))
+    rng = random.Random(6)
+    for _ in range(300):
+        text = "".join(rng.choice(["12", "4111 1111", "1111.1111", " ", ".", ":", "-", " x ", "(523) 555-1055", "10.0.0.9", "192-168-1-7", "a (at) b (dot) org", "+1 555 123 4567", "00"]) for _ in range(12))
+        spans = finder.spans(text)
+        base = slow_spans(text)
+        assert [(s, e, k) for s, e, k, own in spans if own] == base
+        free = [(s, e, k) for s, e, k in private.candidates(text) if private.plausible(text[s:e], k) and not any(s < b and a < e for a, b, _ in base)]
+        added = [(s, e, k) for s, e, k, own in spans if not own]
+        assert set(added) <= set(free)
+        assert all(any(s < b and a < e for a, b, _ in added) for s, e, _ in free)  # each free one is added or overlaps one that is
+
+
 def test_many_spans_of_one_text():
     """Work in proportion to the text: 20,000 addresses and as many loose ones."""
     text = " ".join(f"u{i}@mail.example.com or ann{i} (at) site (dot) org" for i in range(20_000))
@@ -636,7 +652,7 @@ def test_many_spans_of_one_text():
 def test_added_spans_do_not_overlap():
     trees = boosting.Boosted(start=5.0)
     finder = private.Finder(trees, dict.fromkeys(private.KINDS, 0.5))
-    for text in ("joe (at) site (dot) org", "call (523) 555-1055 or 1.2.3.4", "x 4111 1111 1111 1112 y"):
+    for text in ("joe (at) site (dot) org", "call (523) 555-1055 or 1.2.3.4", "x 4111.1111.1111.1111 y"):
         spans = finder.spans(text)
         assert spans and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 

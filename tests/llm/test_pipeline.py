@@ -51,10 +51,10 @@ def test_stages_on_awkward_rows(spark, data, number):
     name, stage = corpus_pipeline.STAGES[number]
     long_text = "wörter und mehr " * 3000
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "a b c d e f", "en", "s", 11), (3, long_text, "de", "s", 1), (4, long_text, "de", "s", 1), (5, "x y z", None, None, 5), (5, "x y z", None, None, 5)]
-    docs = spark.createDataFrame(rows, COLUMNS).withColumns({"id": F.lit(1), "label": F.lit("x")})
+    docs = spark.createDataFrame(rows, COLUMNS).withColumns({"id": F.lit(1), "label": F.lit("x")} | {c: F.lit(-5) for c in ("__row", "__leak", "__copy", "___row")})
     got = stage(spark, docs, data)
     if number < 4:
-        assert got.columns == docs.columns
+        assert got.columns == docs.columns and {r["__row"] for r in got.collect()} == {-5}
         assert {1, 3, 5} <= {r["doc_id"] for r in got.collect()}
     else:
         assert got.count() == len(rows)
