@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the
 docs of the next one. The first three drop rows, the fourth rewrites `text` (and `n_chars` with it), the last one
 returns the ids of each document's pieces and whether they decode to its text. All but the last return the columns of `documents`.
+
+Every stage decides row by row. Null and empty texts are not toxic, hold no test item and no personal data, and have no pieces; they are
+near copies of one another. Of repeated rows, and of others of a group, the first stays: by id, then rows without an id, then by the text's hash (ties: any of the equal
+rows). An empty table goes through all stages and stays empty. Further columns, whatever their names, are carried to the last stage.
 """
 
 from __future__ import annotations
@@ -13,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orogen.llm import decontamination, pieces, private, simhash, toxicity
-from orogen.llm.common import cut, ensure_checkpoint_dir, table
+from orogen.llm.common import cut, ensure_checkpoint_dir, free_name, table
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """With a number of its own for each row (`__row`), as ids may be missing or repeated; written once, so that the numbers hold."""
-    return cut(docs.withColumn("__row", F.monotonically_increasing_id()))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """With a number of its own for each row, as ids may be missing or repeated, in a new column of the returned name; written once, so that the numbers hold."""
+    name = free_name(docs, "__row")
+    return cut(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +33,17 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, the first by id, of each group of linked fingerprints; rows without an id come last."""
-    rows = _keyed(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.col("__row").alias("row"))
+    rows, number = _keyed(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"), F.col(number).alias("row"))
     named = simhash.near_duplicates(rows.select("text", key.alias("__key")), "__key")
-    copies = named.where("__key.row <> component_id.row").select(F.col("__key.row").alias("__row"))
-    return rows.join(copies, "__row", "left_anti").select(docs.columns)
+    copies = named.where("__key.row <> component_id.row").select(F.col("__key.row").alias(number))
+    return rows.join(copies, number, "left_anti").select(docs.columns)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose own text contains no item of the benchmark."""
-    return decontamination.drop_contaminated(_keyed(docs), table(spark, sf_dir, "benchmark"), "__row").drop("__row")
+    rows, number = _keyed(docs)
+    return decontamination.drop_contaminated(rows, table(spark, sf_dir, "benchmark"), number).select(docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
