@@ -1,8 +1,7 @@
 """Joins of rasters, points and polygons, and lookups.
 
-Points meet cells by an equi-join on computed row and column. Distance joins bucket space into squares as
-wide as the search radius, so a point meets the points of nine buckets by equi-join; polygons are bucketed by
-their boxes the same way. Nearest points are in `nearest`.
+Points meet cells by an equi-join on computed row and column; polygons are listed in the squares that their
+boxes touch, and points meet those of their square. Nearest points and points within a radius are in `nearest`.
 """
 
 from __future__ import annotations
@@ -65,41 +64,6 @@ def stacked(grids: Sequence[tuple[str, DataFrame]], keys: Sequence[str] = ("r",
     return parts.groupBy(*keys).agg(*value)
 
 
-# --- points and points --------------------------------------------------------------------------------------------
-
-
-def _bucketed(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame:
-    """Pairs (cell columns, px, py, class, d) within `radius`, by equi-join on squares of that side."""
-    size = F.lit(float(radius))
-    square = lambda v: F.floor(F.col(v) / size).cast("long")
-    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    spread = cells.select("*", F.explode(near).alias("__i")).select("*", F.explode(near).alias("__j"))
-    spread = spread.withColumns({"__bx": square("center_x") + F.col("__i"), "__by": square("center_y") + F.col("__j")}).drop("__i", "__j")
-    held = points.withColumns({"__bx": square("x"), "__by": square("y")}).select("__bx", "__by", F.col("x").alias("__x"), F.col("y").alias("__y"), F.col("class").alias("__class"))
-    d2 = F.pow(F.col("center_x") - F.col("__x"), F.lit(2.0)) + F.pow(F.col("center_y") - F.col("__y"), F.lit(2.0))
-    return spread.join(held, ["__bx", "__by"]).withColumn("__d2", d2).where(F.col("__d2") <= F.lit(float(radius) ** 2))
-
-
-def majority_class(cells: DataFrame, points: DataFrame, radius: float) -> DataFrame:
-    """(grid_id, class, n_points): the class of most points within the radius (ties: the smallest); none: null and 0."""
-    counts = _bucketed(cells, points.where("class is not null"), radius).groupBy("grid_id", F.col("__class").alias("class")).agg(F.count("*").alias("k"))
-    won = counts.groupBy("grid_id").agg(F.min(F.struct((-F.col("k")).alias("k"), "class")).alias("m"), F.sum("k").alias("n"))
-    won = won.select("grid_id", F.col("m.class").alias("class"), F.col("n").alias("n_points"))
-    return cells.select("grid_id").join(won, "grid_id", "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)).cast("long"))
-
-
-def weighted_class(cells: DataFrame, points: DataFrame, radius: float, power: float = 2.0, eps: float = 1e-6) -> DataFrame:
-    """(grid_id, class, class_conf, n_points): the class of most weight 1 / (d**power + eps) and its share; n_points counts all."""
-    pairs = _bucketed(cells, points, radius).withColumn("w", F.lit(1.0) / (F.pow(F.sqrt("__d2"), F.lit(power)) + F.lit(eps)))
-    sums = pairs.groupBy("grid_id", F.col("__class").alias("class")).agg(F.sum("w").alias("w"), F.count("*").alias("k"))
-    known = F.col("class").isNotNull()
-    won = sums.groupBy("grid_id").agg(
-        F.min(F.when(known, F.struct((-F.col("w")).alias("w"), "class"))).alias("m"), F.sum(F.when(known, F.col("w"))).alias("t"), F.sum("k").alias("n")
-    )
-    won = won.select("grid_id", F.col("m.class").alias("class"), (-F.col("m.w") / F.col("t")).alias("class_conf"), F.col("n").alias("n_points"))
-    return cells.select("grid_id").join(won, "grid_id", "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)).cast("long"))
-
-
 # --- points and polygons ------------------------------------------------------------------------------------------
 
 

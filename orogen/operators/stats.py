@@ -148,7 +148,7 @@ def rank_tests(df: DataFrame, label: str, features: Sequence[str], pairs: DataFr
     met = sums.select("feature", F.col("label").alias("a"), meets.alias("m")).select("feature", "a", "m.*")
     own = sums.select("feature", "label", "t")
     # every pair of which a side has values
-    tests = each.join(pairs, (F.col("label") == F.col("a")) | (F.col("label") == F.col("b"))).select("feature", "a", "b").distinct()
+    tests = each.join(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("label")), "label").select("feature", "a", "b").distinct()
     tests = tests.join(met, ["feature", "a", "b"], "left")
     for k, of in ((1, "a"), (2, "b")):
         side = each.join(own, ["feature", "label"]).select("feature", F.col("label").alias(of), F.col("size").alias(f"n_group{k}"), F.col("mean").alias(f"mean_group{k}"), F.col("median").alias(f"median_group{k}"), F.col("t").alias(f"t{k}"))

@@ -361,14 +361,14 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 m AS (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY k DESC, class) AS i, sum(k) OVER (PARTITION BY grid_id) AS n FROM k)
 SELECT net.grid_id, class, coalesce(n, 0)::BIGINT AS n_points FROM net LEFT JOIN m ON m.grid_id = net.grid_id AND i = 1""")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return joins.majority_class(_net(spark), points(spark, d), 3.0)
+    return nearest.majority_class(_net(spark), points(spark, d), 3.0)
 
 
 @query("J06_radius_weighted", f"""WITH {SQL['pts']}, {_NET}, k AS (SELECT grid_id, class, sum(1 / (pow({_DIST}, 2.0) + 1e-6)) AS w, count(*) AS k FROM net JOIN pts ON {_DIST} <= 3 GROUP BY ALL),
 m AS (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY class IS NULL, round(w, 9) DESC, class) AS i, sum(w) FILTER (class IS NOT NULL) OVER (PARTITION BY grid_id) AS t, sum(k) OVER (PARTITION BY grid_id) AS n FROM k)
 SELECT net.grid_id, class, {near_sql('CASE WHEN class IS NOT NULL THEN w / t END')} AS class_conf, coalesce(n, 0)::BIGINT AS n_points FROM net LEFT JOIN m ON m.grid_id = net.grid_id AND i = 1""")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return joins.weighted_class(_net(spark), points(spark, d), 3.0).withColumn("class_conf", near("class_conf"))
+    return nearest.weighted_class(_net(spark), points(spark, d), 3.0).withColumn("class_conf", near("class_conf"))
 
 
 @query("J08_J09_sample_raster", f"WITH {SQL['pts']}, {SQL['demn']} SELECT pid, z FROM pts LEFT JOIN dem ON r = floor((y - 40) / -2.0) AND c = floor((x + 1) / 2.0)")

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from orogen.operators import focal, joins, stats, tables
+from orogen.operators import focal, joins, nearest, selection, stats, tables
 from orogen.plans.features import scale_features
 from orogen.plans.inputs import dem, points, rectangles, table
 
@@ -36,8 +36,11 @@ def test_no_cross_joins(spark, data):
     cells = joins.fishnet(spark, (0.0, 0.0, 50.0, 30.0), 5.0)
     for df in (
         joins.in_rectangles(pts, rects, 10.0, "pid"),
-        joins.majority_class(cells, pts, 3.0),
-        joins.weighted_class(cells, pts, 3.0),
+        nearest.majority_class(cells, pts, 3.0),
+        nearest.weighted_class(cells, pts, 3.0),
+        nearest.nearest_class(cells, pts),
+        selection.quantiles(pts, ["class"], "v", [0.5]),
+        selection.placed(pts, "class", "pid", 1),
         joins.sample_cells(pts, dem(spark, data), (2.0, -1.0, -2.0, 40.0), ["z"]),
         stats.value_counts(pts, "class"),
         stats.undersampled(pts, "class", "pid"),

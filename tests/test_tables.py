@@ -156,8 +156,8 @@ def test_nearest_beyond_the_first_radius(spark):
 def test_ties_go_to_the_smallest_class(spark):
     cells = joins.fishnet(spark, (0.0, 0.0, 2.0, 2.0), 2.0)
     pts = spark.createDataFrame([(0.5, 1.0, "b"), (1.5, 1.0, "a"), (1.0, 1.5, None)], "x double, y double, class string")
-    assert joins.majority_class(cells, pts, 1.0).first()["class"] == "a"
-    got = joins.weighted_class(cells, pts, 1.0).first()
+    assert nearest.majority_class(cells, pts, 1.0).first()["class"] == "a"
+    got = nearest.weighted_class(cells, pts, 1.0).first()
     assert got["class"] == "a" and got["class_conf"] == pytest.approx(0.5) and got["n_points"] == 3
 
 
