@@ -274,7 +274,7 @@ def _bilinear_values(radius: int, n_dirs: int) -> str:
 
 
 @query(
-    "W40_W47_openness_bilinear",
+    "W40_openness_bilinear",
     f"""WITH {SQL['demn']}, o(k, s, dr, dc, w) AS (VALUES {_bilinear_values(4, 8)}), p AS (
   SELECT a.r, a.c, any_value(a.z) AS z, k, s, sum(w * b.z) AS v FROM dem a CROSS JOIN o JOIN dem b ON b.r = a.r + dr AND b.c = a.c + dc
   WHERE a.z IS NOT NULL AND b.z IS NOT NULL GROUP BY a.r, a.c, k, s HAVING count(*) = 4
