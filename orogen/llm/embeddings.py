@@ -9,8 +9,7 @@ of links and a spanning forest of its linked vectors.
 
 Equal vectors are one node with a weight. A cell that outgrows `CHUNK` is dealt into chunks by hash
 and each pair of chunks is compared on its own, so no task holds an unbounded cell and none is cut.
-Beyond `MANY` distinct vectors a cell is made of three lattice points instead of two, which makes the cells smaller, and
-there are twice as many tables.
+The cells are the same at every size.
 
 Null or zero vectors, and those with null or non-finite components, link with nothing; vectors of
 different length never meet. Rows without an id have links like any other and are counted by them, but never name a component
@@ -33,8 +32,6 @@ from orogen.llm.common import components, cut, table
 THRESHOLD = 0.95
 TABLES = 3
 BLOCKS = 2
-#: Distinct vectors beyond which a cell takes one more lattice point and the tables double.
-MANY = 10**8
 #: Length of a lattice unit on the projected unit sphere.
 UNIT = 0.25
 #: Cells a vector is posted in, per table.
@@ -230,8 +227,6 @@ def near_duplicate_vectors(
     keyed = rows.withColumn("k", F.when(usable, F.struct(F.xxhash64("v").alias("x"), F.xxhash64(F.lit(1), "v").alias("y"))))
     nodes = keyed.where("k is not null").groupBy("k").agg(F.min("id").alias("first_id"), F.count("*").alias("weight"), F.first("v").alias("v"))
     nodes = cut(nodes.withColumn("rep", F.monotonically_increasing_id()))
-    if nodes.count() > MANY:
-        tables, blocks = 2 * tables, blocks + 1
     posted = cut(nodes.select("rep", "v").mapInArrow(_posted(tables, blocks, scale, posts), "rep long, cells array<long>"))
     posts_of = posted.select("rep", "cells", F.explode("cells").alias("cell"))
     shared = posts_of.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")

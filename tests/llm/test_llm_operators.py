@@ -715,7 +715,7 @@ def test_recall_at_the_threshold():
     b -= (a * b).sum(1)[:, None] * a
     b /= np.linalg.norm(b, axis=1)[:, None]
     b = 0.95 * a + (1 - 0.95**2) ** 0.5 * b
-    for tables, blocks in ((embeddings.TABLES, embeddings.BLOCKS), (2 * embeddings.TABLES, embeddings.BLOCKS + 1)):  # the latter beyond MANY
+    for tables, blocks in ((embeddings.TABLES, embeddings.BLOCKS), (2 * embeddings.TABLES, embeddings.BLOCKS + 1)):  # and a finer division
         ca, cb = embeddings.cells(a, tables, blocks), embeddings.cells(b, tables, blocks)
         met = np.zeros(len(a), bool)
         for t in range(ca.shape[1]):
