@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orogen.functions import geometry, names
-from orogen.operators import joins, nearest, stats, tables
+from orogen.operators import joins, nearest, outlines, stats, tables
 from orogen.plans.features import training_points
 from orogen.plans.inputs import COMPONENTS, FEATURES, SQL, codes, dem, features, judged, mixed, points, rectangles, table
 from orogen.sources.sinks import split_parts
@@ -292,6 +292,38 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return stats.dissolve(rectangles(spark, d).withColumn("n_points", F.col("gid")), "region")
 
 
+_CORNERS = "corner AS (SELECT class, i + a AS x, j + b AS y, count(*) AS n, count(DISTINCT (a + b) % 2) AS k FROM cells, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) t(a, b) GROUP BY ALL)"
+_SIDES = "side AS (SELECT class, i + a AS x, j + b AS y, up, count(*) AS n FROM cells, (VALUES (0, 0, 0), (0, 1, 0), (0, 0, 1), (1, 0, 1)) t(a, b, up) GROUP BY ALL)"
+_OUTLINE = f"""{_CORNERS}, {_SIDES}, k AS (SELECT class, sum(CASE WHEN n % 2 = 1 THEN 1 WHEN n = 2 AND k = 1 THEN 2 ELSE 0 END)::BIGINT AS corners FROM corner GROUP BY class),
+o AS (SELECT class, count(*) FILTER (n = 1) AS outline FROM side GROUP BY class), a AS (SELECT class, count(*) AS area FROM cells GROUP BY class)"""
+
+
+def _event_cells(spark: SparkSession, d: str, kind: Column) -> DataFrame:
+    return table(spark, d, "events").select(kind.alias("class"), (F.col("event_id") % 100).alias("i"), F.expr("event_id div 100").alias("j"))
+
+
+@query(
+    "A20_united_polygons",
+    f"""WITH RECURSIVE cells AS (SELECT event_type AS class, event_id % 100 AS i, event_id // 100 AS j FROM events),
+reach AS (SELECT class, i, j, i AS si, j AS sj FROM cells UNION SELECT c.class, c.i, c.j, si, sj FROM reach q JOIN (SELECT c.*, i + a AS ni, j + b AS nj FROM cells c, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) t(a, b)) c ON c.class = q.class AND c.ni = q.i AND c.nj = q.j),
+{_OUTLINE}, first AS (SELECT class, i, j, min((sj, si)) AS s FROM reach GROUP BY ALL), p AS (SELECT class, count(*) AS polygons FROM first WHERE s = (j, i) GROUP BY class)
+SELECT class, polygons, corners, outline, area FROM p JOIN k USING (class) JOIN o USING (class) JOIN a USING (class)""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    return outlines.summary(outlines.rings(_event_cells(spark, d, F.col("event_type")), "class")).select("class", "polygons", "corners", "outline", "area")
+
+
+@query(
+    "A20_outlines_with_holes",
+    f"WITH cells AS (SELECT CASE WHEN event_type <> 'error' THEN 'other' ELSE 'error' END AS class, event_id % 100 AS i, event_id // 100 AS j FROM events), {_OUTLINE} SELECT class, corners, outline, area, area AS held FROM k JOIN o USING (class) JOIN a USING (class)",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """Large polygons with many holes; `held` adds up the areas of all polygons with their own holes taken out."""
+    corners = outlines.rings(_event_cells(spark, d, F.when(F.col("event_type") != "error", "other").otherwise("error")), "class")
+    held = outlines.polygons(corners, 0.5).groupBy("class").agg((F.sum("area") * 4).cast("long").alias("held"))
+    return outlines.summary(corners).select("class", "corners", "outline", "area").join(held, "class")
+
+
 @query("A21_J26_extent", f"WITH {RECTS} SELECT min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM rects")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return joins.extent(rectangles(spark, d))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,13 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As `kept`, by a table: a checkpoint keeps what the optimizer knows of its rows, which grows from round to round in a loop."""
+    path = f"{shared_folder(df.sparkSession)}/round-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def arrow_uri(path: str) -> str:
     """A path or URI as Arrow's file systems take it; a path without a scheme is local or mounted."""
     if path.startswith("file:"):
