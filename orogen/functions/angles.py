@@ -18,16 +18,27 @@ def turned(angle: Column) -> Column:
     return F.pmod(angle, F.lit(360.0))
 
 
+#: A quarter turn is the sum of these two.
+_QUARTER = (1.5707963267948966, 6.123233995736766e-17)
+
+
+def direction(y: Column, x: Column) -> Column:
+    """atan2, rounded once near the y axis. Spark's own rounds twice west of it, and an azimuth a last bit west of north is 360 or 0."""
+    high, low = (F.lit(part) for part in _QUARTER)
+    off_axis = high + (low - F.atan(x / F.abs(y)))
+    return F.when(F.abs(y) > F.abs(x), F.signum(y) * off_axis).otherwise(F.atan2(y, x))
+
+
 def aspect(east: Column, north: Column, convention: str = "compass_down") -> Column:
     """Azimuth of a slope from its upward gradient (east, north)."""
     if convention == "compass_down":
-        return turned(F.lit(90.0) - F.degrees(F.atan2(-north, -east)))
+        return turned(F.lit(90.0) - F.degrees(direction(-north, -east)))
     if convention == "compass_up":
-        return turned(F.lit(90.0) - F.degrees(F.atan2(north, east)))
+        return turned(F.lit(90.0) - F.degrees(direction(north, east)))
     if convention == "math_down":
-        return turned(F.degrees(F.atan2(-north, -east)))
+        return turned(F.degrees(direction(-north, -east)))
     if convention == "math_up_rows":
-        return turned(F.degrees(F.atan2(-north, east)))
+        return turned(F.degrees(direction(-north, east)))
     raise ValueError(f"convention must be one of {CONVENTIONS}")
 
 

@@ -1,8 +1,12 @@
 """Windows, derivatives and tiles against numpy on small grids with gaps, and surfaces with known answers."""
 
+import math
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from orogen.functions import angles
 from orogen.operators import focal, resample, tiles
 
 RNG = np.random.default_rng(7)
@@ -166,3 +170,13 @@ def test_mask_residual_and_empty(spark, holed):
     assert np.allclose(grid(focal.residual(a, b, ["aspect"]), "aspect", (2, 2)), -20)
     none = frame(spark, np.zeros((1, 1))).where("false")
     assert focal.window_features(none, [3]).count() == 0 and tiles.openness(none, 1.0, 2.0).count() == 0
+
+
+def test_azimuths_a_last_bit_from_north(spark):
+    """A gradient whose eastward part is rounding noise: one rounding of atan2, as the C library has it, decides between 0 and 360."""
+    rows = [(-1.7763568394002505e-15, 3.7225), (-8.881784197001252e-16, 2.1249999999999982), (1.7763568394002505e-15, -4.24625), (0.0, 0.0), (0.0, 2.0), (-3.0, 0.0), (None, 1.0)]
+    df = spark.createDataFrame(rows, "e double, n double")
+    got = df.select("e", "n", angles.direction(F.col("n"), F.col("e")), angles.aspect(F.col("e"), F.col("n"), "compass_up")).collect()
+    for e, n, turn, azimuth in got:
+        want = None if e is None else math.atan2(n, e)
+        assert turn == want and azimuth == (None if want is None else (90.0 - math.degrees(want)) % 360.0 % 360.0)
