@@ -5,17 +5,23 @@ is the outline. Runs along a line are joined into segments, and each segment is
 Where two cells touch at a corner alone, four segments meet: a ring turns left there, so the cells stay apart, unless that
 would lead one ring twice through the corner; then it turns right, which cuts the ring in two. So every ring is simple.
 
-Rings are found by pointer doubling: each round a segment learns of twice as many followers, and with the smallest number among
-them its ring's name and its place in it. Rounds grow with the logarithm of the longest ring, and segments of finished rings rest.
-No task or window holds more than a line of the raster; only `polygons`, whose rows are whole polygons, gathers what belongs together.
+Rings are found in two steps. In each tile of `TILE` x `TILE` corners, segments that follow each other become chains; a ring within one tile is
+done there. Chains of different tiles, some hundredth of all segments, are joined by pointer doubling: each round a chain learns of twice
+as many followers, and with the smallest number among them its ring's name and its place in it. Rounds grow with the logarithm of the longest
+ring. No task or window holds more than a line of the raster, no group more than a tile; only `polygons`, whose rows are whole polygons, gathers what belongs together.
 
 Cells without a class are left out, repeated cells count once in the outline; an empty grid gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orogen.operators.stats import numbered
 from orogen.sources.storage import written
@@ -24,6 +30,8 @@ from orogen.sources.storage import written
 _DX, _DY = (1, 0, -1, 0), (0, 1, 0, -1)
 #: Corners of the cell (0, 0) at which its sides begin, in the order of their directions.
 _START = ((0, 0), (1, 0), (1, 1), (0, 1))
+#: Corners along a side of the squares in which segments are chained.
+TILE = 128
 
 
 def outline(cells: DataFrame, column: str) -> DataFrame:
@@ -54,27 +62,52 @@ def segments(sides: DataFrame) -> DataFrame:
     return got.select("class", "d", F.col("first.x").alias("x"), F.col("first.y").alias("y"), "length")
 
 
+def _end(c: str, steps: tuple[int, ...]) -> Column:
+    return _ahead(F.col(c), steps, F.col("d"), F.col("length"))
+
+
 def _followers(runs: DataFrame, turned: DataFrame | None = None) -> DataFrame:
-    """(id, next): the segment after each. Of two that start at its end it is the left one, or the right one at the corners of `turned`."""
-    end = lambda c, steps: _ahead(F.col(c), steps, F.col("d"), F.col("length")).alias(c)
-    ends = runs.select("class", end("x", _DX), end("y", _DY), "id", "d")
-    starts = runs.groupBy("class", "x", "y").agg(F.collect_list(F.struct("d", "id")).alias("starts"))  # two at most
-    met = ends.join(starts, ["class", "x", "y"])
+    """`runs` with next, the segment after each, and `crossed`: whether two start at its end. Of two it is the left one, or the right one at the corners of `turned`."""
+    ends = runs.withColumns({"ex": _end("x", _DX), "ey": _end("y", _DY)})
+    starts = runs.groupBy("class", F.col("x").alias("ex"), F.col("y").alias("ey")).agg(F.collect_list(F.struct("d", "id")).alias("starts"))  # two at most
+    met = ends.join(starts, ["class", "ex", "ey"])
     side = F.lit(1)
     if turned is not None:
-        met = met.join(turned.withColumn("right", F.lit(True)), ["class", "x", "y"], "left")
+        met = met.join(turned.withColumn("right", F.lit(True)), ["class", "ex", "ey"], "left")
         side = F.when(F.col("right"), 3).otherwise(1)
     chosen = F.filter("starts", lambda s: (F.size("starts") == 1) | (s["d"] == (F.col("d") + side) % 4))
-    return met.select("id", F.element_at(chosen, 1)["id"].alias("next"))
+    return met.select(*runs.columns, F.element_at(chosen, 1)["id"].alias("next"), (F.size("starts") == 2).alias("crossed"))
+
+
+_CHAINED = (("last", T.LongType()), ("exit", T.LongType()), ("left", T.LongType()), ("low", T.LongType()), ("ahead", T.LongType()), ("first", T.BooleanType()))
+
 
+def _chained(rows: pa.Table) -> pa.Table:
+    """A tile's rows (id, next) with the way from each to where it leaves the tile: the last row in it (null: the way comes back), where it
+    goes on (exit), steps to the last (left), the smallest id up to it (low) and steps to that (ahead), and whether it begins here (first)."""
+    ids, following = rows["id"].to_numpy(), rows["next"].to_numpy()
+    order = np.argsort(ids)
+    at = order[np.minimum(np.searchsorted(ids, following, sorter=order), len(ids) - 1)]
+    here = ids[at] == following
+    first = np.ones(len(ids), bool)
+    first[at[here]] = False
+    to, left, low, ahead = np.where(here, at, np.arange(len(ids))), here.astype("int64"), ids, np.zeros(len(ids), "int64")
+    for _ in range(len(ids).bit_length()):
+        ahead = np.where(low <= low[to], ahead, left + ahead[to])
+        low, left, to = np.minimum(low, low[to]), left + left[to], to[to]
+    made = (pa.array(ids[to], mask=here[to]), following[to], left, low, ahead, first)
+    for (name, _), values in zip(_CHAINED, made, strict=True):
+        rows = rows.append_column(name, pa.array(values))
+    return rows
 
-def rings_of(next_of: DataFrame) -> DataFrame:
-    """(id, ring, place): the smallest id of each cycle of (id, next); places rise along the cycle up to 0 at the smallest id.
 
-    A row knows the smallest id among itself and the followers before `to`, and how many steps ahead it first comes. A row that hears
+def _joined(chains: DataFrame) -> DataFrame:
+    """(id, ring, ahead): the smallest id `low` of each cycle of (id, to, low, ahead, steps), and steps from id to it.
+
+    A row knows the smallest id before `to`, and how many steps ahead it first comes. A row that hears
     the same smallest id again from `to` has been all round; a row whose `to` is done is done as well.
     """
-    state = written(next_of.select("id", F.col("next").alias("to"), F.col("id").alias("low"), F.lit(0).cast("long").alias("ahead"), F.lit(1).cast("long").alias("steps"), F.lit(False).alias("done")))
+    state = written(chains.withColumn("done", F.lit(False)))
     while not state.where("not done").isEmpty():
         seen = state.select(F.col("id").alias("to"), F.col("to").alias("then"), F.col("low").alias("their_low"), F.col("ahead").alias("their_ahead"), F.col("steps").alias("their_steps"), F.col("done").alias("they_are_done"))
         new = state.where("not done").join(seen, "to").select(
@@ -86,7 +119,24 @@ def rings_of(next_of: DataFrame) -> DataFrame:
             ((F.col("low") == F.col("their_low")) | F.col("they_are_done")).alias("done"),
         )
         state = written(state.where("done").unionByName(new).repartition("id"))  # a union alone would add up partitions
-    return state.select("id", F.col("low").alias("ring"), (-F.col("ahead")).alias("place"))
+    return state.select("id", F.col("low").alias("ring"), "ahead")
+
+
+def rings_of(next_of: DataFrame, tile: Sequence[Column]) -> DataFrame:
+    """`next_of` with the cycle of (id, next) of each row: ring, its smallest id, and place, which rises along it up to 0 at that id.
+
+    Rows of a `tile` are chained in one group, so it has to be small; rows that follow each other should mostly share it.
+    """
+    kept = next_of.columns
+    schema = T.StructType([*next_of.schema.fields, *[T.StructField(n, kind) for n, kind in _CHAINED]])
+    found = written(next_of.groupBy(*tile).applyInArrow(_chained, schema))
+    within = found.where("last is null").select(*kept, F.col("low").alias("ring"), (-F.col("ahead")).alias("place"))
+    across = found.where("last is not null")
+    chains = across.where("first").select("id", F.col("exit").alias("to"), "low", "ahead", (F.col("left") + 1).alias("steps"), "last")
+    joined = _joined(chains.drop("last")).join(chains.select("id", "last", F.col("steps").alias("size")), "id")
+    known = joined.join(joined.groupBy("ring").agg(F.sum("size").alias("around")), "ring").select("last", "ring", F.col("ahead").alias("begin"), "size", "around")
+    step = F.col("begin") - (F.col("size") - 1 - F.col("left"))
+    return within.unionByName(across.join(known, "last").select(*kept, "ring", (-F.pmod(step, "around")).alias("place")))
 
 
 def rings(cells: DataFrame, column: str) -> DataFrame:
@@ -95,9 +145,10 @@ def rings(cells: DataFrame, column: str) -> DataFrame:
     Places rise along a ring and end at 0; d and length lead from a corner to the next one.
     """
     runs = written(numbered(segments(outline(cells, column)), ["class", "y", "x", "d"]))
-    first = runs.join(rings_of(_followers(runs)), "id")
-    twice = first.groupBy("class", "ring", "x", "y").agg(F.count("*").alias("n")).where("n = 2").select("class", "x", "y")
-    return written(runs.join(rings_of(_followers(runs, written(twice))), "id").select("class", "ring", "place", "x", "y", "d", "length"))
+    tile = [F.col("class"), *[F.floor(F.col(c) / TILE) for c in "xy"]]
+    first = rings_of(_followers(runs), tile).where("crossed")
+    twice = first.groupBy("class", "ring", _end("x", _DX).alias("ex"), _end("y", _DY).alias("ey")).agg(F.count("*").alias("n")).where("n = 2").select("class", "ex", "ey")
+    return written(rings_of(_followers(runs, written(twice)), tile).select("class", "ring", "place", "x", "y", "d", "length"))
 
 
 def ring_measures(corners: DataFrame) -> DataFrame:

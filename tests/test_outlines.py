@@ -101,3 +101,18 @@ def test_united_grid_finds_points(spark):
     points = grid.select(F.col("grid_id").alias("pid"), F.col("center_x").alias("x"), F.col("center_y").alias("y"), F.col("kind").alias("own"))
     pairs = joins.in_polygons(points, shapes, 10.0, "pid").select("pid", "kind").collect()
     assert sorted(map(tuple, pairs)) == sorted(map(tuple, grid.where("kind is not null").select("grid_id", "kind").collect()))
+
+
+@pytest.mark.parametrize(("seed", "tile"), [(4, 3), (5, 8)])
+def test_rings_across_tiles(spark, monkeypatch, seed, tile):
+    monkeypatch.setattr(outlines, "TILE", tile)
+    test_random_grids(spark, seed, 0.6)
+
+
+def test_rounds_do_not_write_all_segments(spark, monkeypatch):
+    """A long ring takes rounds; its segments are written a fixed number of times, and only chains of them again in each round."""
+    rows, kept = [], outlines.written
+    monkeypatch.setattr(outlines, "written", lambda df: rows.append((made := kept(df)).count()) or made)
+    comb = [(i, j) for i in range(0, 1201, 2) for j in range(4)] + [(i, 0) for i in range(1201)]
+    corners = outlines.rings(spark.createDataFrame([(*c, "a") for c in comb], "i long, j long, class string"), "class")
+    assert corners.count() == 2404 and sum(rows) < 5 * 2404
