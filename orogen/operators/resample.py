@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DOWN = ("average", "max", "min")
@@ -101,24 +101,48 @@ def grow(
     y = (F.col("r") + F.lit(0.5 - row_off)) / F.lit(float(row_scale)) - F.lit(0.5)
     x = (F.col("c") + F.lit(0.5 - col_off)) / F.lit(float(col_scale)) - F.lit(0.5)
 
-    def around(at: Column, count: int) -> Column:
-        if method == "nearest":
-            low, steps, weights = F.floor(at + F.lit(0.5)), [0], [F.lit(1.0)]
-        else:
-            low = F.floor(at)
-            t = at - low
-            steps, weights = ([0, 1], [F.lit(1.0) - t, t]) if method == "bilinear" else ([-1, 0, 1, 2], _cubic(t))
-        clip = lambda i: F.least(F.greatest(i, F.lit(0)), F.lit(count - 1)).cast("long")
-        return F.array(*[F.struct(clip(low + F.lit(s)).alias("i"), w.alias("w")) for s, w in zip(steps, weights, strict=True)])
-
-    spread = fine.select(*keys, "r", "c", F.explode(around(y, rows)).alias("a"), x.alias("x")).select(
-        *keys, "r", "c", "a", F.explode(around(F.col("x"), cols)).alias("b")
-    )
-    near = spread.select(*keys, "r", "c", F.col("a.i").alias("cr"), F.col("b.i").alias("cc"), (F.col("a.w") * F.col("b.w")).alias("w"))
-    source = coarse.select(*keys, F.col("r").alias("cr"), F.col("c").alias("cc"), F.col("z").alias("v"))
-    met = near.join(source, [*keys, "cr", "cc"], "left")
-    total = F.sum(F.when(F.col("v").isNotNull(), F.col("w")))
-    return met.groupBy(*keys, "r", "c").agg((F.sum(F.col("v") * F.col("w")) / F.when(F.abs(total) > 1e-9, total)).alias("z"))
+    def around(at: Column, count: int) -> tuple[Column, list[Column]]:
+        """The cell that a neighbourhood is named by, and the weights of its cells."""
+        low = F.floor(at + F.lit(0.5)) if method == "nearest" else F.floor(at)
+        weights = {"nearest": lambda t: [F.lit(1.0)], "bilinear": lambda t: [F.lit(1.0) - t, t], "cubic": _cubic}[method](at - low)
+        return F.least(F.greatest(low, F.lit(-2)), F.lit(count)).cast("long"), weights
+
+    (row, row_weights), (col, col_weights) = around(y, rows), around(x, cols)
+    placed = fine.select(*keys, "r", "c", row.alias("cr"), col.alias("cc"), *[w.alias(f"y{i}") for i, w in enumerate(row_weights)], *[w.alias(f"x{j}") for j, w in enumerate(col_weights)])
+    met = placed.join(_neighbourhoods(coarse, rows, cols, _STEPS[method], keys), [*keys, "cr", "cc"], "left")
+    parts = [(F.col(f"v{i}_{j}"), F.col(f"y{i}") * F.col(f"x{j}")) for i in range(len(row_weights)) for j in range(len(col_weights))]
+    none = F.lit(0.0)
+    total = sum((F.when(v.isNotNull(), w).otherwise(none) for v, w in parts), none)
+    value = sum((F.coalesce(v * w, none) for v, w in parts), none)
+    return met.select(*keys, "r", "c", F.when(F.abs(total) > 1e-9, value / total).alias("z"))
+
+
+#: Cells of a neighbourhood, counted from the one before the point.
+_STEPS = {"nearest": (0,), "bilinear": (0, 1), "cubic": (-1, 0, 1, 2)}
+
+
+def _neighbourhoods(coarse: DataFrame, rows: int, cols: int, steps: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    """(keys, cr, cc, v0_0, v0_1, ...): values of the cells at `steps` from (cr, cc), rows first, edge cells repeated beyond the edge.
+
+    Made in two passes of windows over the cells' lines. Every place from two before the first row and column to one past the last
+    has a row, also where `coarse` has no cell.
+    """
+    wide = cols + 3
+    places = coarse.sparkSession.range((rows + 3) * wide).select((F.expr(f"id div {wide}") - 2).alias("cr"), (F.col("id") % wide - 2).alias("cc"), F.lit(None).cast("double").alias("z"), F.lit(True).alias("place"))
+    if keys:
+        places = places.crossJoin(coarse.select(*keys).distinct())
+    cells = coarse.select(*keys, F.col("r").cast("long").alias("cr"), F.col("c").cast("long").alias("cc"), F.col("z").cast("double").alias("z"), F.lit(False).alias("place"))
+
+    def seen(value: str, fixed: str, at: str, count: int, step: int) -> Column:
+        line = Window.partitionBy(*keys, fixed).orderBy(at)
+        whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        edge = lambda i: F.max(F.when(F.col(at) == i, F.col(value))).over(whole)
+        there = F.col(at) + F.lit(step)
+        return F.when(there < 0, edge(0)).when(there >= count, edge(count - 1)).otherwise(F.max(value).over(line.rangeBetween(step, step)))
+
+    along = cells.unionByName(places).select(*keys, "cr", "cc", "place", *[seen("z", "cr", "cc", cols, s).alias(f"v{j}") for j, s in enumerate(steps)]).where("place")
+    down = {f"v{i}_{j}": seen(f"v{j}", "cc", "cr", rows, s) for i, s in enumerate(steps) for j in range(len(steps))}
+    return along.select(*keys, "cr", "cc", *[x.alias(n) for n, x in down.items()])
 
 
 def through_blocks(cells: DataFrame, rows: int, cols: int, scale: int, method: str = "bilinear", keys: Sequence[str] = ()) -> DataFrame:

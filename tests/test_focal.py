@@ -180,3 +180,35 @@ def test_azimuths_a_last_bit_from_north(spark):
     for e, n, turn, azimuth in got:
         want = None if e is None else math.atan2(n, e)
         assert turn == want and azimuth == (None if want is None else (90.0 - math.degrees(want)) % 360.0 % 360.0)
+
+
+@pytest.mark.parametrize("method", ["nearest", "bilinear", "cubic"])
+def test_growing_beyond_a_sparse_grid(spark, method):
+    """Cells that are not there are missing like null ones, edges repeat, and no fine cell becomes several rows."""
+    z = RNG.normal(100, 5, (4, 3))
+    z[0, 1] = z[2, 2] = np.nan
+    coarse = frame(spark, z).where("z is not null").withColumn("k", F.lit("a"))
+    fine = frame(spark, np.zeros((12, 10))).withColumn("k", F.lit("a"))
+    grown = resample.grow(coarse, fine, 4, 3, 2, 3, 1.5, 0.5, method, ["k"])
+    assert "Generate" not in grown._jdf.queryExecution().optimizedPlan().toString()
+    got = grid(grown, "z", (12, 10))
+    for r in range(12):
+        for c in range(10):
+            total = value = 0.0
+            y, x = (r + 0.5 - 1.5) / 2 - 0.5, (c + 0.5 - 0.5) / 3 - 0.5
+            for i, wy in _kernel(method, y):
+                for j, wx in _kernel(method, x):
+                    v = z[min(max(i, 0), 3), min(max(j, 0), 2)]
+                    if not np.isnan(v):
+                        total, value = total + wy * wx, value + wy * wx * v
+            assert np.isnan(got[r, c]) if abs(total) <= 1e-9 else np.isclose(got[r, c], value / total)
+
+
+def _kernel(method, at):
+    if method == "nearest":
+        return [(math.floor(at + 0.5), 1.0)]
+    low = math.floor(at)
+    t = at - low
+    if method == "bilinear":
+        return [(low, 1 - t), (low + 1, t)]
+    return [(low - 1, 0.5 * t * (t * (2 - t) - 1)), (low, 0.5 * (t * t * (3 * t - 5) + 2)), (low + 1, 0.5 * t * ((4 - 3 * t) * t + 1)), (low + 2, 0.5 * t * t * (t - 1))]
