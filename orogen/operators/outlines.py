@@ -5,18 +5,18 @@ is the outline. Runs along a line are joined into segments, and each segment is
 Where two cells touch at a corner alone, four segments meet: a ring turns left there, so the cells stay apart, unless that
 would lead one ring twice through the corner; then it turns right, which cuts the ring in two. So every ring is simple.
 
-Rings are found in two steps. In each tile of `TILE` x `TILE` corners, segments that follow each other become chains; a ring within one tile is
-done there. Chains of different tiles, some hundredth of all segments, are joined by pointer doubling: each round a chain learns of twice
+Rings are found in two steps. In each tile of `TILE` x `TILE` corners, segments find the ones that start at their ends and become chains; a ring
+within one tile is done there, cut in two where it has to be. A segment that ends in another tile is sent there too, to learn what follows it. Chains of
+different tiles, some hundredth of all segments, are joined by pointer doubling: each round a chain learns of twice
 as many followers, and with the smallest number among them its ring's name and its place in it. Rounds grow with the logarithm of the longest
-ring. No task or window holds more than a line of the raster, no group more than a tile; only `polygons`, whose rows are whole polygons, gathers what belongs together.
+ring. Only those of these rings that lead twice through a corner are followed again, with the other turn there. A side is shuffled once, its segment twice.
+No task or window holds more than a line of the raster, no group more than a tile; only `polygons`, whose rows are whole polygons, gathers what belongs together.
 
 Cells without a class are left out, repeated cells count once in the outline; an empty grid gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -28,23 +28,32 @@ from orogen.sources.storage import written
 
 #: Directions in quarter turns: east, north, west, south. A turn to the left adds one.
 _DX, _DY = (1, 0, -1, 0), (0, 1, 0, -1)
-#: Corners of the cell (0, 0) at which its sides begin, in the order of their directions.
-_START = ((0, 0), (1, 0), (1, 1), (0, 1))
 #: Corners along a side of the squares in which segments are chained.
 TILE = 128
 
 
 def outline(cells: DataFrame, column: str) -> DataFrame:
-    """(class, x, y, d): the unit sides between cells (class, i, j) of a class and anything else, from (x, y) in direction d."""
-    known = cells.where(F.col(column).isNotNull()).select(F.col(column).alias("class"), F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j")).distinct()
-    ways = F.array(*[F.struct((F.col("i") + x).alias("x"), (F.col("j") + y).alias("y"), F.lit(d).alias("d")) for d, (x, y) in enumerate(_START)])
-    sides = known.select("class", F.explode(ways).alias("s")).select("class", "s.*")
+    """(class, x, y, d, upright, line, along): the unit sides between cells (class, i, j) of a class and anything else, from (x, y) in direction d.
+
+    `upright` and `line` tell the line of the raster that a side lies in, `along` rises on it in direction d; rows are dealt out by class and line.
+    """
+    known = cells.where(F.col(column).isNotNull()).select(F.col(column).alias("class"), F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"))
     # a side is named by its lower left end, whichever way it runs
-    low = lambda c, d: F.when(F.col("d") == d, F.col(c) - 1).otherwise(F.col(c))
-    named = sides.select("class", low("x", 2).alias("px"), low("y", 3).alias("py"), (F.col("d") % 2).alias("upright"), "d")
-    single = named.groupBy("class", "px", "py", "upright").agg(F.count("*").alias("n"), F.min("d").alias("d")).where("n = 1")
-    high = lambda c, d: F.when(F.col("d") == d, F.col(c) + 1).otherwise(F.col(c))
-    return single.select("class", high("px", 2).alias("x"), high("py", 3).alias("y"), "d")
+    named = ((0, F.col("j"), F.col("i")), (1, F.col("i") + 1, F.col("j")), (0, F.col("j") + 1, F.col("i")), (1, F.col("i"), F.col("j")))
+    ways = F.array(*[F.struct(F.lit(upright).alias("upright"), line.alias("line"), at.alias("at"), F.lit(d).alias("d")) for d, (upright, line, at) in enumerate(named)])
+    sides = known.select("class", F.inline(ways)).repartition("class", "upright", "line")
+    # repeated cells give one way only, two cells that share the side give both
+    single = sides.groupBy("class", "upright", "line", "at").agg(F.min("d").alias("d"), F.max("d").alias("other")).where("d = other")
+    begin = F.col("at") + (F.col("d") >= 2).cast("long")
+    return single.select(
+        "class",
+        F.when(F.col("upright") == 1, F.col("line")).otherwise(begin).alias("x"),
+        F.when(F.col("upright") == 1, begin).otherwise(F.col("line")).alias("y"),
+        "d",
+        "upright",
+        "line",
+        F.when(F.col("d") < 2, begin).otherwise(-begin).alias("along"),
+    )
 
 
 def _ahead(x: Column, steps: tuple[int, ...], d: Column, by: Column | int = 1) -> Column:
@@ -53,11 +62,8 @@ def _ahead(x: Column, steps: tuple[int, ...], d: Column, by: Column | int = 1) -
 
 def segments(sides: DataFrame) -> DataFrame:
     """(class, d, x, y, length): maximal straight runs of `outline`. A corner ends each, also where four of them meet."""
-    line = F.when(F.col("d") % 2 == 0, F.col("y")).otherwise(F.col("x"))
-    along = F.when(F.col("d") % 2 == 0, F.col("x")).otherwise(F.col("y")) * F.when(F.col("d") < 2, 1).otherwise(-1)
-    rows = sides.select("class", "d", "x", "y", line.alias("line"), along.alias("along"))
-    gap = F.col("along") - F.row_number().over(Window.partitionBy("class", "d", "line").orderBy("along"))
-    runs = rows.withColumn("run", gap).groupBy("class", "d", "line", "run")
+    gap = F.col("along") - F.row_number().over(Window.partitionBy("class", "upright", "line", "d").orderBy("along"))
+    runs = sides.withColumn("run", gap).groupBy("class", "upright", "line", "d", "run")
     got = runs.agg(F.min(F.struct("along", "x", "y")).alias("first"), F.count("*").alias("length"))
     return got.select("class", "d", F.col("first.x").alias("x"), F.col("first.y").alias("y"), "length")
 
@@ -66,39 +72,62 @@ def _end(c: str, steps: tuple[int, ...]) -> Column:
     return _ahead(F.col(c), steps, F.col("d"), F.col("length"))
 
 
-def _followers(runs: DataFrame, turned: DataFrame | None = None) -> DataFrame:
-    """`runs` with next, the segment after each, and `crossed`: whether two start at its end. Of two it is the left one, or the right one at the corners of `turned`."""
-    ends = runs.withColumns({"ex": _end("x", _DX), "ey": _end("y", _DY)})
-    starts = runs.groupBy("class", F.col("x").alias("ex"), F.col("y").alias("ey")).agg(F.collect_list(F.struct("d", "id")).alias("starts"))  # two at most
-    met = ends.join(starts, ["class", "ex", "ey"])
-    side = F.lit(1)
-    if turned is not None:
-        met = met.join(turned.withColumn("right", F.lit(True)), ["class", "ex", "ey"], "left")
-        side = F.when(F.col("right"), 3).otherwise(1)
-    chosen = F.filter("starts", lambda s: (F.size("starts") == 1) | (s["d"] == (F.col("d") + side) % 4))
-    return met.select(*runs.columns, F.element_at(chosen, 1)["id"].alias("next"), (F.size("starts") == 2).alias("crossed"))
-
-
-_CHAINED = (("last", T.LongType()), ("exit", T.LongType()), ("left", T.LongType()), ("low", T.LongType()), ("ahead", T.LongType()), ("first", T.BooleanType()))
-
-
-def _chained(rows: pa.Table) -> pa.Table:
-    """A tile's rows (id, next) with the way from each to where it leaves the tile: the last row in it (null: the way comes back), where it
-    goes on (exit), steps to the last (left), the smallest id up to it (low) and steps to that (ahead), and whether it begins here (first)."""
-    ids, following = rows["id"].to_numpy(), rows["next"].to_numpy()
-    order = np.argsort(ids)
-    at = order[np.minimum(np.searchsorted(ids, following, sorter=order), len(ids) - 1)]
-    here = ids[at] == following
-    first = np.ones(len(ids), bool)
-    first[at[here]] = False
-    to, left, low, ahead = np.where(here, at, np.arange(len(ids))), here.astype("int64"), ids, np.zeros(len(ids), "int64")
+_CHAINED = (
+    ("here", T.BooleanType()),
+    ("next", T.LongType()),
+    ("crossed", T.BooleanType()),
+    ("last", T.LongType()),
+    ("left", T.LongType()),
+    ("low", T.LongType()),
+    ("ahead", T.LongType()),
+    ("first", T.BooleanType()),
+)
+
+
+def _doubled(ids: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(the last row on the way from each, steps to it, the smallest id up to it, steps to that) where `to` is the row itself at an end."""
+    left, low, ahead = (to != np.arange(len(ids))).astype("int64"), ids, np.zeros(len(ids), "int64")
     for _ in range(len(ids).bit_length()):
         ahead = np.where(low <= low[to], ahead, left + ahead[to])
         low, left, to = np.minimum(low, low[to]), left + left[to], to[to]
-    made = (pa.array(ids[to], mask=here[to]), following[to], left, low, ahead, first)
+    return to, left, low, ahead
+
+
+def _chained(rows: pa.Table, tile: int, apart: bool) -> pa.Table:
+    """Segments that start or end in a tile. `here`: it starts here; next: of those that do not, the segment after it; `crossed`: two start at its end.
+
+    For those that start here, the way to where it leaves the tile: the last segment in it (null: the way comes back), steps to the last (left),
+    the smallest id up to it (low) and steps to that (ahead), and whether it begins here (first). With `apart`, rings of this
+    tile that lead twice through a corner are cut in two there.
+    """
+    ids, x, y, d, length, right, tx, ty = (rows[c].to_numpy() for c in ("id", "x", "y", "d", "length", "right", "tx", "ty"))
+    x, y = x - tx * tile, y - ty * tile
+    ex, ey = x + np.array(_DX)[d] * length, y + np.array(_DY)[d] * length
+    here, ends = ((0 <= u) & (u < tile) & (0 <= v) & (v < tile) for u, v in ((x, y), (ex, ey)))
+    begin, end = x * tile + y, ex * tile + ey
+    own = np.flatnonzero(here)
+    own = own[np.argsort(begin[own], kind="stable")]
+    low, high = (np.searchsorted(begin[own], end, side) for side in ("left", "right"))
+    crossed = ends & (high - low == 2)
+    one, two = own[np.minimum(low, len(own) - 1)], own[np.maximum(high - 1, 0)]
+    turned = crossed & (d[two] == (d + np.where(right, 3, 1)) % 4)
+    following, other = np.where(turned, two, one), np.where(turned, one, two)
+    goes, rank = here & ends, np.arange(len(ids))
+    to, left, low, ahead = _doubled(ids, np.where(goes, following, rank))
+    if apart:
+        met = np.flatnonzero(crossed & here & goes[to])
+        met = met[np.lexsort((end[met], low[met]))]
+        twice = np.flatnonzero((low[met[1:]] == low[met[:-1]]) & (end[met[1:]] == end[met[:-1]]))
+        if len(twice):
+            met = met[np.concatenate([twice, twice + 1])]
+            following[met] = other[met]
+            to, left, low, ahead = _doubled(ids, np.where(goes, following, rank))
+    first = here.copy()
+    first[following[goes]] = False
+    made = (here, pa.array(ids[following], mask=here), crossed, pa.array(ids[to], mask=goes[to]), left, low, ahead, first)
     for (name, _), values in zip(_CHAINED, made, strict=True):
         rows = rows.append_column(name, pa.array(values))
-    return rows
+    return rows.select(["class", "d", "x", "y", "length", "id", *[n for n, _ in _CHAINED]])
 
 
 def _joined(chains: DataFrame) -> DataFrame:
@@ -122,21 +151,25 @@ def _joined(chains: DataFrame) -> DataFrame:
     return state.select("id", F.col("low").alias("ring"), "ahead")
 
 
-def rings_of(next_of: DataFrame, tile: Sequence[Column]) -> DataFrame:
-    """`next_of` with the cycle of (id, next) of each row: ring, its smallest id, and place, which rises along it up to 0 at that id.
-
-    Rows of a `tile` are chained in one group, so it has to be small; rows that follow each other should mostly share it.
-    """
-    kept = next_of.columns
-    schema = T.StructType([*next_of.schema.fields, *[T.StructField(n, kind) for n, kind in _CHAINED]])
-    found = written(next_of.groupBy(*tile).applyInArrow(_chained, schema))
-    within = found.where("last is null").select(*kept, F.col("low").alias("ring"), (-F.col("ahead")).alias("place"))
-    across = found.where("last is not null")
-    chains = across.where("first").select("id", F.col("exit").alias("to"), "low", "ahead", (F.col("left") + 1).alias("steps"), "last")
-    joined = _joined(chains.drop("last")).join(chains.select("id", "last", F.col("steps").alias("size")), "id")
+def _followed(runs: DataFrame, apart: bool) -> tuple[DataFrame, DataFrame]:
+    """Segments (class, d, x, y, length, id, right: of two that start at its end the right one follows, not the left one) of rings within a tile and of others,
+    each with ring, the smallest id of its ring, and place, which rises along it up to 0 at that id; the others with `crossed`, true where two may start at the end."""
+    size, kept = TILE, ["class", "d", "x", "y", "length", "id"]
+    tile = lambda x, y: F.struct(F.floor(x / size).alias("tx"), F.floor(y / size).alias("ty"))
+    both = F.array_distinct(F.array(tile(F.col("x"), F.col("y")), tile(_end("x", _DX), _end("y", _DY))))
+    schema = T.StructType([*[runs.schema[c] for c in kept], *[T.StructField(n, kind) for n, kind in _CHAINED]])
+    dealt = runs.select(*kept, "right", F.explode(both).alias("tile")).select(*kept, "right", "tile.*")
+    found = written(dealt.groupBy("class", "tx", "ty").applyInArrow(lambda rows: _chained(rows, size, apart), schema))
+    own = found.where("here")
+    within = own.where("last is null").select(*kept, F.col("low").alias("ring"), (-F.col("ahead")).alias("place"))
+    across = own.where("last is not null")
+    chains = across.where("first").select("id", "low", "ahead", (F.col("left") + 1).alias("steps"), "last")
+    chains = chains.join(found.where("not here").select(F.col("id").alias("last"), F.col("next").alias("to")), "last")
+    joined = _joined(chains.select("id", "to", "low", "ahead", "steps")).join(chains.select("id", "last", F.col("steps").alias("size")), "id")
     known = joined.join(joined.groupBy("ring").agg(F.sum("size").alias("around")), "ring").select("last", "ring", F.col("ahead").alias("begin"), "size", "around")
     step = F.col("begin") - (F.col("size") - 1 - F.col("left"))
-    return within.unionByName(across.join(known, "last").select(*kept, "ring", (-F.pmod(step, "around")).alias("place")))
+    placed = across.join(known, "last").select(*kept, "ring", (-F.pmod(step, "around")).alias("place"), (F.col("crossed") | (F.col("id") == F.col("last"))).alias("crossed"))
+    return within, placed
 
 
 def rings(cells: DataFrame, column: str) -> DataFrame:
@@ -144,11 +177,20 @@ def rings(cells: DataFrame, column: str) -> DataFrame:
 
     Places rise along a ring and end at 0; d and length lead from a corner to the next one.
     """
-    runs = written(numbered(segments(outline(cells, column)), ["class", "y", "x", "d"]))
-    tile = [F.col("class"), *[F.floor(F.col(c) / TILE) for c in "xy"]]
-    first = rings_of(_followers(runs), tile).where("crossed")
-    twice = first.groupBy("class", "ring", _end("x", _DX).alias("ex"), _end("y", _DY).alias("ey")).agg(F.count("*").alias("n")).where("n = 2").select("class", "ex", "ey")
-    return written(rings_of(_followers(runs, written(twice)), tile).select("class", "ring", "place", "x", "y", "d", "length"))
+    runs = numbered(written(segments(outline(cells, column))), ["class", "y", "x", "d"])
+    within, across = _followed(runs.withColumn("right", F.lit(False)), True)
+    across = written(across)
+    corner = {"ex": _end("x", _DX), "ey": _end("y", _DY)}
+    twice = across.where("crossed").withColumns(corner).groupBy("class", "ring", "ex", "ey").agg(F.count("*").alias("n")).where("n = 2")
+    twice = written(twice.select("class", "ring", "ex", "ey", F.lit(True).alias("right")))
+    cut = twice.select("ring").distinct()
+    again = across.join(cut, "ring", "left_semi").withColumns(corner).join(twice.drop("ring"), ["class", "ex", "ey"], "left").withColumn("right", F.coalesce("right", F.lit(False)))
+    parts = [within, across.join(cut, "ring", "left_anti"), *_followed(again, False)]
+    columns = ["class", "ring", "place", "x", "y", "d", "length"]
+    done, *more = [p.select(columns) for p in parts]
+    for part in more:
+        done = done.unionByName(part)
+    return written(done)
 
 
 def ring_measures(corners: DataFrame) -> DataFrame:

@@ -116,3 +116,26 @@ def test_rounds_do_not_write_all_segments(spark, monkeypatch):
     comb = [(i, j) for i in range(0, 1201, 2) for j in range(4)] + [(i, 0) for i in range(1201)]
     corners = outlines.rings(spark.createDataFrame([(*c, "a") for c in comb], "i long, j long, class string"), "class")
     assert corners.count() == 2404 and sum(rows) < 5 * 2404
+
+
+def test_sides_are_shuffled_once(spark):
+    """One shuffle from cells to segments; repeated cells need none of their own."""
+    cells = spark.createDataFrame([(i, j, "a") for i in range(9) for j in range(7)] * 2, "i long, j long, class string")
+    runs = outlines.segments(outlines.outline(cells, "class"))
+    assert sorted((r["x"], r["y"], r["d"], r["length"]) for r in runs.collect()) == [(0, 0, 0, 9), (0, 7, 3, 7), (9, 0, 1, 7), (9, 7, 2, 9)]
+    plan = runs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("tile", [128, 5])
+def test_rings_cut_in_two_are_the_only_ones_followed_again(spark, monkeypatch, tile):
+    """Two holes that touch, beside 300 single cells: of all segments only those of rings across tiles are written again."""
+    monkeypatch.setattr(outlines, "TILE", tile)
+    lines = ["aaaaaaaa", "aaa aaaa", "aaaa aaa", "aaaaaaaa"]
+    cells = [(i, j, "a") for j, line in enumerate(lines) for i, c in enumerate(line) if c != " "] + [(2 * k, 10 + 5 * (k % 3), "b") for k in range(300)]
+    rows, kept = [], outlines.written
+    monkeypatch.setattr(outlines, "written", lambda df: rows.append((made := kept(df)).count()) or made)
+    corners = outlines.rings(spark.createDataFrame(cells, "i long, j long, class string"), "class")
+    got = [tuple(r) for r in outlines.summary(corners).orderBy("class").collect()]
+    assert got == [("a", 1, 2, 12, 24 + 8, 30), ("b", 300, 0, 1200, 1200, 300)]
+    assert sum(rows) < (3.2 if tile == 128 else 5) * 1212
