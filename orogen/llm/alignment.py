@@ -48,6 +48,8 @@ FEW = 24
 #: Bytes of segments and their tokens that a task remembers in each of two generations.
 REMEMBERED = 96 << 20
 SLICE = 1 << 20
+#: Segments that are encoded as one text.
+BLOCK = 1000
 _MARK = "▁"
 #: Blanks with what follows up to a space after a word. Spaces alone at the end stay with the word before them.
 _SEGMENTS = re.compile(r"\s+\S*(?:[^\S ]\s*\S*)*(?: +\Z)?")
@@ -106,10 +108,31 @@ class Segments:
         self.young: dict[str, tuple[list[bytes], list[bytes] | None]] = {}
         self.old, self.held = {}, 0
 
-    def _learn(self, segments: list[str]) -> None:
-        old = self.old
-        self.young.update((s, old[s]) for s in segments if s in old)
-        new = [s for s in segments if s not in old]
+    def _learn_joined(self, block: list[str]) -> bool:
+        """Encodes segments as one text, in which each but the last is followed by a space; False if a side's bytes are not the text's or a token reaches over an end."""
+        raw = [s.encode() for s in block]
+        text, whole = "".join(block), b"".join(raw)
+        lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        stops = np.cumsum(lengths)
+        four = []
+        for side, sizes in zip(self.sides, self.sizes, strict=True):
+            ids = side.encode([text])[0]
+            spelt = side.spelt
+            if b"".join([spelt[i] for i in ids]) != whole:
+                return False
+            flat = np.array(ids, dtype=np.int32)
+            ends = np.cumsum(sizes[flat], dtype=np.int64)
+            cuts = np.searchsorted(ends, stops, "right")
+            if (ends[cuts - 1] != stops).any():
+                return False
+            ends -= np.repeat(stops - lengths, np.diff(cuts, prepend=0))
+            places = (4 * cuts).tolist()
+            for data in (flat.tobytes(), ends.astype(np.int32).tobytes()):
+                four.append([data[i:j] for i, j in zip([0, *places], places, strict=False)])
+        self.young.update(zip(block, ((list(k), None) for k in zip(*four, strict=True)), strict=True))
+        return True
+
+    def _learn_each(self, new: list[str]) -> None:
         made = []
         for side, sizes in zip(self.sides, self.sizes, strict=True):
             ids = side.encode(new)
@@ -123,6 +146,20 @@ class Segments:
         for segment, a, b in zip(new, *made, strict=True):
             raw = segment.encode()
             self.young[segment] = [a[0], a[1], b[0], b[1]], None if a[2] == raw == b[2] else [a[2], b[2]]
+
+    def _learn(self, segments: list[str]) -> None:
+        old = self.old
+        self.young.update((s, old[s]) for s in segments if s in old)
+        new = [s for s in segments if s not in old]
+        # blanks at a segment's end would run into the next one
+        whole = [s for s in new if not s[-1].isspace()]
+        alone = [s for s in new if s[-1].isspace()] if len(whole) < len(new) else []
+        for at in range(0, len(whole), BLOCK):
+            block = whole[at : at + BLOCK]
+            if not self._learn_joined(block):
+                alone += block
+        if alone:
+            self._learn_each(alone)
         self.held += sum(480 + len(s) + sum(map(len, self.young[s][0])) for s in segments)  # with what Python adds to each
 
     def of(self, text: str) -> tuple[list[list[bytes]], list[int]] | None:

@@ -139,6 +139,22 @@ def test_segments_are_the_text(text):
     assert "".join(alignment._SEGMENTS.findall(text)) == text
 
 
+def test_new_segments_of_a_text_are_encoded_as_one(monkeypatch):
+    """The libraries get one string for all of them, and each on its own only where blanks end it or bytes are lost; the tokens are the same."""
+    sides = [alignment.ByteTokens(alignment._read(alignment.BYTES)), alignment.PieceTokens(alignment._read(alignment.PIECES))]
+    given = []
+    for side in sides:
+        monkeypatch.setattr(side, "encode", lambda runs, own=side.encode: given.extend(runs) or own(runs))
+    joined, alone = alignment.Segments(sides), alignment.Segments(sides)
+    text = " ".join(f"wörd{k} and-{k * k}\n\tline" for k in range(50))
+    joined.of(text)
+    assert len(given) == 2
+    for text in [text, "a b  ", " \n", "x▁y z", "\u3000q <s> </s>", *odd_texts(60, 4)]:
+        joined.of(text)
+        alone._learn_each(list(dict.fromkeys(alignment._SEGMENTS.findall(" " + text))))
+    assert all(joined.young[s] == alone.young[s] for s in alone.young)
+
+
 def test_no_python_after_the_tokens(spark, data):
     aligned = alignment.align(alignment.tokens(spark.read.parquet(f"{data}/documents.parquet")))
     plan = aligned.select("links", F.transform("groups", alignment.spelt))._jdf.queryExecution().executedPlan().toString()
