@@ -1,22 +1,25 @@
 """Cross-tokenizer alignment: which tokens of one tokenizer stand where those of another do.
 
 A text is encoded by a byte-level BPE (A) and by a SentencePiece model (B), both over a space and the text. No token of either reaches
-over the end of a word that a space follows, so a text is a row of such segments. All that Python does is to tokenise: for
-each distinct segment of a text it gives the ids and the byte offsets where each token ends, and how often and where the segment
-stands. From there on everything is Spark's higher-order functions: `array_intersect` of the two arrays of ends gives the
+over the end of a word that a space follows, so a text is a row of such segments. All that Python does is to tokenise: texts
+are taken in blocks of bounded size, and for each distinct segment of a block it gives the ids and the byte offsets where each
+token ends, and how often the segment stands there; a text is the numbers of its segments. From there on everything is Spark's
+higher-order functions, once for each distinct segment of a block: `array_intersect` of the two arrays of ends gives the
 offsets where both end, which cut the tokens into groups; how many tokens lie before a cut is its place in the array of ends (in
-long arrays, in a sorted merge of ends and cuts); `sequence`, `transform` and `slice` make the groups and their links, `aggregate` adds up what the segments of a text have. A link is a pair of tokens whose bytes
-overlap: one for each stretch between neighbouring ends, of either side.
+long arrays, in a sorted merge of ends and cuts); `sequence`, `transform` and `slice` make the groups and their links, `aggregate`
+adds up what the segments of a text have. A link is a pair of tokens whose bytes overlap: one for each stretch between
+neighbouring ends, of either side, so a text has as many as it has tokens of both, less its groups.
 
 The count of an id pair is how often it is linked in the whole corpus. Links are counted with map-side combine. Pairs that make
-up one 131,072nd of all links or more are at most so many, so they are broadcast; the links of all other pairs are shuffled, and
-none of those is frequent enough to weigh on one task.
+up one 524,288th of all links or more are at most so many, so they are broadcast (as are all pairs, if they are no more than
+that); the links of all other pairs are shuffled, and none of those is frequent enough to weigh on one task. Each segment's sums
+over its links go back to the texts of its block.
 
 Null and empty texts have no tokens, nor have texts whose joined token bytes (of A or of B) differ from a space and the text,
 such as those with the mark U+2581 itself; their counts are 0 and their digest is the empty string. Special tokens' strings in a
 text are plain text. Ties: all pairs with a B id's highest count are best. Repeated rows and rows without an id keep a result each
-and count each time. An empty table gives an empty result. A text and its tokens are held whole by one task. Further columns are
-not read, whatever their names. Tokenizers' files are parameters, read on the driver and sent to the tasks.
+and count each time. An empty table gives an empty result. A text and its tokens are held whole by one task, and so is a
+block of some 32 MB of text. Further columns are not read, whatever their names. Tokenizers' files are parameters, read on the driver and sent to the tasks.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,19 +44,26 @@ from orogen.llm.common import cut, ensure_checkpoint_dir, slices, table
 BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs with this share of all links or more are broadcast: at most so many are.
-SHARE = 1 << 17
+SHARE = 1 << 19
 #: Ids of B up to which their highest counts are broadcast, one row each.
 BROADCAST_IDS = 1 << 20
-#: Tokens of a segment up to which a cut's place is looked for and not merged.
+#: Tokens of a segment up to which a cut's place is counted and not merged.
 FEW = 24
-#: Bytes of segments and their tokens that a task remembers in each of two generations.
+#: Bytes of segments and their tokens that are remembered from text to text in each of two generations.
 REMEMBERED = 96 << 20
+#: Bytes of text whose distinct segments are tokenised and aligned once.
+BLOCK_BYTES = 32 << 20
 SLICE = 1 << 20
 #: Segments that are encoded as one text.
 BLOCK = 1000
 _MARK = "▁"
 #: Blanks with what follows up to a space after a word. Spaces alone at the end stay with the word before them.
 _SEGMENTS = re.compile(r"\s+\S*(?:[^\S ]\s*\S*)*(?: +\Z)?")
+#: Texts in which a space does not always follow a word, or that end in a blank; blanks are those of Python's `\s`.
+_BLANK = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNEVEN = rf"\A |{_BLANK} |{_BLANK}\z|\A\z"
+#: Of one side: the ids and end offsets of all segments, and how many tokens each segment has.
+Side = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -99,67 +110,82 @@ class PieceTokens:
 
 
 class Segments:
-    """Tokens of segments, each encoded once while it is remembered."""
+    """Tokens of segments."""
 
     def __init__(self, sides: Sequence[ByteTokens | PieceTokens]):
         self.sides = sides
         self.sizes = [np.array([len(s) for s in side.spelt], dtype=np.int32) for side in sides]
-        # segment: ids and end offsets of both sides as bytes, and the joined bytes of each where they are not the segment's own
+        # of single texts, each segment encoded once while it is remembered: ids and end offsets of both sides as bytes, and the
+        # joined bytes of each where they are not the segment's own
         self.young: dict[str, tuple[list[bytes], list[bytes] | None]] = {}
         self.old, self.held = {}, 0
 
-    def _learn_joined(self, block: list[str]) -> bool:
-        """Encodes segments as one text, in which each but the last is followed by a space; False if a side's bytes are not the text's or a token reaches over an end."""
+    def _joined(self, block: list[str]) -> list[Side] | None:
+        """Encodes segments as one text, in which each but the last is followed by a space; None if a side's bytes are not the text's or a token reaches over an end."""
         raw = [s.encode() for s in block]
         text, whole = "".join(block), b"".join(raw)
         lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
         stops = np.cumsum(lengths)
-        four = []
+        both = []
         for side, sizes in zip(self.sides, self.sizes, strict=True):
             ids = side.encode([text])[0]
             spelt = side.spelt
             if b"".join([spelt[i] for i in ids]) != whole:
-                return False
+                return None
             flat = np.array(ids, dtype=np.int32)
             ends = np.cumsum(sizes[flat], dtype=np.int64)
             cuts = np.searchsorted(ends, stops, "right")
             if (ends[cuts - 1] != stops).any():
-                return False
-            ends -= np.repeat(stops - lengths, np.diff(cuts, prepend=0))
-            places = (4 * cuts).tolist()
-            for data in (flat.tobytes(), ends.astype(np.int32).tobytes()):
-                four.append([data[i:j] for i, j in zip([0, *places], places, strict=False)])
-        self.young.update(zip(block, ((list(k), None) for k in zip(*four, strict=True)), strict=True))
-        return True
-
-    def _learn_each(self, new: list[str]) -> None:
-        made = []
+                return None
+            counts = np.diff(cuts, prepend=0)
+            both.append((flat, (ends - np.repeat(stops - lengths, counts)).astype(np.int32), counts))
+        return both
+
+    def _each(self, new: list[str]) -> tuple[list[Side], dict[int, list[bytes]]]:
+        """Encodes each segment alone; also the joined bytes of both sides for those where they are not the segment's own."""
+        both, joined = [], []
         for side, sizes in zip(self.sides, self.sizes, strict=True):
             ids = side.encode(new)
             flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32)
-            stops = np.cumsum([0, *map(len, ids)])
+            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            stops = np.concatenate([[0], np.cumsum(counts)])
             ends = np.concatenate([[0], np.cumsum(sizes[flat], dtype=np.int64)])
-            ends = (ends[1:] - np.repeat(ends[stops[:-1]], np.diff(stops))).astype(np.int32)
-            spelt, data, cuts = side.spelt, (flat.tobytes(), ends.tobytes()), (4 * stops).tolist()
-            joined = [b"".join([spelt[i] for i in one]) for one in ids]
-            made.append([(data[0][i:j], data[1][i:j], text) for i, j, text in zip(cuts, cuts[1:], joined, strict=False)])
-        for segment, a, b in zip(new, *made, strict=True):
-            raw = segment.encode()
-            self.young[segment] = [a[0], a[1], b[0], b[1]], None if a[2] == raw == b[2] else [a[2], b[2]]
+            both.append((flat, (ends[1:] - np.repeat(ends[stops[:-1]], counts)).astype(np.int32), counts))
+            joined.append([b"".join([side.spelt[i] for i in one]) for one in ids])
+        return both, {k: [a, b] for k, (s, a, b) in enumerate(zip(new, *joined, strict=True)) if not a == s.encode() == b}
+
+    def all_of(self, segments: list[str]) -> tuple[list[Side], dict[int, list[bytes]]]:
+        """Both sides of many segments, and the joined bytes of both for those (by place) where they are not the segment's own."""
+        found, odd = [], {}
+        for at in range(0, len(segments), BLOCK):
+            block = segments[at : at + BLOCK]
+            # blanks at a segment's end would run into the next one
+            both = None if any(s[-1].isspace() for s in block) else self._joined(block)
+            if both is None:
+                both, other = self._each(block)
+                odd |= {at + k: joined for k, joined in other.items()}
+            found.append(both)
+        return [tuple(np.concatenate([np.zeros(0, np.int32), *(both[side][k] for both in found)]) for k in range(3)) for side in (0, 1)], odd
+
+    def _remember(self, segments: list[str], both: list[Side], odd: dict[int, list[bytes]]) -> None:
+        four = []
+        for flat, ends, counts in both:
+            places = (4 * np.cumsum(counts)).tolist()
+            for data in (flat.tobytes(), ends.tobytes()):
+                four.append([data[i:j] for i, j in zip([0, *places], places, strict=False)])
+        self.young.update((s, (list(known), odd.get(k))) for k, (s, known) in enumerate(zip(segments, zip(*four, strict=True), strict=True)))
+
+    def _learn_each(self, new: list[str]) -> None:
+        self._remember(new, *self._each(new))
 
     def _learn(self, segments: list[str]) -> None:
         old = self.old
         self.young.update((s, old[s]) for s in segments if s in old)
         new = [s for s in segments if s not in old]
-        # blanks at a segment's end would run into the next one
         whole = [s for s in new if not s[-1].isspace()]
         alone = [s for s in new if s[-1].isspace()] if len(whole) < len(new) else []
-        for at in range(0, len(whole), BLOCK):
-            block = whole[at : at + BLOCK]
-            if not self._learn_joined(block):
-                alone += block
-        if alone:
-            self._learn_each(alone)
+        for some in (whole, alone):
+            self._remember(some, *self.all_of(some))
         self.held += sum(480 + len(s) + sum(map(len, self.young[s][0])) for s in segments)  # with what Python adds to each
 
     def of(self, text: str) -> tuple[list[list[bytes]], list[int]] | None:
@@ -195,42 +221,71 @@ def _tokenizers(sources: tuple[bytes, bytes]) -> tuple[ByteTokens, PieceTokens]:
     return _built[1]
 
 
+def cut_texts(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """(an order of the texts, their distinct segments, the number of each segment text by text in that order, how many each text has)."""
+    texts = pc.fill_null(texts, "")
+    uneven = pc.match_substring_regex(texts, _UNEVEN)
+    even = pc.split_pattern(texts.filter(pc.invert(uneven)), " ")
+    # every segment begins with a space, which is left out meanwhile
+    other = [[s[1:] for s in _SEGMENTS.findall(f" {t}")] if t else [] for t in texts.filter(uneven).to_pylist()]
+    coded = pa.concat_arrays([even.flatten(), pa.array(list(chain.from_iterable(other)), type=texts.type)]).dictionary_encode()
+    order = np.argsort(uneven.to_numpy(zero_copy_only=False), kind="stable")
+    counts = np.concatenate([pc.list_value_length(even).to_numpy(zero_copy_only=False).astype(np.int64), np.array([len(o) for o in other], dtype=np.int64)])
+    return order, [f" {s}" for s in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), counts
+
+
+def _listed(lengths: np.ndarray | list[int], values: pa.Array | np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32), values)
+
+
+def _block(segments: Segments, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+    order, distinct, numbers, counts = cut_texts(texts)
+    both, odd = segments.all_of(distinct)
+    whole = np.ones(len(counts), dtype=bool)
+    if odd:
+        ends = np.cumsum(counts)
+        for k in np.unique(np.searchsorted(ends, np.flatnonzero(np.isin(numbers, list(odd))), "right")).tolist():
+            own = numbers[ends[k] - counts[k] : ends[k]].tolist()
+            text = b"".join([distinct[n].encode() for n in own])
+            whole[k] = all(b"".join([odd[n][side] if n in odd else distinct[n].encode() for n in own]) == text for side in (0, 1))
+        numbers, counts = numbers[np.repeat(whole, counts)], np.where(whole, counts, 0)
+    stops = np.concatenate([[0], np.cumsum(counts)])
+    sums = [np.diff(np.concatenate([[0], np.cumsum(n[numbers], dtype=np.int64)])[stops]) for _, _, n in both]
+    docs = pa.StructArray.from_arrays([ids.take(pa.array(order)), *map(pa.array, sums), _listed(counts, numbers)], ["id", "n_a", "n_b", "numbers"])
+    lists = [_listed(n, values) for *two, n in both for values in two]
+    times = pa.array(np.bincount(numbers, minlength=len(distinct)).astype(np.int32))
+    known = pa.StructArray.from_arrays([*lists, times], ["a_ids", "a_ends", "b_ids", "b_ends", "times"])
+    return pa.RecordBatch.from_arrays([_listed([len(docs)], docs), _listed([len(known)], known)], ["docs", "segments"])
+
+
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str = BYTES, b: str = PIECES) -> DataFrame:
-    """(id, a_ids, a_ends, b_ids, b_ends, times, numbers) per row.
+    """(docs, segments) per block of texts.
 
-    The first four hold an array of ints for each distinct segment of the text; `times` is how often it stands there, and `numbers` has the
-    0-based number of each segment in order. All are empty where there are no tokens.
+    `docs` has (id, n_a, n_b, numbers) of each text: how many tokens it has and the 0-based number of each of its segments in order;
+    without tokens they are 0 and empty. `segments` has (a_ids, a_ends, b_ids, b_ends, times) of each distinct segment of the block.
     """
     shared = docs.sparkSession.sparkContext.broadcast((_read(a), _read(b)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-    def listed(lengths: list[int], values: pa.Array) -> pa.ListArray:
-        return pa.ListArray.from_arrays(np.cumsum([0, *lengths]).astype(np.int32), values)
-
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments = Segments(_tokenizers(shared.value))
-        for batch in parts:
-            for piece in slices(batch, 1, SLICE):
-                got = [(segments.of(t) if t else None) or ([], []) for t in piece.column(1).to_pylist()]
-                distinct, numbers = [len(d) for d, _ in got], [np.array(n, dtype=np.int32) for _, n in got]
-                known = [k for d, _ in got for k in d]
-                four = []
-                for side in range(4):
-                    flat = np.frombuffer(b"".join([k[side] for k in known]), dtype=np.int32)
-                    four.append(listed(distinct, listed([len(k[side]) // 4 for k in known], flat)))
-                times = np.concatenate([np.zeros(0, np.int32), *(np.bincount(n, minlength=d).astype(np.int32) for d, n in zip(distinct, numbers, strict=True))])
-                order = np.concatenate([np.zeros(0, np.int32), *numbers])
-                columns = [piece.column(0), *four, listed(distinct, times), listed([len(n) for n in numbers], order)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "a_ids", "a_ends", "b_ids", "b_ends", "times", "numbers"])
+        segments, held, size = Segments(_tokenizers(shared.value)), [], 0
+        for piece in chain.from_iterable(slices(batch, 1, SLICE) for batch in parts):
+            held.append(piece)
+            size += piece.column(1).nbytes
+            if size >= BLOCK_BYTES:
+                yield _block(segments, *(pa.concat_arrays([p.column(k) for p in held]) for k in (0, 1)))
+                held, size = [], 0
+        if held:
+            yield _block(segments, *(pa.concat_arrays([p.column(k) for p in held]) for k in (0, 1)))
 
     kind = rows.schema["id"].dataType.simpleString()
-    lists = ", ".join(f"{c} array<array<int>>" for c in ("a_ids", "a_ends", "b_ids", "b_ends"))
-    return rows.mapInArrow(batches, f"id {kind}, {lists}, times array<int>, numbers array<int>")
+    lists = ", ".join(f"{c}: array<int>" for c in ("a_ids", "a_ends", "b_ids", "b_ends"))
+    return rows.mapInArrow(batches, f"docs array<struct<id: {kind}, n_a: bigint, n_b: bigint, numbers: array<int>>>, segments array<struct<{lists}, times: int>>")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is made once, however often a lambda in it uses it."""
-    return F.transform(F.array(value), body)[0]
+    """`body` of a value that is made once, however often a lambda in it uses it. (An item taken from an array asks for the body's type each time.)"""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, body)
 
 
 def _up_to(ends: Column, cuts: Column) -> Column:
@@ -245,8 +300,9 @@ def _groups(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Col
     few = (F.size(a_ends) <= FEW) & (F.size(b_ends) <= FEW)
 
     def of(cuts: Column) -> Column:
-        # in a short array a cut's place is looked for, in a long one it is merged
-        looked = F.transform(cuts, lambda e: F.struct(F.array_position(a_ends, e).cast("int").alias("a"), F.array_position(b_ends, e).cast("int").alias("b")))
+        # in a short array the ends up to a cut are counted (array_position leaves by an exception, which takes longer), in a long one it is merged
+        before = lambda ends, e: F.size(F.filter(ends, lambda x: x <= e))
+        looked = F.transform(cuts, lambda e: F.struct(before(a_ends, e).alias("a"), before(b_ends, e).alias("b")))
         merged = F.zip_with(_up_to(a_ends, cuts), _up_to(b_ends, cuts), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         return _let(F.when(few, looked).otherwise(merged), lambda upto: F.transform(F.sequence(F.lit(0), F.size(cuts) - 1), lambda k: _let(F.struct(F.get(upto, k).alias("to"), F.get(upto, k - 1).alias("from")), group)))
 
@@ -290,13 +346,16 @@ def _links(groups: Column, a_ends: Column, b_ends: Column) -> Column:
     return F.flatten(F.transform(groups, of))
 
 
+def _of_segment(s: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """`body` of a segment's groups and links."""
+    groups = _groups(s["a_ids"], s["a_ends"], s["b_ids"], s["b_ends"])
+    return _let(groups, lambda g: body(g, _links(g, s["a_ends"], s["b_ends"])))
+
+
 def align(tokenised: DataFrame) -> DataFrame:
     """`tokens` with, for each distinct segment, `groups` (an array of (a, b) id arrays) and `links` (an array of id pairs)."""
-    four = F.arrays_zip("a_ids", "a_ends", "b_ids", "b_ends")
-    grouped = tokenised.withColumn("groups", F.transform(four, lambda s: _groups(s["a_ids"], s["a_ends"], s["b_ids"], s["b_ends"])))
-    both = F.arrays_zip("groups", "a_ends", "b_ends")
-    links = F.transform(both, lambda s: _links(s["groups"], s["a_ends"], s["b_ends"]))
-    return grouped.select("id", "a_ids", "b_ids", "times", "numbers", "groups", links.alias("links"))
+    aligned = F.transform("segments", lambda s: _of_segment(s, lambda g, links: F.struct(g.alias("groups"), links.alias("links"))))
+    return tokenised.withColumn("aligned", aligned).select("docs", "segments", "aligned.groups", "aligned.links")
 
 
 def spelt(groups: Column) -> Column:
@@ -306,52 +365,63 @@ def spelt(groups: Column) -> Column:
 
 
 def pair_counts(links: DataFrame, b_ids: int) -> DataFrame:
-    """(pair, n, best: 1 if no other pair of its B id has a higher n) of a column `links` of (pair, times)."""
-    counts = cut(links.select(F.inline("links")).groupBy("pair").agg(F.sum("times").alias("n")))
+    """(pair, n, best: 1 if no other pair of its B id has a higher n) of links (pair, times)."""
+    counts = cut(links.groupBy("pair").agg(F.sum("times").alias("n")))
     b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     best = counts.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
     best = F.broadcast(best) if b_ids <= BROADCAST_IDS else best
     return counts.withColumn("b", b).join(best, "b").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
 
 
+def _parts(tokenised: DataFrame) -> DataFrame:
+    """A row for each text (id, n_a, n_b, n_groups, groups_sha256, numbers) and each distinct segment (k, times, links), with their block."""
+    made = F.transform("segments", lambda s: _of_segment(s, lambda g, links: F.struct(spelt(g).alias("text"), F.size(g).alias("n"), links.alias("links"), s["times"].alias("times"))))
+    none = {c: F.lit(None).cast(kind) for c, kind in (("n_groups", "long"), ("groups_sha256", "string"), ("k", "int"), ("times", "int"), ("links", "array<long>"))}
+    none |= {c.name: F.lit(None).cast(c.dataType) for c in tokenised.schema["docs"].dataType.elementType}
+
+    def row(**has: Column) -> Column:
+        return F.struct(*[has.get(c, none[c]).alias(c) for c in none])
+
+    def text(d: Column) -> Column:
+        parts = F.transform(d["numbers"], lambda k: F.get("made", k)["text"])
+        n = F.aggregate(d["numbers"], F.lit(0).cast("long"), lambda so_far, k: so_far + F.get("made", k)["n"])
+        digest = F.when(F.size(d["numbers"]) > 0, F.sha2(F.array_join(parts, ";"), 256)).otherwise("")
+        return row(id=d["id"], n_a=d["n_a"], n_b=d["n_b"], numbers=d["numbers"], n_groups=n, groups_sha256=digest)
+
+    both = F.concat(F.transform("docs", text), F.transform("made", lambda s, k: row(k=k, times=s["times"], links=s["links"])))
+    return tokenised.select("docs", made.alias("made"), F.monotonically_increasing_id().alias("block")).select("block", F.inline(both))
+
+
 def alignment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str = BYTES, b: str = PIECES) -> DataFrame:
     """(id_col, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per row."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     place = f"{spark.sparkContext.getCheckpointDir()}/alignment-{uuid.uuid4().hex}"
-    aligned = align(tokens(docs, id_col, text_col, a, b))
-    # what each distinct segment has, as often as it stands in the text
-    def total(sizes: Column) -> Column:
-        return F.aggregate(F.zip_with(sizes, "times", lambda n, k: n * k), F.lit(0).cast("long"), lambda s, n: s + n)
-
-    sizes = [total(F.transform(c, F.size)).alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("groups", "n_groups"))]
-    linked = total(F.transform("links", F.size))
-    text = _let(F.transform("groups", spelt), lambda parts: F.array_join(F.transform("numbers", lambda k: F.get(parts, k)), ";"))
-    digest = F.when(F.size("numbers") > 0, F.sha2(text, 256)).otherwise("")
-    pairs = F.flatten(F.zip_with("links", "times", lambda ps, k: F.transform(ps, lambda p: F.struct(p.alias("pair"), k.alias("times")))))
-    kept = aligned.select("id", *sizes, linked.alias("n_links"), digest.alias("groups_sha256"), pairs.alias("links"))
-    # each row has a number of its own, as ids may be missing or repeated; written once, so that the numbers hold
-    kept.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(place)
+    # written once, so that the numbers of blocks hold
+    _parts(tokens(docs, id_col, text_col, a, b)).write.option("compression", "zstd").parquet(place)
     rows = spark.read.parquet(place)
+    texts, segments = rows.where("k IS NULL"), rows.where("k IS NOT NULL")
 
-    counts = cut(pair_counts(rows, sentencepiece.SentencePieceProcessor(model_file=b).get_piece_size()))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = F.col("n") >= -(-total // SHARE)
-    each = rows.select("row", F.inline("links"))
+    counts = cut(pair_counts(segments.select(F.explode("links").alias("pair"), "times"), sentencepiece.SentencePieceProcessor(model_file=b).get_piece_size()))
+    total, pairs = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    frequent = F.col("n") >= (-(-total // SHARE) if pairs > SHARE else 0)
+    each = segments.select("block", "k", F.explode("links").alias("pair"))
     head, tail = F.broadcast(counts.where(frequent)), counts.where(~frequent)
-    sums = [F.sum(F.col(c) * F.col("times")).alias(c) for c in ("n", "best")]
-    near = each.join(head, "pair").groupBy("row").agg(*sums)
-    far = each.join(head.select("pair"), "pair", "left_anti").join(tail, "pair").groupBy("row").agg(*sums)
-    scored = near.union(far).groupBy("row").agg(F.sum("best").alias("n_best"), F.sum("n").alias("count_sum"))
-    zero = F.lit(0).cast("long")
-    return rows.join(scored, "row", "left").select(
+    scored = each.join(head, "pair")
+    if pairs > SHARE:
+        scored = scored.union(each.join(head.select("pair"), "pair", "left_anti").join(tail, "pair").select(*scored.columns))
+    sums = scored.groupBy("block", "k").agg(F.sum("n").alias("n"), F.sum("best").alias("best"))
+    # a block's segments in order, for the numbers that its texts have
+    listed = sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("k", "n", "best"))).alias("s")).select("block", F.col("s.n").alias("ns"), F.col("s.best").alias("bests"))
+    added = lambda of: F.aggregate("numbers", F.lit(0).cast("long"), lambda so_far, k: so_far + F.get(of, k))
+    return texts.join(listed, "block", "left").select(
         F.col("id").alias(id_col),
         "n_a",
         "n_b",
         "n_groups",
-        "n_links",
-        F.coalesce("n_best", zero).alias("n_best"),
-        F.coalesce("count_sum", zero).alias("count_sum"),
+        (F.col("n_a") + F.col("n_b") - F.col("n_groups")).alias("n_links"),
+        added("bests").alias("n_best"),
+        added("ns").alias("count_sum"),
         "groups_sha256",
     )
 

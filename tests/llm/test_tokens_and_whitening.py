@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -155,6 +156,30 @@ def test_new_segments_of_a_text_are_encoded_as_one(monkeypatch):
     assert all(joined.young[s] == alone.young[s] for s in alone.young)
 
 
+def test_a_segment_is_aligned_once_for_all_texts_of_a_block(spark):
+    """Two texts share a block and its segments; their rows hold numbers alone."""
+    docs = spark.createDataFrame([(1, "the cat the dog"), (2, "a dog the cat"), (3, None)], "doc_id long, text string").coalesce(1)
+    (block,) = alignment.align(alignment.tokens(docs)).collect()
+    assert sorted(s["times"] for s in block["segments"]) == [1, 2, 2, 3]
+    assert len(block["groups"]) == len(block["links"]) == 4 and [len(d["numbers"]) for d in block["docs"]] == [4, 4, 0]
+
+
+def test_small_blocks_give_the_same(spark, odd, monkeypatch):
+    docs = odd.where("length(text) < 1000 OR text IS NULL")
+    want = as_count(alignment.alignment_scores(docs).collect())
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(alignment, "SLICE", 100)
+    assert as_count(alignment.alignment_scores(docs).collect()) == want
+
+
+def test_texts_are_cut_as_the_pattern_cuts_them():
+    texts = [*odd_texts(300, 5), None, "", " ", "a b", "a  b", "x ", "\x1c a", "a\x1c b", "a\xa0 b", "a\n\nb c"]
+    order, distinct, numbers, counts = alignment.cut_texts(pa.array(texts))
+    stops = np.cumsum(counts)
+    got = [[distinct[k] for k in numbers[e - n : e]] for e, n in zip(stops, counts, strict=True)]
+    assert got == [alignment._SEGMENTS.findall(f" {texts[i]}") if texts[i] else [] for i in order]
+
+
 def test_no_python_after_the_tokens(spark, data):
     aligned = alignment.align(alignment.tokens(spark.read.parquet(f"{data}/documents.parquet")))
     plan = aligned.select("links", F.transform("groups", alignment.spelt))._jdf.queryExecution().executedPlan().toString()
