@@ -19,7 +19,7 @@ Null and empty texts have no tokens, nor have texts whose joined token bytes (of
 such as those with the mark U+2581 itself; their counts are 0 and their digest is the empty string. Special tokens' strings in a
 text are plain text. Ties: all pairs with a B id's highest count are best. Repeated rows and rows without an id keep a result each
 and count each time. An empty table gives an empty result. A text and its tokens are held whole by one task, and so is a
-block of some 32 MB of text. Further columns are not read, whatever their names. Tokenizers' files are parameters, read on the driver and sent to the tasks.
+block of some 24 MB of text. Further columns are not read, whatever their names. Tokenizers' files are parameters, read on the driver and sent to the tasks.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ FEW = 24
 #: Bytes of segments and their tokens that are remembered from text to text in each of two generations.
 REMEMBERED = 96 << 20
 #: Bytes of text whose distinct segments are tokenised and aligned once.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 SLICE = 1 << 20
 #: Segments that are encoded as one text.
 BLOCK = 1000
@@ -156,7 +156,7 @@ class Segments:
 
     def all_of(self, segments: list[str]) -> tuple[list[Side], dict[int, list[bytes]]]:
         """Both sides of many segments, and the joined bytes of both for those (by place) where they are not the segment's own."""
-        found, odd = [], {}
+        parts, odd = [[np.zeros(0, np.int32)] for _ in range(6)], {}
         for at in range(0, len(segments), BLOCK):
             block = segments[at : at + BLOCK]
             # blanks at a segment's end would run into the next one
@@ -164,8 +164,10 @@ class Segments:
             if both is None:
                 both, other = self._each(block)
                 odd |= {at + k: joined for k, joined in other.items()}
-            found.append(both)
-        return [tuple(np.concatenate([np.zeros(0, np.int32), *(both[side][k] for both in found)]) for k in range(3)) for side in (0, 1)], odd
+            for part, values in zip(parts, chain.from_iterable(both), strict=True):
+                part.append(values.astype(np.int32))
+        whole = [np.concatenate(parts.pop(0)) for _ in range(6)]
+        return [tuple(whole[:3]), tuple(whole[3:])], odd
 
     def _remember(self, segments: list[str], both: list[Side], odd: dict[int, list[bytes]]) -> None:
         four = []
@@ -240,6 +242,7 @@ def _listed(lengths: np.ndarray | list[int], values: pa.Array | np.ndarray) -> p
 
 def _block(segments: Segments, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
     order, distinct, numbers, counts = cut_texts(texts)
+    pa.default_memory_pool().release_unused()
     both, odd = segments.all_of(distinct)
     whole = np.ones(len(counts), dtype=bool)
     if odd:
@@ -269,14 +272,20 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: s
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments, held, size = Segments(_tokenizers(shared.value)), [], 0
+
+        def block() -> pa.RecordBatch:
+            ids, texts = (pa.concat_arrays([p.column(k) for p in held]) for k in (0, 1))
+            held.clear()
+            return _block(segments, ids, texts)
+
         for piece in chain.from_iterable(slices(batch, 1, SLICE) for batch in parts):
             held.append(piece)
             size += piece.column(1).nbytes
             if size >= BLOCK_BYTES:
-                yield _block(segments, *(pa.concat_arrays([p.column(k) for p in held]) for k in (0, 1)))
-                held, size = [], 0
+                yield block()
+                size = 0
         if held:
-            yield _block(segments, *(pa.concat_arrays([p.column(k) for p in held]) for k in (0, 1)))
+            yield block()
 
     kind = rows.schema["id"].dataType.simpleString()
     lists = ", ".join(f"{c}: array<int>" for c in ("a_ids", "a_ends", "b_ids", "b_ends"))
@@ -374,21 +383,21 @@ def pair_counts(links: DataFrame, b_ids: int) -> DataFrame:
 
 
 def _parts(tokenised: DataFrame) -> DataFrame:
-    """A row for each text (id, n_a, n_b, n_groups, groups_sha256, numbers) and each distinct segment (k, times, links), with their block."""
+    """A row for each block (docs: id, n_a, n_b, n_groups, groups_sha256, numbers of each text) and one for each of its distinct segments (k, times, links)."""
     made = F.transform("segments", lambda s: _of_segment(s, lambda g, links: F.struct(spelt(g).alias("text"), F.size(g).alias("n"), links.alias("links"), s["times"].alias("times"))))
-    none = {c: F.lit(None).cast(kind) for c, kind in (("n_groups", "long"), ("groups_sha256", "string"), ("k", "int"), ("times", "int"), ("links", "array<long>"))}
-    none |= {c.name: F.lit(None).cast(c.dataType) for c in tokenised.schema["docs"].dataType.elementType}
-
-    def row(**has: Column) -> Column:
-        return F.struct(*[has.get(c, none[c]).alias(c) for c in none])
 
     def text(d: Column) -> Column:
         parts = F.transform(d["numbers"], lambda k: F.get("made", k)["text"])
         n = F.aggregate(d["numbers"], F.lit(0).cast("long"), lambda so_far, k: so_far + F.get("made", k)["n"])
         digest = F.when(F.size(d["numbers"]) > 0, F.sha2(F.array_join(parts, ";"), 256)).otherwise("")
-        return row(id=d["id"], n_a=d["n_a"], n_b=d["n_b"], numbers=d["numbers"], n_groups=n, groups_sha256=digest)
-
-    both = F.concat(F.transform("docs", text), F.transform("made", lambda s, k: row(k=k, times=s["times"], links=s["links"])))
+        return F.struct(d["id"].alias("id"), d["n_a"].alias("n_a"), d["n_b"].alias("n_b"), n.alias("n_groups"), digest.alias("groups_sha256"), d["numbers"].alias("numbers"))
+
+    docs, none = F.transform("docs", text), F.lit(None)
+    whole = F.array(F.struct(docs.alias("docs"), none.cast("int").alias("k"), none.cast("int").alias("times"), none.cast("array<long>").alias("links")))
+    kind = tokenised.schema["docs"].dataType.elementType["id"].dataType.simpleString()
+    no_docs = none.cast(f"array<struct<id: {kind}, n_a: bigint, n_b: bigint, n_groups: bigint, groups_sha256: string, numbers: array<int>>>")
+    each = F.transform("made", lambda s, k: F.struct(no_docs.alias("docs"), k.alias("k"), s["times"].alias("times"), s["links"].alias("links")))
+    both = F.concat(whole, each)
     return tokenised.select("docs", made.alias("made"), F.monotonically_increasing_id().alias("block")).select("block", F.inline(both))
 
 
@@ -413,17 +422,15 @@ def alignment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sums = scored.groupBy("block", "k").agg(F.sum("n").alias("n"), F.sum("best").alias("best"))
     # a block's segments in order, for the numbers that its texts have
     listed = sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("k", "n", "best"))).alias("s")).select("block", F.col("s.n").alias("ns"), F.col("s.best").alias("bests"))
-    added = lambda of: F.aggregate("numbers", F.lit(0).cast("long"), lambda so_far, k: so_far + F.get(of, k))
-    return texts.join(listed, "block", "left").select(
-        F.col("id").alias(id_col),
-        "n_a",
-        "n_b",
-        "n_groups",
-        (F.col("n_a") + F.col("n_b") - F.col("n_groups")).alias("n_links"),
-        added("bests").alias("n_best"),
-        added("ns").alias("count_sum"),
-        "groups_sha256",
-    )
+
+    def scores(d: Column) -> Column:
+        added = lambda of: F.aggregate(d["numbers"], F.lit(0).cast("long"), lambda so_far, k: so_far + F.get(of, k))
+        return F.struct(d.alias("d"), added("bests").alias("n_best"), added("ns").alias("count_sum"))
+
+    # joined by block, as each joined row holds the sums of all its segments
+    joined = texts.join(listed, "block", "left").select(F.inline(F.transform("docs", scores))).select("d.*", "n_best", "count_sum")
+    linked = F.col("n_a") + F.col("n_b") - F.col("n_groups")
+    return joined.select(F.col("id").alias(id_col), "n_a", "n_b", "n_groups", linked.alias("n_links"), "n_best", "count_sum", "groups_sha256")
 
 
 def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
