@@ -293,7 +293,7 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: s
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is made once, however often a lambda in it uses it. (An item taken from an array asks for the body's type each time.)"""
+    """`body` of a value that is made once, however often a lambda in it uses it."""
     return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, body)
 
 
@@ -309,7 +309,7 @@ def _groups(a_ids: Column, a_ends: Column, b_ids: Column, b_ends: Column) -> Col
     few = (F.size(a_ends) <= FEW) & (F.size(b_ends) <= FEW)
 
     def of(cuts: Column) -> Column:
-        # in a short array the ends up to a cut are counted (array_position leaves by an exception, which takes longer), in a long one it is merged
+        # in a short array the ends up to a cut are counted (array_position took longer), in a long one it is merged
         before = lambda ends, e: F.size(F.filter(ends, lambda x: x <= e))
         looked = F.transform(cuts, lambda e: F.struct(before(a_ends, e).alias("a"), before(b_ends, e).alias("b")))
         merged = F.zip_with(_up_to(a_ends, cuts), _up_to(b_ends, cuts), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
